@@ -200,7 +200,8 @@ def bulk_changed_files(spark, sf_dir):
 _PAGES_SQL = """WITH pages AS (SELECT user_id, event_id, event_type, {k} AS k,
  row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS page_rank FROM events),
  stops AS (SELECT user_id, min(page_rank) AS stop FROM pages WHERE {stop} GROUP BY 1)
- SELECT CAST(p.user_id AS VARCHAR) AS run_id, p.page_rank::INTEGER AS page_rank, p.event_id AS page, u.item::INTEGER AS item
+ SELECT CAST(p.user_id AS VARCHAR) AS run_id, p.event_id AS page_no, (u.item-1)::INTEGER AS position,
+ p.event_id AS page, u.item::INTEGER AS item
  FROM pages p LEFT JOIN stops s ON p.user_id=s.user_id, LATERAL (SELECT unnest(range(1, p.k+1)) AS item) u
  WHERE p.page_rank <= least(coalesce(s.stop, {cap}), {cap})"""
 
@@ -210,7 +211,8 @@ def _paged(spark, sf_dir, **settings):
     records = flatten_pages(derived.page_payloads(spark, sf_dir), [config])
     return records.select(
         "run_id",
-        F.col("page_rank").cast("int").alias("page_rank"),
+        "page_no",
+        "position",
         F.variant_get("data", "$.page", "bigint").alias("page"),
         F.variant_get("data", "$.item", "int").alias("item"),
     )
@@ -307,7 +309,7 @@ def latest_per_entity(spark, sf_dir):
  FROM events WHERE event_type<>'purchase') WHERE rn=1"""
 )
 def dim_repos(spark, sf_dir):
-    return _plain(repos.dim_repos(derived.repo_landing(spark, sf_dir)))
+    return _plain(repos.dim_repos(repos.latest_repos(derived.repo_landing(spark, sf_dir))))
 
 
 _DAILY_SQL = (
@@ -573,12 +575,12 @@ def exec_5m(spark, sf_dir):
 
 @query(
     _LEDGER_SQL
-    + """SELECT time_bucket(INTERVAL 15 MINUTE, ended_at) AS window_start, round(quantile_cont(duration_seconds,0.95),6) AS p95,
- round(avg(duration_seconds),6) AS avg_duration FROM ledger WHERE status='SUCCESS' GROUP BY 1"""
+    + """SELECT time_bucket(INTERVAL 15 MINUTE, ended_at) AS window_start, round(quantile_cont(duration_seconds,0.95),9) AS p95,
+ round(avg(duration_seconds),9) AS avg_duration FROM ledger WHERE status='SUCCESS' GROUP BY 1"""
 )
 def duration_15m(spark, sf_dir):
     found = run_metrics.duration_stats(_ledger(spark, sf_dir))
-    return found.withColumn("p95", F.round("p95", 6)).withColumn("avg_duration", F.round("avg_duration", 6))
+    return found.withColumn("p95", F.round("p95", 9)).withColumn("avg_duration", F.round("avg_duration", 9))
 
 
 @query(

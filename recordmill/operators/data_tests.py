@@ -2,19 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordmill.session import cut_lineage
+
 
 class DataTestFailure(Exception):
     """Raised when a table breaks a rule the next layer depends on."""
 
 
+def is_missing(column: str) -> Column:
+    """Condition of a row that breaks ``not_null``."""
+    return F.col(column).isNull()
+
+
+def out_of_range(column: str, min_value=None, max_value=None) -> Column:
+    """Condition of a row outside the inclusive bounds; NULL for a NULL value, which passes."""
+    inside = F.lit(True)
+    if min_value is not None:
+        inside = inside & (F.col(column) >= F.lit(min_value))
+    if max_value is not None:
+        inside = inside & (F.col(column) <= F.lit(max_value))
+    return ~inside
+
+
 def not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+    return df.where(is_missing(column))
+
+
+def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None) -> DataFrame:
+    """Rows outside the inclusive bounds; NULL passes."""
+    return df.where(out_of_range(column, min_value, max_value))
 
 
 def duplicate_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -31,30 +54,23 @@ def unique_combination(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return duplicate_groups(df, columns).drop("n_records")
 
 
-def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None) -> DataFrame:
-    """Rows outside the inclusive bounds; NULL passes."""
-    inside = F.lit(True)
-    if min_value is not None:
-        inside = inside & (F.col(column) >= F.lit(min_value))
-    if max_value is not None:
-        inside = inside & (F.col(column) <= F.lit(max_value))
-    return df.where(~inside)
-
-
 def relationships(child: DataFrame, key: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose key is set but has no parent.
 
-    Adaptive skew handling splits the rows of a hot key; nothing after the join undoes it.
+    The parent's keys are reduced to one row each and written down first: a parent row
+    repeated many times costs one row per task, and the join is then between two plain
+    shuffles, where adaptive skew handling splits the child rows of a hot key.
     """
     keyed = child.where(F.col(key).isNotNull())
-    parents = parent.select(F.col(field).alias("_parent"))
+    parents = cut_lineage(parent.select(F.col(field).alias("_parent")).where(F.col("_parent").isNotNull()).distinct())
     return keyed.join(parents, F.col(key) == F.col("_parent"), "left_anti")
 
 
 def orphan_keys(child: DataFrame, key: str, parent: DataFrame, field: str) -> DataFrame:
     """Distinct child keys without a parent and how many child rows hold each."""
     keys = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_records"))
-    return keys.join(parent.select(F.col(field).alias("_parent")), F.col(key) == F.col("_parent"), "left_anti")
+    parents = parent.select(F.col(field).alias("_parent")).distinct()
+    return keys.join(parents, F.col(key) == F.col("_parent"), "left_anti")
 
 
 def age_hours(newest: Column, as_of: datetime | Column) -> Column:
@@ -77,16 +93,41 @@ def source_freshness(
     )
 
 
-# A layer's rules: test name -> function giving the violating rows of a table.
-Rules = dict[str, Callable[[DataFrame], DataFrame]]
+@dataclass(frozen=True)
+class Rules:
+    """What a table must meet before anything is built on it.
 
+    ``rows`` are conditions of a broken row, all looked for in one scan; ``sets`` give the
+    violations of rules about the table as a whole.
+    """
 
-def require(df: DataFrame, table: str, rules: Rules) -> DataFrame:
-    """Stop before the next layer when a rule is broken.
+    rows: Mapping[str, Column] = field(default_factory=dict)
+    sets: Mapping[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
 
-    Each rule ends at its first violating row.
-    """
-    broken = [name for name, violations in rules.items() if not violations(df).isEmpty()]
+
+def rules(
+    needed: Sequence[str] = (),
+    at_least: Mapping[str, float] | None = None,
+    sets: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
+) -> Rules:
+    """Rules from columns that must be set, lower bounds, and whole-table tests."""
+    rows = {f"not_null({c})": is_missing(c) for c in needed}
+    rows |= {f"accepted_range({c})": out_of_range(c, bound) for c, bound in (at_least or {}).items()}
+    return Rules(rows, dict(sets or {}))
+
+
+def broken_rules(df: DataFrame, wanted: Rules) -> list[str]:
+    """Names of the rules the table breaks."""
+    broken = []
+    if wanted.rows:
+        found = df.agg(*[F.bool_or(c).alias(str(i)) for i, c in enumerate(wanted.rows.values())]).first()
+        broken = [name for i, name in enumerate(wanted.rows) if found[i]]
+    return broken + [name for name, violations in wanted.sets.items() if not violations(df).isEmpty()]
+
+
+def require(df: DataFrame, table: str, wanted: Rules) -> DataFrame:
+    """The table itself, or an error that stops the build before the next layer."""
+    broken = broken_rules(df, wanted)
     if broken:
         raise DataTestFailure(f"{table}: {', '.join(broken)}")
     return df

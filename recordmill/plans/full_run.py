@@ -37,6 +37,10 @@ class Warehouse:
     def landed(self) -> str:
         return f"{self.base}/landing_checkpoint"
 
+    @property
+    def latest(self) -> str:
+        return f"{self.base}/intermediate/latest_repos"
+
     @property
     def dimension(self) -> str:
         return f"{self.base}/marts/dim_repos"
@@ -81,18 +85,44 @@ def default_checks(as_of: datetime) -> list[dict[str, Any]]:
     ]
 
 
+LANDING_RULES = ["load_id", "source", "ingested_at", "data"]
+
+
+def _since_newest(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Landed rows of the newest day a table has seen and later, found by folder."""
+    if known is None:
+        return rows
+    newest = known.agg(F.coalesce(F.to_date(F.max("ingested_at")), F.to_date(F.lit(facts.FLOOR))))
+    return rows.where(F.col("ingest_date") >= newest.scalar())
+
+
 def build_tables(spark: SparkSession, house: Warehouse) -> None:
-    """Staging rules, then the dimension, then the fact; a broken rule stops the build."""
-    rows = landing.read_landing(spark, house.landing)
-    data_tests.require(rows, "landing", markets.landing_rules())
-    data_tests.require(repos.staged(rows), "staged repos", repos.staging_rules())
-    data_tests.require(markets.staged(rows), "staged markets", markets.staging_rules())
-    tables.publish(repos.dim_repos(rows), house.dimension)
+    """Rules on the landed rows, then latest rows, dimension and fact.
+
+    A broken rule stops the build. Landing only ever grows, by the day, so days older than
+    the newest one seen are neither checked again nor read for the latest rows.
+    """
+    landed = landing.read_landing(spark, house.landing)
+    known = tables.current(spark, house.latest)
+    fresh = _since_newest(landed, known)
+    data_tests.require(fresh, "landing", data_tests.rules(LANDING_RULES))
+    data_tests.require(repos.staged(fresh), "staged repos", repos.staging_rules())
+    data_tests.require(markets.staged(fresh), "staged markets", markets.staging_rules())
+    tables.publish(repos.latest_repos(fresh, known), house.latest)
+    tables.publish(repos.dim_repos(tables.current(spark, house.latest)), house.dimension)
     dimension = data_tests.require(tables.current(spark, house.dimension), "dim_repos", repos.dimension_rules())
-    # The bound is set on the landing table's partition column, so older days are not read.
-    recent = facts.since_high_water(rows, "ingest_date", facts.read_fact(spark, house.fact))
+    recent = facts.since_high_water(landed, "ingest_date", facts.read_fact(spark, house.fact))
     facts.upsert_days(spark, repos.daily_repo_metrics(recent), house.fact, repos.FACT_KEY)
-    data_tests.require(facts.read_fact(spark, house.fact), "daily metrics", repos.fact_rules(dimension))
+    data_tests.require(daily_facts(spark, house), "daily metrics", repos.fact_rules(dimension))
+
+
+def daily_facts(spark: SparkSession, house: Warehouse) -> DataFrame:
+    """The fact table, without rows before the first repository was landed."""
+    fact = facts.read_fact(spark, house.fact)
+    if fact is not None:
+        return fact
+    columns = repos.daily_repo_metrics(landing.read_landing(spark, house.landing)).schema
+    return schemas.empty(spark, columns)
 
 
 def _predictions(spark: SparkSession, house: Warehouse) -> DataFrame:
@@ -107,7 +137,7 @@ def run_gate(spark: SparkSession, house: Warehouse, specs: Sequence[dict], as_of
     known = {
         "raw.landing": lambda: landing.read_landing(spark, house.landing),
         "marts.dim_repos": lambda: tables.current(spark, house.dimension),
-        "marts.fct_daily_repo_metrics": lambda: facts.read_fact(spark, house.fact),
+        "marts.fct_daily_repo_metrics": lambda: daily_facts(spark, house),
     }
     results = checks.run_checks(spark, specs, as_of, lambda name: known[name]() if name in known else spark.table(name))
     row = checks.gate(checks.results_table(spark, results)).first()
@@ -169,6 +199,6 @@ def run(
 
 
 def read_ledger(spark: SparkSession, house: Warehouse) -> DataFrame:
-    """One row per run, newest last state of a run id wins."""
+    """One ledger row per recorded run."""
     states = spark.read.schema(schemas.RUN_STATES).parquet(house.ledger)
     return ledger.flatten_states(states)

@@ -40,15 +40,6 @@ def staged(landing: DataFrame) -> DataFrame:
 
 
 def staging_rules() -> data_tests.Rules:
-    needed = ["coin_id", "symbol", "load_id", "ingested_at"]
-    return {
-        **{f"not_null({c})": (lambda df, c=c: data_tests.not_null(df, c)) for c in needed},
-        "accepted_range(current_price_usd)": lambda df: data_tests.accepted_range(df, "current_price_usd", 0),
-        "accepted_range(market_cap_rank)": lambda df: data_tests.accepted_range(df, "market_cap_rank", 1),
-    }
-
-
-def landing_rules() -> data_tests.Rules:
-    """Rules of the landing table itself."""
-    needed = ["load_id", "source", "ingested_at", "data"]
-    return {f"not_null({c})": (lambda df, c=c: data_tests.not_null(df, c)) for c in needed}
+    return data_tests.rules(
+        ["coin_id", "symbol", "load_id", "ingested_at"], {"current_price_usd": 0, "market_cap_rank": 1}
+    )

@@ -58,12 +58,14 @@ def staged(landing: DataFrame) -> DataFrame:
     return stage(landing, SOURCE, FIELDS)
 
 
-def latest_repos(landing: DataFrame) -> DataFrame:
-    return latest.latest_per_key(staged(landing), ["repo_id"])
+def latest_repos(landing: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The newest row per repository, starting from the ones ``known`` so far, if any."""
+    rows = staged(landing)
+    return latest.latest_per_key(rows if known is None else known.unionByName(rows), ["repo_id"])
 
 
-def dim_repos(landing: DataFrame) -> DataFrame:
-    return latest.dimension(latest_repos(landing), DIMENSION_COLUMNS)
+def dim_repos(latest_rows: DataFrame) -> DataFrame:
+    return latest.dimension(latest_rows, DIMENSION_COLUMNS)
 
 
 def daily_repo_metrics(landing: DataFrame) -> DataFrame:
@@ -72,32 +74,25 @@ def daily_repo_metrics(landing: DataFrame) -> DataFrame:
 
 def staging_rules() -> data_tests.Rules:
     """Rules the staged repositories must meet before anything is built on them."""
-    needed = ["repo_id", "owner_login", "star_count", "fork_count", "repo_created_at", "load_id", "ingested_at"]
-    return {
-        **{f"not_null({c})": (lambda df, c=c: data_tests.not_null(df, c)) for c in needed},
-        **{
-            f"accepted_range({c})": (lambda df, c=c: data_tests.accepted_range(df, c, 0))
-            for c in ("star_count", "fork_count")
-        },
-    }
+    return data_tests.rules(
+        ["repo_id", "owner_login", "star_count", "fork_count", "repo_created_at", "load_id", "ingested_at"],
+        {"star_count": 0, "fork_count": 0},
+    )
 
 
 def dimension_rules() -> data_tests.Rules:
-    needed = ["repo_id", "owner_login", "repo_name", "dim_refreshed_at"]
-    return {
-        **{f"not_null({c})": (lambda df, c=c: data_tests.not_null(df, c)) for c in needed},
-        "unique(repo_id)": lambda df: data_tests.unique(df, "repo_id"),
-    }
+    return data_tests.rules(
+        ["repo_id", "owner_login", "repo_name", "dim_refreshed_at"],
+        sets={"unique(repo_id)": lambda df: data_tests.unique(df, "repo_id")},
+    )
 
 
 def fact_rules(dimension: DataFrame) -> data_tests.Rules:
-    needed = ["repo_id", "metric_date", "star_count", "fork_count"]
-    return {
-        **{f"not_null({c})": (lambda df, c=c: data_tests.not_null(df, c)) for c in needed},
-        **{
-            f"accepted_range({c})": (lambda df, c=c: data_tests.accepted_range(df, c, 0))
-            for c in ("star_count", "fork_count")
+    return data_tests.rules(
+        ["repo_id", "metric_date", "star_count", "fork_count"],
+        {"star_count": 0, "fork_count": 0},
+        {
+            "relationships(repo_id)": lambda df: data_tests.orphan_keys(df, "repo_id", dimension, "repo_id"),
+            "unique_combination(repo_id, metric_date)": lambda df: data_tests.unique_combination(df, FACT_KEY),
         },
-        "relationships(repo_id)": lambda df: data_tests.relationships(df, "repo_id", dimension, "repo_id"),
-        "unique_combination(repo_id, metric_date)": lambda df: data_tests.unique_combination(df, FACT_KEY),
-    }
+    )

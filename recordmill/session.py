@@ -53,9 +53,24 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or current
 
 
+_scratch: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path under :func:`shared_dir` that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this program made; call it once its results are written."""
+    jvm = spark.sparkContext._jvm
+    dropped = 0
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        dropped += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return dropped
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -78,9 +78,9 @@ def _with_stop_flag(pages: DataFrame) -> DataFrame:
 def kept_pages(pages: DataFrame, configs: DataFrame, max_pages: int) -> DataFrame:
     """The pages a reader following the stop rules would have asked for.
 
-    Returns ``source, run_id, page_no, page_rank``. Only narrow rows are ranked, and as
-    no run keeps more than the largest ``max_pages``, each task passes on at most that
-    many rows of a run, however many pages the run holds.
+    Returns ``source, run_id, page_no``. Only narrow rows are ranked, and as no run keeps
+    more than the largest ``max_pages``, each task passes on at most that many rows of a
+    run, however many pages the run holds.
     """
     flagged = _with_stop_flag(pages.join(F.broadcast(configs), "source")).select(
         "source", "run_id", "page_no", "max_pages", "is_last"
@@ -91,16 +91,15 @@ def kept_pages(pages: DataFrame, configs: DataFrame, max_pages: int) -> DataFram
         .where(F.col("page_rank") <= max_pages)
         .withColumn("last_rank", F.min(F.when(F.col("is_last"), F.col("page_rank"))).over(in_run))
     )
-    return ranked.where(F.col("page_rank") <= F.least("last_rank", "max_pages")).select(
-        "source", "run_id", "page_no", "page_rank"
-    )
+    return ranked.where(F.col("page_rank") <= F.least("last_rank", "max_pages")).select("source", "run_id", "page_no")
 
 
 def flatten_pages(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFrame:
     """Rows ``source, run_id, page_no, payload`` to one row per record.
 
-    Returns ``source, run_id, page_no, page_rank, position, data``. A kept page whose
-    records are not a list fails the job; pages past the stop are never looked at.
+    Returns ``source, run_id, page_no, position, data``. A kept page whose records are not
+    a list fails the job; pages past the stop are never looked at. The semi join can only
+    ever broadcast the narrow list of kept pages, never the payloads.
     """
     configs = list(configs)
     table = (
@@ -110,7 +109,7 @@ def flatten_pages(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFram
     )
     kept = kept_pages(pages, table, max(c.max_pages for c in configs))
     found = (
-        pages.join(kept, ["source", "run_id", "page_no"])
+        pages.join(kept, ["source", "run_id", "page_no"], "left_semi")
         .join(F.broadcast(table.select("source", "records_json_path")), "source")
         .withColumn(
             "records",
@@ -119,9 +118,7 @@ def flatten_pages(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFram
     )
     complaint = F.concat(F.lit("Expected list at '"), F.col("records_json_path"), F.lit("'"))
     records = F.coalesce(F.col("records"), F.raise_error(complaint).cast("array<variant>"))
-    return found.select(
-        "source", "run_id", "page_no", "page_rank", F.posexplode(records).alias("position", "data")
-    )
+    return found.select("source", "run_id", "page_no", F.posexplode(records).alias("position", "data"))
 
 
 def page_gaps(pages: DataFrame) -> DataFrame:

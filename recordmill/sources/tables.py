@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path, jvm
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path, _ = _file_system(spark, path)
+    fs, hadoop_path = _file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
-    fs, hadoop_path, _ = _file_system(spark, path)
+    fs, hadoop_path = _file_system(spark, path)
     if not fs.exists(hadoop_path):
         return []
     return sorted(s.getPath().toString() for s in fs.listStatus(hadoop_path) if s.isDirectory())
@@ -45,6 +45,15 @@ def current(spark: SparkSession, table_dir: str) -> DataFrame | None:
     return None
 
 
+def prune(spark: SparkSession, table_dir: str, keep: int = 2) -> int:
+    """Delete all but the newest versions; returns how many went."""
+    old = subfolders(spark, table_dir)[:-keep]
+    for folder in old:
+        fs, path = _file_system(spark, folder)
+        fs.delete(path, True)
+    return len(old)
+
+
 def scalar(df: DataFrame):
     """First column of the first row, None when there is no row."""
     row = df.first()
