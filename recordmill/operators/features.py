@@ -95,7 +95,10 @@ def scaled(scaling: Scaling) -> Column:
 
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """Most frequent value of each text column; columns without any value are left out."""
-    return {row["column"]: row["mode"] for row in modes(df, columns).collect()} if columns else {}
+    if not columns:
+        return {}
+    found = {row["column"]: row["mode"] for row in modes(df, columns).collect()}
+    return {c: found[c] for c in columns if c in found}
 
 
 def _sql_text(text: str) -> str:
@@ -142,7 +145,7 @@ def preprocessing_stages(df: DataFrame, numeric: Sequence[str], categorical: Seq
         hot = [f"_hot_{c}" for c in fills]
         stages += [
             StringIndexer(inputCols=filled, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=indexed, outputCols=hot, handleInvalid="keep", dropLast=True),
+            OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
         ]
         inputs += hot
     return [*stages, VectorAssembler(inputCols=inputs, outputCol=output)]
