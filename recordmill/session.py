@@ -24,7 +24,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """A single-JVM session for tests and timing; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -33,7 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

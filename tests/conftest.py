@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,7 @@ from recordmill.session import local_session, shared_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    session = local_session(8, **{"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="warehouse-")})
     shared_dir(session)
     yield session
     session.stop()
