@@ -1,29 +1,33 @@
-"""Exact percentiles and modes that never gather one group in one task.
-
-``percentile()`` keeps every distinct value of a group in one buffer. Here a mergeable
-sketch of fixed size first brackets the wanted rank of each group; a second scan counts
-what lies below the bracket and keeps the few distinct values inside it. Both scans
-aggregate before they shuffle, so a group holding most of the rows is spread over all
-tasks. The bracket only decides how much is kept: a group whose rank falls outside it is
-run again with a finer sketch, so the result is always exact.
+"""Exact percentiles and modes that never gather an unbounded group in one task.
+
+``percentile()`` keeps every distinct value of a group in one buffer. Here the groups are
+counted first. Those up to ``SMALL_GROUP`` rows are sorted whole, a bounded amount each.
+For the larger ones a mergeable sketch of fixed size brackets the wanted rank; a further
+scan counts what lies below the bracket and keeps the few distinct values inside it. All
+scans aggregate before they shuffle, so a group holding most of the rows is spread over
+all tasks. The bracket only decides how much is kept: a group whose rank falls outside it
+is run again with a finer sketch, so the result is always exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from recordmill.session import cut_lineage
 
-# A bracket table (one row of about 100 bytes per group) up to this many groups is
-# broadcast; beyond it the rows are joined on salted keys.
+SMALL_GROUP = 100_000
+# Per-group tables (one row of about 100 bytes each) up to this many groups are broadcast;
+# beyond it the rows are joined on salted keys.
 BROADCAST_GROUPS = 50_000
 JOIN_SALTS = 32
 SKETCH_ACCURACY = 10_000
 
+Ranks = Callable[[Column], tuple[Column, Column]]
+
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     condition = F.lit(True)
@@ -43,14 +47,11 @@ def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], n_grou
     return salted.join(copies, condition, how).drop("_salt", "_g_salt", *drop)
 
 
-def select_ranks(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: Column,
-    near: float,
-    ranks: Callable[[Column], tuple[Column, Column]],
-    accuracy: int = SKETCH_ACCURACY,
-) -> DataFrame:
+def _as_group_keys(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).alias(f"_g_{k}") for k in keys]
+
+
+def select_ranks(df: DataFrame, keys: Sequence[str], value: Column, near: float, ranks: Ranks) -> DataFrame:
     """Per group, the values at two zero-based ranks: columns ``keys, n, low, high``.
 
     ``near`` says where in ``[0, 1]`` the ranks lie; ``ranks(n)`` gives them for a group
@@ -58,27 +59,55 @@ def select_ranks(
     ``keys`` names at least one column; for one group over all rows pass a constant column.
     """
     rows = df.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    sizes = rows.groupBy(*_as_group_keys(keys)).agg(F.count(F.lit(1)).alias("n"))
+    seen = Observation()
+    counted = sizes.observe(seen, F.count(F.lit(1)).alias("groups"))
+    large = cut_lineage(counted.where(F.col("n") > SMALL_GROUP).drop("n"))
+    n_large = large.count()
+    if n_large == 0:
+        return _sorted_ranks(rows, keys, ranks)
+    if n_large == seen.get["groups"]:
+        return _bracketed_ranks(rows, keys, near, ranks)
+    small_rows = _join_groups(rows, large, keys, n_large, "left_anti")
+    large_rows = _join_groups(rows, large, keys, n_large, "left_semi")
+    return _sorted_ranks(small_rows, keys, ranks).unionByName(_bracketed_ranks(large_rows, keys, near, ranks))
+
+
+def _sorted_ranks(rows: DataFrame, keys: Sequence[str], ranks: Ranks) -> DataFrame:
+    """Ranks of groups known to be small, each sorted as one array."""
+    first, second = ranks(F.col("n"))
+
+    def at(rank: Column) -> Column:
+        return F.get("_all", rank.cast("int"))
+
+    arrays = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("_v")).alias("_all"))
+    return arrays.select(*keys, "n", at(first).alias("low"), at(second).alias("high"))
+
+
+def _bracketed_ranks(
+    rows: DataFrame, keys: Sequence[str], near: float, ranks: Ranks, accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
+    """Ranks of groups of any size, by sketch and bracket."""
     margin = 3.0 / accuracy
     points = [max(0.0, near - margin), min(1.0, near + margin)]
     groups = cut_lineage(
-        rows.groupBy(*[F.col(k).alias(f"_g_{k}") for k in keys]).agg(
+        rows.groupBy(*_as_group_keys(keys)).agg(
             F.count(F.lit(1)).alias("n"),
             F.percentile_approx("_v", points, accuracy).alias("_b"),
             F.min("_v").alias("_min"),
             F.max("_v").alias("_max"),
         )
     )
-    small = F.col("n") <= accuracy  # a group this small is kept whole
+    exact = F.col("n") <= accuracy  # the sketch cannot be made finer: keep the group whole
     brackets = groups.select(
         *[f"_g_{k}" for k in keys],
         "n",
-        F.when(small, F.col("_min")).otherwise(F.col("_b")[0]).alias("_from"),
-        F.when(small, F.col("_max")).otherwise(F.col("_b")[1]).alias("_to"),
+        F.when(exact, F.col("_min")).otherwise(F.col("_b")[0]).alias("_from"),
+        F.when(exact, F.col("_max")).otherwise(F.col("_b")[1]).alias("_to"),
     )
-    n_groups = groups.count()
     side = F.when(F.col("_v") < F.col("_from"), -1).when(F.col("_v") > F.col("_to"), 1).otherwise(0)
     counted = (
-        _join_groups(rows, brackets, keys, n_groups)
+        _join_groups(rows, brackets, keys, groups.count())
         .withColumn("_side", side)
         .withColumn("_v", F.when(F.col("_side") == 0, F.col("_v")))
         .groupBy(*keys, "n", "_side", "_v")
@@ -100,11 +129,11 @@ def select_ranks(
         )
     )
     outside = ((first >= 0) & F.col("low").isNull()) | ((second >= 0) & F.col("high").isNull())
-    again = picked.where(outside).select(*[F.col(k).alias(f"_g_{k}") for k in keys])
+    again = picked.where(outside).select(*_as_group_keys(keys))
     n_again = again.count()
     if n_again == 0:
         return picked
-    redo = select_ranks(_join_groups(df, again, keys, n_again, "left_semi"), keys, value, near, ranks, accuracy * 10)
+    redo = _bracketed_ranks(_join_groups(rows, again, keys, n_again, "left_semi"), keys, near, ranks, accuracy * 10)
     return picked.where(~outside).unionByName(redo)
 
 

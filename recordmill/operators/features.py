@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from recordmill.functions.order_statistics import medians, modes, select_ranks
 from recordmill.functions.texts import stable_bucket
+from recordmill.session import cut_lineage
 
 # One-hot encoding keeps a column's categories in the model. More than this many is an
 # error, never a silent cut.
@@ -55,9 +56,8 @@ def stratified_split(df: DataFrame, key: str, label: str, train_share: float = 0
         rank = F.floor(n * F.lit(float(train_share))) - 1
         return rank, rank
 
-    cuts = select_ranks(df, [label], position, train_share, last_train).select(
-        F.col(label).alias("_label"), F.col("low").alias("_cut")
-    )
+    found = select_ranks(df, [label], position, train_share, last_train)
+    cuts = cut_lineage(found.select(F.col(label).alias("_label"), F.col("low").alias("_cut")))
     marked = df.join(cuts, F.col(label).eqNullSafe(F.col("_label")), "left")
     return marked.withColumn("is_train", F.coalesce(position <= F.col("_cut"), F.lit(False))).drop("_label", "_cut")
 

@@ -29,7 +29,9 @@ def brute(rows, p):
 
 
 @pytest.mark.parametrize("p", [0.0, 0.5, 0.95, 1.0])
-def test_exact_percentile(spark, p):
+@pytest.mark.parametrize("small", [0, 1_500, 100_000])
+def test_exact_percentile(spark, monkeypatch, p, small):
+    monkeypatch.setattr(stats, "SMALL_GROUP", small)
     rows, df = grouped(spark)
     got = {r.k: r.x for r in stats.exact_percentile(df, ["k"], F.col("v"), p, "x").collect()}
     want = brute(rows, p)
@@ -39,6 +41,7 @@ def test_exact_percentile(spark, p):
 
 def test_salted_join_beyond_the_broadcast_size(spark, monkeypatch):
     monkeypatch.setattr(stats, "BROADCAST_GROUPS", 0)
+    monkeypatch.setattr(stats, "SMALL_GROUP", 1_500)
     rows, df = grouped(spark)
     got = {r.k: r.x for r in stats.exact_percentile(df, ["k"], F.col("v"), 0.95, "x").collect()}
     assert all(math.isclose(got[k], v, rel_tol=1e-12) for k, v in brute(rows, 0.95).items())
@@ -48,15 +51,18 @@ def test_a_bracket_that_misses_is_widened(spark):
     """A sketch of 10 points over 20,000 rows asked for a far rank: run again until it holds."""
     rows = [("a", float(i)) for i in range(20_000)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = stats.select_ranks(df, ["k"], F.col("v"), 0.9, lambda n: (F.lit(5), F.lit(6)), accuracy=100).first()
+    rows = df.select("k", F.col("v").alias("_v"))
+    got = stats._bracketed_ranks(rows, ["k"], 0.9, lambda n: (F.lit(5), F.lit(6)), accuracy=100).first()
     assert (got.low, got.high, got.n) == (5.0, 6.0, 20_000)
 
 
-def test_hot_group_leaves_each_task_combined(spark):
-    _, df = grouped(spark, 3000)
-    plan = stats.exact_percentile(df, ["k"], F.col("v"), 0.5, "x")
-    assert plan.count() > 0  # the result itself is a small stored table
-    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+def test_only_small_groups_are_gathered(spark, monkeypatch):
+    """The plan that sorts whole groups leaves the large ones out before its shuffle."""
+    monkeypatch.setattr(stats, "SMALL_GROUP", 1_500)
+    _, df = grouped(spark)
+    plan = stats.exact_percentile(df, ["k"], F.col("v"), 0.5, "x")._jdf.queryExecution().executedPlan().toString()
+    gather = plan[plan.index("partial_collect_list") :]
+    assert "LeftAnti" in gather.split("Union")[0]
 
 
 def test_medians_and_modes(spark):
@@ -66,7 +72,9 @@ def test_medians_and_modes(spark):
     assert {r["column"]: r["mode"] for r in stats.modes(df, ["s", "i"]).collect()} == {"s": "a", "i": "1"}
 
 
-def test_stratified_split_is_exact(spark):
+@pytest.mark.parametrize("small", [0, 100_000])
+def test_stratified_split_is_exact(spark, monkeypatch, small):
+    monkeypatch.setattr(stats, "SMALL_GROUP", small)
     df = spark.range(5003).select("id", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") == 1, "solo").otherwise("b").alias("label"))
     got = features.stratified_split(df, "id", "label").collect()
     n, train = Counter(r.label for r in got), Counter(r.label for r in got if r.is_train)
