@@ -127,7 +127,7 @@ def _event_lines(spark, sf_dir):
 
 
 @query(
-    """SELECT event_type AS source, count(*) AS rows_loaded, 30::BIGINT AS files_loaded,
+    """SELECT event_type AS source, count(*) AS rows_loaded, count(DISTINCT strftime(ts,'%Y-%m-%d')) AS files_loaded,
  sum(event_id)::BIGINT AS id_sum, round(sum(value),2) AS value_sum FROM events GROUP BY 1"""
 )
 def ndjson_roundtrip(spark, sf_dir):

@@ -77,7 +77,7 @@ def metrics_long(ledger: DataFrame) -> DataFrame:
 
 
 def subject(status: Column, run_id: Column, source: Column) -> Column:
-    """The report's subject line, at most 100 characters."""
+    """The report's subject line, at most 100 characters. Layout and lengths."""
     short = texts.prefix(texts.first_set(run_id, default="?"), 8)
     named = texts.prefix(F.coalesce(source, F.lit("?")), 30)
     return texts.prefix(F.concat(F.lit("[Pipeline "), status, F.lit("] "), named, F.lit(" ("), short, F.lit(")")), 100)
@@ -86,6 +86,7 @@ def subject(status: Column, run_id: Column, source: Column) -> Column:
 def message(name: str = "recordmill") -> Column:
     """The report's text over the columns of the ledger; NULL lines are left out."""
     c = F.col
+    # The labels and their spacing.
     gate = F.concat(
         F.lit("  Quality gate:    "), F.when(c("quality_passed"), "PASSED").otherwise("FAILED"), F.lit("  ("),
         c("quality_total").cast("string"), F.lit(" checks, "), c("quality_errors").cast("string"),

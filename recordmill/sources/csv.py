@@ -42,6 +42,14 @@ def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
+def by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The files grouped by their header line."""
+    groups = defaultdict(list)
+    for row in header_lines(spark, paths).orderBy("file_path").collect():
+        groups[row.header].append(row.file_path)
+    return groups
+
+
 def read_training(spark: SparkSession, folder: str) -> DataFrame:
     """Every ``*.csv`` file of a folder as one frame, stacked by column name.
 
@@ -51,11 +59,9 @@ def read_training(spark: SparkSession, folder: str) -> DataFrame:
     paths = files.paths_of(files.list_files(spark, folder, "*.csv"))
     if not paths:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    by_header = defaultdict(list)
-    for row in header_lines(spark, paths).orderBy("file_path").collect():
-        by_header[row.header].append(row.file_path)
     frames = [
-        spark.read.option("header", "true").option("inferSchema", "true").csv(group) for group in by_header.values()
+        spark.read.option("header", "true").option("inferSchema", "true").csv(group)
+        for group in by_header(spark, paths).values()
     ]
     text = {name for frame in frames for name, kind in frame.dtypes if kind == "string"}
     frames = [f.select(*[F.col(c).cast("string") if c in text else F.col(c) for c in f.columns]) for f in frames]

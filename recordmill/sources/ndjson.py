@@ -14,14 +14,18 @@ RAW_PATH = r"raw/([^/]+)/(\d{4})/(\d{2})/(\d{2})/"
 
 
 def parse_lines(lines: DataFrame, rescue: bool = False) -> DataFrame:
-    """Parse text lines to ``file_path, line, data``, dropping blank ones.
+    """Parse text lines to ``file_path, file_time, line, data``, dropping blank ones.
 
     Any JSON value is a record. A bad line fails the job, or with ``rescue`` is kept
     with ``data`` NULL.
     """
     parse = F.try_parse_json if rescue else F.parse_json
     return (
-        lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
+        lines.select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_modification_time").alias("file_time"),
+            F.col("value").alias("line"),
+        )
         .where(F.col("line").rlike(r"\S"))
         .withColumn("data", parse("line"))
     )
@@ -65,11 +69,12 @@ def digest(line: Column) -> list[Column]:
 
 
 def manifest(records: DataFrame) -> DataFrame:
-    """One row per file: ``file_path, source, record_count, content_hash``."""
+    """One row per file: ``file_path, source, record_count, content_hash, ingested_at``."""
     return (
         records.groupBy("file_path")
-        .agg(*digest(F.col("line")))
-        .select("file_path", source_of(F.col("file_path")).alias("source"), "record_count", "content_hash")
+        .agg(*digest(F.col("line")), F.max("file_time").alias("ingested_at"))
+        .withColumn("source", source_of(F.col("file_path")))
+        .select("file_path", "source", "record_count", "content_hash", "ingested_at")
     )
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordmill import schemas
-from recordmill.sources import files, landing, ndjson, tables
+from recordmill.sources import bulk, files, landing, ndjson, tables
 from recordmill.streaming.landing import land_new_files
 
 AT = datetime(2024, 3, 5, 6, 7, 8)
@@ -184,3 +184,29 @@ def test_append_columns(spark):
     a = spark.createDataFrame([(1, 2)], "a int, b int")
     b = spark.createDataFrame([(3, 4)], "c int, a int")
     assert sorted(map(tuple, tables.append_columns(a, b).collect()), key=str) == [(1, 2, None), (4, None, 3)]
+
+
+def test_bulk_files_are_landed_once(spark, scratch):
+    folder, seen, table = f"{scratch}/bulk", f"{scratch}/seen", f"{scratch}/landing"
+    first = spark.createDataFrame([(1, "a"), (2, None)], "id int, name string").coalesce(1)
+    first.write.option("header", "true").csv(f"{folder}/one")
+
+    def land(load):
+        done = bulk.land_changed(spark, folder, seen, table, "sales", load, AT)
+        return done["status"], done["rowsLoaded"], done["filesLoaded"]
+
+    assert land("l1") == ("LOADED", 2, 1)
+    assert land("l2") == ("SKIPPED", 0, 0)
+    spark.createDataFrame([("x", 5.5)], "other string, id double").coalesce(1).write.option("header", "true").csv(f"{folder}/two")
+    assert land("l3") == ("LOADED", 1, 1)
+    rows = landing.from_source(landing.read_landing(spark, table), "sales")
+    got = {r.j for r in rows.select(F.to_json("data").alias("j")).collect()}
+    assert got == {'{"id":"1","name":"a"}', '{"id":"2","name":null}', '{"id":"5.5","other":"x"}'}
+
+
+def test_bulk_landing_repeated_after_a_failure_adds_nothing(spark, scratch):
+    folder, table = f"{scratch}/bulk", f"{scratch}/landing"
+    spark.range(3).coalesce(1).write.option("header", "true").csv(folder)
+    bulk.land_changed(spark, folder, f"{scratch}/seen", table, "k", "l1", AT)
+    done = bulk.land_changed(spark, folder, f"{scratch}/never_written", table, "k", "l1", AT)
+    assert done["rowsLoaded"] == 3 and landing.read_landing(spark, table).count() == 3

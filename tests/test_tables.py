@@ -186,3 +186,19 @@ def test_freshness_states(spark):
     df = spark.createDataFrame(rows, "source string, at timestamp")
     got = {r.source: r.status for r in data_tests.source_freshness(df, "source", "at", as_of).collect()}
     assert got == {"a": "pass", "b": "warn", "c": "error", "d": "error"}
+
+
+def test_materializations(spark, scratch):
+    from recordmill.plans.materialize import materialize
+
+    df = staged(spark, (1, 5, AT))
+    assert materialize(df, "staging", "stg_x", scratch).count() == 1 and spark.table("stg_x").count() == 1
+    assert materialize(df, "intermediate", "int_x", scratch) is df
+    assert materialize(df, "marts", "dim_x", scratch).count() == 1
+    assert materialize(df.limit(0), "marts", "dim_x", scratch).count() == 0
+    daily = facts.daily_metrics(df, "repo_id", ["stars"])
+    for _ in range(2):
+        fact = materialize(daily, "marts", "fct_x", scratch, "incremental", ["repo_id", "metric_date"])
+        assert fact.count() == 1
+    with pytest.raises(ValueError):
+        materialize(df, "marts", "x", scratch, "odd")
