@@ -202,3 +202,26 @@ def test_materializations(spark, scratch):
         assert fact.count() == 1
     with pytest.raises(ValueError):
         materialize(df, "marts", "x", scratch, "odd")
+
+
+def test_staging_reads_only_the_fields_it_needs(spark, scratch):
+    rows = landed(spark, repos.SOURCE, (REPO, AT), ({**REPO, "id": 8, "license": {"spdx_id": "MIT"}, "size": "6"}, AT))
+    landing.append_landing(rows.withColumn("ingest_date", F.to_date("ingested_at")), scratch)
+    stored = landing.read_landing(spark, scratch)
+    plan = repos.daily_repo_metrics(stored)._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema") :].split("\n")[0]
+    assert "variant" not in schema and schema.count(":string") == 1 + len(repos.DAILY_MAXIMA)
+    assert sorted(map(str, repos.staged(stored).collect())) == sorted(map(str, repos.staged(rows).collect()))
+
+
+def test_stored_decimals_keep_their_digits(spark, scratch):
+    numbers = ["12345678901234567890.12345678", "1.10", "1e-7", "0", "-3", "1.005"]
+    df = landed(spark, markets.SOURCE, *[({}, AT) for _ in numbers[:1]])
+    values = spark.createDataFrame([(n,) for n in numbers], "n string")
+    record = F.parse_json(F.concat(F.lit('{"id":"'), "n", F.lit('","current_price":'), "n", F.lit(',"market_cap":'), "n", F.lit("}")))
+    rows = df.drop("data").crossJoin(values).withColumn("data", record).withColumn("ingest_date", F.to_date("ingested_at"))
+    landing.append_landing(rows, scratch)
+    got = {r.coin_id: (r.current_price_usd, r.market_cap_usd) for r in markets.staged(landing.read_landing(spark, scratch)).collect()}
+    assert got["12345678901234567890.12345678"][0] == Decimal("12345678901234567890.12345678")
+    assert got["1.005"] == (Decimal("1.005"), Decimal("1.01")) and got["1e-7"][0] == Decimal("0.0000001")
+    assert got["-3"] == (Decimal(-3), Decimal(-3))
