@@ -17,7 +17,7 @@ from recordmill import schemas  # noqa: E402
 from recordmill.functions import texts  # noqa: E402
 from recordmill.functions.order_statistics import medians, modes  # noqa: E402
 from recordmill.operators import boosting, checks, data_tests, facts, features, latest, ledger, run_metrics  # noqa: E402
-from recordmill.plans import derived, markets, repos  # noqa: E402
+from recordmill.plans import derived, full_run, markets, repos  # noqa: E402
 from recordmill.plans.derived import k_of, observations, table  # noqa: E402
 from recordmill.session import configure, scratch_dir  # noqa: E402
 from recordmill.sources import csv, files, landing, ndjson, tables  # noqa: E402
@@ -791,6 +791,25 @@ def ml_predict_hooks(spark, sf_dir):
     return scored.withColumn("prediction", F.round("prediction", 4))
 
 
+# --- a whole run -------------------------------------------------------------------------
+
+
+@query(
+    f"""SELECT user_id AS repo_id, '2024-02-01' AS metric_date, max({K}) AS star_count,
+ max(CAST(trunc(value) AS INTEGER)) AS fork_count, max({K}) AS watcher_count,
+ max(length(event_type))::INTEGER AS open_issue_count, count(*) AS observation_count,
+ TIMESTAMP '2024-02-01 12:00:00' AS last_observed_at, 'SUCCESS' AS status FROM events GROUP BY 1"""
+)
+def whole_run(spark, sf_dir):
+    """Pages to raw files, landing, tables, gate and ledger; gives the fact and the run's status."""
+    house = full_run.Warehouse(scratch_dir(spark, "house"))
+    config = SourceConfig(
+        repos.SOURCE, "https://example.org", pagination_type="page", page_size=1, max_pages=10**9, records_json_path="items"
+    )
+    status = full_run.run(spark, house, "run-1", derived.repo_pages(spark, sf_dir), config, AS_OF, AS_OF)
+    return _plain(full_run.daily_facts(spark, house)).withColumn("status", F.lit(status))
+
+
 # --- CSV ---------------------------------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.operators import features as feats
-from recordmill.session import cut_lineage, shared_dir
+from recordmill.session import cut_lineage, shared_dir, spread
 
 MAX_CLASSES = 1_000
 
@@ -132,7 +132,7 @@ def train(
     classes = _classes(rows, target) if task_type == "classification" else []
     split = feats.stratified_split(rows, row_key, target) if classes else feats.hash_split(rows, row_key)
     split = cut_lineage(_labelled(split, target, classes))
-    train_rows, test_rows = split.where("is_train"), split.where("NOT is_train")
+    train_rows, test_rows = spread(split.where("is_train")), split.where("NOT is_train")
     stages = feats.preprocessing_stages(train_rows, numeric, categorical, "_features")
     model = Pipeline(stages=[*stages, _estimator(task_type, n_estimators, max_depth, len(classes))]).fit(train_rows)
     scored = model.transform(test_rows)

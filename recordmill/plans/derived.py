@@ -35,8 +35,8 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def repo_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as landed repository records; purchases belong to another source."""
+def repo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a repository record each, as JSON text in ``data``."""
     events = table(spark, sf_dir, "events").withColumn("k", k_of("props"))
     iso = F.date_format("ts", ISO)
     owner = F.struct(
@@ -66,12 +66,27 @@ def repo_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://example.org/"), name).alias("html_url"),
         licence.alias("license"),
     )
-    return events.select(
+    return events.withColumn("data", F.to_json(record, {"ignoreNullFields": "false"}))
+
+
+def repo_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as landed repository records; purchases belong to another source."""
+    return repo_records(spark, sf_dir).select(
         F.date_format("ts", "yyyy-MM-dd").alias("load_id"),
         F.when(F.col("event_type") == "purchase", "other").otherwise(repos.SOURCE).alias("source"),
         F.concat(F.lit("raw/"), "event_type").alias("file_path"),
         F.col("ts").alias("ingested_at"),
-        F.to_json(record, {"ignoreNullFields": "false"}).alias("data"),
+        "data",
+    )
+
+
+def repo_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a page with one repository record, a user's events as one run."""
+    return repo_records(spark, sf_dir).select(
+        F.lit(repos.SOURCE).alias("source"),
+        F.col("user_id").cast("string").alias("run_id"),
+        F.col("event_id").alias("page_no"),
+        F.concat(F.lit('{"items":['), "data", F.lit("]}")).alias("payload"),
     )
 
 

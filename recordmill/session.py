@@ -81,3 +81,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core, for work that passes over the rows many times."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill import schemas
-from recordmill.functions.variants import text_at
+from recordmill.functions.variants import text_at, truthy
 
 PARTITIONS = ["source", "ingest_date"]
 
@@ -58,7 +58,7 @@ def load_target(state: Column) -> tuple[Column, Column]:
     A stage result that is there decides alone; without one the top level is used.
     """
     payload = F.try_variant_get(state, "$['ingestResult']['Payload']", "variant")
-    nested = F.coalesce(F.try_variant_get(payload, "$", "string"), F.lit("{}")) != "{}"
+    nested = truthy(payload)
     source = F.when(nested, text_at(payload, "source")).otherwise(text_at(state, "source"))
     key = F.when(nested, text_at(payload, "s3Key")).otherwise(text_at(state, "s3Key"))
     return F.coalesce(source, F.lit("unknown")), key

@@ -56,7 +56,11 @@ def config_table(spark: SparkSession, configs: Iterable[SourceConfig]) -> DataFr
 
 
 def _with_stop_flag(pages: DataFrame) -> DataFrame:
-    """Parse each page and mark the ones after which its run asks for no more."""
+    """Parse each page and mark the ones after which its run asks for no more.
+
+    A source without paging ends at its first page whatever that holds, so its pages are
+    not parsed here.
+    """
     cursor = F.try_variant_get(
         "payload_v", F.concat(F.lit("$['"), F.col("cursor_field"), F.lit("']")), "variant"
     )
@@ -68,7 +72,7 @@ def _with_stop_flag(pages: DataFrame) -> DataFrame:
         | ((kind == "cursor") & ~truthy(cursor))
     )
     return (
-        pages.withColumn("payload_v", F.parse_json("payload"))
+        pages.withColumn("payload_v", F.when(kind != "none", F.parse_json("payload")))
         .withColumn("records", F.try_variant_get("payload_v", json_path_column(F.col("records_json_path")), "array<variant>"))
         .withColumn("n_records", F.when(F.col("records").isNotNull(), F.size("records")))
         .withColumn("is_last", F.coalesce(stop, F.lit(False)))
