@@ -362,12 +362,13 @@ def append_columns(spark, sf_dir):
     return tables.append_columns(old, new).fillna(-1.0)
 
 
-@query("SELECT props AS placeholder_column, event_type AS target FROM events WHERE false")
+@query("SELECT props AS placeholder_column, event_type AS target FROM events")
 def empty_relation(spark, sf_dir):
+    """The placeholder without rows, an always-false filter and the rows that replace both."""
     rows = table(spark, sf_dir, "events").select(
         F.col("props").alias("placeholder_column"), F.col("event_type").alias("target")
     )
-    return schemas.empty(spark, schemas.TRAINING_DATA).unionByName(rows.where(F.lit(False)))
+    return schemas.empty(spark, schemas.TRAINING_DATA).unionByName(rows.where(F.lit(False))).unionByName(rows)
 
 
 # --- checks ------------------------------------------------------------------------------

@@ -13,6 +13,7 @@ LANDING = T.StructType(
         T.StructField("data", T.VariantType(), False),
         T.StructField("source", T.StringType(), False),
         T.StructField("ingest_date", T.DateType(), False),
+        T.StructField("batch", T.StringType(), False),
     ]
 )
 
@@ -79,7 +80,7 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, partition
 def create_tables(spark: SparkSession) -> None:
     """The landing and predictions tables and the two placeholder relations."""
     create_namespaces(spark)
-    create_table(spark, "raw.landing", LANDING, ["source", "ingest_date"])
+    create_table(spark, "raw.landing", LANDING, ["source", "ingest_date", "batch"])
     create_table(spark, "marts.ml_predictions", PREDICTIONS, ["load_id"])
     create_table(spark, "marts.ml_inference_input", INFERENCE_INPUT)
     create_table(spark, "marts.ml_training_data", TRAINING_DATA)

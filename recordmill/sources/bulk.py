@@ -36,8 +36,8 @@ def land_changed(
 ) -> dict:
     """Land the files that are new or changed since the last call, then remember them.
 
-    A call repeated under the same load id after a failure leaves out the files that were
-    landed before it.
+    A call repeated under the same load id after a failure replaces what the first one
+    left behind.
     """
     listing = files.list_files(spark, folder, "*.csv")
     if tables.path_exists(spark, seen_dir):
@@ -48,11 +48,11 @@ def land_changed(
     if not paths:
         return {"status": "SKIPPED", "reason": "no new files", "source": source, "rowsLoaded": 0, "filesLoaded": 0}
     records = csv_records(spark, paths)
-    if tables.path_exists(spark, landing_dir):
-        records = records.join(_landed_before(spark, landing_dir, source, load_id, ingested_at), "file_path", "left_anti")
-    landing.append_landing(landing.to_landing(records, source, load_id, ingested_at), landing_dir)
+    landing.write_batch(landing.to_landing(records, source, load_id, ingested_at), landing_dir, load_id)
     spark.createDataFrame(found, SEEN).write.mode("append").parquet(seen_dir)
-    done = landing.load_summary(_this_load(spark, landing_dir, source, load_id, ingested_at)).first()
+    rows = landing.read_landing(spark, landing_dir)
+    mine = (F.col("source") == source) & (F.col("ingest_date") == F.lit(ingested_at.date())) & (F.col("batch") == load_id)
+    done = landing.load_summary(rows.where(mine)).first()
     return {
         "status": "LOADED" if done else "SKIPPED",
         "source": source,
@@ -60,13 +60,3 @@ def land_changed(
         "rowsLoaded": done.rows_loaded if done else 0,
         "filesLoaded": done.files_loaded if done else 0,
     }
-
-
-def _this_load(spark: SparkSession, landing_dir: str, source: str, load_id: str, at: datetime) -> DataFrame:
-    rows = landing.read_landing(spark, landing_dir)
-    in_folder = (F.col("source") == source) & (F.col("ingest_date") == F.lit(at.date()))
-    return rows.where(in_folder & (F.col("load_id") == load_id))
-
-
-def _landed_before(spark: SparkSession, landing_dir: str, source: str, load_id: str, at: datetime) -> DataFrame:
-    return _this_load(spark, landing_dir, source, load_id, at).select("file_path").distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,7 @@ def _first_lines(batches):
 
 
 def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The first line of each file: ``file_path, header``. One row per file leaves a task."""
+    """The first line of each file: ``file_path, header``; one text scan, one row per file."""
     lines = spark.read.text(paths).where(F.col("_metadata.file_block_start") == 0)
     return lines.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("header")).mapInPandas(
         _first_lines, "file_path string, header string"
@@ -50,19 +51,21 @@ def by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     return groups
 
 
-def read_training(spark: SparkSession, folder: str) -> DataFrame:
+def read_training(spark: SparkSession, folder: str, types: Mapping[str, str] | None = None) -> DataFrame:
     """Every ``*.csv`` file of a folder as one frame, stacked by column name.
 
     Files sharing a header line are read together, so there is one scan per distinct
-    header and not one per file. A column that is text in one of them is text in all.
+    header and not one per file. Without ``types`` they are inferred, at the price of one
+    more scan, and a column that is text in one file is text in all.
     """
     paths = files.paths_of(files.list_files(spark, folder, "*.csv"))
     if not paths:
         raise FileNotFoundError(f"no CSV files in {folder}")
-    frames = [
-        spark.read.option("header", "true").option("inferSchema", "true").csv(group)
-        for group in by_header(spark, paths).values()
-    ]
+    groups = by_header(spark, paths).values()
+    if types is not None:
+        texts = tables.append_columns(*[spark.read.option("header", "true").csv(group) for group in groups])
+        return texts.select(*[F.col(c).cast(types.get(c, "string")) for c in texts.columns])
+    frames = [spark.read.option("header", "true").option("inferSchema", "true").csv(group) for group in groups]
     text = {name for frame in frames for name, kind in frame.dtypes if kind == "string"}
     frames = [f.select(*[F.col(c).cast("string") if c in text else F.col(c) for c in f.columns]) for f in frames]
     return tables.append_columns(*frames)

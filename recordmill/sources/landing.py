@@ -1,4 +1,8 @@
-"""The landing table: one row per record, partitioned by source and day."""
+"""The landing table: one row per record, in folders by source, day and write.
+
+A write is named (``batch``) and replaces what an earlier try under its name left behind, so
+repeating it after a failure adds nothing twice.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 from recordmill import schemas
 from recordmill.functions.variants import text_at, truthy
 
-PARTITIONS = ["source", "ingest_date"]
+PARTITIONS = ["source", "ingest_date", "batch"]
 
 
 def to_landing(records: DataFrame, source: Column | str, load_id: str, ingested_at: datetime | Column) -> DataFrame:
@@ -25,10 +29,20 @@ def to_landing(records: DataFrame, source: Column | str, load_id: str, ingested_
     ).withColumn("ingest_date", F.to_date("ingested_at"))
 
 
-def append_landing(landing: DataFrame, path: str) -> None:
-    """Append rows; a source or day holding most of them is split over several files."""
-    ordered = landing.select([f.name for f in schemas.LANDING])
-    ordered.hint("rebalance", *PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+def write_batch(landing: DataFrame, path: str, batch: str) -> None:
+    """Add rows under the name of their write; the same name again replaces them.
+
+    A source or day holding most of the rows is split over several files, small ones are
+    put together.
+    """
+    named = landing.withColumn("batch", F.lit(batch)).select([f.name for f in schemas.LANDING])
+    (
+        named.hint("rebalance", "source", "ingest_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS)
+        .parquet(path)
+    )
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:

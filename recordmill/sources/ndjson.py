@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.functions.texts import content_hash
+from recordmill.sources import tables
 
 # The layout of a raw file's path.
 RAW_PATH = r"raw/([^/]+)/(\d{4})/(\d{2})/(\d{2})/"
@@ -97,6 +98,7 @@ def write_raw(records: DataFrame, base: str, source: str, written_at: datetime,
     """Write records under their dated key and return the summary; no records, no file.
 
     The key is a folder holding one part per task, so a large drop is written in parallel.
+    A folder already complete under the same key has the same content and is left alone.
     """
     lines = record_lines(records)
     found = lines.agg(*digest(F.col("line"))).first()
@@ -104,7 +106,9 @@ def write_raw(records: DataFrame, base: str, source: str, written_at: datetime,
     if found.record_count == 0:
         return summary
     key = raw_key(source, written_at, found.content_hash, run_id)
-    lines.write.text(f"{base.rstrip('/')}/{key}")
+    folder = f"{base.rstrip('/')}/{key}"
+    if not tables.path_exists(records.sparkSession, f"{folder}/_SUCCESS"):
+        lines.write.mode("overwrite").text(folder)
     return {**summary, "s3Key": key, "contentHash": found.content_hash}
 
 

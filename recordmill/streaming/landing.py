@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from recordmill.sources import landing, ndjson
 
 
 def raw_file_stream(spark: SparkSession, raw_dir: str, files_per_trigger: int = 1_000) -> DataFrame:
-    """Parsed records of every raw file as a stream: ``file_path, line, data``."""
+    """Parsed records of every raw file as a stream: ``file_path, file_time, line, data``."""
     lines = (
         spark.readStream.option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_trigger)
@@ -30,20 +31,25 @@ def land_new_files(
     source: Column | None = None,
     files_per_trigger: int = 1_000,
 ) -> None:
-    """Append the records of files not landed before, then return.
+    """Add the records of files not landed before, then return.
 
-    The checkpoint remembers the files and the sink's log the batches, so a rerun or a
-    retry after a failure adds nothing twice. A bad line fails the batch as a whole.
+    The checkpoint remembers the files of each batch before it is written and a batch is
+    written under its own name, so one that failed half-way is replaced by its next try,
+    under whatever load id that runs. A bad line fails the batch as a whole.
     """
     records = raw_file_stream(spark, raw_dir, files_per_trigger)
     wanted = source if source is not None else ndjson.source_of(F.col("file_path"))
     at = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
     rows = landing.to_landing(records, wanted, load_id, at)
+    stream = hashlib.sha256(checkpoint_dir.encode()).hexdigest()[:8]
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        landing.write_batch(batch, landing_dir, f"{stream}-{batch_id:09d}")
+
     query = (
-        rows.writeStream.format("parquet")
-        .partitionBy(*landing.PARTITIONS)
+        rows.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
-        .start(landing_dir)
+        .start()
     )
     query.awaitTermination()

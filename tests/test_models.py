@@ -140,6 +140,8 @@ def test_training_files(spark, scratch):
     spark.createDataFrame([(5, "y")], "a int, b string").write.option("header", "true").csv(f"{scratch}/t/3")
     got = {tuple(r) for r in csv.read_training(spark, f"{scratch}/t").select("a", "b", "c").collect()}
     assert got == {(1, "2.5", None), (7, None, "x"), (5, "y", None)}
+    typed = csv.read_training(spark, f"{scratch}/t", {"a": "bigint"})
+    assert dict(typed.dtypes) == {"a": "bigint", "b": "string", "c": "string"} and typed.count() == 3
 
 
 @pytest.mark.parametrize("kind", ["text/csv", "application/json"])

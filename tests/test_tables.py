@@ -132,7 +132,7 @@ def test_upsert_appends_columns(spark, scratch):
 
 def test_high_water_prunes_landing_folders(spark, scratch):
     rows = spark.range(2).select(F.lit("f").alias("file_path"), F.parse_json(F.lit("{}")).alias("data"))
-    landing.append_landing(landing.to_landing(rows, "s", "l", AT), f"{scratch}/landing")
+    landing.write_batch(landing.to_landing(rows, "s", "l", AT), f"{scratch}/landing", "b")
     fact = spark.createDataFrame([(D10,)], "metric_date date")
     recent = facts.since_high_water(landing.read_landing(spark, f"{scratch}/landing"), "ingest_date", fact)
     plan = recent._jdf.queryExecution().executedPlan().toString()
@@ -206,7 +206,7 @@ def test_materializations(spark, scratch):
 
 def test_staging_reads_only_the_fields_it_needs(spark, scratch):
     rows = landed(spark, repos.SOURCE, (REPO, AT), ({**REPO, "id": 8, "license": {"spdx_id": "MIT"}, "size": "6"}, AT))
-    landing.append_landing(rows.withColumn("ingest_date", F.to_date("ingested_at")), scratch)
+    landing.write_batch(rows.withColumn("ingest_date", F.to_date("ingested_at")), scratch, "b")
     stored = landing.read_landing(spark, scratch)
     plan = repos.daily_repo_metrics(stored)._jdf.queryExecution().executedPlan().toString()
     schema = plan[plan.index("ReadSchema") :].split("\n")[0]
@@ -220,7 +220,7 @@ def test_stored_decimals_keep_their_digits(spark, scratch):
     values = spark.createDataFrame([(n,) for n in numbers], "n string")
     record = F.parse_json(F.concat(F.lit('{"id":"'), "n", F.lit('","current_price":'), "n", F.lit(',"market_cap":'), "n", F.lit("}")))
     rows = df.drop("data").crossJoin(values).withColumn("data", record).withColumn("ingest_date", F.to_date("ingested_at"))
-    landing.append_landing(rows, scratch)
+    landing.write_batch(rows, scratch, "b")
     got = {r.coin_id: (r.current_price_usd, r.market_cap_usd) for r in markets.staged(landing.read_landing(spark, scratch)).collect()}
     assert got["12345678901234567890.12345678"][0] == Decimal("12345678901234567890.12345678")
     assert got["1.005"] == (Decimal("1.005"), Decimal("1.01")) and got["1e-7"][0] == Decimal("0.0000001")
