@@ -22,6 +22,7 @@ from recordmill.plans.derived import k_of, observations, table  # noqa: E402
 from recordmill.session import configure, scratch_dir  # noqa: E402
 from recordmill.sources import csv, files, landing, ndjson, tables  # noqa: E402
 from recordmill.sources.pages import SourceConfig, flatten_pages  # noqa: E402
+from recordmill.streaming.facts import stream_metric, upsert_from_stream  # noqa: E402
 from recordmill.streaming.landing import land_new_files  # noqa: E402
 
 AS_OF = datetime(2024, 2, 1, 12, 0, 0)
@@ -371,6 +372,28 @@ def empty_relation(spark, sf_dir):
     return schemas.empty(spark, schemas.TRAINING_DATA).unionByName(rows.where(F.lit(False))).unionByName(rows)
 
 
+@query(
+    OBS
+    + """SELECT user_id, strftime(ingested_at,'%Y-%m-%d') AS metric_date, max(value) AS value, count(*) AS observation_count,
+ max(ingested_at) AS last_observed_at FROM obs GROUP BY 1,2"""
+)
+def stream_daily_metrics(spark, sf_dir):
+    """The daily fact kept by a stream over two drops of files, the second one starting mid-day."""
+    base = scratch_dir(spark, "staged")
+    rows = observations(spark, sf_dir).select("user_id", "value", "ingested_at")
+    for part in (F.col("ingested_at") < F.lit(CUTOFF), F.col("ingested_at") >= F.lit(CUTOFF)):
+        rows.where(part).write.mode("append").parquet(f"{base}/in")
+        upsert_from_stream(
+            spark.readStream.schema(rows.schema).parquet(f"{base}/in"),
+            lambda session: session.read.schema(rows.schema).parquet(f"{base}/in"),
+            f"{base}/fact",
+            f"{base}/checkpoint",
+            "user_id",
+            ["value"],
+        )
+    return _plain(facts.read_fact(spark, f"{base}/fact"))
+
+
 # --- checks ------------------------------------------------------------------------------
 
 
@@ -629,6 +652,45 @@ def alarms(spark, sf_dir):
     return run_metrics.alarms(_ledger(spark, sf_dir), max_p95=250.0)
 
 
+def _ledger_stream(spark, sf_dir):
+    """The events file as a stream of finished runs."""
+    schema = table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return events.select(
+        F.col("ts").cast("timestamp").alias("ended_at"),
+        F.when(F.col("event_type") == "error", "FAILURE").otherwise("SUCCESS").alias("status"),
+        F.col("event_type").alias("source"),
+        k_of("props").cast("bigint").alias("rows_ingested"),
+    )
+
+
+def _streamed(spark, sf_dir, metric):
+    base = scratch_dir(spark, "windows")
+    stream_metric(_ledger_stream(spark, sf_dir), metric, f"{base}/out", f"{base}/checkpoint")
+    return _plain(spark.read.parquet(f"{base}/out"))
+
+
+# A stream gives the windows its watermark has closed: those ending a day before the newest run.
+_CLOSED = "window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"
+
+
+@query(
+    f"""SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+ CASE WHEN event_type='error' THEN 'FAILURE' ELSE 'SUCCESS' END AS status, count(*) AS executions
+ FROM events GROUP BY 1,2) WHERE {_CLOSED}"""
+)
+def stream_exec_5m(spark, sf_dir):
+    return _streamed(spark, sf_dir, run_metrics.executions)
+
+
+@query(
+    f"""SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type AS source,
+ sum({K})::BIGINT AS rows_ingested FROM events GROUP BY 1,2) WHERE {_CLOSED}"""
+)
+def stream_rows_by_source_5m(spark, sf_dir):
+    return _streamed(spark, sf_dir, run_metrics.rows_by_source)
+
+
 # --- models ------------------------------------------------------------------------------
 
 
