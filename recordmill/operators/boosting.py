@@ -98,7 +98,9 @@ def _estimator(task_type: str, n_estimators: int, max_depth: int, n_classes: int
     if n_classes == 2:
         return GBTClassifier(predictionCol="_predicted", **settings)
     each = GBTClassifier(predictionCol="_predicted", **settings)
-    return OneVsRest(classifier=each, featuresCol="_features", labelCol="_label", predictionCol="_predicted")
+    return OneVsRest(
+        classifier=each, featuresCol="_features", labelCol="_label", predictionCol="_predicted", parallelism=4
+    )
 
 
 def _labelled(df: DataFrame, target: str, classes: Sequence[str]) -> DataFrame:
@@ -120,7 +122,8 @@ def train(
     """Fit preprocessing and boosting on 80 % of the rows and measure on the rest.
 
     ``row_key`` decides the split and is not a feature. A classifier's split is exact per
-    class. Rows without a target are an error of the input and are not trained on.
+    class; with more than two classes one model is fitted per class. Rows without a target
+    are left out.
     """
     if task_type not in ("classification", "regression"):
         raise ValueError(f"task_type must be 'classification' or 'regression', got {task_type}")

@@ -120,7 +120,8 @@ def broken_rules(df: DataFrame, wanted: Rules) -> list[str]:
     """Names of the rules the table breaks."""
     broken = []
     if wanted.rows:
-        found = df.agg(*[F.bool_or(c).alias(str(i)) for i, c in enumerate(wanted.rows.values())]).first()
+        marks = df.select(*[c.alias(f"_{i}") for i, c in enumerate(wanted.rows.values())])
+        found = marks.agg(*[F.bool_or(c) for c in marks.columns]).first()
         broken = [name for i, name in enumerate(wanted.rows) if found[i]]
     return broken + [name for name, violations in wanted.sets.items() if not violations(df).isEmpty()]
 

@@ -30,7 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("recordmill")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**SETTINGS, **extra}.items():

@@ -24,7 +24,7 @@ def csv_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     frames = [
         spark.read.option("header", "true").csv(group).select(
             F.col("_metadata.file_path").alias("file_path"),
-            F.parse_json(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).alias("data"),
+            F.to_variant_object(F.struct("*")).alias("data"),
         )
         for group in csv.by_header(spark, paths).values()
     ]

@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordmill import schemas
 from recordmill.functions.variants import text_at, truthy
@@ -33,9 +34,9 @@ def write_batch(landing: DataFrame, path: str, batch: str) -> None:
     """Add rows under the name of their write; the same name again replaces them.
 
     A source or day holding most of the rows is split over several files, small ones are
-    put together.
+    put together. A NULL in a column that must be set fails the write.
     """
-    named = landing.withColumn("batch", F.lit(batch)).select([f.name for f in schemas.LANDING])
+    named = landing.withColumn("batch", F.lit(batch)).select(*[_required(f) for f in schemas.LANDING])
     (
         named.hint("rebalance", "source", "ingest_date")
         .write.mode("overwrite")
@@ -45,6 +46,11 @@ def write_batch(landing: DataFrame, path: str, batch: str) -> None:
     )
 
 
+def _required(field: T.StructField) -> Column:
+    complaint = F.raise_error(F.lit(f"NULL in landing column {field.name}")).cast(field.dataType)
+    return F.coalesce(F.col(field.name), complaint).alias(field.name)
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """The landing table under a fixed schema, so partition values are not guessed."""
     return spark.read.schema(schemas.LANDING).parquet(path)

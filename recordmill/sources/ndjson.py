@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,16 +100,21 @@ def write_raw(records: DataFrame, base: str, source: str, written_at: datetime,
 
     The key is a folder holding one part per task, so a large drop is written in parallel.
     A folder already complete under the same key has the same content and is left alone.
+    The key holds the fingerprint, so the lines are passed over twice; they are kept on the
+    executors in between.
     """
-    lines = record_lines(records)
-    found = lines.agg(*digest(F.col("line"))).first()
-    summary = {"source": source, "recordCount": found.record_count, "s3Key": None}
-    if found.record_count == 0:
-        return summary
-    key = raw_key(source, written_at, found.content_hash, run_id)
-    folder = f"{base.rstrip('/')}/{key}"
-    if not tables.path_exists(records.sparkSession, f"{folder}/_SUCCESS"):
-        lines.write.mode("overwrite").text(folder)
+    lines = record_lines(records).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        found = lines.agg(*digest(F.col("line"))).first()
+        summary = {"source": source, "recordCount": found.record_count, "s3Key": None}
+        if found.record_count == 0:
+            return summary
+        key = raw_key(source, written_at, found.content_hash, run_id)
+        folder = f"{base.rstrip('/')}/{key}"
+        if not tables.path_exists(records.sparkSession, f"{folder}/_SUCCESS"):
+            lines.write.mode("overwrite").text(folder)
+    finally:
+        lines.unpersist()
     return {**summary, "s3Key": key, "contentHash": found.content_hash}
 
 

@@ -19,7 +19,10 @@ AUTH_TYPES = ["none", "bearer", "api_key", "basic"]
 
 @dataclass(frozen=True)
 class SourceConfig:
-    """How one source answers: where its records sit and how its pages end."""
+    """How one source answers: where its records sit and how its pages end.
+
+    Fixed values: the names of the settings and their defaults.
+    """
 
     source_name: str
     base_url: str

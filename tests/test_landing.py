@@ -80,6 +80,14 @@ def test_write_read_and_prune_by_source(spark, scratch):
     assert summary == {"s": ("l1", 42, 1), "t": ("l2", 3, 1)}
 
 
+def test_null_in_a_required_column_fails_the_write(spark, scratch):
+    rows = landing.to_landing(records(spark, 2), "s", "l1", AT)
+    for column in ("data", "load_id", "source", "ingested_at"):
+        with pytest.raises(Exception, match=f"NULL in landing column {column}"):
+            empty = F.lit(None).cast(dict(rows.dtypes)[column])
+            landing.write_batch(rows.withColumn(column, empty), scratch, "b")
+
+
 def test_load_report(spark):
     rows = landing.to_landing(records(spark, 2), "s", "l1", AT)
     targets = spark.createDataFrame(

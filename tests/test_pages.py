@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,41 @@ def test_first_request(spark):
     assert next_request(config(pagination_type="offset"), {"limit": 7}) == {"offset": 0, "limit": 7}
     df = spark.range(1, 4).select(page_key(config(pagination_type="offset"), F.col("id")).alias("k"))
     assert [r.k for r in df.collect()] == [0, 100, 200]
+
+
+def walk(payloads, cfg):
+    """The records a reader asking for one page after the other would see."""
+    seen = []
+    for n, payload in enumerate(payloads, 1):
+        records = payload["data"]
+        seen += [r["id"] for r in records]
+        full = cfg.pagination_type not in ("page", "offset") or len(records) >= cfg.page_size
+        more = cfg.pagination_type != "cursor" or payload.get("next_cursor")
+        if n == cfg.max_pages or cfg.pagination_type == "none" or not records or not full or not more:
+            break
+    return seen
+
+
+@pytest.mark.parametrize("kind", ["none", "page", "offset", "cursor"])
+def test_random_runs_match_a_page_by_page_reader(spark, kind):
+    rng = random.Random(kind)
+    cfg = config(pagination_type=kind, page_size=3, max_pages=6)
+    rows, want = [], {}
+    for run in range(60):
+        length = 400 if run == 0 else rng.randint(1, 10)  # one run holds most of the pages
+        sizes = [3] * length if run == 0 else [rng.choice([3, 3, 3, 3, 4, 2, 0]) for _ in range(length)]
+        group = []
+        for n, size in enumerate(sizes):
+            payload = page(*[run * 10_000 + n * 10 + i for i in range(size)])
+            if rng.random() < 0.9:
+                payload["next_cursor"] = rng.choice(["a", "0", 7, True, "b", None] if run else ["a"])
+            group.append(payload)
+        want[str(run)] = walk(group, cfg)
+        rows += [("s", str(run), n, json.dumps(p)) for n, p in enumerate(group)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "source string, run_id string, page_no long, payload string").repartition(5)
+    got = {run: [] for run in want}
+    picked = flatten_pages(df, [cfg]).select("run_id", "page_no", "position", F.variant_get("data", "$.id", "int").alias("id"))
+    for r in sorted(picked.collect(), key=lambda r: (r.page_no, r.position)):
+        got[r.run_id].append(r.id)
+    assert got == want

@@ -225,3 +225,24 @@ def test_stored_decimals_keep_their_digits(spark, scratch):
     assert got["12345678901234567890.12345678"][0] == Decimal("12345678901234567890.12345678")
     assert got["1.005"] == (Decimal("1.005"), Decimal("1.01")) and got["1e-7"][0] == Decimal("0.0000001")
     assert got["-3"] == (Decimal(-3), Decimal(-3))
+
+
+def test_random_upserts_match_a_dictionary(spark, scratch):
+    import random
+    from datetime import timedelta
+
+    rng = random.Random(3)
+    rows, fact = [], {}
+    for step in range(4):
+        rows += [
+            (rng.choice([1, 1, 1, 2, 3]), rng.randint(0, 99), datetime(2024, 1, 1) + timedelta(days=step, hours=rng.randint(-40, 40)))
+            for _ in range(30)
+        ]
+        mark = max((day for _, day in fact), default=date(1900, 1, 1))
+        fresh = {}
+        for key, stars, at in rows:
+            if at.date() >= mark:
+                fresh.setdefault((key, at.date()), []).append(stars)
+        fact |= {k: (max(v), len(v)) for k, v in fresh.items()}
+        got = merge(spark, scratch, staged(spark, *rows))
+        assert got == sorted((k, d, stars, n) for (k, d), (stars, n) in fact.items())
