@@ -64,19 +64,18 @@ def _with_stop_flag(pages: DataFrame) -> DataFrame:
     A source without paging ends at its first page whatever that holds, so its pages are
     not parsed here.
     """
-    cursor = F.try_variant_get(
-        "payload_v", F.concat(F.lit("$['"), F.col("cursor_field"), F.lit("']")), "variant"
-    )
     kind = F.col("pagination_type")
+    cursor_path = F.concat(F.lit("$['"), F.col("cursor_field"), F.lit("']"))
     stop = (
         (kind == "none")
         | (F.col("n_records") == 0)
         | (kind.isin("page", "offset") & (F.col("n_records") < F.col("page_size")))
-        | ((kind == "cursor") & ~truthy(cursor))
+        | ((kind == "cursor") & ~truthy(F.col("cursor")))
     )
     return (
         pages.withColumn("payload_v", F.when(kind != "none", F.parse_json("payload")))
         .withColumn("records", F.try_variant_get("payload_v", json_path_column(F.col("records_json_path")), "array<variant>"))
+        .withColumn("cursor", F.when(kind == "cursor", F.try_variant_get("payload_v", cursor_path, "variant")))
         .withColumn("n_records", F.when(F.col("records").isNotNull(), F.size("records")))
         .withColumn("is_last", F.coalesce(stop, F.lit(False)))
     )
