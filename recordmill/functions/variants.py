@@ -8,17 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def json_path(dotted: str) -> str:
-    """``'a.b'`` as a VARIANT path; the empty string is the whole value."""
+def json_path(dotted: str, nested: bool = True) -> str:
+    """``'a.b'`` as a VARIANT path; the empty string is the whole value.
+
+    With ``nested=False`` the text is one key, dots included.
+    """
     if "'" in dotted:
         raise ValueError(f"quote in JSON path: {dotted!r}")
-    return "$" + "".join(f"['{key}']" for key in dotted.split(".") if dotted)
-
-
-def json_path_column(dotted: Column) -> Column:
-    """:func:`json_path` for a path held in a column (one per source)."""
-    keyed = F.concat(F.lit("$['"), F.replace(dotted, F.lit("."), F.lit("']['")), F.lit("']"))
-    return F.when(F.coalesce(dotted, F.lit("")) == "", F.lit("$")).otherwise(keyed)
+    keys = dotted.split(".") if nested else [dotted]
+    return "$" + "".join(f"['{key}']" for key in keys if key)
 
 
 def resolve(payload: Column, dotted: str) -> Column:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from dataclasses import asdict, dataclass, fields
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, fields
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from recordmill.functions.variants import json_path_column, truthy
+from recordmill.functions.variants import json_path, truthy
 
 # The accepted settings of a source.
 PAGINATION_TYPES = ["none", "page", "offset", "cursor"]
@@ -53,9 +53,26 @@ class SourceConfig:
         return cls(**known)
 
 
-def config_table(spark: SparkSession, configs: Iterable[SourceConfig]) -> DataFrame:
-    """One row per source: the settings :func:`flatten_pages` joins to the pages."""
-    return spark.createDataFrame([asdict(c) for c in configs])
+def _with_settings(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
+    """Pages of the known sources with their source's settings, which travel as literals."""
+    entries: list[Column] = []
+    for c in configs:
+        settings = {
+            "kind": c.pagination_type,
+            "page_size": c.page_size,
+            "max_pages": c.max_pages,
+            "cursor_path": json_path(c.cursor_field, nested=False),
+            "records_path": json_path(c.records_json_path),
+            "records_name": c.records_json_path,
+        }
+        entries += [F.lit(c.source_name), F.struct(*[F.lit(v).alias(k) for k, v in settings.items()])]
+    known = pages.where(F.col("source").isin([c.source_name for c in configs]))
+    return known.withColumn("_s", F.element_at(F.create_map(*entries), F.col("source")))
+
+
+def _records(payload: Column) -> Column:
+    """The array at the source's records path, NULL when there is none."""
+    return F.try_variant_get(payload, F.col("_s.records_path"), "array<variant>")
 
 
 def _with_stop_flag(pages: DataFrame) -> DataFrame:
@@ -64,37 +81,36 @@ def _with_stop_flag(pages: DataFrame) -> DataFrame:
     A source without paging ends at its first page whatever that holds, so its pages are
     not parsed here.
     """
-    kind = F.col("pagination_type")
-    cursor_path = F.concat(F.lit("$['"), F.col("cursor_field"), F.lit("']"))
+    kind = F.col("_s.kind")
     stop = (
         (kind == "none")
         | (F.col("n_records") == 0)
-        | (kind.isin("page", "offset") & (F.col("n_records") < F.col("page_size")))
+        | (kind.isin("page", "offset") & (F.col("n_records") < F.col("_s.page_size")))
         | ((kind == "cursor") & ~truthy(F.col("cursor")))
     )
     return (
         pages.withColumn("payload_v", F.when(kind != "none", F.parse_json("payload")))
-        .withColumn("records", F.try_variant_get("payload_v", json_path_column(F.col("records_json_path")), "array<variant>"))
-        .withColumn("cursor", F.when(kind == "cursor", F.try_variant_get("payload_v", cursor_path, "variant")))
+        .withColumn("records", _records(F.col("payload_v")))
+        .withColumn("cursor", F.when(kind == "cursor", F.try_variant_get("payload_v", F.col("_s.cursor_path"), "variant")))
         .withColumn("n_records", F.when(F.col("records").isNotNull(), F.size("records")))
         .withColumn("is_last", F.coalesce(stop, F.lit(False)))
     )
 
 
-def kept_pages(pages: DataFrame, configs: DataFrame, max_pages: int) -> DataFrame:
+def kept_pages(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
     """The pages a reader following the stop rules would have asked for.
 
     Returns ``source, run_id, page_no``. Only narrow rows are ranked, and as no run keeps
     more than the largest ``max_pages``, each task passes on at most that many rows of a
     run, however many pages the run holds.
     """
-    flagged = _with_stop_flag(pages.join(F.broadcast(configs), "source")).select(
-        "source", "run_id", "page_no", "max_pages", "is_last"
+    flagged = _with_stop_flag(_with_settings(pages, configs)).select(
+        "source", "run_id", "page_no", F.col("_s.max_pages").alias("max_pages"), "is_last"
     )
     in_run = Window.partitionBy("source", "run_id")
     ranked = (
         flagged.withColumn("page_rank", F.row_number().over(in_run.orderBy("page_no")))
-        .where(F.col("page_rank") <= max_pages)
+        .where(F.col("page_rank") <= max(c.max_pages for c in configs))
         .withColumn("last_rank", F.min(F.when(F.col("is_last"), F.col("page_rank"))).over(in_run))
     )
     return ranked.where(F.col("page_rank") <= F.least("last_rank", "max_pages")).select("source", "run_id", "page_no")
@@ -108,21 +124,9 @@ def flatten_pages(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFram
     ever broadcast the narrow list of kept pages, never the payloads.
     """
     configs = list(configs)
-    table = (
-        config_table(pages.sparkSession, configs)
-        .withColumnRenamed("source_name", "source")
-        .select("source", "pagination_type", "page_size", "max_pages", "cursor_field", "records_json_path")
-    )
-    kept = kept_pages(pages, table, max(c.max_pages for c in configs))
-    found = (
-        pages.join(kept, ["source", "run_id", "page_no"], "left_semi")
-        .join(F.broadcast(table.select("source", "records_json_path")), "source")
-        .withColumn(
-            "records",
-            F.try_variant_get(F.parse_json("payload"), json_path_column(F.col("records_json_path")), "array<variant>"),
-        )
-    )
-    complaint = F.concat(F.lit("Expected list at '"), F.col("records_json_path"), F.lit("'"))
+    kept = pages.join(kept_pages(pages, configs), ["source", "run_id", "page_no"], "left_semi")
+    found = _with_settings(kept, configs).withColumn("records", _records(F.parse_json("payload")))
+    complaint = F.concat(F.lit("Expected list at '"), F.col("_s.records_name"), F.lit("'"))
     records = F.coalesce(F.col("records"), F.raise_error(complaint).cast("array<variant>"))
     return found.select("source", "run_id", "page_no", F.posexplode(records).alias("position", "data"))
 
