@@ -2,11 +2,12 @@
 
 ``percentile()`` keeps every distinct value of a group in one buffer. Here the groups are
 counted first. Those up to ``SMALL_GROUP`` rows are sorted whole, a bounded amount each.
-For the larger ones a mergeable sketch of fixed size brackets the wanted rank; a further
-scan counts what lies below the bracket and keeps the few distinct values inside it. All
-scans aggregate before they shuffle, so a group holding most of the rows is spread over
-all tasks. The bracket only decides how much is kept: a group whose rank falls outside it
-is run again with a finer sketch, so the result is always exact.
+For the larger ones a mergeable sketch of fixed size gives a bracket of values around the
+wanted ranks, narrowed again until it is expected to hold no more than ``SMALL_GROUP``
+rows; a last scan counts what lies below the bracket and sorts the distinct values in it.
+All scans aggregate before they shuffle, so a group holding most of the rows is spread
+over all tasks. The sketch only decides where the bracket lies: a group whose ranks fall
+outside it is run again with a finer sketch, so the result is always exact.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ SMALL_GROUP = 100_000
 BROADCAST_GROUPS = 50_000
 JOIN_SALTS = 32
 SKETCH_ACCURACY = 10_000
+# The sketch is asked for this many evenly spaced points; a bracket spans about three of
+# them, so each narrowing leaves some three thousandths of the rows.
+GRID = 1_000
+MAX_NARROWINGS = 10
 
 Ranks = Callable[[Column], tuple[Column, Column]]
 
@@ -36,9 +41,11 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
     return condition
 
 
-def _join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], n_groups: int, how: str = "inner") -> DataFrame:
+def _join_groups(
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], n_groups: int, how: str = "inner", keep: bool = False
+) -> DataFrame:
     """Attach the per-group row to every row; ``groups`` holds the keys as ``_g_<key>``."""
-    drop = [f"_g_{k}" for k in keys]
+    drop = [] if keep else [f"_g_{k}" for k in keys]
     if n_groups <= BROADCAST_GROUPS:
         return rows.join(F.broadcast(groups), _same_keys(rows, groups, keys), how).drop(*drop)
     salted = rows.withColumn("_salt", F.spark_partition_id() % JOIN_SALTS)
@@ -51,12 +58,12 @@ def _as_group_keys(keys: Sequence[str]) -> list[Column]:
     return [F.col(k).alias(f"_g_{k}") for k in keys]
 
 
-def select_ranks(df: DataFrame, keys: Sequence[str], value: Column, near: float, ranks: Ranks) -> DataFrame:
+def select_ranks(df: DataFrame, keys: Sequence[str], value: Column, ranks: Ranks) -> DataFrame:
     """Per group, the values at two zero-based ranks: columns ``keys, n, low, high``.
 
-    ``near`` says where in ``[0, 1]`` the ranks lie; ``ranks(n)`` gives them for a group
-    of ``n`` non-NULL values. Equal values hold one rank each. A negative rank gives NULL.
-    ``keys`` names at least one column; for one group over all rows pass a constant column.
+    ``ranks(n)`` gives the ranks, the lower one first, for a group of ``n`` non-NULL values.
+    Equal values hold one rank each. A negative rank gives NULL. ``keys`` names at least
+    one column; for one group over all rows pass a constant column.
     """
     rows = df.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     sizes = rows.groupBy(*_as_group_keys(keys)).agg(F.count(F.lit(1)).alias("n"))
@@ -67,10 +74,10 @@ def select_ranks(df: DataFrame, keys: Sequence[str], value: Column, near: float,
     if n_large == 0:
         return _sorted_ranks(rows, keys, ranks)
     if n_large == seen.get["groups"]:
-        return _bracketed_ranks(rows, keys, near, ranks)
+        return _bracketed_ranks(rows, keys, ranks)
     small_rows = _join_groups(rows, large, keys, n_large, "left_anti")
     large_rows = _join_groups(rows, large, keys, n_large, "left_semi")
-    return _sorted_ranks(small_rows, keys, ranks).unionByName(_bracketed_ranks(large_rows, keys, near, ranks))
+    return _sorted_ranks(small_rows, keys, ranks).unionByName(_bracketed_ranks(large_rows, keys, ranks))
 
 
 def _sorted_ranks(rows: DataFrame, keys: Sequence[str], ranks: Ranks) -> DataFrame:
@@ -84,30 +91,65 @@ def _sorted_ranks(rows: DataFrame, keys: Sequence[str], ranks: Ranks) -> DataFra
     return arrays.select(*keys, "n", at(first).alias("low"), at(second).alias("high"))
 
 
-def _bracketed_ranks(
-    rows: DataFrame, keys: Sequence[str], near: float, ranks: Ranks, accuracy: int = SKETCH_ACCURACY
-) -> DataFrame:
-    """Ranks of groups of any size, by sketch and bracket."""
-    margin = 3.0 / accuracy
-    points = [max(0.0, near - margin), min(1.0, near + margin)]
-    groups = cut_lineage(
-        rows.groupBy(*_as_group_keys(keys)).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("_v", points, accuracy).alias("_b"),
-            F.min("_v").alias("_min"),
-            F.max("_v").alias("_max"),
-        )
-    )
-    exact = F.col("n") <= accuracy  # the sketch cannot be made finer: keep the group whole
-    brackets = groups.select(
-        *[f"_g_{k}" for k in keys],
-        "n",
-        F.when(exact, F.col("_min")).otherwise(F.col("_b")[0]).alias("_from"),
-        F.when(exact, F.col("_max")).otherwise(F.col("_b")[1]).alias("_to"),
+def _grid_points(value: Column, accuracy: int) -> Column:
+    return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], accuracy)
+
+
+def _narrowed(ranks: Ranks, below: Column, inside: Column) -> list[Column]:
+    """Bracket and expected rows in it, from the grid over ``inside`` rows after ``below``."""
+    first, second = [F.greatest(rank, F.lit(0)) - below for rank in ranks(F.col("n"))]
+    low = F.greatest(F.floor(F.try_divide(first, inside) * GRID) - 1, F.lit(0)).cast("int")
+    high = F.least(F.ceil(F.try_divide(second, inside) * GRID) + 1, F.lit(GRID)).cast("int")
+    return [
+        F.get("_grid", low).alias("_from"),
+        F.get("_grid", high).alias("_to"),
+        (inside * (high - low) / GRID).alias("_expected"),
+    ]
+
+
+def _brackets(rows: DataFrame, keys: Sequence[str], ranks: Ranks, accuracy: int) -> tuple[DataFrame, int]:
+    """Per group a range of values around its ranks, and the number of groups."""
+    names = [f"_g_{k}" for k in keys]
+    sketch = rows.groupBy(*_as_group_keys(keys)).agg(
+        F.count(F.lit(1)).alias("n"), _grid_points(F.col("_v"), accuracy).alias("_grid")
     )
+    found = cut_lineage(sketch.select(*names, "n", *_narrowed(ranks, F.lit(0), F.col("n"))))
+    n_groups = found.count()
+    first, second = ranks(F.col("n"))
+    for _ in range(MAX_NARROWINGS):
+        if found.where((F.col("_expected") > SMALL_GROUP) & (F.col("_from") < F.col("_to"))).isEmpty():
+            break
+        inside = F.col("_v").between(F.col("_from"), F.col("_to"))
+        counts = (
+            _join_groups(rows, found, keys, n_groups, keep=True)
+            .groupBy(*names, "n", F.col("_from").alias("_was_from"), F.col("_to").alias("_was_to"))
+            .agg(
+                F.count_if(F.col("_v") < F.col("_from")).alias("_below"),
+                F.count_if(inside).alias("_inside"),
+                _grid_points(F.when(inside, F.col("_v")), accuracy).alias("_grid"),
+            )
+        )
+        # A bracket that misses its ranks is left as it is, for the last scan to find out.
+        holds = (F.greatest(first, F.lit(0)) >= F.col("_below")) & (second < F.col("_below") + F.col("_inside"))
+        low, high, expected = _narrowed(ranks, F.col("_below"), F.col("_inside"))
+        found = cut_lineage(
+            counts.select(
+                *names,
+                "n",
+                F.when(holds, low).otherwise(F.col("_was_from")).alias("_from"),
+                F.when(holds, high).otherwise(F.col("_was_to")).alias("_to"),
+                F.when(holds, expected).otherwise(0.0).alias("_expected"),
+            )
+        )
+    return found.drop("_expected"), n_groups
+
+
+def _bracketed_ranks(rows: DataFrame, keys: Sequence[str], ranks: Ranks, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Ranks of groups of any size, by sketch and bracket."""
+    brackets, n_groups = _brackets(rows, keys, ranks, accuracy)
     side = F.when(F.col("_v") < F.col("_from"), -1).when(F.col("_v") > F.col("_to"), 1).otherwise(0)
     counted = (
-        _join_groups(rows, brackets, keys, groups.count())
+        _join_groups(rows, brackets, keys, n_groups)
         .withColumn("_side", side)
         .withColumn("_v", F.when(F.col("_side") == 0, F.col("_v")))
         .groupBy(*keys, "n", "_side", "_v")
@@ -120,8 +162,9 @@ def _bracketed_ranks(
     def holds(rank: Column) -> Column:
         return (F.col("_start") <= rank) & (rank < F.col("_end"))
 
+    # A group without a wanted rank keeps one row, with NULLs.
     picked = cut_lineage(
-        placed.where(holds(first) | holds(second))
+        placed.where(holds(first) | holds(second) | (F.col("_start") == 0))
         .groupBy(*keys, "n")
         .agg(
             F.max(F.when(holds(first), F.col("_v"))).alias("low"),
@@ -133,7 +176,7 @@ def _bracketed_ranks(
     n_again = again.count()
     if n_again == 0:
         return picked
-    redo = _bracketed_ranks(_join_groups(rows, again, keys, n_again, "left_semi"), keys, near, ranks, accuracy * 10)
+    redo = _bracketed_ranks(_join_groups(rows, again, keys, n_again, "left_semi"), keys, ranks, accuracy * 10)
     return picked.where(~outside).unionByName(redo)
 
 
@@ -147,7 +190,7 @@ def exact_percentile(df: DataFrame, keys: Sequence[str], value: Column, p: float
     position = F.lit(float(p)) * (F.col("n") - 1)
     part = position - F.floor(position)
     between = F.col("low") + (F.col("high") - F.col("low")) * part
-    return select_ranks(df, keys, value, p, ranks).select(*keys, between.alias(name))
+    return select_ranks(df, keys, value, ranks).select(*keys, between.alias(name))
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -47,13 +47,37 @@ def test_salted_join_beyond_the_broadcast_size(spark, monkeypatch):
     assert all(math.isclose(got[k], v, rel_tol=1e-12) for k, v in brute(rows, 0.95).items())
 
 
-def test_a_bracket_that_misses_is_widened(spark):
-    """A sketch of 10 points over 20,000 rows asked for a far rank: run again until it holds."""
-    rows = [("a", float(i)) for i in range(20_000)]
-    df = spark.createDataFrame(rows, "k string, v double")
-    rows = df.select("k", F.col("v").alias("_v"))
-    got = stats._bracketed_ranks(rows, ["k"], 0.9, lambda n: (F.lit(5), F.lit(6)), accuracy=100).first()
-    assert (got.low, got.high, got.n) == (5.0, 6.0, 20_000)
+def test_brackets_are_narrowed_until_small(spark, monkeypatch):
+    monkeypatch.setattr(stats, "SMALL_GROUP", 20)
+    monkeypatch.setattr(stats, "GRID", 10)
+    rng = random.Random(5)
+    rows = [(k, rng.random() ** 3) for k in "abc" for _ in range(8_000)]
+    df = spark.createDataFrame(rows, "k string, _v double").repartition(4)
+
+    def ranks(n):
+        return F.floor(n * 0.7), F.floor(n * 0.7) + 1
+
+    brackets, _ = stats._brackets(df, ["k"], ranks, 10_000)
+    for r in brackets.collect():
+        held = [v for k, v in rows if k == r._g_k and r._from <= v <= r._to]
+        assert len(held) <= 30  # three grid steps of the last narrowing, give or take the sketch's error
+    got = {r.k: (r.low, r.high) for r in stats._bracketed_ranks(df, ["k"], ranks).collect()}
+    for key in "abc":
+        ordered = sorted(v for k, v in rows if k == key)
+        assert got[key] == (ordered[5_600], ordered[5_601])
+
+
+@pytest.mark.parametrize("small", [20, 100_000])
+def test_a_bracket_that_misses_is_run_again(spark, monkeypatch, small):
+    """A sketch this coarse points anywhere; the result is exact all the same."""
+    monkeypatch.setattr(stats, "SMALL_GROUP", small)
+    rng = random.Random(6)
+    rows = [(k, rng.random()) for k in "ab" for _ in range(5_000)]
+    df = spark.createDataFrame(rows, "k string, _v double").repartition(7)
+    got = {r.k: (r.low, r.high) for r in stats._bracketed_ranks(df, ["k"], lambda n: (F.lit(1234), F.lit(1235)), accuracy=3).collect()}
+    for key in "ab":
+        ordered = sorted(v for k, v in rows if k == key)
+        assert got[key] == (ordered[1234], ordered[1235])
 
 
 def test_only_small_groups_are_gathered(spark, monkeypatch):
