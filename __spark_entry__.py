@@ -21,7 +21,7 @@ from recordmill.plans import derived, full_run, markets, repos  # noqa: E402
 from recordmill.plans.derived import k_of, observations, table  # noqa: E402
 from recordmill.session import configure, scratch_dir  # noqa: E402
 from recordmill.sources import csv, files, landing, ndjson, tables  # noqa: E402
-from recordmill.sources.pages import SourceConfig, flatten_pages  # noqa: E402
+from recordmill.sources.pages import SourceConfig, flatten_pages, page_gaps  # noqa: E402
 from recordmill.streaming.facts import stream_metric, upsert_from_stream  # noqa: E402
 from recordmill.streaming.landing import land_new_files  # noqa: E402
 
@@ -239,6 +239,15 @@ def paged_records_single(spark, sf_dir):
     return _paged(spark, sf_dir)
 
 
+@query(
+    """SELECT CAST(user_id AS VARCHAR) AS run_id, max(event_id)-min(event_id)+1 AS expected, count(*) AS present
+ FROM events GROUP BY 1 HAVING max(event_id)-min(event_id)+1 <> count(*)"""
+)
+def paged_gaps(spark, sf_dir):
+    """Runs whose pages are not numbered one after the other."""
+    return page_gaps(derived.page_payloads(spark, sf_dir)).drop("source")
+
+
 # --- staging and tables ------------------------------------------------------------------
 
 _REPO_COLUMNS = f"""user_id AS repo_id, 'repo-'||user_id AS repo_name, event_type||'/repo-'||user_id AS full_name,
@@ -586,6 +595,16 @@ def run_report(spark, sf_dir):
     return ledger.report(_ledger(spark, sf_dir))
 
 
+@query(
+    """SELECT CAST(event_id AS VARCHAR) AS run_id,
+ CASE WHEN event_type IN ('error','click') THEN 'FAILURE' ELSE 'SUCCESS' END AS routed FROM events"""
+)
+def run_routing(spark, sf_dir):
+    """A run succeeds when no stage failed and its gate passed."""
+    routed = ledger.run_status(F.col("quality_passed"), F.col("error_info"))
+    return _ledger(spark, sf_dir).select("run_id", routed.alias("routed"))
+
+
 # --- windows -----------------------------------------------------------------------------
 
 
