@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on: naive timestamps mean UTC, and a JSON
-# object that repeats a key keeps its last value.
+# object that repeats a key keeps its last value. The last one lets a join hash its
+# smaller side when each of that side's partitions is at most this large, so that wide
+# rows on the other side (payloads) are not sorted.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 

@@ -1,7 +1,6 @@
 import json
 from datetime import datetime, timedelta
 
-import pytest
 
 from recordmill import schemas, session
 from recordmill.operators import boosting, checks, facts
