@@ -935,6 +935,24 @@ def predictions_load(spark, sf_dir):
 # --- contract ----------------------------------------------------------------------------
 
 
+# --- training corpora ----------------------------------------------------------------------
+
+
+def _prepared(run: Query) -> Query:
+    return lambda spark, sf_dir: run(configure(spark), sf_dir)
+
+
+try:
+    import corpus_pipeline
+    from recordmill.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "recordmill.llm", "recordmill.llm.queries"):
+        raise
+else:
+    _QUERIES.update({name: _prepared(run) for name, run in corpus.QUERIES.items()}, pipeline=_prepared(corpus_pipeline.run))
+    _SQL.update(corpus.SQL)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Daily metrics per entity, staged from landed JSON."""
     return daily_metrics(spark, "/root/testdata/sf0.001")
