@@ -20,6 +20,8 @@ def components(edges: DataFrame) -> DataFrame:
     a, b = edges.columns
     line = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
     stars, seen = cut_lineage(line.distinct()), None
+    if stars.isEmpty():
+        return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(MAX_ROUNDS):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

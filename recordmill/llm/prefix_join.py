@@ -9,8 +9,8 @@ postings are made for groups only, and postings of a shingle that a single group
 dropped. Surviving groups are expanded to their members, and pairs that pass the size and
 position bounds are verified on the whole texts.
 
-All pairs of a group of near copies are never made: as long as the pairs left between
-different components are more than the postings, every posting list only compares its
+All pairs of a group of near copies are never made: first, and as long as the pairs left between
+different components are many times the postings, every posting list only compares its
 members with one hub, and what links falls into one component, whose inner pairs need no
 further look. When few are left, all of them are verified, so that no link between
 components is lost.
@@ -42,6 +42,7 @@ BLOCK = 1 << 12
 BYTES_AT_ONCE = 1 << 20
 BROADCAST_IDS = 1_000_000
 HUB_ROUNDS = 24
+OPEN_PAIRS = 8  # pairs of a shingle's members still apart, per posting, that are compared one by one
 ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -177,7 +178,7 @@ def signatures(rows: DataFrame, class_table: bytes, size: int, percent: int) ->
 
 
 def _postings(groups: DataFrame) -> DataFrame:
-    """(token, place, grp, n, members): one row per prefix shingle of each group."""
+    """(token, grp, told): one row per prefix shingle of each group; ``told`` packs n, place and whether there are members."""
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,14 +187,15 @@ def _postings(groups: DataFrame) -> DataFrame:
             tokens = np.frombuffer(b"".join(prefixes), ">u8").astype(np.uint64).view(np.int64)
             ends = np.cumsum(lengths)
             place = np.arange(len(tokens)) - np.repeat(ends - lengths, lengths)
-            told = [pa.array(np.repeat(batch.column(i).to_numpy(), lengths)) for i in (0, 1, 3)]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(place.astype(np.int32)), *told], ["token", "place", "grp", "n", "members"])
+            ids, sizes, members = (np.repeat(batch.column(i).to_numpy(), lengths) for i in (0, 1, 3))
+            told = (sizes.astype(np.int64) << 32) + (place << 1) + (members > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(ids), pa.array(told)], ["token", "grp", "told"])
 
-    return groups.select("grp", "n", "prefix", "members").mapInArrow(unfold, "token long, place int, grp long, n int, members long")
+    return groups.select("grp", "n", "prefix", "members").mapInArrow(unfold, "token long, grp long, told long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole texts are similar enough."""
+    """The (a, b) of ``pairs`` whose whole texts, the rows (doc_id, text) say, are similar enough."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,8 +207,12 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
             if linked:
                 yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in linked], pa.int64()), pa.array([b[i] for i in linked], pa.int64())], ["a", "b"])
 
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    ids = cut_lineage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    few = ids.count() <= BROADCAST_IDS
+    # only the texts of this round's pairs are moved
+    needed = cut_lineage(texts.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("node")).select("node", "text").distinct())
+    one = needed.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    two = needed.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
@@ -235,19 +241,13 @@ def join_components(documents: DataFrame, size: int = 4, percent: int = 85, doc_
     grouped = cut_lineage(grouped)
     members = nodes.select("node", "n", "prefix").join(grouped.where("members > 1"), ["n", "prefix"]).select("node", "grp")
     postings = _postings(grouped)
-    shared = postings.groupBy("token").agg(F.sum("members").alias("nodes")).where("nodes > 1").select("token")
+    shared = postings.groupBy("token").agg(F.sum(F.expr("1 + (told & 1)")).alias("nodes")).where("nodes > 1").select("token")
     postings = cut_lineage(postings.join(shared, "token", "left_semi"))
-    inner = members.where("node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b"))
-    # whatever can still link: members of postings kept, and members of one group
-    expanded = postings.join(members, "grp", "left").select("token", "place", "n", F.coalesce("node", "grp").alias("node"))
-    expanded = cut_lineage(expanded)
-    inner = cut_lineage(inner)
-    able = cut_lineage(expanded.select("node").union(inner.select("a")).union(inner.select("b")).distinct())
-    few = able.count() <= BROADCAST_IDS
-    ids = F.broadcast(able) if few else able
-    texts = rows.join(ids, rows["doc_id"] == ids["node"]).select("node", "text").distinct()
-    texts = cut_lineage(texts)
-    labels = _resolve(expanded, inner, texts, _repeated_ids(linkable, nodes), size, percent)
+    inner = cut_lineage(members.where("node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b")))
+    # whatever can still link: members of the postings kept, and members of one group
+    unpacked = postings.selectExpr("token", "grp", "CAST(told >> 32 AS int) AS n", "CAST((told & 4294967295) >> 1 AS int) AS place")
+    expanded = cut_lineage(unpacked.join(members, "grp", "left").select("token", "place", "n", F.coalesce("node", "grp").alias("node")))
+    labels = _resolve(expanded, inner, rows, _repeated_ids(linkable, nodes), size, percent)
     placed = signed.join(nodes.select("digest", "node"), "digest", "left")
     placed = placed.join(labels, "node", "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
@@ -277,7 +277,7 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
         left = open_lists.agg(F.coalesce(F.sum("left"), F.lit(0))).first()[0]
         if not left:
             break
-        last = turn == HUB_ROUNDS or left <= rows
+        last = turn == HUB_ROUNDS or (turn and left <= OPEN_PAIRS * rows)
         x = placed.join(open_lists.select("token"), "token", "left_semi").alias("x")
         if last:
             y = placed.alias("y")
