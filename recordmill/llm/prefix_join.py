@@ -9,9 +9,9 @@ postings are made for groups only, and postings of a shingle that a single group
 dropped. Surviving groups are expanded to their members, and pairs that pass the size and
 position bounds are verified on the whole texts.
 
-All pairs of a group of near copies are never made: first, and as long as the pairs left between
-different components are many times the postings, every posting list only compares its
-members with one hub, and what links falls into one component, whose inner pairs need no
+All pairs of a group of near copies are never made: first, and as long as the pairs that pass the bounds between
+different components are more than twice the postings, every posting list only compares its
+members with a few hubs, and what links falls into one component, whose inner pairs need no
 further look. When few are left, all of them are verified, so that no link between
 components is lost.
 
@@ -42,7 +42,9 @@ BLOCK = 1 << 12
 BYTES_AT_ONCE = 1 << 20
 BROADCAST_IDS = 1_000_000
 HUB_ROUNDS = 24
-OPEN_PAIRS = 8  # pairs of a shingle's members still apart, per posting, that are compared one by one
+OPEN_PAIRS = 256  # pairs of a shingle's members still apart, per posting, whose bounds are looked at
+MOST_HUBS = 16
+TILE = 64
 ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -194,26 +196,51 @@ def _postings(groups: DataFrame) -> DataFrame:
     return groups.select("grp", "n", "prefix", "members").mapInArrow(unfold, "token long, grp long, told long")
 
 
+def _tiles(pairs: DataFrame) -> DataFrame:
+    """(tile, a, b): pairs that share documents come together, at most about twice TILE documents to a tile."""
+    clusters = components(pairs)
+    sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
+    blocks = clusters.join(sizes, "component").select("node", "component", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    one, two = (blocks.toDF(end, f"cluster_{end}", f"block_{end}") for end in ("a", "b"))
+    both = pairs.join(one, "a").join(two, "b")
+    low, high = F.least("block_a", "block_b"), F.greatest("block_a", "block_b")
+    return both.select(F.xxhash64("cluster_a", low, high).alias("tile"), "a", "b")
+
+
 def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole texts, the rows (doc_id, text) say, are similar enough."""
+    """The (a, b) of ``pairs`` whose whole texts, the rows (doc_id, text) say, are similar enough.
+
+    A text goes once to each tile that has a pair of it, not once to each pair.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, texts, sets = None, [], {}
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            one, two = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            texts = list({*one, *two})
-            sets = dict(zip(texts, shingle_sets(texts, size)))
-            linked = [i for i in range(len(a)) if _similar(sets[one[i]], sets[two[i]], percent)]
+            linked = []
+            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if row[0] != tile:
+                    tile, texts, sets = row[0], [], {}
+                if row[2] is None:
+                    texts.append((row[1], row[3]))
+                    continue
+                if texts:  # all of the tile's texts have come
+                    for (node, _), held in zip(texts, shingle_sets([t for _, t in texts], size)):
+                        sets.setdefault(node, []).append(held)
+                    texts = []
+                if any(_similar(x, y, percent) for x in sets[row[1]] for y in sets[row[2]]):
+                    linked.append((row[1], row[2]))
             if linked:
-                yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in linked], pa.int64()), pa.array([b[i] for i in linked], pa.int64())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*linked)], ["a", "b"])
 
-    ids = cut_lineage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    tiled = cut_lineage(_tiles(pairs))
+    seats = tiled.select("tile", F.col("a").alias("node")).union(tiled.select("tile", "b")).distinct()
+    ids = cut_lineage(seats.select("node").distinct())
     few = ids.count() <= BROADCAST_IDS
     # only the texts of this round's pairs are moved
-    needed = cut_lineage(texts.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("node")).select("node", "text").distinct())
-    one = needed.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    two = needed.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
+    needed = texts.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("node")).select("node", "text").distinct()
+    seated = seats.join(needed, "node").select("tile", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text")
+    rows = seated.unionByName(tiled.withColumn("text", F.lit(None).cast("string")))
+    return rows.repartition("tile").sortWithinPartitions("tile", F.col("b").isNotNull()).mapInArrow(check, "a long, b long")
 
 
 def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -261,6 +288,11 @@ def _repeated_ids(linkable: DataFrame, nodes: DataFrame) -> DataFrame:
     return placed.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
 
 
+def _distinct_pairs(met: DataFrame, tried: DataFrame) -> DataFrame:
+    pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    return pairs.join(tried, ["a", "b"], "left_anti")
+
+
 def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of all nodes with a link."""
     tried = inner
@@ -271,22 +303,27 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
     for turn in range(HUB_ROUNDS + 1):
         placed = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         placed = cut_lineage(placed)
-        sizes = placed.groupBy("token", "component").agg(F.count("*").alias("k"), F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place")).alias("hub"))
-        lists = sizes.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"), F.count("*").alias("parts"), F.min("hub").alias("hub"))
-        open_lists = cut_lineage(lists.where("parts > 1").select("token", "hub.node", "hub.n", "hub.place", ((F.col("k") * F.col("k") - F.col("same")) / 2).cast("long").alias("left")))
+        sizes = placed.groupBy("token", "component").agg(F.count("*").alias("k"))
+        lists = sizes.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"), F.count("*").alias("parts"))
+        open_lists = cut_lineage(lists.where("parts > 1").select("token", ((F.col("k") * F.col("k") - F.col("same")) / 2).cast("long").alias("left")))
         left = open_lists.agg(F.coalesce(F.sum("left"), F.lit(0))).first()[0]
         if not left:
             break
-        last = turn == HUB_ROUNDS or (turn and left <= OPEN_PAIRS * rows)
         x = placed.join(open_lists.select("token"), "token", "left_semi").alias("x")
-        if last:
+        pairs, last = None, False
+        if turn and (left <= OPEN_PAIRS * rows or turn == HUB_ROUNDS):
             y = placed.alias("y")
             met = x.join(y, F.expr("x.token = y.token AND x.node < y.node AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
-        else:
-            hubs = open_lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).alias("y")
-            met = x.join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
-        pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        pairs = cut_lineage(pairs.join(tried, ["a", "b"], "left_anti"))
+            pairs = cut_lineage(_distinct_pairs(met, tried))
+            last = turn == HUB_ROUNDS or pairs.count() <= 2 * rows
+        if not last:
+            # one hub of each list first, then several of every fourth list
+            wide = x if not turn else x.where(F.pmod("token", F.lit(4)) == turn % 4)
+            seat = F.pmod(F.xxhash64("node", F.lit(-1 - turn)), F.lit(min(4**turn, MOST_HUBS)))
+            hubs = wide.groupBy("token", seat.alias("seat")).agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place", "component")).alias("hub"))
+            hubs = hubs.select("token", "hub.node", "hub.n", "hub.place", "hub.component").alias("y")
+            met = wide.alias("x").join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
+            pairs = cut_lineage(_distinct_pairs(met, tried))
         found = verify(pairs, texts, size, percent)
         tried = tried.unionByName(pairs)
         stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
