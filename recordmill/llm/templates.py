@@ -94,7 +94,11 @@ def matches(documents: DataFrame, benchmark: DataFrame, window: int = 8, min_lit
     runs = hits.groupBy(F.col("id").alias("doc_id"), "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "width").agg(F.sort_array(F.collect_set("item_pos")).alias("at"))
     runs = cut_lineage(runs)
     few = runs.count() <= BROADCAST_RUNS
-    texts = made.select(F.col("id").alias("doc_id"), F.col("slots").alias("doc_slots"), F.col("tokens").alias("doc_tokens"))
+    # texts are made into templates again only where a window was met
+    met = runs.select(F.col("doc_id").alias("met_id")).distinct()
+    named = documents.select(F.col(doc_id).alias("named_id"), F.col(text).alias("named_text"))
+    picked = cut_lineage(named.join(F.broadcast(met) if few else met, F.col("named_id") == F.col("met_id")).select("named_id", "named_text"))
+    texts = _templated(picked, "named_id", "named_text").toDF("doc_id", "doc_slots", "doc_tokens")
     seen = texts.join(F.broadcast(runs) if few else runs, "doc_id")
     seen = seen.join(items.select(F.col("id").alias("item_id"), "slots", "tokens"), "item_id")
     covered = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + F.col("width") - 1))))
