@@ -25,12 +25,13 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm.common import short_batches
@@ -42,13 +43,14 @@ BLOCK = 1 << 12
 BYTES_AT_ONCE = 1 << 20
 BROADCAST_IDS = 1_000_000
 HUB_ROUNDS = 24
-OPEN_PAIRS = 256  # pairs of a shingle's members still apart, per posting, whose bounds are looked at
+OPEN_PAIRS = 4  # pairs of a shingle's members still apart, per posting, whose bounds are looked at
+LOOKED_AT = 6  # rounds after which the bounds of all are looked at
 MOST_HUBS = 16
-TILE = 64
+TILE = 256
 ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
-SIGNATURE_SCHEMA = "doc_id long, n int, digest binary, prefix binary"
+SIGNATURE_SCHEMA = "doc_id long, n int, digest binary, prefix_digest binary, prefix binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -161,20 +163,21 @@ def classes(frequencies: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, class_table: bytes, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, prefix): the set's size and digest, and its prefix in the common order."""
+    """(doc_id, n, digest, prefix_digest, prefix): the set's size and digest, and its prefix in the common order."""
     shared = rows.sparkSession.sparkContext.broadcast(class_table)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            n, digests, prefixes = [], [], []
+            n, digests, heads, prefixes = [], [], [], []
             for held in shingle_sets(batch.column(1).to_pylist(), size):
                 kept = len(held) - (percent * len(held) + 99) // 100 + 1 if len(held) else 0
                 first = held[np.argsort(order[_buckets(held)], kind="stable")[:kept]]  # by class, then by hash
                 n.append(len(held))
                 digests.append(hashlib.blake2b(held.tobytes(), digest_size=16).digest())
                 prefixes.append(first.astype(">u8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(digests, pa.binary()), pa.array(prefixes, pa.binary())], ["doc_id", "n", "digest", "prefix"])
+                heads.append(hashlib.blake2b(prefixes[-1], digest_size=16).digest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), *(pa.array(x, pa.binary()) for x in (digests, heads, prefixes))], ["doc_id", "n", "digest", "prefix_digest", "prefix"])
 
     return rows.select("doc_id", "text").mapInArrow(sign, SIGNATURE_SCHEMA)
 
@@ -198,7 +201,7 @@ def _postings(groups: DataFrame) -> DataFrame:
 
 def _tiles(pairs: DataFrame) -> DataFrame:
     """(tile, a, b): pairs that share documents come together, at most about twice TILE documents to a tile."""
-    clusters = components(pairs)
+    clusters = cut_lineage(components(pairs))
     sizes = clusters.groupBy("component").agg(F.ceil(F.count("*") / TILE).alias("blocks"))
     blocks = clusters.join(sizes, "component").select("node", "component", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
     one, two = (blocks.toDF(end, f"cluster_{end}", f"block_{end}") for end in ("a", "b"))
@@ -207,8 +210,24 @@ def _tiles(pairs: DataFrame) -> DataFrame:
     return both.select(F.xxhash64("cluster_a", low, high).alias("tile"), "a", "b")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` whose whole texts, the rows (doc_id, text) say, are similar enough.
+def _hub_tiles(pairs: DataFrame) -> DataFrame:
+    """(tile, a, b) of pairs with a hub ``a``: its partners in sixteen parts."""
+    return pairs.select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(16))).alias("tile"), "a", "b")
+
+
+def _packed(texts: DataFrame) -> DataFrame:
+    """(tile, a, text): texts deflated for the way to their tiles."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["tile", "a", "text"])
+
+    return texts.mapInArrow(pack, "tile long, a long, text binary")
+
+
+def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The (a, b) of (tile, a, b) whose whole texts, the rows (doc_id, text) say, are similar enough.
 
     A text goes once to each tile that has a pair of it, not once to each pair.
     """
@@ -224,7 +243,8 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
                     texts.append((row[1], row[3]))
                     continue
                 if texts:  # all of the tile's texts have come
-                    for (node, _), held in zip(texts, shingle_sets([t for _, t in texts], size)):
+                    unpacked = [zlib.decompress(t).decode("utf-8", "surrogatepass") for _, t in texts]
+                    for (node, _), held in zip(texts, shingle_sets(unpacked, size)):
                         sets.setdefault(node, []).append(held)
                     texts = []
                 if any(_similar(x, y, percent) for x in sets[row[1]] for y in sets[row[2]]):
@@ -232,15 +252,15 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
             if linked:
                 yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*linked)], ["a", "b"])
 
-    tiled = cut_lineage(_tiles(pairs))
-    seats = tiled.select("tile", F.col("a").alias("node")).union(tiled.select("tile", "b")).distinct()
-    ids = cut_lineage(seats.select("node").distinct())
-    few = ids.count() <= BROADCAST_IDS
+    tiled = cut_lineage(tiled)
+    seats = cut_lineage(tiled.select("tile", F.col("a").alias("node")).union(tiled.select("tile", "b")).distinct())
+    few = seats.count() <= BROADCAST_IDS
     # only the texts of this round's pairs are moved
-    needed = texts.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("node")).select("node", "text").distinct()
-    seated = seats.join(needed, "node").select("tile", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text")
-    rows = seated.unionByName(tiled.withColumn("text", F.lit(None).cast("string")))
-    return rows.repartition("tile").sortWithinPartitions("tile", F.col("b").isNotNull()).mapInArrow(check, "a long, b long")
+    seated = texts.join(F.broadcast(seats) if few else seats, F.col("doc_id") == F.col("node"))
+    seated = _packed(seated.select("tile", F.col("node").alias("a"), "text")).withColumn("b", F.lit(None).cast("long"))
+    rows = seated.unionByName(tiled.withColumn("text", F.lit(None).cast("binary")))
+    ordered = rows.select("tile", "a", "b", "text").repartition("tile").sortWithinPartitions("tile", F.col("b").isNotNull())
+    return ordered.mapInArrow(check, "a long, b long")
 
 
 def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -261,13 +281,16 @@ def join_components(documents: DataFrame, size: int = 4, percent: int = 85, doc_
     rows = documents.selectExpr(f"CAST(`{doc_id}` AS bigint) AS doc_id", f"`{text}` AS text")
     order = classes(bucket_frequencies(rows, size)).tobytes()
     signed = cut_lineage(signatures(rows, order, size, percent))
-    linkable = signed.where("n > 0 AND doc_id IS NOT NULL")
-    nodes = linkable.groupBy("digest", "n").agg(F.min("doc_id").alias("node"), F.min("prefix").alias("prefix"))
-    nodes = cut_lineage(nodes)
-    grouped = nodes.groupBy("n", "prefix").agg(F.min("node").alias("grp"), F.count("*").alias("members"))
-    grouped = cut_lineage(grouped)
-    members = nodes.select("node", "n", "prefix").join(grouped.where("members > 1"), ["n", "prefix"]).select("node", "grp")
-    postings = _postings(grouped)
+    linkable = signed.drop("prefix").where("n > 0 AND doc_id IS NOT NULL")
+    nodes = cut_lineage(linkable.groupBy("digest", "n", "prefix_digest").agg(F.min("doc_id").alias("node")))
+    grouped = cut_lineage(nodes.groupBy("n", "prefix_digest").agg(F.min("node").alias("grp"), F.count("*").alias("members")))
+    members = nodes.join(grouped.where("members > 1"), ["n", "prefix_digest"]).select("node", "grp")
+    few = grouped.count() <= BROADCAST_IDS
+    named = grouped.toDF("group_n", "group_digest", "grp", "members")
+    named = F.broadcast(named) if few else named
+    # the prefixes stay where they are unless there are very many groups
+    same = (F.col("doc_id") == F.col("grp")) & (F.col("n") == F.col("group_n")) & (F.col("prefix_digest") == F.col("group_digest"))
+    postings = _postings(signed.join(named, same))
     shared = postings.groupBy("token").agg(F.sum(F.expr("1 + (told & 1)")).alias("nodes")).where("nodes > 1").select("token")
     postings = cut_lineage(postings.join(shared, "token", "left_semi"))
     inner = cut_lineage(members.where("node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b")))
@@ -288,15 +311,16 @@ def _repeated_ids(linkable: DataFrame, nodes: DataFrame) -> DataFrame:
     return placed.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
 
 
-def _distinct_pairs(met: DataFrame, tried: DataFrame) -> DataFrame:
-    pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+def _distinct_pairs(met: DataFrame, tried: DataFrame, a: Column, b: Column) -> DataFrame:
+    """The (a, b) of ``met`` that were not tried in either order."""
+    pairs = met.select(a.alias("a"), b.alias("b")).distinct()
+    return pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti")
 
 
 def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of all nodes with a link."""
     tried = inner
-    links = cut_lineage(verify(inner, texts, size, percent).unionByName(given))
+    links = cut_lineage(verify(_hub_tiles(inner), texts, size, percent).unionByName(given))
     labels = cut_lineage(components(links))
     # members of one group that do not link with its first are compared by their postings; theirs are all the same
     rows = postings.count()
@@ -311,10 +335,10 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
             break
         x = placed.join(open_lists.select("token"), "token", "left_semi").alias("x")
         pairs, last = None, False
-        if turn and (left <= OPEN_PAIRS * rows or turn == HUB_ROUNDS):
+        if turn and (left <= OPEN_PAIRS * rows or turn >= LOOKED_AT):
             y = placed.alias("y")
             met = x.join(y, F.expr("x.token = y.token AND x.node < y.node AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
-            pairs = cut_lineage(_distinct_pairs(met, tried))
+            pairs = cut_lineage(_distinct_pairs(met, tried, F.least("x.node", "y.node"), F.greatest("x.node", "y.node")))
             last = turn == HUB_ROUNDS or pairs.count() <= 2 * rows
         if not last:
             # one hub of each list first, then several of every fourth list
@@ -323,8 +347,8 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
             hubs = wide.groupBy("token", seat.alias("seat")).agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place", "component")).alias("hub"))
             hubs = hubs.select("token", "hub.node", "hub.n", "hub.place", "hub.component").alias("y")
             met = wide.alias("x").join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
-            pairs = cut_lineage(_distinct_pairs(met, tried))
-        found = verify(pairs, texts, size, percent)
+            pairs = cut_lineage(_distinct_pairs(met, tried, F.col("y.node"), F.col("x.node")))
+        found = verify(_tiles(pairs) if last else _hub_tiles(pairs), texts, size, percent)
         tried = tried.unionByName(pairs)
         stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = cut_lineage(components(found.unionByName(stars)))
