@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -32,7 +33,8 @@ from recordmill.llm.common import short_batches
 
 MARKER = "▁"
 UNKNOWN_COST = 10.0
-MAX_WORDS = 300_000
+LOWEST = float("-inf")
+MAX_WORDS = 800_000
 # Kinds of pieces in the model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -153,13 +155,13 @@ class Codec:
     def __init__(self, model: Model):
         self.model = model
         self.base, self.check, self.value = (np.frombuffer(x, np.int32).tolist() for x in model[:3])
-        self.words: dict[str, np.ndarray] = {}
+        self.words: dict[str, bytes] = {}
 
-    def solve(self, text: str) -> np.ndarray:
-        """Ids of the best path through a marked text."""
+    def solve(self, text: str) -> bytes:
+        """Ids of the best path through a marked text, as 32-bit numbers."""
         model, data = self.model, text.encode("utf-8", "replace")
         base, check, value, scores, size = self.base, self.check, self.value, model.scores, len(data)
-        best, back, piece = [None] * (size + 1), [0] * (size + 1), [0] * (size + 1)
+        best, back, piece = [LOWEST] * (size + 1), [0] * (size + 1), [0] * (size + 1)
         best[0] = 0.0
         at = 0
         while at < size:
@@ -174,12 +176,12 @@ class Codec:
                 number = value[node]
                 if number >= 0:
                     score = here + scores[number]
-                    if best[end] is None or score > best[end]:
+                    if score > best[end]:
                         best[end], back[end], piece[end] = score, at, number
                     single = single or end - at == width
             if not single:
                 score, end = here + model.unknown_score, at + width
-                if best[end] is None or score > best[end]:
+                if score > best[end]:
                     best[end], back[end], piece[end] = score, at, -1
             at += width
         out, end = [], size
@@ -190,25 +192,20 @@ class Codec:
             else:
                 out.append(piece[end])
             end = begin
-        return np.array(out[::-1], np.int32)
+        return array("i", out[::-1]).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
         marked = MARKER + text.replace(" ", MARKER)
         if not self.model.by_words:
-            return self.solve(marked)
-        known, out = self.words, []
-        for word in WORDS.findall(marked):
-            ids = known.get(word)
-            if ids is None:
-                if len(known) >= MAX_WORDS:
-                    known.clear()
-                ids = self.solve(word)
-                if len(word) <= 64:
-                    known[word] = ids
-            out.append(ids)
-        return np.concatenate(out)
+            return np.frombuffer(self.solve(marked), np.int32)
+        known, words = self.words, WORDS.findall(marked)
+        if len(known) > MAX_WORDS:
+            known.clear()
+        for word in set(words).difference(known):
+            known[word] = self.solve(word)
+        return np.frombuffer(b"".join([known[word] for word in words]), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         surfaces = self.model.surfaces
