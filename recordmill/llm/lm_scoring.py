@@ -113,7 +113,8 @@ def score(documents: DataFrame, target_ids: DataFrame, size: int = VOCABULARY, d
     rows = documents.selectExpr(f"CAST(`{doc_id}` AS bigint) AS doc_id", f"`{text}` AS text")
     marked = target_ids.toDF("target_id").where("target_id IS NOT NULL").distinct()
     points = vocabulary(rows.select("text"), size)
-    flagged = rows.join(marked, F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("in_target"))
+    # labels grow with the corpus: a merge join whatever their size, so that the plan is one at every scale
+    flagged = rows.join(marked.hint("merge"), F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("in_target"))
     # at most size ** 3 rows of three numbers
     told = trigram_counts(flagged, points, size).toPandas()
     counts = np.zeros((2, size**3))
