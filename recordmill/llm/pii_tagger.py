@@ -354,8 +354,10 @@ def all_spans(model: Model | None, texts: list[str], min_confidence: float) -> t
 
 def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text") -> Model | None:
     """A model of at most ``sample_rows`` documents with a digit or an at sign, chosen by a hash of the id."""
-    hinted = documents.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).where(F.col("t").rlike("[0-9@]"))
-    rows = hinted.orderBy(F.xxhash64("i", F.lit(29)), "i").limit(sample_rows).select("t").collect()
+    hinted = documents.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).where(F.col("t").rlike("[0-9@]") & F.col(doc_id).isNotNull())
+    # ids alone are sorted; only the chosen rows' texts come to the driver
+    ids = [r["i"] for r in hinted.select("i").distinct().orderBy(F.xxhash64("i", F.lit(29)), "i").limit(sample_rows).collect()]
+    rows = hinted.where(F.col("i").isin(ids)).groupBy("i").agg(F.min("t").alias("t")).collect()
     return fit([r["t"] for r in rows])
 
 
