@@ -203,7 +203,7 @@ class Codec:
         known, words = self.words, WORDS.findall(marked)
         if len(known) > MAX_WORDS:
             known.clear()
-        for word in set(words).difference(known):
+        for word in [w for w in words if w not in known]:
             known[word] = self.solve(word)
         return np.frombuffer(b"".join([known[word] for word in words]), np.int32)
 
