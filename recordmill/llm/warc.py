@@ -38,8 +38,8 @@ from recordmill.session import cut_lineage
 
 DATE = "1970-01-01T00:00:00Z"  # records say nothing of when they were written
 RECORD_ID = "urn:page:"
-MAX_SHARDS = 20_000
-RANGES = 100_000  # id ranges whose bytes are summed to place the shard bounds
+MAX_SHARDS = 10_000
+RANGES = 16_000  # id ranges whose bytes are summed to place the shard bounds
 
 MEMBER_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, member binary"
 MANIFEST_SCHEMA = "shard int, file int, temporary string, final string, records long, bytes long"
