@@ -75,10 +75,11 @@ class Scaling:
 def fit_scaling(df: DataFrame, columns: Sequence[str]) -> list[Scaling]:
     """Exact median, then mean and population deviation of the filled column.
 
-    Columns without any value are left out; a constant column is divided by 1.
+    NaN is no value. Columns without any value are left out; a constant column is divided by 1.
     """
     if not columns:
         return []
+    df = df.withColumns({c: F.nanvl(F.col(c).cast("double"), F.lit(None)) for c in columns})
     middle = {row["column"]: row["median"] for row in medians(df, columns).collect()}
     used = [c for c in columns if middle.get(c) is not None]
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(middle[c])) for c in used]
@@ -89,7 +90,7 @@ def fit_scaling(df: DataFrame, columns: Sequence[str]) -> list[Scaling]:
 
 
 def scaled(scaling: Scaling) -> Column:
-    filled = F.coalesce(F.col(scaling.column).cast("double"), F.lit(scaling.median))
+    filled = F.coalesce(F.nanvl(F.col(scaling.column).cast("double"), F.lit(None)), F.lit(scaling.median))
     return (filled - F.lit(scaling.mean)) / F.lit(scaling.deviation)
 
 
@@ -130,7 +131,7 @@ def preprocessing_stages(df: DataFrame, numeric: Sequence[str], categorical: Seq
     scalings = fit_scaling(df, numeric)
     fills = fit_modes(df, categorical)
     exprs = [
-        f"(coalesce(CAST({_sql_name(s.column)} AS DOUBLE), {s.median!r}D) - ({s.mean!r}D)) / {s.deviation!r}D"
+        f"(coalesce(nanvl(CAST({_sql_name(s.column)} AS DOUBLE), CAST(NULL AS DOUBLE)), {s.median!r}D) - ({s.mean!r}D)) / {s.deviation!r}D"
         f" AS {_sql_name('_num_' + s.column)}"
         for s in scalings
     ] + [

@@ -15,12 +15,13 @@ def latest_per_key(
     newest: str = "ingested_at",
     tie_breakers: Sequence[str] = ("load_id", "file_path"),
 ) -> DataFrame:
-    """The newest row of each key; ties go to the largest tie breakers.
+    """The newest row of each key; ties go to the largest tie breakers, then by the row's hash.
 
     The rank filter is applied in each task before the shuffle, so a key seen in most of
     the rows sends one row per task.
     """
-    order = [F.desc(newest), *[F.desc(c) for c in tie_breakers]]
+    told = [c for c, kind in df.dtypes if "variant" not in kind and "map<" not in kind]
+    order = [F.desc(newest), *[F.desc(c) for c in tie_breakers], F.desc(F.xxhash64(*told))]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 

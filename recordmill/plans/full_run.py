@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from recordmill import schemas
 from recordmill.operators import boosting, checks, data_tests, facts, ledger
 from recordmill.plans import markets, repos
+from recordmill.session import cut_lineage
 from recordmill.sources import landing, ndjson, tables
 from recordmill.sources.pages import SourceConfig, flatten_pages
 from recordmill.streaming.landing import land_new_files
@@ -89,27 +90,31 @@ def default_checks(as_of: datetime) -> list[dict[str, Any]]:
 LANDING_RULES = ["load_id", "source", "ingested_at"]
 
 
-def _since_newest(rows: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Landed rows of the newest day a table has seen and later, found by folder."""
-    if known is None:
-        return rows
-    newest = known.agg(F.coalesce(F.to_date(F.max("ingested_at")), F.to_date(F.lit(facts.FLOOR))))
-    return rows.where(F.col("ingest_date") >= newest.scalar())
+def _not_built(spark: SparkSession, landed: DataFrame, house: Warehouse) -> DataFrame:
+    """Landed rows of the writes that no build has taken in; their folders' names are enough to tell."""
+    built = tables.current(spark, _built(house))
+    return landed if built is None else landed.join(built, "batch", "left_anti")
+
+
+def _built(house: Warehouse) -> str:
+    return f"{house.latest.rstrip('/')}-batches"
 
 
 def build_tables(spark: SparkSession, house: Warehouse) -> None:
     """Rules on the landed rows, then latest rows, dimension and fact.
 
-    A broken rule stops the build. Landing only ever grows, by the day, so days older than
-    the newest one seen are neither checked again nor read for the latest rows.
+    A broken rule stops the build. Writes that an earlier build took in are neither checked
+    again nor read for the latest rows; a write that is new counts whatever its day.
     """
     landed = landing.read_landing(spark, house.landing)
     known = tables.current(spark, house.latest)
-    fresh = _since_newest(landed, known)
+    fresh = _not_built(spark, landed, house)
+    taken = cut_lineage(landed.select("batch").distinct())
     data_tests.require(fresh, "landing", data_tests.rules(LANDING_RULES))
     data_tests.require(repos.staged(fresh), "staged repos", repos.staging_rules())
     data_tests.require(markets.staged(fresh), "staged markets", markets.staging_rules())
     tables.publish(repos.latest_repos(fresh, known), house.latest)
+    tables.publish(taken, _built(house))
     tables.publish(repos.dim_repos(tables.current(spark, house.latest)), house.dimension)
     dimension = data_tests.require(tables.current(spark, house.dimension), "dim_repos", repos.dimension_rules())
     recent = facts.since_high_water(landed, "ingest_date", facts.read_fact(spark, house.fact))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,11 +47,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test) gets a folder of its own.
+    Only a local session without that setting (a test) gets a folder of its own; on a
+    cluster a folder of one machine would be read back in part.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not configured and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="recordmill-"))
         current = spark.sparkContext.getCheckpointDir()
     return configured or current

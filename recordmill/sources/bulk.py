@@ -19,10 +19,10 @@ SEEN = T.StructType(
 )
 
 
-def csv_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+def csv_records(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
     """Each CSV line as a record of text fields: ``file_path, data``; headers may differ."""
     frames = [
-        spark.read.option("header", "true").csv(group).select(
+        spark.read.options(**csv.reading(multi_line)).csv(group).select(
             F.col("_metadata.file_path").alias("file_path"),
             F.to_variant_object(F.struct("*")).alias("data"),
         )

@@ -12,12 +12,23 @@ from pyspark.sql import functions as F
 from recordmill.sources import files, tables
 
 
+# Quotes are doubled inside quotes, and an empty text is not the same as no value.
+WRITTEN = {"header": "true", "escape": '"', "emptyValue": '""', "nullValue": ""}
+
+
+def reading(multi_line: bool) -> dict[str, str]:
+    """Options to read what :data:`WRITTEN` writes. A text may hold line breaks only with
+    ``multi_line``, which reads each file in one task; switch it off for very large files
+    without any."""
+    return {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()}
+
+
 def export_csv(df: DataFrame, base: str, run_id: str) -> dict:
     """Write a table with a header line under the run's own folder; no rows, no files."""
     if df.isEmpty():
         return {"status": "SKIPPED", "reason": "no rows to export", "runId": run_id, "path": None}
     path = f"{base.rstrip('/')}/ml/input/{run_id}"
-    df.write.option("header", "true").csv(path)
+    df.write.options(**WRITTEN).csv(path)
     return {"status": "EXPORTED", "runId": run_id, "path": path, "columns": column_names(df)}
 
 
@@ -51,7 +62,7 @@ def by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     return groups
 
 
-def read_training(spark: SparkSession, folder: str, types: Mapping[str, str] | None = None) -> DataFrame:
+def read_training(spark: SparkSession, folder: str, types: Mapping[str, str] | None = None, multi_line: bool = True) -> DataFrame:
     """Every ``*.csv`` file of a folder as one frame, stacked by column name.
 
     Files sharing a header line are read together, so there is one scan per distinct
@@ -63,18 +74,18 @@ def read_training(spark: SparkSession, folder: str, types: Mapping[str, str] | N
         raise FileNotFoundError(f"no CSV files in {folder}")
     groups = by_header(spark, paths).values()
     if types is not None:
-        texts = tables.append_columns(*[spark.read.option("header", "true").csv(group) for group in groups])
+        texts = tables.append_columns(*[spark.read.options(**reading(multi_line)).csv(group) for group in groups])
         return texts.select(*[F.col(c).cast(types.get(c, "string")) for c in texts.columns])
-    frames = [spark.read.option("header", "true").option("inferSchema", "true").csv(group) for group in groups]
+    frames = [spark.read.options(**reading(multi_line)).option("inferSchema", "true").csv(group) for group in groups]
     text = {name for frame in frames for name, kind in frame.dtypes if kind == "string"}
     frames = [f.select(*[F.col(c).cast("string") if c in text else F.col(c) for c in f.columns]) for f in frames]
     return tables.append_columns(*frames)
 
 
-def read_scoring(spark: SparkSession, path: str, content_type: str = "text/csv") -> DataFrame:
+def read_scoring(spark: SparkSession, path: str, content_type: str = "text/csv", multi_line: bool = True) -> DataFrame:
     """Scoring input with a header line, or JSON records."""
     if content_type == "text/csv":
-        return spark.read.option("header", "true").option("inferSchema", "true").csv(path)
+        return spark.read.options(**reading(multi_line)).option("inferSchema", "true").csv(path)
     if content_type == "application/json":
         return spark.read.json(path)
     raise ValueError(f"Unsupported content type: {content_type}")
@@ -83,7 +94,7 @@ def read_scoring(spark: SparkSession, path: str, content_type: str = "text/csv")
 def write_scoring(df: DataFrame, path: str, accept: str = "text/csv") -> None:
     """Scoring output with a header line, or JSON records."""
     if accept == "text/csv":
-        df.write.option("header", "true").csv(path)
+        df.write.options(**WRITTEN).csv(path)
     elif accept == "application/json":
         df.write.json(path)
     else:

@@ -31,12 +31,13 @@ def to_landing(records: DataFrame, source: Column | str, load_id: str, ingested_
 
 
 def write_batch(landing: DataFrame, path: str, batch: str) -> None:
-    """Add rows under the name of their write; the same name again replaces them.
+    """Add rows under the name of their write; the same name again replaces them, whatever their day.
 
     A source or day holding most of the rows is split over several files, small ones are
     put together. A NULL in a column that must be set fails the write.
     """
     named = landing.withColumn("batch", F.lit(batch)).select(*[_required(f) for f in schemas.LANDING])
+    _forget(landing.sparkSession, path, batch)
     (
         named.hint("rebalance", "source", "ingest_date")
         .write.mode("overwrite")
@@ -46,6 +47,18 @@ def write_batch(landing: DataFrame, path: str, batch: str) -> None:
     )
 
 
+def _forget(spark: SparkSession, path: str, batch: str) -> None:
+    """Drop what an earlier try of the write left, in all its sources and days."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if store.exists(root):
+        folder = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch)
+        for found in store.globStatus(jvm.org.apache.hadoop.fs.Path(root, "source=*/ingest_date=*/batch=*")):
+            if found.getPath().getName() == f"batch={folder}":
+                store.delete(found.getPath(), True)
+
+
 def _required(field: T.StructField) -> Column:
     complaint = F.raise_error(F.lit(f"NULL in landing column {field.name}")).cast(field.dataType)
     return F.coalesce(F.col(field.name), complaint).alias(field.name)

@@ -137,7 +137,7 @@ def page_gaps(pages: DataFrame) -> DataFrame:
         pages.groupBy("source", "run_id")
         .agg(
             (F.max("page_no") - F.min("page_no") + 1).alias("expected"),
-            F.count(F.lit(1)).alias("present"),
+            F.count_distinct("page_no").alias("present"),
         )
         .where(F.col("expected") != F.col("present"))
     )

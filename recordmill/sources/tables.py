@@ -46,8 +46,11 @@ def current(spark: SparkSession, table_dir: str) -> DataFrame | None:
 
 
 def prune(spark: SparkSession, table_dir: str, keep: int = 2) -> int:
-    """Delete all but the newest versions; returns how many went."""
-    old = subfolders(spark, table_dir)[:-keep]
+    """Delete all but the newest complete versions, and broken ones older than these; returns how many went."""
+    folders = subfolders(spark, table_dir)
+    complete = [f for f in folders if path_exists(spark, f"{f}/_SUCCESS")]
+    oldest_kept = complete[-keep:][:1]
+    old = [f for f in folders if oldest_kept and f < oldest_kept[0]]
     for folder in old:
         fs, path = _file_system(spark, folder)
         fs.delete(path, True)

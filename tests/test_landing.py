@@ -249,3 +249,35 @@ def test_bulk_landing_repeated_after_a_failure_adds_nothing(spark, scratch):
     bulk.land_changed(spark, folder, f"{scratch}/seen", table, "k", "l1", AT)
     done = bulk.land_changed(spark, folder, f"{scratch}/never_written", table, "k", "l1", AT)
     assert done["rowsLoaded"] == 3 and landing.read_landing(spark, table).count() == 3
+
+
+def test_a_write_repeated_on_another_day_replaces_the_first(spark, scratch):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from recordmill.sources import landing
+
+    records = spark.range(2).select(F.lit("f").alias("file_path"), F.parse_json(F.lit("{}")).alias("data"))
+    for at in (datetime(2024, 1, 1, 23, 59), datetime(2024, 1, 2, 0, 5)):
+        landing.write_batch(landing.to_landing(records, "s", "load-1", at), scratch, "load-1")
+    landing.write_batch(landing.to_landing(records, "s", "load-2", at), scratch, "load-2")
+    assert landing.read_landing(spark, scratch).groupBy("load_id").count().orderBy("load_id").collect() == [("load-1", 2), ("load-2", 2)]
+
+
+def test_text_with_quotes_commas_and_breaks_comes_back(spark, scratch):
+    from recordmill.sources import csv
+
+    rows = [("1", 'a "q", x'), ("2", "two\nlines"), ("3", ""), ("4", None), ("5", "back\\slash")]
+    told = csv.export_csv(spark.createDataFrame(rows, "id string, text string"), scratch, "r")
+    back = csv.read_training(spark, told["path"], {"id": "string", "text": "string"})
+    assert sorted(tuple(r) for r in back.collect()) == [(i, t or None) for i, t in rows]
+
+
+def test_prune_keeps_complete_versions(spark, scratch):
+    from recordmill.sources import tables
+
+    good = tables.publish(spark.range(3), scratch)
+    for name in ("v99990101T000000000000-a", "v99990102T000000000000-b"):
+        spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{scratch}/{name}")
+    assert tables.prune(spark, scratch, keep=2) == 0 and tables.current(spark, scratch).count() == 3 and good
