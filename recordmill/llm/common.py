@@ -25,3 +25,9 @@ def broadcast_bytes(spark: SparkSession, path: str):
     """A vocabulary file, read once by the driver and shared; its size is the tokenizer's own."""
     with open(path, "rb") as file:
         return spark.sparkContext.broadcast(file.read())
+
+
+def at_most_partitions(spark: SparkSession, rows: int, a_task: int) -> int:
+    """Partitions for so many rows: as the session has them, fewer when a task would get less than ``a_task``, never fewer than cores."""
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(usual, max(spark.sparkContext.defaultParallelism, -(-rows // a_task))))

@@ -15,6 +15,9 @@ members with a few hubs, and what links falls into one component, whose inner pa
 further look. When few are left, all of them are verified, so that no link between
 components is lost.
 
+Besides size and place, pairs are held to a parity bound: each set has the parities of its
+hashes in 256 classes, and two sets differ in at least as many shingles as classes.
+
 Nulls, ties, repeats: words are cut at white space after A-Z became lower case; a text with
 fewer words than a shingle is one shingle, one without words is empty and links with
 nothing. A null id links with nothing and has a null component. Rows that repeat an id with
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.common import short_batches
+from recordmill.llm.common import at_most_partitions, short_batches
 from recordmill.llm.components import components
 from recordmill.session import cut_lineage
 
@@ -43,14 +46,18 @@ BLOCK = 1 << 12
 BYTES_AT_ONCE = 1 << 20
 BROADCAST_IDS = 1_000_000
 HUB_ROUNDS = 24
-OPEN_PAIRS = 4  # pairs of a shingle's members still apart, per posting, whose bounds are looked at
+OPEN_PAIRS = 512  # pairs of a shingle's members still apart, per posting, whose bounds are looked at
+OPEN_IN_LIST = 1 << 30  # and of one shingle, which are one task's
 LOOKED_AT = 6  # rounds after which the bounds of all are looked at
-MOST_HUBS = 16
+MOST_HUBS = 32
 TILE = 256
 ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
-SIGNATURE_SCHEMA = "doc_id long, n int, digest binary, prefix_digest binary, prefix binary"
+PARITIES = ["p0", "p1", "p2", "p3"]  # of 64 classes each
+TEXTS_A_TASK = 64  # at least, when there are fewer than this times the partitions
+
+SIGNATURE_SCHEMA = "doc_id long, n int, digest binary, prefix_digest binary, prefix binary, " + ", ".join(f"{p} long" for p in PARITIES)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -163,13 +170,13 @@ def classes(frequencies: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, class_table: bytes, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, prefix_digest, prefix): the set's size and digest, and its prefix in the common order."""
+    """(doc_id, n, digest, prefix_digest, prefix, parities): the set's size and digest, its prefix in the common order, and its parities."""
     shared = rows.sparkSession.sparkContext.broadcast(class_table)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            n, digests, heads, prefixes = [], [], [], []
+            n, digests, heads, prefixes, parities = [], [], [], [], []
             for held in shingle_sets(batch.column(1).to_pylist(), size):
                 kept = len(held) - (percent * len(held) + 99) // 100 + 1 if len(held) else 0
                 first = held[np.argsort(order[_buckets(held)], kind="stable")[:kept]]  # by class, then by hash
@@ -177,11 +184,20 @@ def signatures(rows: DataFrame, class_table: bytes, size: int, percent: int) ->
                 digests.append(hashlib.blake2b(held.tobytes(), digest_size=16).digest())
                 prefixes.append(first.astype(">u8").tobytes())
                 heads.append(hashlib.blake2b(prefixes[-1], digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), *(pa.array(x, pa.binary()) for x in (digests, heads, prefixes))], ["doc_id", "n", "digest", "prefix_digest", "prefix"])
+                parities.append(_parities(held))
+            told = [pa.array(n, pa.int32()), *(pa.array(x, pa.binary()) for x in (digests, heads, prefixes))]
+            told += [pa.array(p) for p in np.array(parities, np.int64).reshape(-1, len(PARITIES)).T]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *told], ["doc_id", "n", "digest", "prefix_digest", "prefix", *PARITIES])
 
     return rows.select("doc_id", "text").mapInArrow(sign, SIGNATURE_SCHEMA)
 
 
+def _parities(held: np.ndarray) -> np.ndarray:
+    """The parity of the hashes in each of 256 classes, as four 64-bit numbers."""
+    odd = np.bincount((held & np.uint64(64 * len(PARITIES) - 1)).astype(np.int64), minlength=64 * len(PARITIES)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _postings(groups: DataFrame) -> DataFrame:
     """(token, grp, told): one row per prefix shingle of each group; ``told`` packs n, place and whether there are members."""
 
@@ -254,12 +270,14 @@ def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
 
     tiled = cut_lineage(tiled)
     seats = cut_lineage(tiled.select("tile", F.col("a").alias("node")).union(tiled.select("tile", "b")).distinct())
-    few = seats.count() <= BROADCAST_IDS
+    taken = seats.count()
+    few = taken <= BROADCAST_IDS
     # only the texts of this round's pairs are moved
     seated = texts.join(F.broadcast(seats) if few else seats, F.col("doc_id") == F.col("node"))
     seated = _packed(seated.select("tile", F.col("node").alias("a"), "text")).withColumn("b", F.lit(None).cast("long"))
     rows = seated.unionByName(tiled.withColumn("text", F.lit(None).cast("binary")))
-    ordered = rows.select("tile", "a", "b", "text").repartition("tile").sortWithinPartitions("tile", F.col("b").isNotNull())
+    parts = at_most_partitions(texts.sparkSession, taken, TEXTS_A_TASK)
+    ordered = rows.select("tile", "a", "b", "text").repartition(parts, "tile").sortWithinPartitions("tile", F.col("b").isNotNull())
     return ordered.mapInArrow(check, "a long, b long")
 
 
@@ -269,9 +287,10 @@ def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
 
 
 def _large_enough(one: str, two: str, percent: int) -> str:
-    """The size and position bounds of two postings of one shingle, as a condition."""
+    """The size, position and parity bounds of two postings of one shingle, as a condition."""
+    unlike = " + ".join(f"bit_count({one}.{p} ^ {two}.{p})" for p in PARITIES)
     most = f"least({one}.n - {one}.place, {two}.n - {two}.place)"
-    return f"(100 + {percent}) * {most} >= {percent} * ({one}.n + {two}.n) AND 100 * least({one}.n, {two}.n) >= {percent} * greatest({one}.n, {two}.n)"
+    return f"(100 + {percent}) * {most} >= {percent} * ({one}.n + {two}.n) AND 100 * least({one}.n, {two}.n) >= {percent} * greatest({one}.n, {two}.n) AND (100 + {percent}) * ({unlike}) <= (100 - {percent}) * ({one}.n + {two}.n)"
 
 
 def join_components(documents: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -282,7 +301,7 @@ def join_components(documents: DataFrame, size: int = 4, percent: int = 85, doc_
     order = classes(bucket_frequencies(rows, size)).tobytes()
     signed = cut_lineage(signatures(rows, order, size, percent))
     linkable = signed.drop("prefix").where("n > 0 AND doc_id IS NOT NULL")
-    nodes = cut_lineage(linkable.groupBy("digest", "n", "prefix_digest").agg(F.min("doc_id").alias("node")))
+    nodes = cut_lineage(linkable.groupBy("digest", "n", "prefix_digest").agg(F.min("doc_id").alias("node"), *(F.min(p).alias(p) for p in PARITIES)))
     grouped = cut_lineage(nodes.groupBy("n", "prefix_digest").agg(F.min("node").alias("grp"), F.count("*").alias("members")))
     members = nodes.join(grouped.where("members > 1"), ["n", "prefix_digest"]).select("node", "grp")
     few = grouped.count() <= BROADCAST_IDS
@@ -296,7 +315,8 @@ def join_components(documents: DataFrame, size: int = 4, percent: int = 85, doc_
     inner = cut_lineage(members.where("node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b")))
     # whatever can still link: members of the postings kept, and members of one group
     unpacked = postings.selectExpr("token", "grp", "CAST(told >> 32 AS int) AS n", "CAST((told & 4294967295) >> 1 AS int) AS place")
-    expanded = cut_lineage(unpacked.join(members, "grp", "left").select("token", "place", "n", F.coalesce("node", "grp").alias("node")))
+    expanded = unpacked.join(members, "grp", "left").select("token", "place", "n", F.coalesce("node", "grp").alias("node"))
+    expanded = cut_lineage(expanded.join(nodes.select("node", *PARITIES), "node"))
     labels = _resolve(expanded, inner, rows, _repeated_ids(linkable, nodes), size, percent)
     placed = signed.join(nodes.select("digest", "node"), "digest", "left")
     placed = placed.join(labels, "node", "left")
@@ -330,23 +350,22 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
         sizes = placed.groupBy("token", "component").agg(F.count("*").alias("k"))
         lists = sizes.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"), F.count("*").alias("parts"))
         open_lists = cut_lineage(lists.where("parts > 1").select("token", ((F.col("k") * F.col("k") - F.col("same")) / 2).cast("long").alias("left")))
-        left = open_lists.agg(F.coalesce(F.sum("left"), F.lit(0))).first()[0]
+        left, longest = open_lists.agg(F.coalesce(F.sum("left"), F.lit(0)), F.max("left")).first()
         if not left:
             break
         x = placed.join(open_lists.select("token"), "token", "left_semi").alias("x")
         pairs, last = None, False
-        if turn and (left <= OPEN_PAIRS * rows or turn >= LOOKED_AT):
+        if turn > 1 and (left <= OPEN_PAIRS * rows and longest <= OPEN_IN_LIST or turn >= LOOKED_AT):
             y = placed.alias("y")
             met = x.join(y, F.expr("x.token = y.token AND x.node < y.node AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
             pairs = cut_lineage(_distinct_pairs(met, tried, F.least("x.node", "y.node"), F.greatest("x.node", "y.node")))
             last = turn == HUB_ROUNDS or pairs.count() <= 2 * rows
         if not last:
-            # one hub of each list first, then several of every fourth list
-            wide = x if not turn else x.where(F.pmod("token", F.lit(4)) == turn % 4)
-            seat = F.pmod(F.xxhash64("node", F.lit(-1 - turn)), F.lit(min(4**turn, MOST_HUBS)))
-            hubs = wide.groupBy("token", seat.alias("seat")).agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place", "component")).alias("hub"))
-            hubs = hubs.select("token", "hub.node", "hub.n", "hub.place", "hub.component").alias("y")
-            met = wide.alias("x").join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
+            # one hub of each list first, then several
+            seat = F.pmod(F.xxhash64("node", F.lit(-1 - turn)), F.lit(MOST_HUBS if turn else 1))
+            hubs = x.groupBy("token", seat.alias("seat")).agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place", "component", *PARITIES)).alias("hub"))
+            hubs = hubs.select("token", *(f"hub.{c}" for c in ("node", "n", "place", "component", *PARITIES))).alias("y")
+            met = x.join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
             pairs = cut_lineage(_distinct_pairs(met, tried, F.col("y.node"), F.col("x.node")))
         found = verify(_tiles(pairs) if last else _hub_tiles(pairs), texts, size, percent)
         tried = tried.unionByName(pairs)
