@@ -270,6 +270,15 @@ def test_prefix_join_with_repeated_and_missing_ids(spark, none):
     assert prefix_join.join_components(none).count() == 0
 
 
+def test_parities_never_differ_more_than_the_sets():
+    rng = random.Random(4)
+    for _ in range(200):
+        one = {rng.getrandbits(64) for _ in range(rng.randrange(600))}
+        two = {x for x in one if rng.random() < 0.9} | {rng.getrandbits(64) for _ in range(rng.randrange(60))}
+        first, second = (prefix_join._parities(np.array(sorted(x), np.uint64)) for x in (one, two))
+        assert sum((int(x) & (1 << 64) - 1).bit_count() for x in first ^ second) <= len(one ^ two)
+
+
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(100)] + [(300, 200), (200, 200), (None, 1)]
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
