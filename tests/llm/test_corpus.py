@@ -312,3 +312,12 @@ def test_pipeline_stages_keep_the_columns(spark, none):
         docs = kept
     last = corpus_pipeline.STAGES[-1][1](spark, docs, "")
     assert {(r["doc_id"], r["text"]) for r in last.collect()} == {(r["doc_id"], r["text"]) for r in docs.collect()}
+
+
+def test_pipeline_keeps_one_of_each_group_by_five_words(spark):
+    import corpus_pipeline
+
+    rows = near_copies(3)
+    first = lambda size, percent: {i for i, _, label in brute_components(rows, size, percent) if i == label}
+    kept = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert {r["doc_id"] for r in kept.collect()} == first(5, 80) != first(4, 85)
