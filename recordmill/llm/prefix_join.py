@@ -51,6 +51,7 @@ OPEN_IN_LIST = 1 << 30  # and of one shingle, which are one task's
 LOOKED_AT = 6  # rounds after which the bounds of all are looked at
 MOST_HUBS = 32
 TILE = 256
+HUB_PARTS = 16  # of a hub's partners, at least
 ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -227,8 +228,13 @@ def _tiles(pairs: DataFrame) -> DataFrame:
 
 
 def _hub_tiles(pairs: DataFrame) -> DataFrame:
-    """(tile, a, b) of pairs with a hub ``a``: its partners in sixteen parts."""
-    return pairs.select(F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(16))).alias("tile"), "a", "b")
+    """(tile, a, b) of pairs with a hub ``a``: its partners in sixteen parts, or more so that a part has about TILE."""
+    large = pairs.groupBy("a").agg(F.count("*").alias("partners")).where(F.col("partners") > HUB_PARTS * TILE)
+    large = cut_lineage(large.select(F.col("a").alias("hub"), F.ceil(F.col("partners") / TILE).alias("many")))
+    # a hub of these has over four thousand pairs, so they are few
+    named = F.broadcast(large) if large.count() <= BROADCAST_IDS else large
+    parts = F.coalesce("many", F.lit(HUB_PARTS))
+    return pairs.join(named, F.col("a") == F.col("hub"), "left").select(F.xxhash64("a", F.pmod(F.xxhash64("b"), parts)).alias("tile"), "a", "b")
 
 
 def _packed(texts: DataFrame) -> DataFrame:

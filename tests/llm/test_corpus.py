@@ -263,6 +263,13 @@ def test_prefix_join_against_all_pairs(spark, monkeypatch, seed):
     assert {tuple(r) for r in prefix_join.join_components(frame).collect()} == brute_components(rows)
 
 
+def test_tiles_of_a_hub_are_bounded(spark):
+    pairs = spark.range(1, 40_001).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b")).union(spark.sql("SELECT 50000L, 50001L"))
+    tiled = prefix_join._hub_tiles(pairs)
+    assert tiled.groupBy("tile").count().agg(F.max("count")).first()[0] < 2 * prefix_join.TILE
+    assert tiled.select("a", "b").exceptAll(pairs).isEmpty() and tiled.count() == 40_001
+
+
 def test_prefix_join_with_repeated_and_missing_ids(spark, none):
     rows = [(5, "a b c d e"), (5, "a b c d e"), (5, "q r s t u"), (3, "q r s t u"), (None, "a b c d e"), (9, "z")]
     got = collections.Counter(tuple(r) for r in prefix_join.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
