@@ -128,6 +128,26 @@ def test_scores_tell_target_from_background(spark, none):
     assert np.allclose(even, 2.0) and np.allclose(np.exp2(-lm_scoring.losses(np.random.default_rng(0).integers(0, 3, (4, 4, 4)))).sum(axis=2), 1)
 
 
+@pytest.mark.parametrize("hot", [lm_scoring.HOT, 40, 0])
+def test_scores_of_every_script_are_the_dense_table_s(spark, hot):
+    rng, letters = random.Random(6), [chr(0x4E00 + i) for i in range(160)]
+    rows = [(i, "".join(rng.choice(letters[:80] if i % 2 else letters[80:]) for _ in range(60))) for i in range(30)] + [(30, None), (None, "ab"), (3, "ab")]
+    target = {i for i in range(1, 30, 2)}
+    got = lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in target], "doc_id long"), hot=hot).collect()
+    codes = {c: k for k, c in enumerate(["", *sorted({c for _, t in rows for c in t or ""})])}
+    counts = np.zeros((2, *[len(codes)] * 3))
+    grams = lambda t: list(zip(["", "", *t], ["", *t], [*t, ""]))
+    for i, t in rows:
+        for gram in grams(t) if t else []:
+            counts[(int(i not in target), *(codes[c] for c in gram))] += 1
+    counts[1] *= counts[0].sum() / counts[1].sum()
+    tables = [lm_scoring.losses(c) for c in counts]
+    want = sorted((i or -1, *(np.mean([table[tuple(codes[c] for c in gram)] for gram in grams(t)]) for table in tables)) for i, t in rows if t)
+    told = sorted((r["doc_id"] or -1, r["target_bits"], r["background_bits"]) for r in got if r["n_tokens"])
+    assert len(got) == len(rows) and np.allclose(np.array(told), np.array(want))
+    assert all((r["difference"] < -1) == bool(r["doc_id"] % 2) for r in got if r["n_tokens"] > 3)
+
+
 def test_marginals_are_those_of_one_long_chain():
     rng = np.random.default_rng(3)
     lengths, moves = np.array([1, 64, 65, 200]), rng.normal(size=(3, 3))
