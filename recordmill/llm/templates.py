@@ -7,9 +7,11 @@ run; in a run each slot value of the item must stand for one value of the docume
 so that a question with other numbers is found and a chance mix of numbers isn't.
 
 Nulls, ties, repeats: a null text has no tokens and matches nothing; rows with a null id take
-no part. Items whose windows hold under ``min_literals`` words besides placeholders give no
-such windows. An item of fewer tokens than the window is one window as it stands. Repeated
-rows of a document count once. Empty tables give no rows; other columns are ignored.
+no part. An item of fewer tokens than the window is one window as it stands. Windows that hold
+under ``min_literals`` words besides placeholders (for a short item, as large a share of it)
+are met as they stand only, in any case; those of numbers alone aren't met. Texts of one
+item id are items of their own with a row each; repeated rows of a document or an item count
+once. Empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -68,13 +70,21 @@ def _windows(tokens: Column, width: Column) -> Column:
     return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.xxhash64(F.slice(tokens, i, width))))
 
 
+def _plain(slots: str) -> Column:
+    return F.transform(slots, F.lower)
+
+
 def item_windows(items: DataFrame, window: int, min_literals: int) -> DataFrame:
-    """(item_id, item_pos, width, hash) of the windows that hold words enough."""
+    """(item_id, item_key, item_pos, width, plain, hash): of template tokens where they hold words enough, else of the plain words."""
     width = F.least(F.lit(window), F.size("tokens"))
     sized = items.where(F.size("tokens") >= 1).withColumn("width", width)
-    rows = sized.select("id", "tokens", "width", F.posexplode(_windows(F.col("tokens"), F.col("width"))).alias("item_pos", "hash"))
-    literals = F.size(F.filter(F.expr("slice(tokens, item_pos + 1, width)"), lambda t: ~_placeholder(t)))
-    return rows.where(literals >= F.least(F.lit(min_literals), F.col("width"))).select(F.col("id").alias("item_id"), "item_pos", "width", "hash")
+    both = F.arrays_zip(_windows(F.col("tokens"), F.col("width")).alias("made"), _windows(_plain("slots"), F.col("width")).alias("given"))
+    rows = sized.select("id", "key", "tokens", "width", F.posexplode(both).alias("item_pos", "hashes"))
+    held = F.expr("slice(tokens, item_pos + 1, width)")
+    enough = F.size(F.filter(held, lambda t: ~_placeholder(t))) >= F.least(F.ceil(F.lit(min_literals) * F.col("width") / window), F.col("width"))
+    rows = rows.where(enough | F.exists(held, lambda t: t != "#")).withColumn("plain", ~enough)
+    hashed = F.when(F.col("plain"), F.col("hashes.given")).otherwise(F.col("hashes.made"))
+    return rows.select(F.col("id").alias("item_id"), F.col("key").alias("item_key"), "item_pos", "width", "plain", hashed.alias("hash"))
 
 
 def matches(documents: DataFrame, benchmark: DataFrame, window: int = 8, min_literals: int = 5, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -83,15 +93,18 @@ def matches(documents: DataFrame, benchmark: DataFrame, window: int = 8, min_lit
     ``covered_tokens`` counts the item's tokens that lie in consistent runs; ``changed_slots``
     the slots there whose value is another one in the document.
     """
-    items = cut_lineage(_templated(benchmark, item_id, text).dropDuplicates(["id"]))
+    texts = benchmark.select(F.col(item_id).alias("id"), F.col(text).alias("item_text")).distinct()
+    keyed = texts.select(F.struct("id", F.xxhash64("item_text").alias("key")).alias("id"), "item_text").where("id.id IS NOT NULL")
+    items = cut_lineage(_templated(keyed, "id", "item_text").select("id.id", "id.key", "slots", "tokens"))
     wanted = cut_lineage(item_windows(items, window, min_literals))
-    facts = wanted.agg(F.count("*").alias("rows"), F.collect_set("width").alias("widths")).first()
+    facts = wanted.agg(F.count("*").alias("rows"), F.collect_set(F.struct("width", "plain")).alias("widths")).first()
     wanted = F.broadcast(wanted) if facts["rows"] <= BROADCAST_WINDOWS else wanted
     made = _templated(documents, doc_id, text)
-    widths = facts["widths"] or [window]
-    hashed = [made.select("id", F.lit(w).alias("width"), F.posexplode(_windows(F.col("tokens"), F.lit(w))).alias("pos", "hash")) for w in sorted(widths)]
-    hits = reduce(DataFrame.unionByName, hashed).join(wanted, ["hash", "width"])
-    runs = hits.groupBy(F.col("id").alias("doc_id"), "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "width").agg(F.sort_array(F.collect_set("item_pos")).alias("at"))
+    widths = sorted((w["width"], w["plain"]) for w in facts["widths"]) or [(window, False)]
+    words = lambda plain: _plain("slots") if plain else F.col("tokens")
+    hashed = [made.select("id", F.lit(w).alias("width"), F.lit(plain).alias("plain"), F.posexplode(_windows(words(plain), F.lit(w))).alias("pos", "hash")) for w, plain in widths]
+    hits = reduce(DataFrame.unionByName, hashed).join(wanted, ["hash", "width", "plain"])
+    runs = hits.groupBy(F.col("id").alias("doc_id"), "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"), "width", "plain").agg(F.sort_array(F.collect_set("item_pos")).alias("at"))
     runs = cut_lineage(runs)
     few = runs.count() <= BROADCAST_RUNS
     # texts are made into templates again only where a window was met
@@ -100,20 +113,22 @@ def matches(documents: DataFrame, benchmark: DataFrame, window: int = 8, min_lit
     picked = cut_lineage(named.join(F.broadcast(met) if few else met, F.col("named_id") == F.col("met_id")).select("named_id", "named_text"))
     texts = _templated(picked, "named_id", "named_text").toDF("doc_id", "doc_slots", "doc_tokens")
     seen = texts.join(F.broadcast(runs) if few else runs, "doc_id")
-    seen = seen.join(items.select(F.col("id").alias("item_id"), "slots", "tokens"), "item_id")
+    seen = seen.join(items.select(F.col("id").alias("item_id"), F.col("key").alias("item_key"), "slots", "tokens"), ["item_id", "item_key"])
     covered = F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + F.col("width") - 1))))
     seen = seen.withColumn("covered", covered)
-    # equal hashes are held against the tokens themselves
-    seen = seen.withColumn("covered", F.filter("covered", lambda i: F.get("tokens", i).eqNullSafe(F.get("doc_tokens", i + F.col("shift")))))
+    # equal hashes are held against the tokens or words themselves
+    same = lambda i: F.get("tokens", i).eqNullSafe(F.get("doc_tokens", i + F.col("shift")))
+    alike = lambda i: F.lower(F.get("slots", i)).eqNullSafe(F.lower(F.get("doc_slots", i + F.col("shift"))))
+    seen = seen.withColumn("covered", F.when(F.col("plain"), F.filter("covered", alike)).otherwise(F.filter("covered", same)))
     pair = lambda i: F.struct(F.get("tokens", i).alias("kind"), F.get("slots", i).alias("asked"), F.get("doc_slots", i + F.col("shift")).alias("given"))
     slots = F.transform(F.filter("covered", lambda i: _placeholder(F.get("tokens", i))), pair)
     seen = seen.withColumn("slot_pairs", slots)
     one_value = F.size(F.array_distinct("slot_pairs")) == F.size(F.array_distinct(F.transform("slot_pairs", lambda p: F.struct(p["kind"], p["asked"]))))
-    changed = F.filter("covered", lambda i: _placeholder(F.get("tokens", i)) & (F.get("slots", i) != F.get("doc_slots", i + F.col("shift"))))
-    sound = seen.where(one_value).withColumn("changed_at", changed)
-    tokens = sound.select("doc_id", "item_id", F.size("tokens").alias("item_tokens"), F.explode("covered").alias("token"), "changed_at")
-    told = tokens.groupBy("doc_id", "item_id", "item_tokens", "token").agg(F.min(F.array_contains("changed_at", F.col("token"))).alias("changed"))
-    return told.groupBy("doc_id", "item_id", "item_tokens").agg(F.count("*").alias("covered_tokens"), F.count_if("changed").alias("changed_slots"))
+    changed = F.filter("covered", lambda i: ~F.col("plain") & _placeholder(F.get("tokens", i)) & (F.get("slots", i) != F.get("doc_slots", i + F.col("shift"))))
+    sound = seen.where(F.col("plain") | one_value).withColumn("changed_at", changed)
+    tokens = sound.select("doc_id", "item_id", "item_key", F.size("tokens").alias("item_tokens"), F.explode("covered").alias("token"), "changed_at")
+    told = tokens.groupBy("doc_id", "item_id", "item_key", "item_tokens", "token").agg(F.min(F.array_contains("changed_at", F.col("token"))).alias("changed"))
+    return told.groupBy("doc_id", "item_id", "item_key", "item_tokens").agg(F.count("*").alias("covered_tokens"), F.count_if("changed").alias("changed_slots")).drop("item_key")
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, min_share: float = 0.5, **options) -> DataFrame:

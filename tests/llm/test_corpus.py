@@ -324,6 +324,16 @@ def test_templates_see_other_values_and_leave_the_rest(spark, none):
     assert templates.contaminated(none, bench).count() == 0 and templates.contaminated(frame, bench.limit(0)).count() == 0
 
 
+def test_templates_meet_copies_of_items_with_few_words(spark):
+    sums, heading, second = "What is 12 times 15?", "The Fall Of Rome And The Rise Of Venice", "How many of the red apples are left over when all of them went home"
+    rows = [(1, f"Well. {sums} Nobody knows."), (2, f"Well. {sums.replace('15', '16')} Nobody knows."), (3, f"on {heading.lower()} once more"), (4, second), (5, "12 15 16")]
+    bench = spark.createDataFrame([(1, sums), (2, heading), (3, second), (3, "Why did the old man walk so far into the cold night alone"), (4, "12 15 16")], "item_id long, text string")
+    got = {tuple(r) for r in templates.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1, 5, 5, 0), (3, 2, 9, 9, 0), (4, 3, 15, 15, 0)}
+    both = bench.select(F.col("item_id").alias("doc_id"), "text").where("doc_id = 3")
+    assert templates.contaminated(both, bench.where("item_id = 3")).count() == 2
+
+
 def test_pipeline_stages_keep_the_columns(spark, none):
     import corpus_pipeline
 
