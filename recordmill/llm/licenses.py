@@ -1,6 +1,6 @@
 """Canonical digest lookup of licence texts.
 
-A text is normalised by rules: case, copyright lines, punctuation, white space and
+A text is normalised by rules: case, copyright notices, punctuation, white space and
 equivalent spellings. Its SHA-256 is looked up among the digests of known licences, made by
 the same expression. Whole texts are compared, and so is every line as a text of its own:
 a file that carries a licence statement in a line of its own is found as well.
@@ -12,11 +12,18 @@ rows are rows of their own. An empty table gives no rows; other columns are igno
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Lines that name a holder, and spellings that mean the same (after lower case).
 HOLDER = r"copyright (\(c\)|©|[0-9]{4})|^[ \t]*(\(c\)|©)|all rights reserved"
+# A notice goes up to the end of its sentence; a stop after an initial or a short form ends it only before a word that opens a sentence of its own.
+SHORT_FORM = r"(?<!\b(inc|ltd|co|corp|llc|gmbh|jr|sr|dr|st|al|[a-z]))"
+OPENING = r"(all rights reserved|released|licen[sc]ed|distributed|available|permission|redistribution|this|these|the|use|see|you)\b"
+NOTICE = rf"(?m)((portions )?copyright (\(c\)|©|[0-9]{{4}})|^[ \t]*(\(c\)|©))[^\n]*?({SHORT_FORM}[.!?](?=\s)|[.!?](?=\s+{OPENING})|$)"
+RESERVED = r"all rights reserved[.!]?"
 SPELLINGS = (
     ("licence", "license"),
     ("licenced", "licensed"),
@@ -70,10 +77,10 @@ KNOWN = (
 
 
 def canonical_lines(text: Column) -> Column:
-    """The text's lines in lower case and one spelling, words of letters and digits only; lines that name a holder are gone."""
+    """The text's lines in lower case and one spelling, words of letters and digits only; notices that name a holder are gone."""
     text = F.lower(F.coalesce(text, F.lit("")))
-    lines = F.filter(F.split(text, "\n"), lambda line: ~line.rlike(HOLDER))
-    text = F.when(text.rlike("copyright|[(]c[)]|©|all rights reserved"), F.array_join(lines, "\n")).otherwise(text)
+    bare = F.regexp_replace(F.regexp_replace(text, NOTICE, " "), RESERVED, " ")
+    text = F.when(text.rlike("copyright|[(]c[)]|©|all rights reserved"), bare).otherwise(text)
     for spelling, same in SPELLINGS:
         text = F.replace(text, F.lit(spelling), F.lit(same))
     return F.regexp_replace(text, r"[^\p{L}\p{N}\n]+", " ")
@@ -92,8 +99,10 @@ def known_digests(licences: DataFrame) -> DataFrame:
 
 
 def default_licences(spark: SparkSession) -> DataFrame:
-    """The statements and texts of :data:`KNOWN`."""
-    return spark.createDataFrame([*KNOWN], "licence string, text string")
+    """The statements and texts of :data:`KNOWN`, and the full texts in the folder ``licences``: a file's name begins with its licence's."""
+    names = {path.name.removesuffix(".txt"): path.read_text() for path in sorted(TEXTS.glob("*.txt"))}
+    full = [(name if name in LICENCES else name.rpartition(".")[0], text) for name, text in names.items()]
+    return spark.createDataFrame([*KNOWN, *full], "licence string, text string")
 
 
 def scan(documents: DataFrame, licences: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,4 +145,7 @@ SELECT d.id AS doc_id, {dig % ("c", "c")} AS canonical_digest, licence, line_lic
  LEFT JOIN k ON k.digest = {dig % ("c", "c")} LEFT JOIN l ON l.id = d.id""".replace("\\\\", "\\")
 
 
+TEXTS = Path(__file__).parent / "licences"
+# the files' licences; another text of one has a word of its own after the name
+LICENCES = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")
 BROADCAST_LICENCES = 20_000  # rows of 100 bytes

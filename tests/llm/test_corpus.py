@@ -81,6 +81,17 @@ def test_licences_by_text_and_line(spark, none):
     assert licenses.scan(none, licenses.default_licences(spark)).count() == 0
 
 
+def test_licences_by_full_texts_and_beside_notices(spark):
+    texts = {path.stem: path.read_text() for path in licenses.TEXTS.glob("*.txt")}
+    rows = [(name, "Copyright (c) 2019 J. R. Smith, Inc. All rights reserved.\n" + text.upper()) for name, text in texts.items()]
+    rows += [("one line", "Copyright (c) 2020 X. Released under the MIT License."), ("company", "Copyright 2020 X Inc. Licensed under CC BY 4.0."), ("reserved", "A text, all rights reserved, without line breaks.")]
+    told = licenses.scan(spark.createDataFrame(rows, "doc_id string, text string"), licenses.default_licences(spark))
+    got = {r["doc_id"]: r for r in told.collect()}
+    assert len(texts) > 10 and all(name.startswith(got[name]["licence"]) for name in texts)
+    assert (got["one line"]["licence"], got["company"]["licence"], got["reserved"]["licence"]) == ("MIT", "CC-BY-4.0", None)
+    assert got["reserved"]["canonical_digest"] == hashlib.sha256(b"a text without line breaks").hexdigest()
+
+
 def test_token_counts_are_the_library_s(spark, docs, none):
     library, rng = Tokenizer.from_file(BPE), random.Random(1)
     texts = ["".join(rng.choice("abcstmdrvleSTRE'''  \n\té漢１2²½!?_<|>🤖") for _ in range(rng.randrange(60))) for _ in range(800)]
