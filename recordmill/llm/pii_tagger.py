@@ -18,7 +18,9 @@ by :func:`find`.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -34,6 +36,7 @@ LABELS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 WINDOW, STRIDE, MARGIN = 64, 32, 24
 HIDDEN, WIDTH = 12, 8
 SAMPLE_ROWS = 400
+MAX_WINDOWS = 3000  # of the sample that are trained on
 
 # Base patterns, each written so that a long run of its letters is read once.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -205,9 +208,14 @@ def labelled(size: int, spans: list[Span]) -> np.ndarray:
     return out
 
 
-def fit(texts: list[str], epochs: int = 8, rate: float = 0.02, seed: int = 5) -> Model | None:
-    """A model of the base spans of ``texts``, by Adam on the chains' likelihood."""
-    windows, labels = [], []
+def training_windows(texts: list[str], max_windows: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows of all texts with their labels: all if there are at most ``max_windows``, else so many by a hash.
+
+    Windows that hold a kind, for each kind, and windows without any have a fifth of the
+    places each; what some leave goes to the others by the same hash.
+    """
+    best: list[list] = [[] for _ in range(1 + len(KINDS))]  # per kind, heaps of at most max_windows
+    place = 0
     for text in sorted(texts):
         spans = base_spans(text)
         classes, gold = char_classes(text), labelled(len(text), spans)
@@ -217,11 +225,27 @@ def fit(texts: list[str], epochs: int = 8, rate: float = 0.02, seed: int = 5) ->
                 piece = classes[at : min(at + WINDOW, end)]
                 line[: len(piece)] = piece
                 told[: len(piece)] = gold[at : at + len(piece)]
-                windows.append(line)
-                labels.append(told)
-    if not any(told.any() for told in labels):
+                rank = zlib.crc32(place.to_bytes(8, "big") + line.astype(np.uint8).tobytes())
+                one = (-rank, -place, line.astype(np.uint8), told.astype(np.uint8))
+                for kind in {int(k + 1) // 2 for k in np.unique(told)} - {0} or {0}:
+                    (heapq.heappush if len(best[kind]) < max_windows else heapq.heappushpop)(best[kind], one)
+                place += 1
+    ranked = [sorted(heap, key=lambda w: (-w[0], -w[1])) for heap in best]
+    share = max(1, max_windows // len(ranked))
+    chosen = {w[1]: w for line in ranked for w in line[:share]}
+    for w in sorted((w for line in ranked for w in line[share:]), key=lambda w: (-w[0], -w[1])):
+        if len(chosen) >= max_windows:
+            break
+        chosen.setdefault(w[1], w)
+    return [(chosen[k][2].astype(np.int64), chosen[k][3].astype(np.int64)) for k in sorted(chosen, reverse=True)]  # as they stand in the texts
+
+
+def fit(texts: list[str], epochs: int = 8, rate: float = 0.02, seed: int = 5, max_windows: int = MAX_WINDOWS) -> Model | None:
+    """A model of the base spans of ``texts``, by Adam on the chains' likelihood over at most ``max_windows`` windows."""
+    picked = training_windows(texts, max_windows)
+    if not any(told.any() for _, told in picked):
         return None
-    x_all, y_all, rng = np.array(windows[:MAX_WINDOWS]), np.array(labels[:MAX_WINDOWS]), np.random.default_rng(seed)
+    x_all, y_all, rng = np.array([line for line, _ in picked]), np.array([told for _, told in picked]), np.random.default_rng(seed)
     make = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
     gates = np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)])
     values = [make(PAD + 1, WIDTH), make(WIDTH + HIDDEN, 4 * HIDDEN), gates.copy(), make(WIDTH + HIDDEN, 4 * HIDDEN), gates.copy(), make(2 * HIDDEN, LABELS), np.zeros(LABELS), np.zeros((LABELS, LABELS))]
@@ -239,9 +263,6 @@ def fit(texts: list[str], epochs: int = 8, rate: float = 0.02, seed: int = 5) ->
     return _model(values)
 
 
-MAX_WINDOWS = 3000  # of the training sample
-
-
 def _model(v: list[np.ndarray]) -> Model:
     return Model(v[0], (v[1], v[2]), (v[3], v[4]), v[5], v[6], v[7])
 
@@ -352,13 +373,13 @@ def all_spans(model: Model | None, texts: list[str], min_confidence: float) -> t
     return base, out
 
 
-def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text") -> Model | None:
+def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, max_windows: int = MAX_WINDOWS, doc_id: str = "doc_id", text: str = "text") -> Model | None:
     """A model of at most ``sample_rows`` documents with a digit or an at sign, chosen by a hash of the id."""
     hinted = documents.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).where(F.col("t").rlike("[0-9@]") & F.col(doc_id).isNotNull())
     # ids alone are sorted; only the chosen rows' texts come to the driver
     ids = [r["i"] for r in hinted.select("i").distinct().orderBy(F.xxhash64("i", F.lit(29)), "i").limit(sample_rows).collect()]
     rows = hinted.where(F.col("i").isin(ids)).groupBy("i").agg(F.min("t").alias("t")).collect()
-    return fit([r["t"] for r in rows])
+    return fit([r["t"] for r in rows], max_windows=max_windows)
 
 
 def _written(spans: list[Span]) -> str:

@@ -227,6 +227,17 @@ def test_personal_data_rows_and_masks(spark, docs, none):
     assert pii_tagger.find(docs).count() == docs.count() and pii_tagger.find(none).count() == 0
 
 
+def test_training_windows_hold_every_kind_of_all_texts():
+    table = "\n".join(f"{i} {i * 7} {i * 13}" for i in range(9000))
+    spans = ["zz ann@mail.example.com", "zz 10.0.0.7 is up", "zz 4111111111111111", "zz call +1 206 555 0123"]
+    picked = pii_tagger.training_windows([table, *spans], 300)
+    assert len(picked) == 300 and {int(k) for _, told in picked for k in np.unique(told)} == set(range(pii_tagger.LABELS))
+    few = pii_tagger.training_windows(spans, 300)
+    assert len(few) == sum(len(pii_tagger.window_starts(b, e)) for t in spans for b, e in pii_tagger.stretches(t))
+    model = pii_tagger.fit([table, *spans * 20], epochs=1)
+    assert model is not None
+
+
 def test_tagger_gradient_is_the_slope():
     rng = np.random.default_rng(5)
     h, w, n = pii_tagger.HIDDEN, pii_tagger.WIDTH, pii_tagger.LABELS
