@@ -845,7 +845,7 @@ def ml_train_score(spark, sf_dir):
     """Train, save, load and score a classifier of expensive orders."""
     rows = _order_features(spark, sf_dir).withColumn("is_popular", (F.col("o_totalprice") > 300000).cast("int"))
     folder = scratch_dir(spark, "model")
-    trained = boosting.train(rows, "is_popular", "classification", "o_orderkey", n_estimators=10)
+    trained = boosting.train(rows, "is_popular", "classification", "o_orderkey")
     boosting.save(trained, folder, spark)
     return boosting.predict(boosting.load(spark, folder), rows.drop("is_popular"), ["o_orderkey"])
 
@@ -855,7 +855,7 @@ def ml_train_score_regression(spark, sf_dir):
     """Train a regressor and append its scores to the predictions table."""
     rows = _order_features(spark, sf_dir)
     base = scratch_dir(spark, "predictions")
-    trained = boosting.train(rows, "o_totalprice", "regression", "o_orderkey", n_estimators=10)
+    trained = boosting.train(rows, "o_totalprice", "regression", "o_orderkey")
     boosting.score_run(trained, rows, "o_orderkey", base, "run-1", AS_OF)
     return spark.read.schema(schemas.PREDICTIONS).parquet(base)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -16,7 +17,7 @@ from recordmill.operators import boosting, checks, data_tests, facts, ledger
 from recordmill.plans import markets, repos
 from recordmill.session import cut_lineage
 from recordmill.sources import landing, ndjson, tables
-from recordmill.sources.pages import SourceConfig, flatten_pages
+from recordmill.sources.pages import SourceConfig, cut_runs, flatten_pages
 from recordmill.streaming.landing import land_new_files
 
 
@@ -174,9 +175,12 @@ def run(
     state: dict[str, Any] = {"source_name": config.source_name, "ml_enabled": scoring is not None}
     status = "FAILURE"
     try:
-        records = flatten_pages(pages.where(F.col("source") == config.source_name), [config])
+        own = pages.where(F.col("source") == config.source_name)
+        records = flatten_pages(own, [config])
         written = ndjson.write_raw(records.select("data"), house.base, config.source_name, as_of, run_id)
         state["ingestResult"] = {"Payload": written}
+        if cut := cut_runs(own, [config]).count():
+            warnings.warn(f"{config.source_name}: max_pages = {config.max_pages} ended {cut} runs before their last page", stacklevel=2)
         if written["s3Key"]:
             land_new_files(spark, house.raw, house.landing, house.landed, run_id, as_of)
         landed = written["recordCount"] and landing.load_summary(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Mapping
+from csv import reader
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,18 +104,23 @@ def write_scoring(df: DataFrame, path: str, accept: str = "text/csv") -> None:
 
 
 def read_predictions(spark: SparkSession, prefix: str, load_id: str, predicted_at: datetime) -> DataFrame | None:
-    """First cells of the ``*.out`` files below a prefix, header lines and blank rows dropped.
+    """First cells of the ``*.out`` files below a prefix, without blank lines.
 
-    Returns ``load_id, predicted_at, prediction`` or None when no file matches.
+    A file's first line is dropped if its first cell is ``prediction``. An empty cell is an
+    empty text. Returns ``load_id, predicted_at, prediction`` or None when no file matches.
     """
     found = files.paths_of(files.list_files(spark, prefix, "*.out"))
     if not found:
         return None
-    rows = spark.read.schema("prediction string").option("mode", "PERMISSIVE").csv(found)
-    return rows.where(F.col("prediction").isNotNull() & (F.col("prediction") != "prediction")).select(
+    split = {True: [], False: []}
+    for header, paths in by_header(spark, found).items():
+        split[next(iter(next(reader([header]), [])), None) == "prediction"] += paths
+    read = lambda headed: spark.read.schema("prediction string").options(header=str(headed).lower(), mode="PERMISSIVE").csv(split[headed])
+    rows = reduce(DataFrame.unionByName, [read(headed) for headed in split if split[headed]] or [spark.createDataFrame([], "prediction string")])
+    return rows.select(
         F.lit(load_id).alias("load_id"),
         F.lit(predicted_at).cast("timestamp").alias("predicted_at"),
-        "prediction",
+        F.coalesce("prediction", F.lit("")).alias("prediction"),
     )
 
 

@@ -97,10 +97,10 @@ def _with_stop_flag(pages: DataFrame) -> DataFrame:
     )
 
 
-def kept_pages(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
-    """The pages a reader following the stop rules would have asked for.
+def _ranked_pages(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
+    """``source, run_id, page_no, max_pages, page_rank, last_rank`` of the first pages of each run.
 
-    Returns ``source, run_id, page_no``. Only narrow rows are ranked, and as no run keeps
+    Only narrow rows are ranked, and as no run keeps
     more than the largest ``max_pages``, each task passes on at most that many rows of a
     run, however many pages the run holds.
     """
@@ -108,22 +108,44 @@ def kept_pages(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
         "source", "run_id", "page_no", F.col("_s.max_pages").alias("max_pages"), "is_last"
     )
     in_run = Window.partitionBy("source", "run_id")
-    ranked = (
+    return (
         flagged.withColumn("page_rank", F.row_number().over(in_run.orderBy("page_no")))
         .where(F.col("page_rank") <= max(c.max_pages for c in configs))
         .withColumn("last_rank", F.min(F.when(F.col("is_last"), F.col("page_rank"))).over(in_run))
     )
+
+
+def kept_pages(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
+    """The pages a reader following the stop rules would have asked for: ``source, run_id, page_no``."""
+    ranked = _ranked_pages(pages, configs)
     return ranked.where(F.col("page_rank") <= F.least("last_rank", "max_pages")).select("source", "run_id", "page_no")
 
 
+def cut_runs(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFrame:
+    """Runs that ``max_pages`` ended before a page did: ``source, run_id, max_pages``."""
+    ranked = _ranked_pages(pages, list(configs))
+    open_end = F.coalesce(F.col("last_rank") > F.col("max_pages"), F.lit(True))
+    return ranked.where((F.col("page_rank") == F.col("max_pages")) & open_end).select("source", "run_id", "max_pages")
+
+
+def _with_keys(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
+    """The pages of the known sources; one without run or number fails the job."""
+    known = pages.where(F.col("source").isin([c.source_name for c in configs]))
+    for key in ("run_id", "page_no"):
+        known = known.withColumn(key, F.coalesce(key, F.raise_error(F.lit(f"a page has no {key}")).cast(pages.schema[key].dataType)))
+    return known
+
+
 def flatten_pages(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFrame:
     """Rows ``source, run_id, page_no, payload`` to one row per record.
 
     Returns ``source, run_id, page_no, position, data``. A kept page whose records are not
-    a list fails the job; pages past the stop are never looked at. The semi join can only
+    a list fails the job, and so does a page without run or number; payloads past the stop
+    are never looked at, and :func:`cut_runs` tells which runs ``max_pages`` ended. The semi join can only
     ever broadcast the narrow list of kept pages, never the payloads.
     """
     configs = list(configs)
+    pages = _with_keys(pages, configs)
     kept = pages.join(kept_pages(pages, configs), ["source", "run_id", "page_no"], "left_semi")
     found = _with_settings(kept, configs).withColumn("records", _records(F.parse_json("payload")))
     complaint = F.concat(F.lit("Expected list at '"), F.col("_s.records_name"), F.lit("'"))

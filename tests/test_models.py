@@ -165,3 +165,28 @@ def test_prediction_files(spark, scratch):
     assert spark.read.parquet(f"{scratch}/t").count() == 4
     spark.range(1).write.csv(f"{scratch}/empty")
     assert csv.load_predictions(spark, f"{scratch}/empty", f"{scratch}/t", "r2", AT)["status"] == "SKIPPED"
+
+
+def test_prediction_files_lose_nothing_but_header_lines(spark, scratch):
+    for headed in (True, False):
+        lines = ["prediction,other"] * headed + ["0.5,a", ",b", "prediction,c"]
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("append").option("extension", "out").text(f"{scratch}/t{headed}")
+        spark.read.text(f"{scratch}/t{headed}").coalesce(1).write.mode("append").option("quote", "").option("sep", "\x01").option("extension", "out").csv(f"{scratch}/out")
+    got = csv.read_predictions(spark, f"{scratch}/out", "r1", AT)
+    assert sorted(r.prediction for r in got.collect()) == ["", "", "0.5", "0.5", "prediction", "prediction"]
+
+
+def test_registered_trainings_boost_the_default_trees(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    asked = []
+
+    def train(*args, n_estimators=boosting.N_ESTIMATORS, **options):
+        asked.append(n_estimators)
+        raise InterruptedError
+
+    monkeypatch.setattr(boosting, "train", train)
+    for name in ("ml_train_score", "ml_train_score_regression"):
+        with pytest.raises(InterruptedError):
+            entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert asked == [100, 100]

@@ -173,3 +173,18 @@ def test_random_runs_match_a_page_by_page_reader(spark, kind):
     for r in sorted(picked.collect(), key=lambda r: (r.page_no, r.position)):
         got[r.run_id].append(r.id)
     assert got == want
+
+
+@pytest.mark.parametrize("key", ["run_id", "page_no"])
+def test_a_page_without_key_fails_the_job(spark, key):
+    df = pages(spark, page(1)).unionByName(pages(spark, page(2)).withColumn(key, F.lit(None).cast("string" if key == "run_id" else "long")))
+    with pytest.raises(Exception, match=f"a page has no {key}"):
+        flatten_pages(df, [config()]).collect()
+
+
+def test_runs_cut_by_the_cap_are_told(spark):
+    from recordmill.sources.pages import cut_runs
+
+    settings = [config(pagination_type="page", page_size=2, max_pages=2)]
+    both = pages(spark, page(1, 2), page(3, 4), page(5), run="cut").unionByName(pages(spark, page(1, 2), page(3), run="whole"))
+    assert [tuple(r) for r in cut_runs(both, settings).collect()] == [("s", "cut", 2)]
