@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordmill.llm import impact_search, language_crf, licenses, lm_scoring, pieces, pii_tagger, prefix_join, templates, tokenizer_fst, warc
+from recordmill.llm import impact_search, language_crf, licenses, lm_scoring, main_text, pieces, pii_tagger, prefix_join, spelling_variants, templates, tokenizer_fst, warc, whitening
 from recordmill.llm.common import table
 from recordmill.session import scratch_dir
 
@@ -98,3 +98,18 @@ def op9_prefix_join(spark, sf_dir):
 @query()
 def op7_pii(spark, sf_dir):
     return pii_tagger.find(table(spark, sf_dir, "documents"))
+
+
+@query(spelling_variants.SQL)
+def op11_spelling_variants(spark, sf_dir):
+    return spelling_variants.variants(spelling_variants.word_counts(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_main_text(spark, sf_dir):
+    return main_text.extract(table(spark, sf_dir, "pages"))

@@ -33,7 +33,7 @@ def none(spark):
 
 
 def test_every_dealt_query_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in entry.queries() if re.match(r"op\d+_", n)} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in entry.queries() if re.match(r"op\d+_", n)} == set(range(1, 14))
     assert "pipeline" in entry.queries()
 
 
