@@ -2,7 +2,9 @@
 
 Every word is a path in two tries, one of its letters from the front and one from the back.
 A trie is a distributed edge table (node, first, label, child): nodes are prefixes that branch
-or end a word, named by a 64-bit hash, and an edge holds the letters between two of them.
+or end a word, named by a 64-bit hash, and an edge holds the letters between two of them. It also
+says which letters follow its child and how many letters are left to ends of words below it, as
+64-bit sets, so that a state which cannot go on or end there is not made.
 The frontier holds states (word, what is left of it, node, edits). With no edit a word stays on
 its own path; its first difference to a neighbour lies at one of its own nodes, where it takes
 another word's edge by one replaced, inserted or deleted letter. From there states with one edit
@@ -41,6 +43,7 @@ FRONT, BACK = 0, 1
 PRIME, MASK = 0x100000001B3, (1 << 64) - 1
 SEEDS = (0xCBF29CE484222325, 0x9AE16A3B2F90404F)
 ROWS_AT_ONCE = 8_192
+NEXT_BIT = "CASE WHEN next = 0 THEN 0 ELSE 1 + next % 63 END"  # 0: a word ends here
 
 
 def word_counts(documents: DataFrame, damage_every: int = 97, min_length: int = 5, min_count: int = 3) -> DataFrame:
@@ -62,11 +65,11 @@ def word_counts(documents: DataFrame, damage_every: int = 97, min_length: int =
 
 
 def _walks(words: DataFrame, wide: bool) -> DataFrame:
-    """The prefixes of each word on both sides that a word at one edit may share: node and next letter, or node, word and depth."""
+    """The prefixes of each word on both sides that a word at one edit may share: node, next letter and letters left, or node, word and depth."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["word", "n", "side", "depth", "node"] if wide else ["node", "next"]
-        types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64()] if wide else [pa.int64(), pa.string()]
+        names = ["word", "n", "side", "depth", "node"] if wide else ["node", "next", "left"]
+        types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64()] if wide else [pa.int64(), pa.int32(), pa.int32()]
         held: list[list] = [[] for _ in names]
 
         def batch() -> pa.RecordBatch:
@@ -79,47 +82,60 @@ def _walks(words: DataFrame, wide: bool) -> DataFrame:
             columns = given.to_pydict()
             for word, n in zip(columns["word"], columns["n"]):
                 size = len(word)
-                for side, letters, first in ((FRONT, word, (size - 1) // 2), (BACK, word[::-1], size // 2)):
+                codes = [*map(ord, word)]
+                for side, letters, first in ((FRONT, codes, (size - 1) // 2), (BACK, codes[::-1], size // 2)):
                     node = SEEDS[side]
                     for depth in range(size + 1):
                         if depth >= first:
                             told = node - (1 << 64) if node >> 63 else node
-                            row = (word, n, side, depth, told) if wide else (told, letters[depth : depth + 1])
+                            row = (word, n, side, depth, told) if wide else (told, letters[depth] if depth < size else 0, size - depth)
                             for values, value in zip(held, row):
                                 values.append(value)
                             if len(held[0]) >= ROWS_AT_ONCE:
                                 yield batch()
                         if depth < size:
-                            node = (node ^ ord(letters[depth])) * PRIME & MASK
+                            node = (node ^ letters[depth]) * PRIME & MASK
                             node ^= node >> 29
         if held[0]:
             yield batch()
 
-    return words.mapInArrow(run, "word string, n long, side int, depth int, node long" if wide else "node long, next string")
+    return words.mapInArrow(run, "word string, n long, side int, depth int, node long" if wide else "node long, next int, left int")
 
 
 def trie_paths(words: DataFrame) -> DataFrame:
-    """(word, n, side, letters, stops): the nodes (depth, node) on each word's own path, the last one ends the word."""
+    """(word, n, side, letters, stops): the nodes (depth, node, follow, sizes) on each word's own path, the last one ends the word."""
     short_batches(words.sparkSession)
-    ends = _walks(words, False).groupBy("node").agg(F.min("next").alias("low"), F.max("next").alias("high"))
-    nodes = ends.where("low = '' OR low <> high").select("node")
+    ends = _walks(words, False).groupBy("node").agg(
+        F.min("next").alias("low"),
+        F.max("next").alias("high"),
+        F.expr(f"bit_or(shiftleft(1L, {NEXT_BIT}))").alias("follow"),
+        F.expr("bit_or(shiftleft(1L, least(left, 63)))").alias("sizes"),
+    )
+    nodes = ends.where("low = 0 OR low <> high").select("node", "follow", "sizes")
     letters = F.when(F.col("side") == BACK, F.reverse("word")).otherwise(F.col("word"))
     return (
         _walks(words, True)
-        .join(nodes, "node", "left_semi")
+        .join(nodes, "node")
         .groupBy("word", "n", "side")
-        .agg(F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("stops"))
+        .agg(F.sort_array(F.collect_list(F.struct("depth", "node", "follow", "sizes"))).alias("stops"))
         .select("word", "n", "side", letters.alias("letters"), "stops")
     )
 
 
 def edge_table(paths: DataFrame) -> DataFrame:
-    """(node, first, label, child): the letters from each node to the next one on any word's path."""
+    """(node, first, label, child, follow, sizes): the letters from each node to the next one on any word's path, and what comes after that."""
     steps = F.arrays_zip(F.slice("stops", F.lit(1), F.size("stops") - 1).alias("a"), F.slice("stops", F.lit(2), F.size("stops")).alias("b"))
     step = paths.where(F.size("stops") > 1).select("letters", F.explode(steps).alias("s")).select("letters", "s.a", "s.b")
     label = F.substring(F.col("letters"), F.col("a.depth") + 1, F.col("b.depth") - F.col("a.depth"))
-    edges = step.select(F.col("a.node").alias("node"), label.alias("label"), F.col("b.node").alias("child")).distinct()
-    return edges.select("node", F.substring("label", 1, 1).alias("first"), "label", "child")
+    edges = step.select(F.col("a.node").alias("node"), label.alias("label"), F.col("b.node").alias("child"), "b.follow", "b.sizes").distinct()
+    return edges.select("node", F.substring("label", 1, 1).alias("first"), "label", "child", "follow", "sizes")
+
+
+def _hopeful(states: DataFrame) -> DataFrame:
+    """States whose next letter follows their node and whose letters left are as many as some word's below it."""
+    bit = NEXT_BIT.replace("next", "ascii(rest)")
+    able = f"shiftright(follow, {bit}) & 1 = 1 AND shiftright(sizes, least(length(rest), 63)) & 1 = 1"
+    return states.where(able).select("word", "n", "side", "rest", "node")
 
 
 def _tail(text: str, start: Column | int, length: Column | None = None) -> Column:
@@ -138,9 +154,9 @@ def _first_edits(paths: DataFrame, edges: DataFrame) -> DataFrame:
     inserted = F.when(_tail("rest", 1, long - 1) == _tail("label", 2), _tail("rest", long))
     deleted = F.when(_tail("rest", 2, long) == F.col("label"), _tail("rest", long + 2))
     edited = own.join(edges, "node").where(F.col("first") != F.substring("rest", 1, 1))
-    after = edited.select("word", "n", "side", F.explode(F.array_compact(F.array(replaced, inserted, deleted))).alias("rest"), F.col("child").alias("node"))
+    after = edited.select("word", "n", "side", F.explode(F.array_compact(F.array(replaced, inserted, deleted))).alias("rest"), F.col("child").alias("node"), "follow", "sizes")
     last_deleted = own.where(F.length("rest") == 1).select("word", "n", "side", F.lit("").alias("rest"), "node")
-    return after.unionByName(last_deleted)
+    return _hopeful(after).unionByName(last_deleted)
 
 
 def neighbours(words: DataFrame) -> DataFrame:
@@ -153,7 +169,7 @@ def neighbours(words: DataFrame) -> DataFrame:
         ended.append(frontier.where("rest = ''").select("word", "n", "side", "node"))
         going = frontier.where("rest <> ''").withColumn("first", F.substring("rest", 1, 1))
         met = going.join(edges, ["node", "first"]).where(F.startswith("rest", "label"))
-        frontier = cut_lineage(met.select("word", "n", "side", _tail("rest", F.length("label") + 1).alias("rest"), F.col("child").alias("node")))
+        frontier = cut_lineage(_hopeful(met.select("word", "n", "side", _tail("rest", F.length("label") + 1).alias("rest"), F.col("child").alias("node"), "follow", "sizes")))
         if frontier.isEmpty():
             break
     last = F.element_at("stops", -1)["node"]
