@@ -92,13 +92,13 @@ LANDING_RULES = ["load_id", "source", "ingested_at"]
 
 
 def _not_built(spark: SparkSession, landed: DataFrame, house: Warehouse) -> DataFrame:
-    """Landed rows of the writes that no build has taken in; their folders' names are enough to tell."""
+    """Landed rows of the attempts that no build has taken in; their folders' names are enough to tell."""
     built = tables.current(spark, _built(house))
-    return landed if built is None else landed.join(built, "batch", "left_anti")
+    return landed if built is None else landed.join(built, "attempt", "left_anti")
 
 
 def _built(house: Warehouse) -> str:
-    return f"{house.latest.rstrip('/')}-batches"
+    return f"{house.latest.rstrip('/')}-attempts"
 
 
 def build_tables(spark: SparkSession, house: Warehouse) -> None:
@@ -110,7 +110,7 @@ def build_tables(spark: SparkSession, house: Warehouse) -> None:
     landed = landing.read_landing(spark, house.landing)
     known = tables.current(spark, house.latest)
     fresh = _not_built(spark, landed, house)
-    taken = cut_lineage(landed.select("batch").distinct())
+    taken = cut_lineage(landing.landed_files(spark, house.landing).select("attempt").distinct())
     data_tests.require(fresh, "landing", data_tests.rules(LANDING_RULES))
     data_tests.require(repos.staged(fresh), "staged repos", repos.staging_rules())
     data_tests.require(markets.staged(fresh), "staged markets", markets.staging_rules())
@@ -183,15 +183,18 @@ def run(
             warnings.warn(f"{config.source_name}: max_pages = {config.max_pages} ended {cut} runs before their last page", stacklevel=2)
         if written["s3Key"]:
             land_new_files(spark, house.raw, house.landing, house.landed, run_id, as_of)
-        landed = written["recordCount"] and landing.load_summary(
-            landing.read_landing(spark, house.landing).where(
-                (F.col("source") == config.source_name)
-                & (F.col("ingest_date") == F.lit(as_of.date()))
-                & (F.col("load_id") == run_id)
-            )
-        ).first()
+        mine = (F.col("source") == config.source_name) & (F.col("load_id") == run_id)
+        landed = written["recordCount"] and landing.summary_of(landing.landed_files(spark, house.landing).where(mine)).first()
         loaded = landed.rows_loaded if landed else 0
-        state["loadResult"] = {"Payload": {"rowsLoaded": loaded, "status": "LOADED" if loaded else "SKIPPED"}}
+        state["loadResult"] = {
+            "Payload": {
+                "loadId": run_id,
+                "source": config.source_name,
+                "rowsLoaded": loaded,
+                "filesLoaded": landed.files_loaded if landed else 0,
+                "status": "LOADED" if loaded else "SKIPPED",
+            }
+        }
         build_tables(spark, house)
         state["dbtResult"] = {"status": "BUILT"}
         if scoring is not None:

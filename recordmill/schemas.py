@@ -13,7 +13,30 @@ LANDING = T.StructType(
         T.StructField("data", T.VariantType(), False),
         T.StructField("source", T.StringType(), False),
         T.StructField("ingest_date", T.DateType(), False),
-        T.StructField("batch", T.StringType(), False),
+        T.StructField("attempt", T.StringType(), False),
+    ]
+)
+
+# One row per raw file of a landing write, and the lines of the landing table's commits.
+LANDED_FILES = T.StructType(
+    [
+        T.StructField("load_id", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("load_date", T.DateType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("last", T.TimestampType()),
+        T.StructField("attempt", T.StringType()),
+    ]
+)
+LANDING_COMMITS = T.StructType(
+    [
+        T.StructField("owner", T.StringType()),
+        T.StructField("batch", T.StringType()),
+        T.StructField("attempt", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("files", T.LongType()),
     ]
 )
 
@@ -80,7 +103,7 @@ def create_table(spark: SparkSession, name: str, schema: T.StructType, partition
 def create_tables(spark: SparkSession) -> None:
     """The landing and predictions tables and the two placeholder relations."""
     create_namespaces(spark)
-    create_table(spark, "raw.landing", LANDING, ["source", "ingest_date", "batch"])
+    create_table(spark, "raw.landing", LANDING, ["attempt", "source", "ingest_date"])
     create_table(spark, "marts.ml_predictions", PREDICTIONS, ["load_id"])
     create_table(spark, "marts.ml_inference_input", INFERENCE_INPUT)
     create_table(spark, "marts.ml_training_data", TRAINING_DATA)

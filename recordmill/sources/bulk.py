@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,29 +36,32 @@ def csv_records(spark: SparkSession, paths: list[str], multi_line: bool = True)
 def land_changed(
     spark: SparkSession, folder: str, seen_dir: str, landing_dir: str, source: str, load_id: str, ingested_at: datetime
 ) -> dict:
-    """Land the files that are new or changed since the last call, then remember them.
+    """Land the files that are new or changed since the last call, and remember them.
 
-    A call repeated under the same load id after a failure replaces what the first one
-    left behind.
+    The files are remembered under the attempt that lands them, so one commit makes both
+    count: a call that fails before it leaves neither. A call repeated for the same files
+    under the same load id replaces what the first one left behind; other files under
+    that id are added.
     """
     listing = files.list_files(spark, folder, "*.csv")
     if tables.path_exists(spark, seen_dir):
-        listing = files.changed_files(listing, spark.read.schema(SEEN).parquet(seen_dir))
+        told = spark.read.schema(T.StructType([*SEEN.fields, T.StructField("attempt", T.StringType())])).parquet(seen_dir)
+        landed = landing.commit_log(spark, landing_dir).current().where(F.col("owner") == source).select("attempt").distinct()
+        listing = files.changed_files(listing, told.join(landed, "attempt", "left_semi"))
     # One row of metadata per new file, fixed here: a file arriving later waits for the next call.
-    found = listing.collect()
-    paths = sorted(row.path for row in found)
-    if not paths:
+    found = sorted(listing.collect())
+    if not found:
         return {"status": "SKIPPED", "reason": "no new files", "source": source, "rowsLoaded": 0, "filesLoaded": 0}
-    records = csv_records(spark, paths)
-    landing.write_batch(landing.to_landing(records, source, load_id, ingested_at), landing_dir, load_id)
-    spark.createDataFrame(found, SEEN).write.mode("append").parquet(seen_dir)
-    rows = landing.read_landing(spark, landing_dir)
-    mine = (F.col("source") == source) & (F.col("ingest_date") == F.lit(ingested_at.date())) & (F.col("batch") == load_id)
-    done = landing.load_summary(rows.where(mine)).first()
+    records = csv_records(spark, [row.path for row in found])
+    attempt = landing.stage_batch(landing.to_landing(records, source, load_id, ingested_at), landing_dir)
+    spark.createDataFrame(found, SEEN).write.parquet(f"{seen_dir}/attempt={attempt}")
+    which = hashlib.sha256(json.dumps([list(map(str, row)) for row in found]).encode()).hexdigest()[:16]
+    done = landing.commit_batch(spark, landing_dir, attempt, f"{load_id}-{which}", source)
+    rows = done.get(source, 0)
     return {
-        "status": "LOADED" if done else "SKIPPED",
+        "status": "LOADED" if rows else "SKIPPED",
         "source": source,
         "loadId": load_id,
-        "rowsLoaded": done.rows_loaded if done else 0,
-        "filesLoaded": done.files_loaded if done else 0,
+        "rowsLoaded": rows,
+        "filesLoaded": len(found) if rows else 0,
     }

@@ -1,11 +1,18 @@
-"""The landing table: one row per record, in folders by source, day and write.
+"""The landing table: one row per record, published write by write.
 
-A write is named (``batch``) and replaces what an earlier try under its name left behind, so
-repeating it after a failure adds nothing twice.
+A write puts its rows into a folder of its own try (``attempt``), then the list of its raw files
+with their row counts, and then one commit makes both visible. A write has a name (``batch``) and
+an owner, by default the source of the rows: the newest commit under an owner's name replaces the
+one before, whatever its day, and nobody else's. A try that ended before its commit is never seen.
+
+    rows/attempt=../source=../ingest_date=../   the records
+    files/attempt=../                           one row per raw file
+    commits/                                    what of these is visible
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +21,10 @@ from pyspark.sql import types as T
 
 from recordmill import schemas
 from recordmill.functions.variants import text_at, truthy
+from recordmill.sources import tables
+from recordmill.sources.commits import Log
 
-PARTITIONS = ["source", "ingest_date", "batch"]
+BROADCAST_COMMITS = 1_000_000  # (attempt, source) lines of a hundred bytes; beyond that Spark chooses the join
 
 
 def to_landing(records: DataFrame, source: Column | str, load_id: str, ingested_at: datetime | Column) -> DataFrame:
@@ -30,33 +39,45 @@ def to_landing(records: DataFrame, source: Column | str, load_id: str, ingested_
     ).withColumn("ingest_date", F.to_date("ingested_at"))
 
 
-def write_batch(landing: DataFrame, path: str, batch: str) -> None:
-    """Add rows under the name of their write; the same name again replaces them, whatever their day.
+def commit_log(spark: SparkSession, path: str) -> Log:
+    return Log(spark, f"{path}/commits", schemas.LANDING_COMMITS, ["owner", "batch"])
+
+
+def stage_batch(landing: DataFrame, path: str) -> str:
+    """Write rows and their file list under a new attempt, seen by nobody yet; returns its name.
 
     A source or day holding most of the rows is split over several files, small ones are
-    put together. A NULL in a column that must be set fails the write.
+    put together. A NULL in a column that must be set fails the write. The file list is
+    made from the narrow columns of what was written.
     """
-    named = landing.withColumn("batch", F.lit(batch)).select(*[_required(f) for f in schemas.LANDING])
-    _forget(landing.sparkSession, path, batch)
-    (
-        named.hint("rebalance", "source", "ingest_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
+    spark, attempt = landing.sparkSession, uuid.uuid4().hex
+    named = landing.select(*[_required(f) for f in schemas.LANDING if f.name != "attempt"])
+    target = f"{path}/rows/attempt={attempt}"
+    named.hint("rebalance", "source", "ingest_date").write.partitionBy("source", "ingest_date").parquet(target)
+    rows = spark.read.schema(T.StructType([f for f in schemas.LANDING if f.name != "attempt"])).parquet(target)
+    per_file(rows).write.parquet(f"{path}/files/attempt={attempt}")
+    return attempt
+
+
+def commit_batch(spark: SparkSession, path: str, attempt: str, batch: str, owner: str | None = None) -> dict[str, int]:
+    """Make an attempt the visible one of its name; returns its row count by source.
+
+    Without ``owner`` each source owns its rows, so two sources may use one name. An owner
+    replaces all that it wrote under the name, also sources the new attempt does not have.
+    """
+    mine = spark.read.schema(schemas.LANDED_FILES).parquet(f"{path}/files").where(F.col("attempt") == attempt)
+    found = mine.groupBy("source").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files")).collect()
+    lines = [{"owner": owner or r.source, "batch": batch, "attempt": attempt, "source": r.source, "rows": r.rows, "files": r.files} for r in found]
+    if owner:
+        lines.append({"owner": owner, "batch": batch, "attempt": attempt, "source": None, "rows": 0, "files": 0})
+    if lines:
+        commit_log(spark, path).publish(lines)
+    return {r.source: r.rows for r in found}
 
 
-def _forget(spark: SparkSession, path: str, batch: str) -> None:
-    """Drop what an earlier try of the write left, in all its sources and days."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if store.exists(root):
-        folder = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch)
-        for found in store.globStatus(jvm.org.apache.hadoop.fs.Path(root, "source=*/ingest_date=*/batch=*")):
-            if found.getPath().getName() == f"batch={folder}":
-                store.delete(found.getPath(), True)
+def write_batch(landing: DataFrame, path: str, batch: str, owner: str | None = None) -> dict[str, int]:
+    """Add rows under the name of their write; the same owner and name again replace them."""
+    return commit_batch(landing.sparkSession, path, stage_batch(landing, path), batch, owner)
 
 
 def _required(field: T.StructField) -> Column:
@@ -64,9 +85,34 @@ def _required(field: T.StructField) -> Column:
     return F.coalesce(F.col(field.name), complaint).alias(field.name)
 
 
+def _visible(spark: SparkSession, path: str, folder: str, schema: T.StructType) -> DataFrame:
+    """Rows of a folder that commits list, by attempt and source."""
+    if not tables.path_exists(spark, f"{path}/{folder}"):
+        return schemas.empty(spark, schema)
+    seen = commit_log(spark, path).current().where("source IS NOT NULL").select("attempt", "source")
+    if seen.count() <= BROADCAST_COMMITS:
+        seen = F.broadcast(seen)
+    return spark.read.schema(schema).parquet(f"{path}/{folder}").join(seen, ["attempt", "source"], "left_semi").select(*schema.names)
+
+
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """The landing table under a fixed schema, so partition values are not guessed."""
-    return spark.read.schema(schemas.LANDING).parquet(path)
+    """The landing table under a fixed schema, as the commits up to now show it."""
+    return _visible(spark, path, "rows", schemas.LANDING)
+
+
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per raw file of the visible writes: what :func:`per_file` gives, without reading a record."""
+    return _visible(spark, path, "files", schemas.LANDED_FILES)
+
+
+def drop_unseen(spark: SparkSession, path: str) -> int:
+    """Delete attempts that no commit shows: replaced ones and those of writers that died. Call it when none is at work."""
+    seen = {r.attempt for r in commit_log(spark, path).current().select("attempt").distinct().collect()}
+    old = [f for kind in ("rows", "files") for f in tables.subfolders(spark, f"{path}/{kind}") if f.rpartition("attempt=")[2] not in seen]
+    for folder in old:
+        store, found = tables.file_system(spark, folder)
+        store.delete(found, True)
+    return len(old)
 
 
 def from_source(landing: DataFrame, source: str) -> DataFrame:
@@ -74,15 +120,25 @@ def from_source(landing: DataFrame, source: str) -> DataFrame:
     return landing.where(F.col("source") == source).select("load_id", "file_path", "ingested_at", "data")
 
 
+def per_file(landing: DataFrame) -> DataFrame:
+    """Landed rows counted by source, day, load and file: ``source, load_date, load_id, file_path, n, last``."""
+    return landing.groupBy("source", F.to_date("ingested_at").alias("load_date"), "load_id", "file_path").agg(
+        F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("last")
+    )
+
+
 def load_summary(landing: DataFrame) -> DataFrame:
-    """Per load and source ``rows_loaded, files_loaded``.
+    """Per load and source ``rows_loaded, files_loaded``, from landed rows.
 
     Rows are counted per file first, so counting the files needs no second pass over rows.
     """
-    per_file = landing.groupBy("load_id", "source", "file_path").agg(F.count(F.lit(1)).alias("n"))
-    return per_file.groupBy("load_id", "source").agg(
-        F.sum("n").alias("rows_loaded"), F.count(F.lit(1)).alias("files_loaded")
-    )
+    return summary_of(per_file(landing))
+
+
+def summary_of(counted: DataFrame) -> DataFrame:
+    """:func:`load_summary` from rows of :func:`per_file` or :func:`landed_files`."""
+    once = counted.groupBy("load_id", "source", "file_path").agg(F.sum("n").alias("n"))
+    return once.groupBy("load_id", "source").agg(F.sum("n").alias("rows_loaded"), F.count(F.lit(1)).alias("files_loaded"))
 
 
 def load_target(state: Column) -> tuple[Column, Column]:
@@ -99,7 +155,12 @@ def load_target(state: Column) -> tuple[Column, Column]:
 
 def load_report(targets: DataFrame, landing: DataFrame) -> DataFrame:
     """Outcome of each wanted load: rows ``load_id, source, s3_key`` in, status out."""
-    done = load_summary(landing)
+    return report_of(targets, per_file(landing))
+
+
+def report_of(targets: DataFrame, counted: DataFrame) -> DataFrame:
+    """:func:`load_report` from rows of :func:`per_file` or :func:`landed_files`."""
+    done = summary_of(counted)
     rows = F.coalesce("rows_loaded", F.lit(0))
     reason = F.when(F.col("s3_key").isNull(), "no s3Key in ingest result").when(rows == 0, "file contained zero records")
     return targets.join(done, ["load_id", "source"], "left").select(
@@ -119,11 +180,13 @@ def landing_audit(landing: DataFrame) -> DataFrame:
     The first aggregate leaves one row per file and load, and only those are expanded for
     the two distinct counts.
     """
-    per_file = landing.groupBy("source", F.to_date("ingested_at").alias("load_date"), "load_id", "file_path").agg(
-        F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("last")
-    )
+    return audit_of(per_file(landing))
+
+
+def audit_of(counted: DataFrame) -> DataFrame:
+    """:func:`landing_audit` from rows of :func:`per_file` or :func:`landed_files`."""
     return (
-        per_file.groupBy("source", "load_date")
+        counted.groupBy("source", "load_date")
         .agg(
             F.sum("n").alias("rows_loaded"),
             F.count_distinct("load_id").alias("load_count"),

@@ -8,19 +8,20 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The store a path lies in, and the path as the store takes it."""
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     return fs.exists(hadoop_path)
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
-    fs, hadoop_path = _file_system(spark, path)
+    fs, hadoop_path = file_system(spark, path)
     if not fs.exists(hadoop_path):
         return []
     return sorted(s.getPath().toString() for s in fs.listStatus(hadoop_path) if s.isDirectory())
@@ -52,7 +53,7 @@ def prune(spark: SparkSession, table_dir: str, keep: int = 2) -> int:
     oldest_kept = complete[-keep:][:1]
     old = [f for f in folders if oldest_kept and f < oldest_kept[0]]
     for folder in old:
-        fs, path = _file_system(spark, folder)
+        fs, path = file_system(spark, folder)
         fs.delete(path, True)
     return len(old)
 

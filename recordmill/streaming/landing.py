@@ -34,17 +34,18 @@ def land_new_files(
     """Add the records of files not landed before, then return.
 
     The checkpoint remembers the files of each batch before it is written and a batch is
-    written under its own name, so one that failed half-way is replaced by its next try,
-    under whatever load id that runs. A bad line fails the batch as a whole.
+    committed under its own name, so one that failed half-way is replaced by its next try,
+    under whatever load id that runs. No batch looks at what others landed. A bad line fails
+    the batch as a whole.
     """
     records = raw_file_stream(spark, raw_dir, files_per_trigger)
     wanted = source if source is not None else ndjson.source_of(F.col("file_path"))
     at = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
     rows = landing.to_landing(records, wanted, load_id, at)
-    stream = hashlib.sha256(checkpoint_dir.encode()).hexdigest()[:8]
+    stream = hashlib.sha256(checkpoint_dir.encode()).hexdigest()[:16]
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        landing.write_batch(batch, landing_dir, f"{stream}-{batch_id:09d}")
+        landing.write_batch(batch, landing_dir, f"{batch_id:09d}", f"stream {stream}")
 
     query = (
         rows.writeStream.foreachBatch(land)
