@@ -22,7 +22,7 @@ from recordmill.plans.derived import k_of, observations, table  # noqa: E402
 from recordmill.session import configure, scratch_dir  # noqa: E402
 from recordmill.sources import csv, files, landing, ndjson, tables  # noqa: E402
 from recordmill.sources.pages import SourceConfig, flatten_pages, page_gaps  # noqa: E402
-from recordmill.streaming.facts import stream_metric, upsert_from_stream  # noqa: E402
+from recordmill.streaming.facts import read_durations, read_metric, stream_durations, stream_metric, upsert_from_stream  # noqa: E402
 from recordmill.streaming.landing import land_new_files  # noqa: E402
 
 AS_OF = datetime(2024, 2, 1, 12, 0, 0)
@@ -167,7 +167,58 @@ def _drop(spark, sf_dir, base, condition):
     ndjson.write_raw_by_source(_event_lines(spark, sf_dir).where(condition), base)
 
 
-@query("SELECT event_type AS source, count(*) AS rows_loaded FROM events GROUP BY 1")
+def _event_records(spark, sf_dir):
+    """Events in the landing envelope with the event itself as record."""
+    data = F.parse_json(F.to_json(F.struct("event_id", "user_id", "value")))
+    return observations(spark, sf_dir).withColumn("data", data).withColumn("ingest_date", F.to_date("ingested_at"))
+
+
+def _landed(spark, path):
+    """Landed rows with the id of their event."""
+    rows = landing.read_landing(spark, path)
+    return rows.select("load_id", "source", "file_path", "ingested_at", F.variant_get("data", "$.event_id", "bigint").alias("event_id"))
+
+
+_LANDED_SQL = OBS + "SELECT load_id, source, file_path, ingested_at, event_id FROM obs"
+
+
+@query(_LANDED_SQL)
+def landing_two_sources(spark, sf_dir):
+    """Each source lands under the same name, one after the other."""
+    path, rows = scratch_dir(spark, "landing"), _event_records(spark, sf_dir)
+    for source in ("view", "click", "signup", "purchase", "error"):
+        landing.write_batch(rows.where(F.col("source") == source), path, "load-1")
+    return _landed(spark, path)
+
+
+@query(_LANDED_SQL)
+def landing_retry(spark, sf_dir):
+    """A try with other rows of another day, one that ends before its commit, then the whole; another writer's rows stay."""
+    path, rows = scratch_dir(spark, "landing"), _event_records(spark, sf_dir)
+    late = F.col("ingested_at") >= F.lit(CUTOFF)
+    landing.write_batch(rows.where(late), path, "late", "writer b")
+    landing.write_batch(rows.where(late), path, "first", "writer a")
+    landing.stage_batch(rows, path)
+    landing.write_batch(rows.where(~late), path, "first", "writer a")
+    return _landed(spark, path)
+
+
+@query(
+    OBS
+    + """SELECT source, strftime(ingested_at,'%Y-%m-%d') AS load_date, count(*) AS rows_loaded,
+ count(DISTINCT load_id) AS load_count, count(DISTINCT file_path) AS file_count,
+ max(ingested_at) AS last_load_at FROM obs GROUP BY 1,2"""
+)
+def landing_audit_of_files(spark, sf_dir):
+    """The audit from the file lists of committed writes; no record is read."""
+    path, rows = scratch_dir(spark, "landing"), _event_records(spark, sf_dir)
+    for i, part in enumerate((F.col("ingested_at") < F.lit(CUTOFF), F.col("ingested_at") >= F.lit(CUTOFF))):
+        landing.write_batch(rows.where(part), path, f"load-{i}")
+    audit = landing.audit_of(landing.landed_files(spark, path))
+    return audit.withColumn("load_date", F.col("load_date").cast("string"))
+
+
+@query("SELECT event_type AS source, event_id, user_id, value FROM events")
 def incremental_landing(spark, sf_dir):
     base = scratch_dir(spark, "landing")
     source = F.regexp_extract("file_path", "source=([^/]+)", 1)
@@ -180,10 +231,11 @@ def incremental_landing(spark, sf_dir):
     _drop(spark, sf_dir, f"{base}/raw", F.col("ingested_at") >= F.lit(CUTOFF))
     land()
     land()
-    return landing.load_summary(landing.read_landing(spark, f"{base}/landing")).select("source", "rows_loaded")
+    fields = [F.variant_get("data", f"$.{c}", kind).alias(c) for c, kind in (("event_id", "bigint"), ("user_id", "bigint"), ("value", "double"))]
+    return landing.read_landing(spark, f"{base}/landing").select("source", *fields)
 
 
-@query(f"SELECT event_type AS source, count(*) AS rows_loaded FROM events WHERE ts >= TIMESTAMP '{CUTOFF}' GROUP BY 1")
+@query(f"SELECT event_type AS source, event_id, value FROM events WHERE ts >= TIMESTAMP '{CUTOFF}'")
 def bulk_changed_files(spark, sf_dir):
     base = scratch_dir(spark, "bulk")
     _drop(spark, sf_dir, base, F.col("ingested_at") < F.lit(CUTOFF))
@@ -193,7 +245,8 @@ def bulk_changed_files(spark, sf_dir):
     fresh = files.changed_files(files.list_files(spark, base), spark.read.parquet(seen))
     records = ndjson.read_ndjson(spark, files.paths_of(fresh))
     source = F.regexp_extract("file_path", "source=([^/]+)", 1)
-    return records.groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("rows_loaded"))
+    event_id, value = (F.variant_get("data", f"$.{c}", kind).alias(c) for c, kind in (("event_id", "bigint"), ("value", "double")))
+    return records.select(source.alias("source"), event_id, value)
 
 
 # --- pages -------------------------------------------------------------------------------
@@ -389,9 +442,9 @@ def empty_relation(spark, sf_dir):
 def stream_daily_metrics(spark, sf_dir):
     """The daily fact kept by a stream over two drops of files, the second one starting mid-day."""
     base = scratch_dir(spark, "staged")
-    rows = observations(spark, sf_dir).select("user_id", "value", "ingested_at")
+    rows = observations(spark, sf_dir).select("user_id", "value", "ingested_at", F.to_date("ingested_at").alias("ingest_date"))
     for part in (F.col("ingested_at") < F.lit(CUTOFF), F.col("ingested_at") >= F.lit(CUTOFF)):
-        rows.where(part).write.mode("append").parquet(f"{base}/in")
+        rows.where(part).write.mode("append").partitionBy("ingest_date").parquet(f"{base}/in")
         upsert_from_stream(
             spark.readStream.schema(rows.schema).parquet(f"{base}/in"),
             lambda session: session.read.schema(rows.schema).parquet(f"{base}/in"),
@@ -671,43 +724,68 @@ def alarms(spark, sf_dir):
     return run_metrics.alarms(_ledger(spark, sf_dir), max_p95=250.0)
 
 
-def _ledger_stream(spark, sf_dir):
-    """The events file as a stream of finished runs."""
-    schema = table(spark, sf_dir, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return events.select(
-        F.col("ts").cast("timestamp").alias("ended_at"),
-        F.when(F.col("event_type") == "error", "FAILURE").otherwise("SUCCESS").alias("status"),
-        F.col("event_type").alias("source"),
-        k_of("props").cast("bigint").alias("rows_ingested"),
-    )
+def _states_in_parts(spark, sf_dir):
+    """The run states written in three drops of files, none of which is a range of time."""
+    base = scratch_dir(spark, "states")
+    states = derived.run_states(spark, sf_dir)
+    for part in range(3):
+        states.where(F.crc32(F.col("run_id").cast("binary")) % 3 == part).write.mode("append").parquet(base)
+    schema = spark.read.parquet(base).schema
+    stream = ledger.flatten_states(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(base))
+    return stream.withColumn("ended_at", F.col("ended_at").cast("timestamp"))
 
 
-def _streamed(spark, sf_dir, metric):
+def _streamed(spark, sf_dir, metric, *by):
     base = scratch_dir(spark, "windows")
-    stream_metric(_ledger_stream(spark, sf_dir), metric, f"{base}/out", f"{base}/checkpoint")
-    return _plain(spark.read.parquet(f"{base}/out"))
-
-
-# A stream gives the windows its watermark has closed: those ending a day before the newest run.
-_CLOSED = "window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"
+    # The parts overlap in time: a run counts however late its file comes.
+    stream_metric(_states_in_parts(spark, sf_dir), metric, f"{base}/table", f"{base}/checkpoint", late_by="10000 days", by=by)
+    return _plain(read_metric(spark, f"{base}/table"))
 
 
 @query(
-    f"""SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
- CASE WHEN event_type='error' THEN 'FAILURE' ELSE 'SUCCESS' END AS status, count(*) AS executions
- FROM events GROUP BY 1,2) WHERE {_CLOSED}"""
+    """SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+ CASE WHEN event_type='error' THEN 'FAILURE' ELSE 'SUCCESS' END AS status, count(*) AS executions FROM events GROUP BY 1,2"""
 )
 def stream_exec_5m(spark, sf_dir):
-    return _streamed(spark, sf_dir, run_metrics.executions)
+    return _streamed(spark, sf_dir, run_metrics.executions, "status")
 
 
 @query(
-    f"""SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, event_type AS source,
- sum({K})::BIGINT AS rows_ingested FROM events GROUP BY 1,2) WHERE {_CLOSED}"""
+    f"""SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+ CASE WHEN event_type='view' THEN 'unknown' ELSE event_type END AS source, sum({K})::BIGINT AS rows_ingested
+ FROM events GROUP BY 1,2"""
 )
 def stream_rows_by_source_5m(spark, sf_dir):
-    return _streamed(spark, sf_dir, run_metrics.rows_by_source)
+    return _streamed(spark, sf_dir, run_metrics.rows_by_source, "source")
+
+
+@query(
+    f"""SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, sum({K})::BIGINT AS quality_errors
+ FROM events WHERE event_type='error' GROUP BY 1"""
+)
+def stream_quality_errors_5m(spark, sf_dir):
+    return _streamed(spark, sf_dir, run_metrics.quality_errors)
+
+
+@query(
+    """SELECT time_bucket(INTERVAL 24 HOUR, ts) AS window_start,
+ CASE WHEN event_type='error' THEN 'FAILURE' ELSE 'SUCCESS' END AS status, count(*) AS executions FROM events GROUP BY 1,2"""
+)
+def stream_totals_24h(spark, sf_dir):
+    return _streamed(spark, sf_dir, run_metrics.totals, "status")
+
+
+@query(
+    _LEDGER_SQL
+    + """SELECT time_bucket(INTERVAL 15 MINUTE, ended_at) AS window_start, round(quantile_cont(duration_seconds,0.95),6) AS p95,
+ round(avg(duration_seconds),6) AS avg_duration FROM ledger WHERE status='SUCCESS' GROUP BY 1"""
+)
+def stream_duration_15m(spark, sf_dir):
+    """Sketches kept by a stream; windows of up to 4,096 runs are exact."""
+    base = scratch_dir(spark, "durations")
+    stream_durations(_states_in_parts(spark, sf_dir), f"{base}/table", f"{base}/checkpoint")
+    found = _plain(read_durations(spark, f"{base}/table"))
+    return found.withColumn("p95", F.round("p95", 6)).withColumn("avg_duration", F.round("avg_duration", 6))
 
 
 # --- models ------------------------------------------------------------------------------

@@ -35,6 +35,7 @@ LANDING_COMMITS = T.StructType(
         T.StructField("batch", T.StringType()),
         T.StructField("attempt", T.StringType()),
         T.StructField("source", T.StringType()),
+        T.StructField("sources", T.LongType()),  # how many the attempt has
         T.StructField("rows", T.LongType()),
         T.StructField("files", T.LongType()),
     ]

@@ -13,6 +13,7 @@ one before, whatever its day, and nobody else's. A try that ended before its com
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,8 @@ from recordmill.functions.variants import text_at, truthy
 from recordmill.sources import tables
 from recordmill.sources.commits import Log
 
-BROADCAST_COMMITS = 1_000_000  # (attempt, source) lines of a hundred bytes; beyond that Spark chooses the join
+FEW_COMMITS = 10_000  # (attempt, source) lines written into a plan; more of them are joined
+BROADCAST_COMMITS = 1_000_000  # of a hundred bytes; beyond that Spark chooses the join
 
 
 def to_landing(records: DataFrame, source: Column | str, load_id: str, ingested_at: datetime | Column) -> DataFrame:
@@ -67,9 +69,9 @@ def commit_batch(spark: SparkSession, path: str, attempt: str, batch: str, owner
     """
     mine = spark.read.schema(schemas.LANDED_FILES).parquet(f"{path}/files").where(F.col("attempt") == attempt)
     found = mine.groupBy("source").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files")).collect()
-    lines = [{"owner": owner or r.source, "batch": batch, "attempt": attempt, "source": r.source, "rows": r.rows, "files": r.files} for r in found]
+    lines = [{"owner": owner or r.source, "batch": batch, "attempt": attempt, "source": r.source, "sources": len(found), "rows": r.rows, "files": r.files} for r in found]
     if owner:
-        lines.append({"owner": owner, "batch": batch, "attempt": attempt, "source": None, "rows": 0, "files": 0})
+        lines.append({"owner": owner, "batch": batch, "attempt": attempt, "source": None, "sources": 0, "rows": 0, "files": 0})
     if lines:
         commit_log(spark, path).publish(lines)
     return {r.source: r.rows for r in found}
@@ -86,13 +88,26 @@ def _required(field: T.StructField) -> Column:
 
 
 def _visible(spark: SparkSession, path: str, folder: str, schema: T.StructType) -> DataFrame:
-    """Rows of a folder that commits list, by attempt and source."""
+    """Rows of a folder that commits list, by attempt and source.
+
+    Both name folders, so a filter made of the lines prunes the others while planning and
+    fields of a record are still read by the scan. Very many lines are joined instead.
+    """
     if not tables.path_exists(spark, f"{path}/{folder}"):
         return schemas.empty(spark, schema)
-    seen = commit_log(spark, path).current().where("source IS NOT NULL").select("attempt", "source")
-    if seen.count() <= BROADCAST_COMMITS:
-        seen = F.broadcast(seen)
-    return spark.read.schema(schema).parquet(f"{path}/{folder}").join(seen, ["attempt", "source"], "left_semi").select(*schema.names)
+    rows = spark.read.schema(schema).parquet(f"{path}/{folder}")
+    seen = commit_log(spark, path).current().where("source IS NOT NULL").select("attempt", "source", "sources")
+    lines = seen.limit(FEW_COMMITS + 1).collect()
+    if len(lines) > FEW_COMMITS:
+        pairs = seen.select("attempt", "source")
+        pairs = F.broadcast(pairs) if pairs.count() <= BROADCAST_COMMITS else pairs
+        return rows.join(pairs, ["attempt", "source"], "left_semi").select(*schema.names)
+    left = Counter(r.attempt for r in lines)
+    wanted = F.col("attempt").isin(sorted({r.attempt for r in lines if left[r.attempt] == r.sources}))
+    for r in lines:
+        if left[r.attempt] < r.sources:  # other sources of the attempt were replaced
+            wanted |= (F.col("attempt") == r.attempt) & (F.col("source") == r.source)
+    return rows.where(wanted)
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:

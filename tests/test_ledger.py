@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from recordmill import schemas
 from recordmill.functions import texts
 from recordmill.operators import ledger, run_metrics
-from recordmill.streaming.facts import stream_metric
+from recordmill.streaming.facts import read_metric, stream_metric
 
 AS_OF = datetime(2024, 1, 1, 12)
 
@@ -143,7 +143,7 @@ def test_sums(spark):
 def test_streamed_windows_match_the_batch(spark, scratch):
     t = AS_OF
     rows = [(t + timedelta(minutes=3 * i), "FAILURE" if i % 4 == 0 else "SUCCESS", "a", float(i), i, i) for i in range(40)]
-    # one late run of each status moves every watermark past all other windows
+    # one late run of each status moves every watermark past all other windows; its own stay open
     last = [(t + timedelta(days=5), status, "a", 1.0, 0, 0) for status in ("SUCCESS", "FAILURE")]
     df = runs(spark, *rows)
     for name, metric in {"n": run_metrics.executions, "p": run_metrics.duration_p95_approx, "q": run_metrics.quality_errors}.items():
@@ -151,7 +151,7 @@ def test_streamed_windows_match_the_batch(spark, scratch):
         runs(spark, *rows).write.parquet(f"{base}/in")
         runs(spark, *last).write.mode("append").parquet(f"{base}/in")
         stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 100).parquet(f"{base}/in")
-        stream_metric(stream, metric, f"{base}/out", f"{base}/cp")
-        got = spark.read.parquet(f"{base}/out")
-        want = metric(runs(spark, *rows))
+        stream_metric(stream, metric, f"{base}/out", f"{base}/cp", by=["status"] if name == "n" else [])
+        got = read_metric(spark, f"{base}/out")
+        want = metric(runs(spark, *rows, *last))
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())), name
