@@ -21,7 +21,7 @@ from recordmill.plans import derived, full_run, markets, repos  # noqa: E402
 from recordmill.plans.derived import k_of, observations, table  # noqa: E402
 from recordmill.session import configure, scratch_dir  # noqa: E402
 from recordmill.sources import csv, files, landing, ndjson, tables  # noqa: E402
-from recordmill.sources.pages import SourceConfig, flatten_pages, page_gaps  # noqa: E402
+from recordmill.sources.pages import SourceConfig, cut_runs, flatten_pages, page_gaps  # noqa: E402
 from recordmill.streaming.facts import read_durations, read_metric, stream_durations, stream_metric, upsert_from_stream  # noqa: E402
 from recordmill.streaming.landing import land_new_files  # noqa: E402
 
@@ -293,14 +293,46 @@ def paged_records_single(spark, sf_dir):
 
 
 @query(
-    """SELECT CAST(user_id AS VARCHAR) AS run_id, max(event_id)-min(event_id)+1 AS expected, count(*) AS present
- FROM events GROUP BY 1 HAVING max(event_id)-min(event_id)+1 <> count(*)"""
+    """SELECT CAST(user_id AS VARCHAR) AS run_id, max(event_id) AS expected, count(*) FILTER (event_id > 0) AS present,
+ count(*) FILTER (event_id < 1) AS stray FROM events GROUP BY 1
+ HAVING max(event_id) <> count(*) FILTER (event_id > 0) OR count(*) FILTER (event_id < 1) > 0"""
 )
 def paged_gaps(spark, sf_dir):
-    """Runs whose pages are not numbered one after the other."""
+    """Runs whose pages are not numbered one after the other from 1."""
     return page_gaps(derived.page_payloads(spark, sf_dir)).drop("source")
 
 
+@query(
+    """WITH p AS (SELECT user_id, event_id // 7 * 5 + CASE WHEN event_type='error' THEN 1 ELSE 0 END AS at FROM events),
+ d AS (SELECT DISTINCT user_id, at FROM p)
+ SELECT CAST(user_id AS VARCHAR) AS run_id, coalesce(max(at) FILTER (at % 5 = 0) // 5 + 1, 0)::BIGINT AS expected,
+ count(*) FILTER (at % 5 = 0) AS present, count(*) FILTER (at % 5 <> 0) AS stray FROM d GROUP BY 1
+ HAVING coalesce(max(at) FILTER (at % 5 = 0) // 5 + 1, 0) <> count(*) FILTER (at % 5 = 0) OR count(*) FILTER (at % 5 <> 0) > 0"""
+)
+def paged_gaps_offset(spark, sf_dir):
+    """Runs whose offsets are not 0, 5, 10 and so on."""
+    config = SourceConfig("events_api", "https://example.org", pagination_type="offset", page_size=5)
+    odd = F.get_json_object("payload", "$.next_cursor").isNull().cast("long")
+    pages = derived.page_payloads(spark, sf_dir).withColumn("page_no", F.floor(F.col("page_no") / 7) * 5 + odd)
+    return page_gaps(pages, [config]).drop("source")
+
+
+@query(_PAGES_SQL.format(k=K, stop="k < 2", cap=10**9))
+def paged_records_uncapped(spark, sf_dir):
+    return _paged(spark, sf_dir, pagination_type="page", page_size=2, max_pages=None)
+
+
+@query(
+    f"""WITH pages AS (SELECT user_id, {K} AS k, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events),
+ runs AS (SELECT user_id, min(r) FILTER (k < 1) AS stop, count(*) AS n FROM pages GROUP BY 1)
+ SELECT CAST(user_id AS VARCHAR) AS run_id, 3::BIGINT AS max_pages FROM runs WHERE coalesce(stop > 3, n >= 3)"""
+)
+def paged_cut_runs(spark, sf_dir):
+    """Runs that a cap of three pages ended."""
+    config = SourceConfig("events_api", "https://example.org", records_json_path="body.items", pagination_type="page", page_size=1, max_pages=3)
+    return cut_runs(derived.page_payloads(spark, sf_dir), [config]).drop("source")
+
+
 # --- staging and tables ------------------------------------------------------------------
 
 _REPO_COLUMNS = f"""user_id AS repo_id, 'repo-'||user_id AS repo_name, event_type||'/repo-'||user_id AS full_name,
@@ -591,6 +623,8 @@ _LEDGER_SQL = f"""WITH ledger AS (SELECT CAST(event_id AS VARCHAR) AS run_id, ev
  (CASE WHEN event_type='click' THEN 0 ELSE 6 END)::BIGINT AS quality_total,
  (CASE WHEN event_type='error' THEN {K} ELSE 0 END)::BIGINT AS quality_errors,
  (CASE WHEN event_type='click' THEN 0 ELSE 1 END)::BIGINT AS quality_warns,
+ (CASE WHEN event_type='signup' THEN {K} ELSE 0 END)::BIGINT AS truncated,
+ CASE WHEN event_type<>'click' THEN 'n/a' WHEN {K}>50 THEN 'warn' ELSE 'pass' END AS freshness,
  CASE WHEN event_type='error' THEN '{{"Error":"States.TaskFailed"}}' ELSE 'none' END AS error_info,
  CASE WHEN event_type='signup' THEN 0 ELSE round(value+0.004,3) END AS duration_seconds,
  CASE WHEN event_type='signup' THEN 'not a date' ELSE
@@ -605,7 +639,7 @@ def _ledger(spark, sf_dir):
 @query(
     _LEDGER_SQL
     + """SELECT run_id, status, started_at, ended_at, duration_seconds, source, rows_ingested, rows_loaded, load_status,
- ml_enabled, ml_rows_loaded, quality_passed, quality_total, quality_errors, quality_warns, error_info FROM ledger"""
+ ml_enabled, ml_rows_loaded, quality_passed, quality_total, quality_errors, quality_warns, error_info, truncated, freshness FROM ledger"""
 )
 def run_ledger(spark, sf_dir):
     rows = _ledger(spark, sf_dir).withColumn("quality_passed", F.col("quality_passed").cast("string"))
@@ -964,7 +998,7 @@ def whole_run(spark, sf_dir):
     """Pages to raw files, landing, tables, gate and ledger; gives the fact and the run's status."""
     house = full_run.Warehouse(scratch_dir(spark, "house"))
     config = SourceConfig(
-        repos.SOURCE, "https://example.org", pagination_type="page", page_size=1, max_pages=10**9, records_json_path="items"
+        repos.SOURCE, "https://example.org", pagination_type="page", page_size=1, max_pages=None, records_json_path="items"
     )
     status = full_run.run(spark, house, "run-1", derived.repo_pages(spark, sf_dir), config, AS_OF, AS_OF)
     return _plain(full_run.daily_facts(spark, house)).withColumn("status", F.lit(status))

@@ -11,7 +11,7 @@ import operator
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,17 +52,44 @@ class Verdict(NamedTuple):
     error: str | None = None
 
 
+@dataclass(frozen=True)
+class TableState:
+    """What is known of a table without reading it; states of disjoint rows can be merged.
+
+    ``nulls`` by column, ``newest`` by time column, ``duplicates`` (key combinations that occur
+    more than once) by key columns. A column that is not there is not known.
+    """
+
+    rows: int
+    nulls: Mapping[str, int] = field(default_factory=dict)
+    newest: Mapping[str, datetime | None] = field(default_factory=dict)
+    duplicates: Mapping[tuple[str, ...], int] = field(default_factory=dict)
+
+    def merged(self, other: "TableState") -> "TableState":
+        """The state of both; a column that one of them lacks is NULL in its rows. Equal keys must lie on one side."""
+        null = lambda s, c: s.nulls.get(c, s.rows)
+        times = lambda c: [t for t in (self.newest.get(c), other.newest.get(c)) if t is not None]
+        return TableState(
+            self.rows + other.rows,
+            {c: null(self, c) + null(other, c) for c in {*self.nulls, *other.nulls}},
+            {c: max(times(c), default=None) for c in {*self.newest, *other.newest}},
+            {k: self.duplicates[k] + other.duplicates[k] for k in self.duplicates.keys() & other.duplicates.keys()},
+        )
+
+
 class AggregateCheck(NamedTuple):
-    """A check answered by aggregates over its table."""
+    """A check answered by aggregates over its table, or by the table's state: ``known`` gives the same measures or None."""
 
     measures: Callable[[Spec, datetime], dict[str, Column]]
     judge: Callable[[Spec, Mapping[str, Any]], Verdict]
+    known: Callable[[Spec, datetime, TableState], dict[str, Any] | None] = lambda spec, as_of, state: None
 
 
 class QueryCheck(NamedTuple):
-    """A check that runs a query of its own."""
+    """A check that runs a query of its own, unless the table's state gives the verdict."""
 
     run: Callable[[SparkSession, Spec, Callable[[str], DataFrame]], Verdict]
+    known: Callable[[Spec, TableState], Verdict | None] = lambda spec, state: None
 
 
 # --- measures, also usable on their own ------------------------------------------------
@@ -117,10 +144,30 @@ def _judge_null_rate(spec: Spec, got: Mapping[str, Any]) -> Verdict:
     return Verdict(share <= limit, {**details, "null_rate": round(share, 6), "max_null_rate": limit})
 
 
+def _known_age(spec: Spec, as_of: datetime, state: TableState) -> dict[str, Any] | None:
+    column = spec.get("timestamp_column", "ingested_at")
+    if column not in state.newest:
+        return None
+    newest = state.newest[column]
+    return {"hours": None if newest is None else int((as_of - newest) / timedelta(hours=1))}
+
+
+def _known_nulls(spec: Spec, as_of: datetime, state: TableState) -> dict[str, Any] | None:
+    nulls = state.nulls.get(spec["column"])
+    return None if nulls is None else {"rows": state.rows, "nulls": nulls}
+
+
+def _judge_uniqueness(spec: Spec, groups: int) -> Verdict:
+    return Verdict(groups == 0, {"table": spec["table"], "columns": list(spec["columns"]), "duplicate_groups": groups})
+
+
 def _run_uniqueness(spark: SparkSession, spec: Spec, table: Callable[[str], DataFrame]) -> Verdict:
-    columns = list(spec["columns"])
-    groups = tables.scalar(duplicate_group_count(table(spec["table"]), columns))
-    return Verdict(groups == 0, {"table": spec["table"], "columns": columns, "duplicate_groups": groups})
+    return _judge_uniqueness(spec, tables.scalar(duplicate_group_count(table(spec["table"]), list(spec["columns"]))))
+
+
+def _known_uniqueness(spec: Spec, state: TableState) -> Verdict | None:
+    groups = state.duplicates.get(tuple(spec["columns"]))
+    return None if groups is None else _judge_uniqueness(spec, groups)
 
 
 def compare(actual: Any, comparison: str, expected: Any) -> Verdict:
@@ -135,21 +182,27 @@ def compare(actual: Any, comparison: str, expected: Any) -> Verdict:
     return Verdict(passed, {**details, "comparison": comparison})
 
 
-def _run_custom_sql(spark: SparkSession, spec: Spec, table: Callable[[str], DataFrame]) -> Verdict:
-    actual = tables.scalar(spark.sql(spec["sql"]))
+def _run_custom_sql(spark: SparkSession, spec: Spec, table: Callable[[str], DataFrame], scalars: dict[str, Any] | None = None) -> Verdict:
+    scalars = {} if scalars is None else scalars
+    if spec["sql"] not in scalars:
+        scalars[spec["sql"]] = tables.scalar(spark.sql(spec["sql"]))
+    actual = scalars[spec["sql"]]
     return compare(actual, spec.get("comparison", "eq"), spec.get("expected_value", 0))
 
 
 REGISTRY: dict[str, AggregateCheck | QueryCheck] = {
-    "row_count_min": AggregateCheck(lambda spec, as_of: {"rows": row_count()}, _judge_row_count),
+    "row_count_min": AggregateCheck(
+        lambda spec, as_of: {"rows": row_count()}, _judge_row_count, lambda spec, as_of, state: {"rows": state.rows}
+    ),
     "freshness": AggregateCheck(
         lambda spec, as_of: {"hours": whole_hours_since(F.max(spec.get("timestamp_column", "ingested_at")), as_of)},
         _judge_freshness,
+        _known_age,
     ),
     "null_rate": AggregateCheck(
-        lambda spec, as_of: {"rows": row_count(), "nulls": null_count(spec["column"])}, _judge_null_rate
+        lambda spec, as_of: {"rows": row_count(), "nulls": null_count(spec["column"])}, _judge_null_rate, _known_nulls
     ),
-    "uniqueness": QueryCheck(_run_uniqueness),
+    "uniqueness": QueryCheck(_run_uniqueness, _known_uniqueness),
     "custom_sql": QueryCheck(_run_custom_sql),
 }
 
@@ -231,23 +284,49 @@ def run_checks(
     specs: Sequence[Spec],
     as_of: datetime,
     table: Callable[[str], DataFrame] | None = None,
+    state: Callable[[str], TableState | None] = lambda name: None,
 ) -> list[CheckResult]:
     """Run every check and give the results in the order of the specs.
 
     ``table`` finds a DataFrame by table name; by default the session's catalog does.
+    ``state`` gives what is known of a table; a check it answers reads no row. SQL that
+    several checks share runs once.
     """
     table = table or spark.table
+    states: dict[str, TableState | None] = {}
+    scalars: dict[str, Any] = {}
+
+    def known(check: AggregateCheck | QueryCheck, spec: Spec) -> Verdict | None:
+        name = spec.get("table")
+        if name is None:
+            return None
+        if name not in states:
+            states[name] = state(name)
+        if states[name] is None:
+            return None
+        if isinstance(check, QueryCheck):
+            return check.known(spec, states[name])
+        got = check.known(spec, as_of, states[name])
+        return None if got is None else _judge(spec, got)
+
     verdicts: dict[int, Verdict] = {}
     shared: dict[str, list[tuple[int, Spec]]] = defaultdict(list)
     for i, spec in enumerate(specs):
         check = REGISTRY.get(spec.get("type"))
         if check is None:
             verdicts[i] = Verdict(False, {}, f"Unknown check type: {spec.get('type')}")
+            continue
+        try:
+            told = known(check, spec)
+        except Exception:  # the check itself will tell
+            told = None
+        if told is not None:
+            verdicts[i] = told
         elif isinstance(check, AggregateCheck) and "table" in spec:
             shared[spec["table"]].append((i, spec))
         else:
             try:
-                verdicts[i] = check.run(spark, spec, table)
+                verdicts[i] = check.run(spark, spec, table, scalars) if check.run is _run_custom_sql else check.run(spark, spec, table)
             except Exception as exc:
                 verdicts[i] = _failed(exc)
     for name, checks in shared.items():

@@ -1,31 +1,20 @@
 """Daily facts and their incremental upsert.
 
-A fact table is copied on write by day: an upsert writes new folders for the days it has and one
-commit points the table at them. Folders of other days are not touched, and a reader sees the
-table before or after, never between.
-
-    rows/attempt=../metric_date=../   the rows of a day, as one upsert left them
-    commits/                          which of these each day's are, and the columns
+A fact table is copied on write by day (:mod:`recordmill.sources.parts`).
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from recordmill.session import cut_lineage
 from recordmill.sources import tables
-from recordmill.sources.commits import Log
-
-# A line says where a day's rows are, with the columns of the table, or how far a writer has come.
-LINES = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "attempt", "columns")] + [T.StructField("batch_id", T.LongType())])
-NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+from recordmill.sources.parts import Snapshot, named
 
+DAY = "metric_date"
 FLOOR = "1900-01-01"
 
 
@@ -62,43 +51,13 @@ def replace_by_key(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     return tables.append_columns(kept, batch)
 
 
-def commit_log(spark: SparkSession, path: str) -> Log:
-    return Log(spark, f"{path.rstrip('/')}/commits", LINES, ["key"])
-
-
-class Snapshot:
-    """The table as its newest commit has it: one folder for each day, known columns."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.log = spark, path.rstrip("/"), commit_log(spark, path)
-        self.number = self.log.newest()
-        lines = self.log.current().where(F.col("number") <= self.number).collect() if self.number else []
-        self.days = {r.key[4:]: r.attempt for r in lines if r.key.startswith("day:")}
-        self.writers = {r.key[7:]: r.batch_id for r in lines if r.key.startswith("writer:")}
-        told = [r for r in lines if r.columns]
-        self.columns = T.StructType.fromJson(json.loads(max(told, key=lambda r: r.number).columns)) if told else None
-
-    def folder(self, day: str) -> str:
-        return f"{self.path}/rows/attempt={self.days[day]}/metric_date={day}"
-
-    def read(self, days: Sequence[str] | None = None) -> DataFrame | None:
-        """Rows of the table or of some of its days; None when there is no table."""
-        if self.columns is None:
-            return None
-        wanted = [self.folder(d) for d in sorted(self.days) if days is None or d in days]
-        if not wanted:
-            return self.spark.createDataFrame([], self.columns)
-        rows = self.spark.read.schema(self.columns).option("basePath", f"{self.path}/rows").parquet(*wanted)
-        return rows.select(*self.columns.names)
-
-
 def read_fact(spark: SparkSession, path: str) -> DataFrame | None:
     """The fact table as last committed, None before the first run.
 
     Columns come from the commit; one that older days lack is NULL there. A filter on
     ``metric_date`` prunes folders.
     """
-    return Snapshot(spark, path).read()
+    return Snapshot(spark, path, DAY).read()
 
 
 def upsert_days(
@@ -113,31 +72,16 @@ def upsert_days(
     it and is computed once. With ``writer`` a ``batch_id`` that is not newer than the
     writer's last one changes nothing; returns whether the table changed.
     """
-    now = Snapshot(spark, path)
-    if writer is not None and now.writers.get(writer, -1) >= batch_id:
+    now = Snapshot(spark, path, DAY)
+    if now.has_taken(writer, batch_id):
         return False
     batch = cut_lineage(batch)
-    # one row a day, of the calendar's size
-    days = [NO_DAY if r.metric_date is None else str(r.metric_date) for r in batch.select("metric_date").distinct().collect()]
-    lines = [] if writer is None else [{"key": f"writer:{writer}", "batch_id": batch_id}]
-    if days:
-        old = now.read(days)
-        merged = batch if old is None else replace_by_key(old, batch, keys)
-        attempt = uuid.uuid4().hex
-        merged.hint("rebalance", "metric_date").write.partitionBy("metric_date").parquet(f"{now.path}/rows/attempt={attempt}")
-        columns = json.dumps(merged.schema.jsonValue())
-        lines += [{"key": f"day:{d}", "attempt": attempt, "columns": columns} for d in days]
-    if lines:
-        now.log.publish(lines, after=now.number)
-    return bool(lines)
+    days = named([r[0] for r in batch.select(DAY).distinct().collect()])  # one row a day, of the calendar's size
+    old = now.read(days) if days else None
+    now.replace(batch if old is None else replace_by_key(old, batch, keys), days, writer=writer, batch_id=batch_id, unique=[list(keys)] if DAY in keys else [])
+    return bool(days) or writer is not None
 
 
 def drop_unseen(spark: SparkSession, path: str) -> int:
     """Delete the folders that the newest commit does not point at; call it when nobody reads or writes an older one."""
-    now = Snapshot(spark, path)
-    kept = {now.folder(d).rpartition("/rows/")[2] for d in now.days}
-    old = [f for attempt in tables.subfolders(spark, f"{now.path}/rows") for f in tables.subfolders(spark, attempt) if f.rpartition("/rows/")[2] not in kept]
-    for folder in old:
-        store, found = tables.file_system(spark, folder)
-        store.delete(found, True)
-    return len(old)
+    return Snapshot(spark, path, DAY).drop_unseen()

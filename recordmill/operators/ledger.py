@@ -28,7 +28,7 @@ def run_status(gate_passed: Column, error_info: Column) -> Column:
 
 
 def stats(state: Column) -> list[Column]:
-    """The eleven figures of a run, read from its VARIANT state with defaults."""
+    """The figures of a run, read from its VARIANT state with defaults; ``truncated`` counts paged runs that a cap ended."""
     return [
         texts.first_set(text_at(state, "source_name"), text_at(state, "ingestResult.Payload.source")).alias("source"),
         count_at(state, "ingestResult.Payload.recordCount").alias("rows_ingested"),
@@ -41,6 +41,8 @@ def stats(state: Column) -> list[Column]:
         count_at(state, "qualityResult.errorCount").alias("quality_errors"),
         count_at(state, "qualityResult.warnCount").alias("quality_warns"),
         text_at(state, "errorInfo").alias("error_info"),
+        count_at(state, "ingestResult.Payload.truncatedRuns").alias("truncated"),
+        F.coalesce(text_at(state, "freshnessResult.status"), F.lit("n/a")).alias("freshness"),
     ]
 
 

@@ -146,7 +146,8 @@ def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     micros = (F.col("value") * 1e6 + 4000).cast("decimal(20,0)").cast("bigint")
     begun = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) - micros)
-    ingest = F.struct(F.struct(F.col("k").alias("recordCount")).alias("Payload"))
+    cut = F.when(kind == "signup", F.col("k"))
+    ingest = F.struct(F.struct(F.col("k").alias("recordCount"), cut.alias("truncatedRuns")).alias("Payload"))
     load = F.struct(
         F.struct(
             F.when(kind != "view", F.col("event_id")).alias("rowsLoaded"), F.lit("LOADED").alias("status")
@@ -166,6 +167,7 @@ def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "purchase", F.struct(F.struct(F.col("k").alias("rowsLoaded")).alias("Payload"))).alias("mlLoadResult"),
         F.when(kind != "click", quality).alias("qualityResult"),
         F.when(kind == "error", F.struct(F.lit("States.TaskFailed").alias("Error"))).alias("errorInfo"),
+        F.when(kind == "click", F.struct(F.when(F.col("k") > 50, "warn").otherwise("pass").alias("status"))).alias("freshnessResult"),
     )
     return events.select(
         F.col("event_id").cast("string").alias("run_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from recordmill.functions.variants import Field
 from recordmill.operators import data_tests, facts, latest
@@ -68,6 +68,16 @@ def dim_repos(latest_rows: DataFrame) -> DataFrame:
     return latest.dimension(latest_rows, DIMENSION_COLUMNS)
 
 
+def keep_repos(spark: SparkSession, landing: DataFrame, latest_dir: str, dimension_dir: str) -> list[str]:
+    """Take landed rows into the kept latest rows and the dimension; returns the buckets that were rewritten.
+
+    A build that ended between the two has to be given the same rows again.
+    """
+    touched = latest.keep_latest(spark, staged(landing), latest_dir, ["repo_id"])
+    bucketed = lambda rows: latest.dimension(rows, [*DIMENSION_COLUMNS, latest.BUCKET])
+    return latest.keep_derived(spark, dimension_dir, latest_dir, bucketed, ["repo_id"], touched)
+
+
 def daily_repo_metrics(landing: DataFrame) -> DataFrame:
     return facts.daily_metrics(staged(landing), "repo_id", DAILY_MAXIMA)
 

@@ -11,9 +11,9 @@ LANDING = T.StructType(
         T.StructField("file_path", T.StringType(), False),
         T.StructField("ingested_at", T.TimestampType(), False),
         T.StructField("data", T.VariantType(), False),
+        T.StructField("attempt", T.StringType(), False),
         T.StructField("source", T.StringType(), False),
         T.StructField("ingest_date", T.DateType(), False),
-        T.StructField("attempt", T.StringType(), False),
     ]
 )
 
@@ -38,6 +38,7 @@ LANDING_COMMITS = T.StructType(
         T.StructField("sources", T.LongType()),  # how many the attempt has
         T.StructField("rows", T.LongType()),
         T.StructField("files", T.LongType()),
+        T.StructField("newest", T.StringType()),
     ]
 )
 

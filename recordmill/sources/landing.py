@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from recordmill import schemas
 from recordmill.functions.variants import text_at, truthy
+from recordmill.operators.checks import TableState
 from recordmill.sources import tables
 from recordmill.sources.commits import Log
 
@@ -68,10 +69,10 @@ def commit_batch(spark: SparkSession, path: str, attempt: str, batch: str, owner
     replaces all that it wrote under the name, also sources the new attempt does not have.
     """
     mine = spark.read.schema(schemas.LANDED_FILES).parquet(f"{path}/files").where(F.col("attempt") == attempt)
-    found = mine.groupBy("source").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files")).collect()
-    lines = [{"owner": owner or r.source, "batch": batch, "attempt": attempt, "source": r.source, "sources": len(found), "rows": r.rows, "files": r.files} for r in found]
+    found = mine.groupBy("source").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files"), F.date_format(F.max("last"), tables.ISO).alias("newest")).collect()
+    lines = [{"owner": owner or r.source, "batch": batch, "attempt": attempt, "source": r.source, "sources": len(found), "rows": r.rows, "files": r.files, "newest": r.newest} for r in found]
     if owner:
-        lines.append({"owner": owner, "batch": batch, "attempt": attempt, "source": None, "sources": 0, "rows": 0, "files": 0})
+        lines.append({"owner": owner, "batch": batch, "attempt": attempt, "source": None, "sources": 0, "rows": 0, "files": 0, "newest": None})
     if lines:
         commit_log(spark, path).publish(lines)
     return {r.source: r.rows for r in found}
@@ -120,6 +121,19 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
     return _visible(spark, path, "files", schemas.LANDED_FILES)
 
 
+def state(spark: SparkSession, path: str) -> TableState:
+    """Rows, newest ``ingested_at`` and NULLs of the landing table, from its commits. A write cannot set NULLs."""
+    told = commit_log(spark, path).current().agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"), F.max("newest").alias("newest")).first()
+    newest = datetime.fromisoformat(told.newest) if told.newest else None
+    return TableState(told.n, {f.name: 0 for f in schemas.LANDING}, {"ingested_at": newest})
+
+
+def visible_parts(spark: SparkSession, path: str) -> dict[tuple, str]:
+    """The folder of each visible (attempt, source, ingest_date)."""
+    rows = landed_files(spark, path).select("attempt", "source", F.col("load_date").cast("string")).distinct().collect()
+    return {tuple(r): f"{path}/rows/attempt={r[0]}/source={tables.escaped(spark, r[1])}/ingest_date={r[2]}" for r in rows}
+
+
 def drop_unseen(spark: SparkSession, path: str) -> int:
     """Delete attempts that no commit shows: replaced ones and those of writers that died. Call it when none is at work."""
     seen = {r.attempt for r in commit_log(spark, path).current().select("attempt").distinct().collect()}

@@ -8,18 +8,22 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from recordmill.functions.variants import json_path, truthy
+from recordmill.session import cut_lineage
 
 # The accepted settings of a source.
 PAGINATION_TYPES = ["none", "page", "offset", "cursor"]
 AUTH_TYPES = ["none", "bearer", "api_key", "basic"]
 
+RUN = ["source", "run_id"]
+BUCKETS = 1_024  # of a run's page numbers, counted when the cap's page is looked for
+BROADCAST_RUNS = 1_000_000  # rows of a run's name and one number; beyond that Spark chooses the join
+
 
 @dataclass(frozen=True)
 class SourceConfig:
-    """How one source answers: where its records sit and how its pages end.
+    """How one source answers: where its records sit and how its pages end. ``max_pages`` None means no cap.
 
     Fixed values: the names of the settings and their defaults.
     """
@@ -31,7 +35,7 @@ class SourceConfig:
     auth_type: str = "none"
     pagination_type: str = "none"
     page_size: int = 100
-    max_pages: int = 50
+    max_pages: int | None = 50
     cursor_field: str = "next_cursor"
     records_json_path: str = "data"
 
@@ -44,7 +48,7 @@ class SourceConfig:
         known = {f.name: given[f.name] for f in fields(cls) if f.name in given}
         known["base_url"] = str(known["base_url"]).rstrip("/")
         for key in ("page_size", "max_pages"):
-            if key in known:
+            if key in known and (key == "page_size" or known[key] is not None):
                 known[key] = int(known[key])
         if known.get("pagination_type", "none") not in PAGINATION_TYPES:
             raise ValueError(f"pagination_type must be one of {PAGINATION_TYPES}")
@@ -60,12 +64,12 @@ def _with_settings(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFra
         settings = {
             "kind": c.pagination_type,
             "page_size": c.page_size,
-            "max_pages": c.max_pages,
+            "max_pages": F.lit(c.max_pages).cast("long"),
             "cursor_path": json_path(c.cursor_field, nested=False),
             "records_path": json_path(c.records_json_path),
             "records_name": c.records_json_path,
         }
-        entries += [F.lit(c.source_name), F.struct(*[F.lit(v).alias(k) for k, v in settings.items()])]
+        entries += [F.lit(c.source_name), F.struct(*[(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in settings.items()])]
     known = pages.where(F.col("source").isin([c.source_name for c in configs]))
     return known.withColumn("_s", F.element_at(F.create_map(*entries), F.col("source")))
 
@@ -75,11 +79,96 @@ def _records(payload: Column) -> Column:
     return F.try_variant_get(payload, F.col("_s.records_path"), "array<variant>")
 
 
-def _with_stop_flag(pages: DataFrame) -> DataFrame:
-    """Parse each page and mark the ones after which its run asks for no more.
+class PagedRuns:
+    """The pages ``source, run_id, page_no, payload`` of the known sources, parsed once, and what a reader would have asked for.
 
-    A source without paging ends at its first page whatever that holds, so its pages are
-    not parsed here.
+    A run ends with the first page after which nothing more is asked for, or at the cap.
+    The first is a minimum over narrow rows. The cap matters only to runs that have more
+    pages than it before their end; the page it falls on is found by counting page numbers
+    in ranges, so no run is ever sorted or gathered, however long and whatever the cap.
+    """
+
+    def __init__(self, pages: DataFrame, configs: Iterable[SourceConfig]):
+        configs = list(configs)
+        known = pages.where(F.col("source").isin([c.source_name for c in configs]))
+        for key in ("run_id", "page_no"):
+            known = known.withColumn(key, F.coalesce(key, F.raise_error(F.lit(f"a page has no {key}")).cast(pages.schema[key].dataType)))
+        self.configs, self.pages = configs, cut_lineage(_parsed(_with_settings(known, configs)))
+        self.narrow = self.pages.select(*RUN, F.col("page_no").cast("long").alias("page_no"), "is_last")
+
+    def _few(self, runs: DataFrame) -> DataFrame:
+        return F.broadcast(runs) if runs.count() <= BROADCAST_RUNS else runs
+
+    def runs(self) -> DataFrame:
+        """Per run ``stop`` (its ending page, if one came), ``n`` (pages up to there), ``first``, ``last``, ``max_pages``."""
+        stops = cut_lineage(self.narrow.where("is_last").groupBy(*RUN).agg(F.min("page_no").alias("stop")))
+        with_stop = self.narrow.select(*RUN, "page_no").join(self._few(stops), RUN, "left").where("stop IS NULL OR page_no <= stop")
+        per_run = with_stop.groupBy(*RUN).agg(
+            F.min("stop").alias("stop"), F.count(F.lit(1)).alias("n"), F.min("page_no").alias("first"), F.max("page_no").alias("last")
+        )
+        return cut_lineage(_with_settings(per_run, self.configs).withColumn("max_pages", F.col("_s.max_pages")).drop("_s"))
+
+    def limits(self, runs: DataFrame) -> DataFrame:
+        """Per run the last page that counts, NULL for a run that neither a page nor the cap ends."""
+        long = runs.where("n > max_pages")
+        capped = None if long.isEmpty() else self._page_at(long)
+        ends = runs.select(*RUN, "stop")
+        if capped is None:
+            return ends.withColumnRenamed("stop", "limit")
+        return ends.join(capped, RUN, "left").select(*RUN, F.least("stop", "capped").alias("limit"))
+
+    def _page_at(self, long: DataFrame) -> DataFrame:
+        """The ``max_pages``-th page number of each of these runs, by counts of ever smaller ranges of numbers."""
+        ranges = cut_lineage(long.select(*RUN, F.col("first").alias("low"), F.col("last").alias("high"), F.col("max_pages").alias("need")))
+        while True:
+            width = F.greatest(F.lit(1), F.ceil((F.col("high") - F.col("low") + 1) / BUCKETS)).cast("long")
+            inside = self.narrow.select(*RUN, "page_no").join(self._few(ranges.withColumn("width", width)), RUN).where("page_no BETWEEN low AND high")
+            bucket = F.floor((F.col("page_no") - F.col("low")) / F.col("width")).cast("long")
+            counts = inside.groupBy(*RUN, "low", "need", "width", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+            listed = counts.groupBy(*RUN, "low", "need", "width").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("told"))
+            start = F.struct(F.col("need").alias("need"), F.lit(-1).cast("long").alias("bucket"))
+            crossed = F.aggregate(
+                "told",
+                start,
+                lambda at, told: F.when(at["bucket"] >= 0, at)
+                .when(at["need"] <= told["n"], F.struct(at["need"].alias("need"), told["bucket"].alias("bucket")))
+                .otherwise(F.struct((at["need"] - told["n"]).alias("need"), at["bucket"].alias("bucket"))),
+            )
+            low = F.col("low") + F.col("at.bucket") * F.col("width")
+            found = listed.withColumn("at", crossed).select(*RUN, low.alias("low"), (low + F.col("width") - 1).alias("high"), F.col("at.need").alias("need"))
+            ranges = cut_lineage(found)
+            if ranges.where("high > low").isEmpty():
+                return ranges.select(*RUN, F.col("low").alias("capped"))
+
+    def kept(self) -> DataFrame:
+        """The parsed pages that count. The semi join can broadcast only the narrow limits, never payloads."""
+        limits = self._few(self.limits(self.runs()).select(*[F.col(c).alias(f"_{c}") for c in (*RUN, "limit")]))
+        here = [F.col(c) == F.col(f"_{c}") for c in RUN]
+        within = F.col("_limit").isNull() | (F.col("page_no") <= F.col("_limit"))
+        return self.pages.join(limits, [*here, within], "left_semi")
+
+    def records(self) -> DataFrame:
+        """One row per record of the pages that count: ``source, run_id, page_no, position, data``.
+
+        A page whose records are not a list fails the job; pages that do not count are not looked at.
+        """
+        found = _with_settings(self.kept(), self.configs)
+        late = _records(F.parse_json("payload"))
+        complaint = F.concat(F.lit("Expected list at '"), F.col("_s.records_name"), F.lit("'"))
+        records = F.coalesce("records", late, F.raise_error(complaint).cast("array<variant>"))
+        return found.select(*RUN, "page_no", F.posexplode(records).alias("position", "data"))
+
+    def cut(self) -> DataFrame:
+        """Runs that ``max_pages`` ended before a page did: ``source, run_id, max_pages``."""
+        over = "n > max_pages OR (stop IS NULL AND n >= max_pages)"
+        return self.runs().where(over).select(*RUN, "max_pages")
+
+
+def _parsed(pages: DataFrame) -> DataFrame:
+    """Pages with their records and whether their run asks for no more after them: ``source, run_id, page_no, is_last, records, payload``.
+
+    A source without paging ends at its first page whatever that holds, so its pages keep
+    their payload and are not parsed here.
     """
     kind = F.col("_s.kind")
     stop = (
@@ -89,80 +178,46 @@ def _with_stop_flag(pages: DataFrame) -> DataFrame:
         | ((kind == "cursor") & ~truthy(F.col("cursor")))
     )
     return (
-        pages.withColumn("payload_v", F.when(kind != "none", F.parse_json("payload")))
+        pages.withColumn("payload_v", F.when(kind != "none", F.try_parse_json("payload")))
         .withColumn("records", _records(F.col("payload_v")))
         .withColumn("cursor", F.when(kind == "cursor", F.try_variant_get("payload_v", F.col("_s.cursor_path"), "variant")))
         .withColumn("n_records", F.when(F.col("records").isNotNull(), F.size("records")))
-        .withColumn("is_last", F.coalesce(stop, F.lit(False)))
+        .select(*RUN, "page_no", F.coalesce(stop, F.lit(False)).alias("is_last"), "records", F.when(F.col("records").isNull(), F.col("payload")).alias("payload"))
     )
 
 
-def _ranked_pages(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
-    """``source, run_id, page_no, max_pages, page_rank, last_rank`` of the first pages of each run.
-
-    Only narrow rows are ranked, and as no run keeps
-    more than the largest ``max_pages``, each task passes on at most that many rows of a
-    run, however many pages the run holds.
-    """
-    flagged = _with_stop_flag(_with_settings(pages, configs)).select(
-        "source", "run_id", "page_no", F.col("_s.max_pages").alias("max_pages"), "is_last"
-    )
-    in_run = Window.partitionBy("source", "run_id")
-    return (
-        flagged.withColumn("page_rank", F.row_number().over(in_run.orderBy("page_no")))
-        .where(F.col("page_rank") <= max(c.max_pages for c in configs))
-        .withColumn("last_rank", F.min(F.when(F.col("is_last"), F.col("page_rank"))).over(in_run))
-    )
-
-
-def kept_pages(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
+def kept_pages(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFrame:
     """The pages a reader following the stop rules would have asked for: ``source, run_id, page_no``."""
-    ranked = _ranked_pages(pages, configs)
-    return ranked.where(F.col("page_rank") <= F.least("last_rank", "max_pages")).select("source", "run_id", "page_no")
+    return PagedRuns(pages, configs).kept().select(*RUN, "page_no")
 
 
 def cut_runs(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFrame:
     """Runs that ``max_pages`` ended before a page did: ``source, run_id, max_pages``."""
-    ranked = _ranked_pages(pages, list(configs))
-    open_end = F.coalesce(F.col("last_rank") > F.col("max_pages"), F.lit(True))
-    return ranked.where((F.col("page_rank") == F.col("max_pages")) & open_end).select("source", "run_id", "max_pages")
-
-
-def _with_keys(pages: DataFrame, configs: Sequence[SourceConfig]) -> DataFrame:
-    """The pages of the known sources; one without run or number fails the job."""
-    known = pages.where(F.col("source").isin([c.source_name for c in configs]))
-    for key in ("run_id", "page_no"):
-        known = known.withColumn(key, F.coalesce(key, F.raise_error(F.lit(f"a page has no {key}")).cast(pages.schema[key].dataType)))
-    return known
+    return PagedRuns(pages, configs).cut()
 
 
 def flatten_pages(pages: DataFrame, configs: Iterable[SourceConfig]) -> DataFrame:
-    """Rows ``source, run_id, page_no, payload`` to one row per record.
+    """Rows ``source, run_id, page_no, payload`` to one row per record: ``source, run_id, page_no, position, data``."""
+    return PagedRuns(pages, configs).records()
 
-    Returns ``source, run_id, page_no, position, data``. A kept page whose records are not
-    a list fails the job, and so does a page without run or number; payloads past the stop
-    are never looked at, and :func:`cut_runs` tells which runs ``max_pages`` ended. The semi join can only
-    ever broadcast the narrow list of kept pages, never the payloads.
-    """
-    configs = list(configs)
-    pages = _with_keys(pages, configs)
-    kept = pages.join(kept_pages(pages, configs), ["source", "run_id", "page_no"], "left_semi")
-    found = _with_settings(kept, configs).withColumn("records", _records(F.parse_json("payload")))
-    complaint = F.concat(F.lit("Expected list at '"), F.col("_s.records_name"), F.lit("'"))
-    records = F.coalesce(F.col("records"), F.raise_error(complaint).cast("array<variant>"))
-    return found.select("source", "run_id", "page_no", F.posexplode(records).alias("position", "data"))
 
+def page_gaps(pages: DataFrame, configs: Iterable[SourceConfig] = ()) -> DataFrame:
+    """Runs whose pages are not all there, told by their keys: ``source, run_id, expected, present, stray``.
 
-def page_gaps(pages: DataFrame) -> DataFrame:
-    """Runs whose page numbers are not consecutive: ``source, run_id, expected, present``."""
-    return (
-        pages.groupBy("source", "run_id")
-        .agg(
-            (F.max("page_no") - F.min("page_no") + 1).alias("expected"),
-            F.count_distinct("page_no").alias("present"),
-        )
-        .where(F.col("expected") != F.col("present"))
-    )
+    The keys of a run are 1, 2, 3 .. or, for a source paged by offset, 0, page_size, twice
+    that and so on up to the largest one seen. ``present`` counts those that are there,
+    ``stray`` different ones that are no such key.
+    """
+    steps = [(F.col("source") == c.source_name, c.page_size) for c in configs if c.pagination_type == "offset"]
+    step, first = F.lit(1).cast("long"), F.lit(1).cast("long")
+    for mine, size in steps:
+        step, first = F.when(mine, F.lit(size).cast("long")).otherwise(step), F.when(mine, F.lit(0).cast("long")).otherwise(first)
+    keys = pages.select(*RUN, F.col("page_no").cast("long").alias("page_no")).where("page_no IS NOT NULL").distinct()
+    placed = keys.withColumn("at", F.col("page_no") - first).withColumn("step", step)
+    good = (F.col("at") >= 0) & (F.col("at") % F.col("step") == 0)
+    told = placed.groupBy(*RUN, "step").agg(F.max(F.when(good, F.col("at"))).alias("last"), F.count_if(good).alias("present"), F.count_if(~good).alias("stray"))
+    expected = F.coalesce((F.col("last") / F.col("step")).cast("long") + 1, F.lit(0).cast("long"))
+    return told.select(*RUN, expected.alias("expected"), "present", "stray").where("expected <> present OR stray > 0")
 
 
 def next_request(config: SourceConfig, params: Mapping[str, Any] | None = None) -> dict[str, Any]:

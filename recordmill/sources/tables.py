@@ -8,6 +8,19 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 
+ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as its folder is named."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def unescaped(spark: SparkSession, name: str) -> str:
+    """The partition value a folder's name stands for."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(name)
+
+
 def file_system(spark: SparkSession, path: str):
     """The store a path lies in, and the path as the store takes it."""
     jvm = spark.sparkContext._jvm

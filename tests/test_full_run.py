@@ -36,7 +36,7 @@ def test_runs_build_on_each_other(spark, scratch):
     assert go(spark, house, "r1", T0, [repo(1, 5), repo(2)], [repo(3)], [repo(99)]) == "SUCCESS"
     assert landing.read_landing(spark, house.landing).count() == 3
     assert go(spark, house, "r2", T0 + timedelta(days=1), [repo(1, 9, name="new"), repo(4)], []) == "SUCCESS"
-    dim = {r.repo_id: r.repo_name for r in tables.current(spark, house.dimension).collect()}
+    dim = {r.repo_id: r.repo_name for r in full_run.dimension(spark, house).collect()}
     assert dim == {1: "new", 2: "n2", 3: "n3", 4: "n4"}
     fact = {(r.repo_id, str(r.metric_date)): r.star_count for r in facts.read_fact(spark, house.fact).collect()}
     assert fact == {(1, "2024-01-10"): 5, (2, "2024-01-10"): 1, (3, "2024-01-10"): 1, (1, "2024-01-11"): 9, (4, "2024-01-11"): 1}
@@ -56,7 +56,7 @@ def test_no_records_skip_the_load(spark, scratch):
 def test_broken_rule_stops_the_build_and_is_recorded(spark, scratch):
     house = full_run.Warehouse(scratch)
     assert go(spark, house, "r1", T0, [repo(1, -5)]) == "FAILURE"
-    assert tables.current(spark, house.dimension) is None
+    assert full_run.dimension(spark, house).isEmpty()
     row = full_run.read_ledger(spark, house).first()
     assert row.status == "FAILURE" and "accepted_range(star_count)" in row.error_info and row.quality_passed is None
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordmill.functions.variants import resolve
-from recordmill.sources.pages import SourceConfig, flatten_pages, kept_pages, next_request, page_gaps, page_key
+from recordmill.sources.pages import PagedRuns, SourceConfig, flatten_pages, next_request, page_gaps, page_key
 
 
 def config(**settings):
@@ -104,11 +104,26 @@ def test_pages_of_a_run_with_gaps_are_ranked(spark):
     assert page_gaps(df).collect()[0].present == 3
 
 
-def test_a_long_run_is_cut_before_the_shuffle(spark):
-    df = pages(spark, page(1))
-    plan = kept_pages(df, [config(pagination_type="page")])._jdf.queryExecution().executedPlan().toString()
-    below = plan[plan.index("Exchange hashpartitioning(run_id"):] if "Exchange hashpartitioning(run_id" in plan else plan[plan.index("Exchange hashpartitioning"):]
-    assert "row_number(), 50, Partial" in below
+@pytest.mark.parametrize("cap", [1, 3, 50, 4_000, None])
+def test_no_run_is_sorted_at_any_cap(spark, cap):
+    rows = spark.range(5_000).select(F.lit("s").alias("source"), F.lit("r").alias("run_id"), (F.col("id") * F.col("id") * 1_000).alias("page_no"), F.lit('{"data":[1]}').alias("payload"))
+    runs = PagedRuns(rows, [config(pagination_type="page", page_size=1, max_pages=cap)])
+    kept = runs.kept()
+    assert "Window" not in kept._jdf.queryExecution().executedPlan().toString()
+    last = 5_000 if cap is None else cap
+    assert kept.agg(F.count("*"), F.max("page_no")).first() == (last, (last - 1) ** 2 * 1_000)
+    assert runs.cut().count() == (cap is not None)
+
+
+def test_gaps_by_key(spark):
+    def gaps(keys, **settings):
+        df = spark.createDataFrame([("s", "r", k, "") for k in keys], "source string, run_id string, page_no long, payload string")
+        return [(r.expected, r.present, r.stray) for r in page_gaps(df, [config(**settings)]).collect()]
+
+    assert gaps([1, 2, 3], pagination_type="page") == [] and gaps([1, 1, 2], pagination_type="page") == []
+    assert gaps([2, 3], pagination_type="page") == [(3, 2, 0)] and gaps([1, 3], pagination_type="page") == [(3, 2, 0)]
+    assert gaps([0, 100, 200], pagination_type="offset") == [] and gaps([100, 200], pagination_type="offset") == [(3, 2, 0)]
+    assert gaps([0, 100, 150], pagination_type="offset") == [(2, 2, 1)] and gaps([0, 1], pagination_type="page") == [(1, 1, 1)]
 
 
 def test_payloads_are_never_broadcast(spark):
