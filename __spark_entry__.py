@@ -20,8 +20,9 @@ from recordmill.operators import boosting, checks, data_tests, facts, features,
 from recordmill.plans import derived, full_run, markets, repos  # noqa: E402
 from recordmill.plans.derived import k_of, observations, table  # noqa: E402
 from recordmill.session import configure, scratch_dir  # noqa: E402
-from recordmill.sources import csv, files, landing, ndjson, tables  # noqa: E402
+from recordmill.sources import catalog, csv, files, landing, ndjson, tables  # noqa: E402
 from recordmill.sources.pages import SourceConfig, cut_runs, flatten_pages, page_gaps  # noqa: E402
+from recordmill.sources.parts import Snapshot  # noqa: E402
 from recordmill.streaming.facts import read_durations, read_metric, stream_durations, stream_metric, upsert_from_stream  # noqa: E402
 from recordmill.streaming.landing import land_new_files  # noqa: E402
 
@@ -303,11 +304,11 @@ def paged_gaps(spark, sf_dir):
 
 
 @query(
-    """WITH p AS (SELECT user_id, event_id // 7 * 5 + CASE WHEN event_type='error' THEN 1 ELSE 0 END AS at FROM events),
- d AS (SELECT DISTINCT user_id, at FROM p)
- SELECT CAST(user_id AS VARCHAR) AS run_id, coalesce(max(at) FILTER (at % 5 = 0) // 5 + 1, 0)::BIGINT AS expected,
- count(*) FILTER (at % 5 = 0) AS present, count(*) FILTER (at % 5 <> 0) AS stray FROM d GROUP BY 1
- HAVING coalesce(max(at) FILTER (at % 5 = 0) // 5 + 1, 0) <> count(*) FILTER (at % 5 = 0) OR count(*) FILTER (at % 5 <> 0) > 0"""
+    """WITH p AS (SELECT user_id, event_id // 7 * 5 + CASE WHEN event_type='error' THEN 1 ELSE 0 END AS pos FROM events),
+ d AS (SELECT DISTINCT user_id, pos FROM p)
+ SELECT CAST(user_id AS VARCHAR) AS run_id, coalesce(max(pos) FILTER (pos % 5 = 0) // 5 + 1, 0)::BIGINT AS expected,
+ count(*) FILTER (pos % 5 = 0) AS present, count(*) FILTER (pos % 5 <> 0) AS stray FROM d GROUP BY 1
+ HAVING coalesce(max(pos) FILTER (pos % 5 = 0) // 5 + 1, 0) <> count(*) FILTER (pos % 5 = 0) OR count(*) FILTER (pos % 5 <> 0) > 0"""
 )
 def paged_gaps_offset(spark, sf_dir):
     """Runs whose offsets are not 0, 5, 10 and so on."""
@@ -396,6 +397,50 @@ def latest_per_entity(spark, sf_dir):
     return latest.latest_per_key(rows, ["user_id"], tie_breakers=["event_id"])
 
 
+@query(
+    """SELECT user_id, event_id, ts, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r
+ FROM events) WHERE r = 1"""
+)
+def latest_kept(spark, sf_dir):
+    """Latest rows kept over three runs whose rows overlap in time."""
+    path = scratch_dir(spark, "latest")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    for part in range(3):
+        latest.keep_latest(spark, events.where(F.col("event_id") % 3 == part), path, ["user_id"], newest="ts", tie_breakers=["event_id"])
+    return latest.read_kept(spark, path)
+
+
+@query(
+    """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS metric_date, count(*) AS n, max(ts) AS last FROM events GROUP BY 1,2)
+ SELECT 'rows' AS name, count(*)::DOUBLE AS actual FROM d
+ UNION ALL SELECT 'age', floor((epoch(TIMESTAMP '2024-02-01 12:00:00')-epoch(max(last)))/3600) FROM d
+ UNION ALL SELECT 'nulls', count(*) FILTER (metric_date IS NULL) FROM d
+ UNION ALL SELECT 'keys', 0
+ UNION ALL SELECT 'sql', sum(n)::DOUBLE FROM d WHERE metric_date >= DATE '2024-01-16'"""
+)
+def gate_from_states(spark, sf_dir):
+    """Checks of a fact table upserted in two overlapping parts: from what its commits tell, and by its name in SQL."""
+    path, keys = scratch_dir(spark, "fact"), ["user_id", "metric_date"]
+    rows = observations(spark, sf_dir)
+    for part in (F.col("ingested_at") < F.lit(CUTOFF), F.lit(True)):
+        daily = rows.where(part).groupBy("user_id", F.to_date("ingested_at").alias("metric_date")).agg(F.count("*").alias("n"), F.max("ingested_at").alias("last"))
+        facts.upsert_days(spark, daily, path, keys)
+    now = Snapshot(spark, path, facts.DAY)
+    folders = {(p,): now.folder(p) for p in now.parts}
+    catalog.publish(spark, "marts.daily_events", now.columns, [facts.DAY], f"{path}/rows", folders, folders)
+    on = {"table": "marts.daily_events"}
+    specs = [
+        {"name": "rows", "type": "row_count_min", **on},
+        {"name": "age", "type": "freshness", "timestamp_column": "last", **on},
+        {"name": "nulls", "type": "null_rate", "column": "metric_date", **on},
+        {"name": "keys", "type": "uniqueness", "columns": keys, **on},
+        {"name": "sql", "type": "custom_sql", "sql": "SELECT sum(n) FROM marts.daily_events WHERE metric_date >= DATE '2024-01-16'"},
+    ]
+    told = checks.run_checks(spark, specs, AS_OF, state=lambda name: now.state())
+    key = {"rows": "actual_rows", "age": "hours_since_last", "nulls": "null_rows", "keys": "duplicate_groups", "sql": "actual"}
+    return spark.createDataFrame([(r.name, float(r.details[key[r.name]])) for r in told], "name string, actual double")
+
+
 @query(
     f"""SELECT repo_id, repo_name, full_name, owner_login, owner_id, owner_type, language, license_spdx, description,
  homepage_url, html_url, default_branch, topics, repo_created_at, repo_updated_at, ingested_at AS dim_refreshed_at

@@ -90,7 +90,7 @@ def read_scoring(spark: SparkSession, path: str, content_type: str = "text/csv",
         return spark.read.options(**reading(multi_line)).option("inferSchema", "true").csv(path)
     if content_type == "application/json":
         return spark.read.json(path)
-    raise ValueError(f"Unsupported content type: {content_type}")
+    raise ValueError(f"Unsupported format to read: {content_type}")
 
 
 def write_scoring(df: DataFrame, path: str, accept: str = "text/csv") -> None:
@@ -100,7 +100,7 @@ def write_scoring(df: DataFrame, path: str, accept: str = "text/csv") -> None:
     elif accept == "application/json":
         df.write.json(path)
     else:
-        raise ValueError(f"Unsupported accept type: {accept}")
+        raise ValueError(f"Unsupported format to write: {accept}")
 
 
 def read_predictions(spark: SparkSession, prefix: str, load_id: str, predicted_at: datetime) -> DataFrame | None:
@@ -115,7 +115,7 @@ def read_predictions(spark: SparkSession, prefix: str, load_id: str, predicted_a
     split = {True: [], False: []}
     for header, paths in by_header(spark, found).items():
         split[next(iter(next(reader([header]), [])), None) == "prediction"] += paths
-    read = lambda headed: spark.read.schema("prediction string").options(header=str(headed).lower(), mode="PERMISSIVE").csv(split[headed])
+    read = lambda headed: spark.read.schema("prediction string").options(**reading(False) | {"header": str(headed).lower()}).csv(split[headed])
     rows = reduce(DataFrame.unionByName, [read(headed) for headed in split if split[headed]] or [spark.createDataFrame([], "prediction string")])
     return rows.select(
         F.lit(load_id).alias("load_id"),

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from datetime import datetime
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.functions.texts import content_hash
 from recordmill.sources import tables
 
-# The layout of a raw file's path.
+# The length of a fingerprint in a raw file's name and the layout of its path.
+HASH_LENGTH = 16
 RAW_PATH = r"raw/([^/]+)/(\d{4})/(\d{2})/(\d{2})/"
 
 
@@ -63,13 +65,16 @@ def digest(line: Column) -> list[Column]:
     The fingerprint ignores the order of the lines, so it needs no single ordered pass.
     """
     count = F.count(F.lit(1))
-    total = F.coalesce(F.sum(F.xxhash64(line).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
     return [
         count.alias("record_count"),
-        content_hash(F.concat_ws(":", count.cast("string"), total.cast("string"))).alias("content_hash"),
+        content_hash(F.concat_ws(":", count.cast("string"), _line_sum(line).cast("string"))).alias("content_hash"),
     ]
 
 
+def _line_sum(line: Column) -> Column:
+    return F.coalesce(F.sum(F.xxhash64(line).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+
+
 def manifest(records: DataFrame) -> DataFrame:
     """One row per file: ``file_path, source, record_count, content_hash, ingested_at``."""
     return (
@@ -99,23 +104,52 @@ def write_raw(records: DataFrame, base: str, source: str, written_at: datetime,
     """Write records under their dated key and return the summary; no records, no file.
 
     The key is a folder holding one part per task, so a large drop is written in parallel.
-    A folder already complete under the same key has the same content and is left alone.
-    The key holds the fingerprint, so the lines are passed over twice; they are kept on the
-    executors in between.
+    Count and fingerprint are observed while the lines are written to a folder that scans
+    skip; it gets its name once they are known. A folder that is complete under the same
+    key is left alone if its whole fingerprint and count are the same, else it is an error.
     """
-    lines = record_lines(records).persist(StorageLevel.MEMORY_AND_DISK)
+    spark, root = records.sparkSession, base.rstrip("/")
+    aside, seen = f"{root}/raw/_{uuid.uuid4().hex}", Observation()
+    lines = record_lines(records)
+    lines.observe(seen, F.count(F.lit(1)).alias("n"), _line_sum(F.col("line")).alias("total")).write.text(aside)
+    store, written = tables.file_system(spark, aside)
+    count, whole = seen.get["n"], hashlib.sha256(f"{seen.get['n']}:{seen.get['total']}".encode()).hexdigest()
+    summary = {"source": source, "recordCount": count, "s3Key": None}
+    if count == 0:
+        store.delete(written, True)
+        for folder in (written.getParent(), written.getParent().getParent()):  # made for this drop alone
+            if len(store.listStatus(folder)) == 0:
+                store.delete(folder, False)
+        return summary
+    key = raw_key(source, written_at, whole[:HASH_LENGTH], run_id)
+    _, target = tables.file_system(spark, f"{root}/{key}")
+    mark = f"{whole} {count}"
+    if store.exists(target.suffix("/_SUCCESS")):
+        store.delete(written, True)
+        if _mark_of(spark, f"{root}/{key}") != mark:
+            raise ValueError(f"{key} holds other records")
+    else:
+        _, told = tables.file_system(spark, f"{aside}/_fingerprint")
+        out = store.create(told, True)
+        out.write(bytearray(mark.encode()))
+        out.close()
+        store.mkdirs(target.getParent())
+        store.delete(target, True)  # an incomplete one
+        if not store.rename(written, target):
+            raise OSError(f"cannot name {target}")
+    return {**summary, "s3Key": key, "contentHash": whole[:HASH_LENGTH]}
+
+
+def _mark_of(spark: SparkSession, folder: str) -> str | None:
+    """Fingerprint and count a drop was written with."""
+    store, path = tables.file_system(spark, f"{folder}/_fingerprint")
+    if not store.exists(path):
+        return None
+    stream = store.open(path)
     try:
-        found = lines.agg(*digest(F.col("line"))).first()
-        summary = {"source": source, "recordCount": found.record_count, "s3Key": None}
-        if found.record_count == 0:
-            return summary
-        key = raw_key(source, written_at, found.content_hash, run_id)
-        folder = f"{base.rstrip('/')}/{key}"
-        if not tables.path_exists(records.sparkSession, f"{folder}/_SUCCESS"):
-            lines.write.mode("overwrite").text(folder)
+        return bytes(stream.readAllBytes()).decode()
     finally:
-        lines.unpersist()
-    return {**summary, "s3Key": key, "contentHash": found.content_hash}
+        stream.close()
 
 
 def write_raw_by_source(rows: DataFrame, base: str) -> None:

@@ -98,3 +98,74 @@ def test_scratch_is_dropped(spark):
     spark.range(1).write.parquet(path)
     assert session.drop_scratch(spark) == 1 and not tables.path_exists(spark, path)
     session._scratch.extend(kept)
+
+
+
+
+def test_a_run_with_one_new_repository_rewrites_one_bucket(spark, scratch):
+    house = full_run.Warehouse(scratch)
+    assert go(spark, house, "r1", T0, [repo(i) for i in range(40)]) == "SUCCESS"
+    kept = {p: latest_parts(spark, p) for p in (house.latest, house.dimension)}
+    assert go(spark, house, "r2", T0 + timedelta(hours=1), [repo(3, 8, name="new")]) == "SUCCESS"
+    for path, before in kept.items():
+        after = latest_parts(spark, path)
+        assert before.keys() == after.keys() and len([b for b in before if before[b] != after[b]]) == 1
+    names = {r.repo_id: r.repo_name for r in full_run.dimension(spark, house).collect()}
+    assert len(names) == 40 and names[3] == "new"
+    assert go(spark, house, "r3", T0 + timedelta(hours=2), [repo(41)]) == "SUCCESS"
+    assert full_run.dimension(spark, house).count() == 41
+
+
+def latest_parts(spark, path):
+    from recordmill.operators.latest import BUCKET
+    from recordmill.sources.parts import Snapshot
+
+    return Snapshot(spark, path, BUCKET).parts
+
+
+# Checks as a user of the gate has them.
+SPECS = [
+    {"name": "landing_has_data", "type": "row_count_min", "table": "raw.landing", "min_rows": 1, "severity": "error"},
+    {"name": "landing_is_fresh", "type": "freshness", "table": "raw.landing", "timestamp_column": "ingested_at", "max_age_hours": 24, "severity": "error"},
+    {"name": "landing_source_not_null", "type": "null_rate", "table": "raw.landing", "column": "source", "max_null_rate": 0.0, "severity": "error"},
+    {"name": "dim_repos_populated", "type": "row_count_min", "table": "marts.dim_repos", "min_rows": 1, "severity": "warn"},
+    {"name": "fct_metrics_unique_pk", "type": "uniqueness", "table": "marts.fct_daily_repo_metrics", "columns": ["repo_id", "metric_date"], "severity": "error"},
+    {"name": "predictions_recent", "type": "custom_sql", "sql": "SELECT COUNT(*) FROM marts.ml_predictions WHERE predicted_at >= CURRENT_TIMESTAMP - INTERVAL '7 days'",
+     "comparison": "gte", "expected_value": 0, "severity": "warn"},
+]
+
+
+def test_the_gate_reads_no_row_of_tables_whose_state_is_known(spark, scratch):
+    house = full_run.Warehouse(scratch)
+    assert go(spark, house, "r1", T0, [repo(1, 5), repo(2)], specs=SPECS) == "SUCCESS"
+    by_scan = checks.run_checks(spark, SPECS, T0)
+    by_state = checks.run_checks(spark, SPECS, T0, state=lambda name: full_run.table_state(spark, house, name))
+    assert by_scan == by_state and all(r.passed for r in by_scan)
+    read = []
+
+    def table(name):
+        read.append(name)
+        return spark.table(name)
+
+    checks.run_checks(spark, SPECS, T0, table, lambda name: full_run.table_state(spark, house, name))
+    assert read == []
+    assert "rows" not in landing.commit_log(spark, house.landing).current()._jdf.queryExecution().executedPlan().toString().split("Location:")[-1].split("ReadSchema")[0]
+    assert full_run.read_ledger(spark, house).first().freshness == "pass"
+
+
+def test_names_follow_each_run_and_warehouse(spark, scratch):
+    first, second = full_run.Warehouse(f"{scratch}/a"), full_run.Warehouse(f"{scratch}/b")
+    go(spark, first, "r1", T0, [repo(1, 5), repo(2)])
+    assert spark.table("raw.landing").count() == 2 and spark.table("marts.dim_repos").count() == 2
+    go(spark, first, "r2", T0 + timedelta(days=1), [repo(1, 7)])
+    assert spark.sql("SELECT sum(star_count) FROM marts.fct_daily_repo_metrics WHERE repo_id = 1").first()[0] == 12
+    assert spark.table("raw.landing").count() == 3
+    go(spark, second, "r1", T0, [repo(9)])
+    assert [r.repo_id for r in spark.table("marts.dim_repos").collect()] == [9] and spark.table("raw.landing").count() == 1
+
+
+def test_a_cut_run_is_in_the_ledger(spark, scratch):
+    house, capped = full_run.Warehouse(scratch), SourceConfig(repos.SOURCE, "https://example.org", pagination_type="page", page_size=1, max_pages=2, records_json_path="items")
+    for run, groups in (("r1", [[repo(1)], [repo(2)], [repo(3)]]), ("r2", [[repo(4)], []])):
+        full_run.run(spark, house, run, pages(spark, run, *groups), capped, T0, T0)
+    assert {r.run_id: r.truncated for r in full_run.read_ledger(spark, house).collect()} == {"r1": 1, "r2": 0}

@@ -360,3 +360,38 @@ def test_log_numbers_are_taken_once_and_snapshots_keep_what_counts(spark, scratc
     assert not log._take(12, "")
     names = log._names()
     assert sum(n.endswith(".json") for n in names) <= 9 and sum(n.startswith("snapshot") for n in names) <= 2
+
+
+def test_a_drop_is_passed_over_once_and_told_by_its_whole_fingerprint(spark, scratch):
+    passes = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passes.add(len(batch))
+            yield batch
+
+    rows = spark.range(50).mapInPandas(count, "id long")
+    done = ndjson.write_raw(rows, scratch, "src", AT, "r")
+    assert passes.value == 50 and done["recordCount"] == 50
+    store, path = tables.file_system(spark, f"{scratch}/{done['s3Key']}/_fingerprint")
+    assert ndjson.write_raw(spark.range(50), scratch, "src", AT, "r") == done
+    out = store.create(path, True)
+    out.write(bytearray(b"other 50"))
+    out.close()
+    with pytest.raises(ValueError, match="holds other records"):
+        ndjson.write_raw(spark.range(50), scratch, "src", AT, "r")
+    assert ndjson.read_ndjson(spark, scratch).count() == 50
+    assert tables.subfolders(spark, f"{scratch}/raw") == [f for f in tables.subfolders(spark, f"{scratch}/raw") if "/_" not in f]
+
+
+def test_quoted_prediction_cells(spark, scratch):
+    from recordmill.sources import csv
+
+    spark.createDataFrame([('"a ""q"", x",1',), ("plain,2",), ('"",3',)], "value string").coalesce(1).write.text(f"{scratch}/o")
+    import glob
+    import os
+
+    part = glob.glob(f"{scratch}/o/part-*")[0]
+    os.link(part, f"{scratch}/o/x.out")
+    rows = csv.read_predictions(spark, f"{scratch}/o", "l", AT)
+    assert sorted(r.prediction for r in rows.collect()) == ["", 'a "q", x', "plain"]
