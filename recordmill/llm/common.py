@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Rows handed to Python at once. Texts are long, so batches are short: memory of a task is
 # this many texts, whatever the table holds.
 BATCH_ROWS = 512
+BATCH_BYTES = 8 << 20  # of those rows, unless one alone is longer
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Bound the rows that one Arrow batch carries to Python."""
+    """Bound the rows and bytes that one Arrow batch carries to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     # a whole group that cogroups hand over may hold long values
     spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
 
@@ -31,3 +37,23 @@ def at_most_partitions(spark: SparkSession, rows: int, a_task: int) -> int:
     """Partitions for so many rows: as the session has them, fewer when a task would get less than ``a_task``, never fewer than cores."""
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(usual, max(spark.sparkContext.defaultParallelism, -(-rows // a_task))))
+
+
+def _give_back() -> None:
+    """Return freed memory to the machine: a worker outlives its task, and the next stage's tasks need the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_batches(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``rows.mapInArrow``, giving memory back at the end of each task."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return rows.mapInArrow(whole, schema)

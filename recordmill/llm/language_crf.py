@@ -21,18 +21,18 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from recordmill.llm.common import short_batches
+from recordmill.llm.common import map_batches, short_batches
 
 UNDETERMINED = "und"
 MAX_LANGUAGES = 64
@@ -41,7 +41,7 @@ LEXICON = 400  # frequent words of each language
 CHAIN = 48  # words of a training chain
 CHUNK = 64
 MAX_WORDS = 400_000
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")
 P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -210,7 +210,8 @@ def training_sample(documents: DataFrame, learn_from: Column, per_language: int)
     if len(ids) > MAX_LANGUAGES * per_language:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     picked = documents.where(F.col("doc_id").isin(ids) & F.col("text").isNotNull() & F.col("lang").isNotNull() & learn_from)
-    told = sorted({(r["doc_id"], r["text"], r["lang"]) for r in picked.select("doc_id", "text", "lang").limit(2 * len(ids) + 1).collect()})
+    one = F.min(F.struct("text", "lang")).alias("one")  # of rows that repeat an id, the first
+    told = sorted((r["doc_id"], r["one"]["text"], r["one"]["lang"]) for r in picked.groupBy("doc_id").agg(one).collect())
     return [(text, lang) for _, text, lang in told]
 
 
@@ -270,4 +271,4 @@ def predict(documents: DataFrame, learn_from: Column, per_language: int = 150) -
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "lang_pred", "lang_score"])
 
     schema = StructType([*documents.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
-    return documents.mapInArrow(run, schema)
+    return map_batches(documents, run, schema)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from recordmill.llm.common import short_batches
+from recordmill.llm.common import map_batches, short_batches
 
 MARKER = "▁"
 UNKNOWN_COST = 10.0
@@ -245,7 +245,7 @@ def encode(documents: DataFrame, model_path: str, doc_id: str = "doc_id", text:
             yield pa.RecordBatch.from_arrays([batch.column(0), pieces, decoded], ["doc_id", "pieces", "decoded"])
 
     rows = documents.selectExpr(f"CAST(`{doc_id}` AS bigint) AS doc_id", f"`{text}` AS text")
-    return rows.mapInArrow(run, "doc_id long, pieces array<int>, decoded string")
+    return map_batches(rows, run, "doc_id long, pieces array<int>, decoded string")
 
 
 def decode(encoded: DataFrame, model_path: str, pieces: str = "pieces") -> DataFrame:
@@ -259,4 +259,4 @@ def decode(encoded: DataFrame, model_path: str, pieces: str = "pieces") -> DataF
             texts = pa.array([codec.decode(x or []) for x in batch.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
 
-    return encoded.selectExpr("CAST(doc_id AS bigint) AS doc_id", f"`{pieces}` AS pieces").mapInArrow(run, "doc_id long, text string")
+    return map_batches(encoded.selectExpr("CAST(doc_id AS bigint) AS doc_id", f"`{pieces}` AS pieces"), run, "doc_id long, text string")

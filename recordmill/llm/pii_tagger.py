@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.common import short_batches
+from recordmill.llm.common import map_batches, short_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
@@ -400,7 +400,7 @@ def find(documents: DataFrame, min_confidence: float = 0.95, doc_id: str = "doc_
 
     names = ["doc_id", *(f"n_{kind}" for kind in KINDS), "base_sha256", "spans"]
     rows = documents.selectExpr(f"CAST(`{doc_id}` AS bigint) AS doc_id", f"`{text}` AS text")
-    return rows.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return map_batches(rows, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -427,4 +427,4 @@ def mask(documents: DataFrame, min_confidence: float = 0.95, doc_id: str = "doc_
             columns[place] = pa.array([t and masked(t, s) for t, s in zip(texts, spans)], pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_batches(documents, run, documents.schema)

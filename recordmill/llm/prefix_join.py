@@ -37,13 +37,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.common import at_most_partitions, short_batches
+from recordmill.llm.common import at_most_partitions, map_batches, short_batches
 from recordmill.llm.components import components
 from recordmill.session import cut_lineage
 
 BUCKETS = 1 << 20  # of the frequency table, four megabytes
 BLOCK = 1 << 12
-BYTES_AT_ONCE = 1 << 20
+BYTES_AT_ONCE = 1 << 18
 BROADCAST_IDS = 1_000_000
 HUB_ROUNDS = 24
 OPEN_PAIRS = 512  # pairs of a shingle's members still apart, per posting, whose bounds are looked at
@@ -51,6 +51,7 @@ OPEN_IN_LIST = 1 << 30  # and of one shingle, which are one task's
 LOOKED_AT = 6  # rounds after which the bounds of all are looked at
 MOST_HUBS = 32
 TILE = 256
+UNPACKED = 16  # texts of a tile that lie open at once
 HUB_PARTS = 16  # of a hub's partners, at least
 ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -87,7 +88,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _sets_of(parts: list[bytes], size: int) -> list[np.ndarray]:
     data = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
-    room = 1 << max(20, int(len(data)).bit_length())
+    room = 1 << max(18, int(len(data)).bit_length())
     power, inverse = _powers(room)
     white = (data == 32) | ((data >= 9) & (data <= 13))
     change = np.flatnonzero(np.diff(np.concatenate([[True], white]).astype(np.int8)))
@@ -157,9 +158,9 @@ def bucket_frequencies(rows: DataFrame, size: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["block", "counts"])
 
     # a partition's sums are a table of fixed size, and so is what the driver gets
-    parts = rows.select("text").mapInArrow(count, "block int, counts binary").repartition(32, "block")
+    parts = map_batches(rows.select("text"), count, "block int, counts binary").repartition(32, "block")
     table = np.zeros(BUCKETS, np.uint64)
-    for row in parts.mapInArrow(add, "block int, counts binary").toLocalIterator():
+    for row in map_batches(parts, add, "block int, counts binary").toLocalIterator():
         table[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] += np.frombuffer(row["counts"], np.uint64)
     return table
 
@@ -190,7 +191,7 @@ def signatures(rows: DataFrame, class_table: bytes, size: int, percent: int) ->
             told += [pa.array(p) for p in np.array(parities, np.int64).reshape(-1, len(PARITIES)).T]
             yield pa.RecordBatch.from_arrays([batch.column(0), *told], ["doc_id", "n", "digest", "prefix_digest", "prefix", *PARITIES])
 
-    return rows.select("doc_id", "text").mapInArrow(sign, SIGNATURE_SCHEMA)
+    return map_batches(rows.select("doc_id", "text"), sign, SIGNATURE_SCHEMA)
 
 
 def _parities(held: np.ndarray) -> np.ndarray:
@@ -213,7 +214,7 @@ def _postings(groups: DataFrame) -> DataFrame:
             told = (sizes.astype(np.int64) << 32) + (place << 1) + (members > 1)
             yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(ids), pa.array(told)], ["token", "grp", "told"])
 
-    return groups.select("grp", "n", "prefix", "members").mapInArrow(unfold, "token long, grp long, told long")
+    return map_batches(groups.select("grp", "n", "prefix", "members"), unfold, "token long, grp long, told long")
 
 
 def _tiles(pairs: DataFrame) -> DataFrame:
@@ -245,7 +246,7 @@ def _packed(texts: DataFrame) -> DataFrame:
             packed = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["tile", "a", "text"])
 
-    return texts.mapInArrow(pack, "tile long, a long, text binary")
+    return map_batches(texts, pack, "tile long, a long, text binary")
 
 
 def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -265,9 +266,11 @@ def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
                     texts.append((row[1], row[3]))
                     continue
                 if texts:  # all of the tile's texts have come
-                    unpacked = [zlib.decompress(t).decode("utf-8", "surrogatepass") for _, t in texts]
-                    for (node, _), held in zip(texts, shingle_sets(unpacked, size)):
-                        sets.setdefault(node, []).append(held)
+                    for first in range(0, len(texts), UNPACKED):
+                        some = texts[first : first + UNPACKED]
+                        unpacked = [zlib.decompress(t).decode("utf-8", "surrogatepass") for _, t in some]
+                        for (node, _), held in zip(some, shingle_sets(unpacked, size)):
+                            sets.setdefault(node, []).append(held)
                     texts = []
                 if any(_similar(x, y, percent) for x in sets[row[1]] for y in sets[row[2]]):
                     linked.append((row[1], row[2]))
@@ -284,7 +287,7 @@ def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     rows = seated.unionByName(tiled.withColumn("text", F.lit(None).cast("binary")))
     parts = at_most_partitions(texts.sparkSession, taken, TEXTS_A_TASK)
     ordered = rows.select("tile", "a", "b", "text").repartition(parts, "tile").sortWithinPartitions("tile", F.col("b").isNotNull())
-    return ordered.mapInArrow(check, "a long, b long")
+    return map_batches(ordered, check, "a long, b long")
 
 
 def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:

@@ -193,6 +193,16 @@ def test_languages_held_out_and_switched(spark, docs, none):
     odd = language_crf.predict(docs.select("doc_id", "text", "lang"), F.lit(True)).collect()
     assert {r["lang_pred"] for r in odd if not re.search(r"[^\W\d_]", r["text"] or "")} == {"und"}
     assert language_crf.predict(none, F.lit(True)).count() == 0
+    signs = docs.limit(1).select(F.lit(10**6).alias("doc_id"), F.explode(F.array(*map(F.lit, ("½ ² ①", "Ⅷ 3", "ª")))).alias("text"), F.lit(None).cast("string").alias("lang"))
+    told = language_crf.predict(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").unionByName(signs), F.col("doc_id") != 10**6)
+    assert {r["text"]: r["lang_pred"] == "und" for r in told.where("doc_id = 1000000").collect()} == {"½ ² ①": True, "Ⅷ 3": True, "ª": False}
+
+
+def test_a_repeated_id_teaches_one_row_each_time_the_same(spark):
+    rows = [(i % 5, f"text {i} of many", "ab"[i % 5 % 2]) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    told = [language_crf.training_sample(frame.repartition(n), F.lit(True), 10) for n in (1, 7)]
+    assert told[0] == told[1] == [(min(t for i, t, _ in rows if i == k), "ab"[k % 2]) for k in range(5)]
 
 
 def test_base_spans_against_plain_patterns():
