@@ -204,7 +204,7 @@ def _pair_gradient(scores: np.ndarray, labels: np.ndarray, chains: int, transiti
 
 def training_sample(documents: DataFrame, learn_from: Column, per_language: int) -> list[tuple[str, str]]:
     """(text, language) of at most ``per_language`` documents of each language, by a hash of the id."""
-    rows = documents.select("doc_id", "lang").where(learn_from & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+    rows = documents.select("doc_id", "lang").where(learn_from & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).distinct()
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id")
     ids = [r[0] for r in rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("doc_id").limit(MAX_LANGUAGES * per_language + 1).collect()]
     if len(ids) > MAX_LANGUAGES * per_language:

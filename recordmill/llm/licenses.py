@@ -109,19 +109,21 @@ def scan(documents: DataFrame, licences: DataFrame, doc_id: str = "doc_id", text
     """(doc_id, canonical_digest, licence, line_licences) for every document.
 
     ``licence`` is that of the whole text, ``line_licences`` those that a line alone states,
-    each once, sorted and joined by commas; null where there is none. Digests of texts and
-    lines go through one join, so nothing wider than a digest is moved.
+    each once, sorted and joined by commas; null where there is none. Lines are told by the
+    text they stand in and not by an id, so rows without id or with the same one are looked
+    at each for itself. Nothing wider than a digest is moved.
     """
     known = known_digests(licences)
     if licences.count() <= BROADCAST_LICENCES:
         known = F.broadcast(known)
     made = documents.select(F.col(doc_id).alias("doc_id"), canonical_lines(F.col(text)).alias("canonical"))
-    made = made.withColumn("canonical_digest", digest(F.col("canonical")))
-    lines = made.select("doc_id", F.explode(F.array_distinct(F.split("canonical", "\n"))).alias("line"))
-    stated = lines.select("doc_id", digest(F.col("line")).alias("digest")).join(known, "digest").groupBy("doc_id")
+    made = made.withColumn("same_text", F.sha2(F.col("canonical").cast("binary"), 256))
+    lines = made.select("same_text", F.explode(F.array_distinct(F.split("canonical", "\n"))).alias("line"))
+    stated = lines.select("same_text", digest(F.col("line")).alias("digest")).join(known, "digest").groupBy("same_text")
     stated = stated.agg(F.array_join(F.sort_array(F.collect_set("licence")), ",").alias("line_licences"))
-    whole = made.drop("canonical").join(known.withColumnRenamed("digest", "canonical_digest"), "canonical_digest", "left")
-    found = whole.join(stated.withColumnRenamed("doc_id", "stated_id"), F.col("doc_id").eqNullSafe(F.col("stated_id")), "left")
+    whole = made.select("doc_id", "same_text", digest(F.col("canonical")).alias("canonical_digest"))
+    whole = whole.join(known.withColumnRenamed("digest", "canonical_digest"), "canonical_digest", "left")
+    found = whole.join(stated, "same_text", "left")
     return found.select("doc_id", "canonical_digest", "licence", "line_licences")
 
 
@@ -139,10 +141,10 @@ def scan_sql() -> str:
     return f"""WITH k AS (SELECT digest, min(id) AS licence FROM (SELECT id, {dig % ("c", "c")} AS digest FROM ({canon % f"(VALUES {values}) v(id,t)"}))
  WHERE digest IS NOT NULL GROUP BY 1),
 d AS ({canon % "(SELECT doc_id AS id, text AS t FROM documents)"}),
-l AS (SELECT id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS line_licences
- FROM (SELECT id, {dig % ("x", "x")} AS digest FROM (SELECT id, unnest(string_split(c,chr(10))) AS x FROM d)) JOIN k USING (digest) GROUP BY 1)
-SELECT d.id AS doc_id, {dig % ("c", "c")} AS canonical_digest, licence, line_licences FROM d
- LEFT JOIN k ON k.digest = {dig % ("c", "c")} LEFT JOIN l ON l.id = d.id""".replace("\\\\", "\\")
+l AS (SELECT c, string_agg(DISTINCT licence, ',' ORDER BY licence) AS line_licences
+ FROM (SELECT c, {dig % ("x", "x")} AS digest FROM (SELECT c, unnest(string_split(c,chr(10))) AS x FROM (SELECT DISTINCT c FROM d))) JOIN k USING (digest) GROUP BY 1)
+SELECT d.id AS doc_id, {dig % ("d.c", "d.c")} AS canonical_digest, licence, line_licences FROM d
+ LEFT JOIN k ON k.digest = {dig % ("d.c", "d.c")} LEFT JOIN l ON l.c = d.c""".replace("\\\\", "\\")
 
 
 TEXTS = Path(__file__).parent / "licences"

@@ -28,12 +28,12 @@ ignored.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +51,7 @@ OPEN_IN_LIST = 1 << 30  # and of one shingle, which are one task's
 LOOKED_AT = 6  # rounds after which the bounds of all are looked at
 MOST_HUBS = 32
 TILE = 256
+PACKING = 6  # level of the compression of texts that are moved
 UNPACKED = 16  # texts of a tile that lie open at once
 HUB_PARTS = 16  # of a hub's partners, at least
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -239,11 +240,12 @@ def _hub_tiles(pairs: DataFrame) -> DataFrame:
 
 
 def _packed(texts: DataFrame) -> DataFrame:
-    """(tile, a, text): texts deflated for the way to their tiles."""
+    """(tile, a, text): texts compressed for the way to their tiles."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=PACKING)
         for batch in batches:
-            packed = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in batch.column(2).to_pylist()]
+            packed = [packer.compress((t or "").encode("utf-8", "surrogatepass")) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["tile", "a", "text"])
 
     return map_batches(texts, pack, "tile long, a long, text binary")
@@ -257,6 +259,7 @@ def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, texts, sets = None, [], {}
+        opener = zstandard.ZstdDecompressor()
         for batch in batches:
             linked = []
             for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -268,7 +271,7 @@ def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
                 if texts:  # all of the tile's texts have come
                     for first in range(0, len(texts), UNPACKED):
                         some = texts[first : first + UNPACKED]
-                        unpacked = [zlib.decompress(t).decode("utf-8", "surrogatepass") for _, t in some]
+                        unpacked = [opener.decompress(t).decode("utf-8", "surrogatepass") for _, t in some]
                         for (node, _), held in zip(some, shingle_sets(unpacked, size)):
                             sets.setdefault(node, []).append(held)
                     texts = []
