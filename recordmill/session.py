@@ -86,7 +86,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Later uses see one fixed result, and a lost executor does not bring back the work.
     """
     path = scratch_dir(df.sparkSession, "step")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
