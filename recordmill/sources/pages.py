@@ -95,18 +95,22 @@ class PagedRuns:
             known = known.withColumn(key, F.coalesce(key, F.raise_error(F.lit(f"a page has no {key}")).cast(pages.schema[key].dataType)))
         self.configs, self.pages = configs, cut_lineage(_parsed(_with_settings(known, configs)))
         self.narrow = self.pages.select(*RUN, F.col("page_no").cast("long").alias("page_no"), "is_last")
+        self._runs: DataFrame | None = None
 
     def _few(self, runs: DataFrame) -> DataFrame:
         return F.broadcast(runs) if runs.count() <= BROADCAST_RUNS else runs
 
     def runs(self) -> DataFrame:
         """Per run ``stop`` (its ending page, if one came), ``n`` (pages up to there), ``first``, ``last``, ``max_pages``."""
+        if self._runs is not None:
+            return self._runs
         stops = cut_lineage(self.narrow.where("is_last").groupBy(*RUN).agg(F.min("page_no").alias("stop")))
         with_stop = self.narrow.select(*RUN, "page_no").join(self._few(stops), RUN, "left").where("stop IS NULL OR page_no <= stop")
         per_run = with_stop.groupBy(*RUN).agg(
             F.min("stop").alias("stop"), F.count(F.lit(1)).alias("n"), F.min("page_no").alias("first"), F.max("page_no").alias("last")
         )
-        return cut_lineage(_with_settings(per_run, self.configs).withColumn("max_pages", F.col("_s.max_pages")).drop("_s"))
+        self._runs = cut_lineage(_with_settings(per_run, self.configs).withColumn("max_pages", F.col("_s.max_pages")).drop("_s"))
+        return self._runs
 
     def limits(self, runs: DataFrame) -> DataFrame:
         """Per run the last page that counts, NULL for a run that neither a page nor the cap ends."""
