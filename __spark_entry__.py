@@ -17,7 +17,7 @@ from recordmill import schemas  # noqa: E402
 from recordmill.functions import texts  # noqa: E402
 from recordmill.functions.order_statistics import medians, modes  # noqa: E402
 from recordmill.operators import boosting, checks, data_tests, facts, features, latest, ledger, run_metrics  # noqa: E402
-from recordmill.plans import derived, full_run, markets, repos  # noqa: E402
+from recordmill.plans import derived, full_run, markets, models, repos  # noqa: E402
 from recordmill.plans.derived import k_of, observations, table  # noqa: E402
 from recordmill.session import configure, scratch_dir  # noqa: E402
 from recordmill.sources import catalog, csv, files, landing, ndjson, tables  # noqa: E402
@@ -378,13 +378,14 @@ def staging_repos(spark, sf_dir):
  CAST(CAST(p_retailprice*1000 AS DECIMAL(38,2)) AS DOUBLE) AS market_cap_usd, (p_partkey+1)::INTEGER AS market_cap_rank,
  CASE WHEN p_type<>'ECONOMY' THEN CAST(CAST(p_retailprice AS DECIMAL(38,2)) AS DOUBLE) ELSE -1 END AS fdv_usd,
  p_size::DOUBLE AS total_volume_usd, p_retailprice AS high_24h_usd, p_retailprice AS low_24h_usd,
- -0.125::DOUBLE AS price_change_24h_usd, 1e-7::DOUBLE AS price_change_pct_24h, -1::DOUBLE AS max_supply,
+ -0.125::DOUBLE AS price_change_24h_usd, 1e-7::DOUBLE AS price_change_pct_24h, (p_size*1000)::DOUBLE AS circulating_supply,
+ CASE WHEN p_size%2=0 THEN (p_size*2000)::DOUBLE ELSE -1 END AS total_supply, -1::DOUBLE AS max_supply,
+ CAST(CAST(p_retailprice*3 AS DECIMAL(38,8)) AS DOUBLE) AS ath_usd,
  TIMESTAMP '2021-11-10 14:24:11.849' AS ath_at, TIMESTAMP '2024-01-31' AS coin_updated_at FROM part"""
 )
 def staging_markets(spark, sf_dir):
     staged = _plain(markets.staged(derived.market_landing(spark, sf_dir)))
-    staged = staged.drop("circulating_supply", "total_supply", "ath_usd", "load_id", "file_path", "ingested_at")
-    return staged.fillna(-1.0, ["fdv_usd", "max_supply"])
+    return staged.drop("load_id", "file_path", "ingested_at").fillna(-1.0, ["fdv_usd", "total_supply", "max_supply"])
 
 
 @query(
@@ -1017,6 +1018,55 @@ def ml_train_score_regression(spark, sf_dir):
     return spark.read.schema(schemas.PREDICTIONS).parquet(base)
 
 
+# Targets that two features decide, so a model that learned them says what SQL says.
+_CLASS = "CASE WHEN o_orderpriority='1-URGENT' THEN 'now' WHEN o_orderstatus='O' THEN 'open' ELSE 'rest' END"
+_AMOUNT = "CASE o_orderpriority WHEN '1-URGENT' THEN 150 WHEN '2-HIGH' THEN 120 ELSE 100 END + CASE WHEN o_orderstatus='O' THEN 3 ELSE 0 END"
+
+
+def _decided(spark, sf_dir, target):
+    days = F.datediff(F.lit("2002-01-01").cast("date"), F.col("o_orderdate")).alias("days_active")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus", days, F.expr(target).alias("target")
+    )
+
+
+@query(f"SELECT o_orderkey, {_CLASS} AS prediction FROM orders")
+def ml_train_classes(spark, sf_dir):
+    """Train, save, load and score a classifier of three classes."""
+    rows = _decided(spark, sf_dir, _CLASS)
+    folder = scratch_dir(spark, "model")
+    boosting.save(boosting.train(rows, "target", "classification", "o_orderkey", n_estimators=10), folder, spark)
+    return boosting.predict(boosting.load(spark, folder), rows.drop("target"), ["o_orderkey"])
+
+
+@query(f"SELECT CAST(o_orderkey AS VARCHAR) AS row_key, ({_AMOUNT})::DOUBLE AS prediction, 'run-1' AS load_id FROM orders")
+def ml_train_amounts(spark, sf_dir):
+    """Train a regressor and score a run into the predictions table."""
+    rows = _decided(spark, sf_dir, _AMOUNT)
+    base = scratch_dir(spark, "predictions")
+    trained = boosting.train(rows, "target", "regression", "o_orderkey", n_estimators=10)
+    boosting.score_run(trained, rows.drop("target"), "o_orderkey", base, "run-1", AS_OF)
+    back = spark.read.schema(schemas.PREDICTIONS).parquet(base)
+    return back.select("row_key", F.round(F.col("prediction").cast("double"), 6).alias("prediction"), "load_id")
+
+
+@query(f"SELECT {_CLASS} AS prediction, 'run-7' AS load_id, count(*) AS n FROM orders GROUP BY 1")
+def ml_files_to_scores(spark, sf_dir):
+    """CSV files of two layouts to a model, input files to ``.out`` files, those loaded by a run's state."""
+    base = scratch_dir(spark, "files")
+    rows = _decided(spark, sf_dir, _CLASS)
+    odd = F.col("o_orderkey") % 2 == 1
+    rows.where(odd).write.options(**csv.WRITTEN).csv(f"{base}/training/a")
+    rows.where(~odd).select(*reversed(rows.columns), F.lit("late").alias("drop")).write.options(**csv.WRITTEN).csv(f"{base}/training/b")
+    models.train_files(spark, f"{base}/training", f"{base}/model", "target", "classification", "o_orderkey", n_estimators=10)
+    exported = csv.export_csv(rows.drop("target"), base, "run-7")
+    models.score_files(spark, f"{base}/model", exported["path"], f"{base}/scores", ["o_orderkey"])
+    state = {"mlExport": {"Payload": exported}, "transformResult": {"transformOutput": {"s3OutputPath": f"{base}/scores"}}}
+    csv.load_of_state(spark, state, f"{base}/table", AS_OF, "no-run")
+    back = spark.read.schema(schemas.PREDICTIONS).parquet(f"{base}/table")
+    return back.groupBy("prediction", "load_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT o_orderkey, round(o_totalprice*0.5+2,4) AS prediction FROM orders")
 def ml_predict_hooks(spark, sf_dir):
     """A model of the user's own, loaded once per task."""
@@ -1089,6 +1139,31 @@ def predictions_load(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey%7=0 OR c_custkey%5=0 THEN 'none'
+ ELSE c_name||', "'||c_mktsegment||'"'||chr(10)||'next, line' END AS note FROM customer"""
+)
+def csv_export_rows(spark, sf_dir):
+    """Texts with quotes, commas and line breaks, out and back; an empty text and NULL are both no value."""
+    key = F.col("c_custkey")
+    text = F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"\nnext, line'))
+    note = F.when(key % 7 == 0, None).when(key % 5 == 0, "").otherwise(text)
+    done = csv.export_csv(table(spark, sf_dir, "customer").select("c_custkey", note.alias("note")), scratch_dir(spark, "export"), "run-1")
+    back = csv.read_scoring(spark, done["path"])
+    return back.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), F.coalesce("note", F.lit("none")).alias("note"))
+
+
+@query("""SELECT 'order "'||o_orderkey||'", '||o_orderstatus AS prediction, 'run-1' AS load_id FROM orders""")
+def predictions_load_rows(spark, sf_dir):
+    """Prediction cells with quotes and commas, row by row."""
+    base = scratch_dir(spark, "scores")
+    text = F.concat(F.lit('order "'), F.col("o_orderkey").cast("string"), F.lit('", '), F.col("o_orderstatus"))
+    scores = table(spark, sf_dir, "orders").select(text.alias("prediction"), F.lit("a,b").alias("extra"))
+    scores.write.options(**csv.WRITTEN).option("extension", "out").csv(f"{base}/raw")
+    csv.load_predictions(spark, f"{base}/raw", f"{base}/table", "run-1", AS_OF)
+    return spark.read.schema(schemas.PREDICTIONS).parquet(f"{base}/table").select("prediction", "load_id")
+
+
 # --- contract ----------------------------------------------------------------------------
 
 

@@ -124,14 +124,14 @@ def duration_stats(ledger: DataFrame, at: str = "ended_at", width: str = DURATIO
 
 
 def alarms(ledger: DataFrame, at: str = "ended_at", max_p95: float = MAX_P95_SECONDS) -> DataFrame:
-    """Windows that breach: ``window_start, alarm``. A window without runs never does."""
+    """Windows that breach: ``window_start, alarm``. A window without runs never does.
 
-    def breach(rows: DataFrame, condition: Column, name: str) -> DataFrame:
-        return rows.where(condition).select("window_start", F.lit(name).alias("alarm"))
-
-    failures = executions(ledger.where(F.col("status") == "FAILURE"), at)
-    return (
-        breach(failures, F.col("executions") >= 1, "failure")
-        .unionByName(breach(duration_p95(ledger, at), F.col("p95") > max_p95, "duration"))
-        .unionByName(breach(quality_errors(ledger, at), F.col("quality_errors") >= 1, "quality"))
+    Both alarms of failed runs come from one aggregate.
+    """
+    failed = ledger.where(F.col("status") == "FAILURE")
+    counted = failed.groupBy(F.window(at, COUNT_WINDOW)).agg(F.sum("quality_errors").alias("errors"))
+    names = F.when(F.col("errors") >= 1, F.array(F.lit("failure"), F.lit("quality"))).otherwise(F.array(F.lit("failure")))
+    slow = duration_p95(ledger, at).where(F.col("p95") > max_p95)
+    return counted.select(F.col("window.start").alias("window_start"), F.explode(names).alias("alarm")).unionByName(
+        slow.select("window_start", F.lit("duration").alias("alarm"))
     )

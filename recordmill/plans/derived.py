@@ -107,6 +107,9 @@ def market_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         price.alias("low_24h"),
         F.lit(-0.125).alias("price_change_24h"),
         F.lit(1e-7).alias("price_change_percentage_24h"),
+        (F.col("p_size") * 1000).alias("circulating_supply"),
+        F.when(F.col("p_size") % 2 == 0, F.col("p_size") * 2000).alias("total_supply"),
+        (price * 3).alias("ath"),
         F.lit("2021-11-10T14:24:11.849Z").alias("ath_date"),
         F.lit("2024-01-31T00:00:00.000Z").alias("last_updated"),
     )

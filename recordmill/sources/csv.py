@@ -131,7 +131,35 @@ def load_predictions(spark: SparkSession, prefix: str, table_dir: str, load_id:
     """
     rows = read_predictions(spark, prefix, load_id, predicted_at)
     if rows is None:
-        return {"status": "SKIPPED", "reason": "no .out files in transform output", "rowsLoaded": 0}
+        return {"status": "SKIPPED", "reason": "no prediction files below the output path", "rowsLoaded": 0}
     target = f"{table_dir.rstrip('/')}/load_id={load_id}"
     rows.drop("load_id").write.mode("overwrite").parquet(target)
-    return {"status": "LOADED", "loadId": load_id, "rowsLoaded": spark.read.parquet(target).count()}
+    return {
+        "status": "LOADED",
+        "loadId": load_id,
+        "s3OutputPath": prefix,
+        "rowsLoaded": spark.read.parquet(target).count(),
+        "filesLoaded": files.list_files(spark, prefix, "*.out").count(),
+    }
+
+
+def _named(state, *path: str):
+    """The value at a path of keys, whatever their capitals; None where the path ends early."""
+    for key in path:
+        if not isinstance(state, Mapping):
+            return None
+        state = next((value for name, value in state.items() if name.lower() == key.lower()), None)
+    return state
+
+
+def load_of_state(spark: SparkSession, state: Mapping, table_dir: str, predicted_at: datetime, default_id: str) -> dict:
+    """:func:`load_predictions` of the scoring output that a run's state names.
+
+    The load is named after the run that exported the input, or ``default_id``. A state
+    without an output path loads nothing.
+    """
+    prefix = _named(state, "transformResult", "transformOutput", "s3OutputPath")
+    if not prefix:
+        return {"status": "SKIPPED", "reason": "the state names no scoring output", "rowsLoaded": 0}
+    run_id = _named(state, "mlExport", "payload", "runId") or default_id
+    return load_predictions(spark, prefix, table_dir, run_id, predicted_at)

@@ -25,7 +25,7 @@ def table(spark, n=600):
     )
 
 
-def test_column_types():
+def test_column_types(spark):
     schema = T.StructType.fromDDL("a int, b string, c boolean, d decimal(5,2), e timestamp, y double")
     assert features.split_by_type(schema, ["y"]) == (["a", "d"], ["b", "c", "e"])
 
@@ -64,6 +64,10 @@ def test_preprocessing(spark):
 
 
 def test_too_many_categories_is_an_error(spark):
+    exact = spark.range(100).select(F.col("id").cast("string").alias("s"), F.lit("x").alias("t"))
+    features.check_categories(exact, ["s", "t"], limit=100)
+    with pytest.raises(ValueError, match="'s': 100"):
+        features.check_categories(exact, ["s", "t"], limit=99)
     with pytest.raises(ValueError, match="too many categories"):
         features.check_categories(spark.range(100).select(F.col("id").cast("string").alias("s")), ["s"], limit=10)
 
@@ -167,6 +171,29 @@ def test_prediction_files(spark, scratch):
     assert csv.load_predictions(spark, f"{scratch}/empty", f"{scratch}/t", "r2", AT)["status"] == "SKIPPED"
 
 
+def test_predictions_are_loaded_by_run_state(spark, scratch):
+    df = spark.createDataFrame([("a",), ("b",)], "prediction string")
+    for part in range(2):
+        df.coalesce(1).write.mode("append").option("header", "true").option("extension", "out").csv(f"{scratch}/out")
+    for told in ({"TransformOutput": {"S3OutputPath": f"{scratch}/out"}}, {"transformOutput": {"s3OutputPath": f"{scratch}/out"}}):
+        done = csv.load_of_state(spark, {"transformResult": told}, f"{scratch}/t", AT, "own")
+        assert (done["status"], done["loadId"], done["rowsLoaded"], done["filesLoaded"]) == ("LOADED", "own", 4, 2)
+    named = {"transformResult": told, "mlExport": {"Payload": {"runId": "r9"}}}
+    assert csv.load_of_state(spark, named, f"{scratch}/t", AT, "own")["loadId"] == "r9"
+    for state in ({}, {"transformResult": None}, {"transformResult": {"TransformOutput": {}}}):
+        assert csv.load_of_state(spark, state, f"{scratch}/t", AT, "own")["status"] == "SKIPPED"
+
+
+def test_a_rule_is_learned_whole(spark):
+    rows = table(spark).select("key", "x", "kind", F.expr("CASE WHEN kind = 'c' THEN 9 WHEN flag THEN 5 ELSE 1 END").alias("target"), "flag").fillna("b", ["kind"])
+    rows = rows.withColumn("target", F.expr("CASE WHEN kind = 'c' THEN 9 WHEN flag THEN 5 ELSE 1 END"))
+    fitted = boosting.train(rows, "target", "classification", "key", n_estimators=3)
+    assert fitted.metadata.metrics == {"accuracy": 1.0, "f1_weighted": 1.0}
+    assert boosting.predict(fitted, rows, ["key"]).join(rows, "key").where("prediction <> target").isEmpty()
+    amounts = boosting.train(rows, "target", "regression", "key", n_estimators=3)
+    assert amounts.metadata.metrics["mae"] < 1e-9 and amounts.metadata.metrics["r2"] > 1 - 1e-9
+
+
 def test_prediction_files_lose_nothing_but_header_lines(spark, scratch):
     for headed in (True, False):
         lines = ["prediction,other"] * headed + ["0.5,a", ",b", "prediction,c"]
