@@ -7,7 +7,8 @@ run; in a run each slot value of the item must stand for one value of the docume
 so that a question with other numbers is found and a chance mix of numbers isn't.
 
 Nulls, ties, repeats: a null text has no tokens and matches nothing; rows with a null id take
-no part. An item of fewer tokens than the window is one window as it stands. Windows that hold
+no part. An item of fewer tokens than the window is one window as it stands; one of fewer than
+``min_item`` tokens says too little, it is met only by a document that holds nothing else. Windows that hold
 under ``min_literals`` words besides placeholders (for a short item, as large a share of it)
 are met as they stand only, in any case; those of numbers alone aren't met. Texts of one
 item id are items of their own with a row each; repeated rows of a document or an item count
@@ -16,8 +17,6 @@ once. Empty tables give no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,7 +86,28 @@ def item_windows(items: DataFrame, window: int, min_literals: int) -> DataFrame:
     return rows.select(F.col("id").alias("item_id"), F.col("key").alias("item_key"), "item_pos", "width", "plain", hashed.alias("hash"))
 
 
-def matches(documents: DataFrame, benchmark: DataFrame, window: int = 8, min_literals: int = 5, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+def _document_windows(made: DataFrame, kinds: list[tuple[int, bool]], min_item: int) -> DataFrame:
+    """(id, width, plain, pos, hash): the windows of all ``kinds`` (width, plain) from one pass over the documents."""
+    if any(plain for _, plain in kinds):
+        made = made.withColumn("words", _plain("slots"))
+    if len(kinds) == 1:
+        (width, plain), = kinds
+        rows = made.select("*", F.lit(width).alias("width"), F.lit(plain).alias("plain"))
+    else:
+        # only widths that fit; those of short items only where they are the whole text
+        fit = lambda k: F.when(k["width"] < min_item, k["width"] == F.size("tokens")).otherwise(k["width"] <= F.size("tokens"))
+        every = F.array(*[F.struct(F.lit(w).alias("width"), F.lit(plain).alias("plain")) for w, plain in sorted(kinds)])
+        rows = made.select("*", F.inline(F.filter(every, fit)))
+    if len(kinds) == 1 and width < min_item:
+        rows = rows.where(F.size("tokens") == width)
+    words = F.col("tokens")
+    if any(plain for _, plain in kinds):
+        words = F.when(F.col("plain"), F.col("words")).otherwise(words)
+    size = F.lit(kinds[0][0]) if len(kinds) == 1 else F.col("width")
+    return rows.select("id", "width", "plain", F.posexplode(_windows(words, size)).alias("pos", "hash"))
+
+
+def matches(documents: DataFrame, benchmark: DataFrame, window: int = 8, min_literals: int = 5, min_item: int = 4, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, item_tokens, covered_tokens, changed_slots) of documents and items that share windows consistently.
 
     ``covered_tokens`` counts the item's tokens that lie in consistent runs; ``changed_slots``
@@ -100,10 +120,7 @@ def matches(documents: DataFrame, benchmark: DataFrame, window: int = 8, min_lit
     facts = wanted.agg(F.count("*").alias("rows"), F.collect_set(F.struct("width", "plain")).alias("widths")).first()
     wanted = F.broadcast(wanted) if facts["rows"] <= BROADCAST_WINDOWS else wanted
     made = _templated(documents, doc_id, text)
-    widths = sorted((w["width"], w["plain"]) for w in facts["widths"]) or [(window, False)]
-    words = lambda plain: _plain("slots") if plain else F.col("tokens")
-    hashed = [made.select("id", F.lit(w).alias("width"), F.lit(plain).alias("plain"), F.posexplode(_windows(words(plain), F.lit(w))).alias("pos", "hash")) for w, plain in widths]
-    hits = reduce(DataFrame.unionByName, hashed).join(wanted, ["hash", "width", "plain"])
+    hits = _document_windows(made, [(w["width"], w["plain"]) for w in facts["widths"]] or [(window, False)], min_item).join(wanted, ["hash", "width", "plain"])
     runs = hits.groupBy(F.col("id").alias("doc_id"), "item_id", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift"), "width", "plain").agg(F.sort_array(F.collect_set("item_pos")).alias("at"))
     runs = cut_lineage(runs)
     few = runs.count() <= BROADCAST_RUNS
@@ -136,7 +153,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, min_share: float =
     return matches(documents, benchmark, **options).where(F.col("covered_tokens") >= F.lit(min_share) * F.col("item_tokens"))
 
 
-def contaminated_sql(window: int = 8, min_literals: int = 5, min_share: float = 0.5) -> str:
+def contaminated_sql(window: int = 8, min_literals: int = 5, min_share: float = 0.5, min_item: int = 4) -> str:
     """:func:`contaminated` of ``documents`` and ``benchmark`` in DuckDB's SQL."""
     units = "|".join(UNITS)
     made = f"""SELECT id, list_filter(regexp_split_to_array(replace(w,chr(1),''),' +'), lambda x: x<>'') AS slots,
@@ -149,7 +166,7 @@ iw AS (SELECT id AS item_id, p AS item_pos, w AS width, array_to_string(tokens[p
  FROM (SELECT id, tokens, least({window}, len(tokens)) AS w, unnest(range(0, greatest(len(tokens) - least({window}, len(tokens)) + 1, 0))) AS p FROM i WHERE len(tokens) >= 1)
  WHERE len(list_filter(tokens[p+1:p+w], lambda x: NOT {hold})) >= least({min_literals}, w)),
 dw AS (SELECT id, width, p AS pos, array_to_string(tokens[p+1:p+width],' ') AS win
- FROM (SELECT id, tokens, width, unnest(range(0, greatest(len(tokens) - width + 1, 0))) AS p FROM d, (SELECT DISTINCT width FROM iw))),
+ FROM (SELECT id, tokens, width, unnest(range(0, greatest(len(tokens) - width + 1, 0))) AS p FROM d, (SELECT DISTINCT width FROM iw) WHERE width >= {min_item} OR width = len(tokens))),
 r AS (SELECT id AS doc_id, item_id, pos - item_pos AS shift, width, list(DISTINCT item_pos) AS spots FROM dw JOIN iw USING (win, width) GROUP BY ALL),
 t AS (SELECT DISTINCT doc_id, item_id, shift, width, a + k AS token FROM (SELECT *, unnest(spots) AS a FROM r), (SELECT unnest(range(0, {window})) AS k) WHERE k < width),
 s AS (SELECT t.*, i.tokens[token+1] AS kind, i.slots[token+1] AS asked, d.slots[token+shift+1] AS given, len(i.tokens) AS item_tokens FROM t JOIN i ON i.id=item_id JOIN d ON d.id=doc_id),

@@ -367,6 +367,23 @@ def test_templates_meet_copies_of_items_with_few_words(spark):
     assert templates.contaminated(both, bench.where("item_id = 3")).count() == 2
 
 
+def test_short_items_are_met_by_whole_texts_only(spark):
+    bench = spark.createDataFrame([(1, "Dog"), (2, "the"), (3, "Why so late?"), (4, "when will the next train leave")], "item_id long, text string")
+    rows = [(1, "I saw the dog. Why so late? the"), (2, "why so late"), (3, "The"), (4, "Tell me: when will the next train leave?"), (5, "dog the")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in templates.contaminated(frame, bench).collect()}
+    assert got == {(2, 3), (3, 2), (4, 4)}
+    alone = {(r["doc_id"], r["item_id"]) for r in templates.contaminated(frame, bench.where("item_id = 2")).collect()}
+    assert alone == {(3, 2)}
+
+
+def test_windows_of_all_widths_come_from_one_scan(spark):
+    made = templates._templated(spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string"), "doc_id", "text")
+    rows = templates._document_windows(made, [(5, False), (6, True), (4, False), (9, False), (2, False)], 4)
+    assert sorted((r["width"], r["plain"]) for r in rows.collect()) == [(4, False)] * 3 + [(5, False)] * 2 + [(6, True)]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + rows._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 1
+
+
 def test_pipeline_stages_keep_the_columns(spark, none):
     import corpus_pipeline
 
