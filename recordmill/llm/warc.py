@@ -1,6 +1,6 @@
 """Deterministic sharded WARC writer and its reader.
 
-Records are sorted by page id over shards of contiguous id ranges. Each record is a gzip
+Records are sorted by page id over shards of contiguous ranges of ids and digests. Each record is a gzip
 member of its own; a shard's writer rolls to the next file when the compressed bytes written
 reach ``roll_bytes``. Shard bounds come from exact sums over the whole table, members carry
 no clock and no host, so the same rows give the same files whatever the cluster.
@@ -25,12 +25,13 @@ import hashlib
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm.common import short_batches
@@ -38,8 +39,10 @@ from recordmill.session import cut_lineage
 
 DATE = "1970-01-01T00:00:00Z"  # records say nothing of when they were written
 RECORD_ID = "urn:page:"
-MAX_SHARDS = 10_000
-RANGES = 16_000  # id ranges whose bytes are summed to place the shard bounds
+MAX_SHARDS = 100_000
+RANGES = 4_096  # id ranges whose bytes are summed first to place the shard bounds
+FINE = 16  # parts of a heavy range for each shard that it holds
+DIGEST_DIGITS = 15
 
 MEMBER_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, member binary"
 MANIFEST_SCHEMA = "shard int, file int, temporary string, final string, records long, bytes long"
@@ -100,25 +103,77 @@ def revisits(pages: DataFrame, min_revisit_bytes: int) -> DataFrame:
     return joined.where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct()
 
 
-def shards(pages: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, int]:
-    """(range, shard) with the first id and the width of a range; at most :data:`RANGES` rows.
+def shard_starts(pages: DataFrame, shard_bytes: int) -> list[tuple[int, int, int]]:
+    """The keys (see :func:`_key`) at which the second and later shards start, in order; fewer than :data:`MAX_SHARDS`.
 
-    A shard is a run of ranges of about ``shard_bytes`` of text, or more where that would
-    make more than :data:`MAX_SHARDS` of them; its writer streams, so that is no memory.
+    A shard is a run of keys of about ``shard_bytes`` of text, or more where that would make
+    more than :data:`MAX_SHARDS` of them; its writer streams, so that is no memory. Bounds
+    come from exact sums of ranges of ids. A range that holds over a quarter of a shard is
+    cut finer until it does not, a single id by digests; only rows of one id and one payload
+    stay together whatever they weigh.
     """
-    size = F.octet_length(F.coalesce(F.col("html"), F.lit(""))).cast("long") + 512
-    bounds = pages.agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"), F.sum(size).alias("bytes")).first()
-    first, last = bounds["first"] or 0, bounds["last"] or 0
-    width = (last - first) // RANGES + 1
-    target = max(shard_bytes, -(-(bounds["bytes"] or 0) // MAX_SHARDS))
-    sums = pages.select(_range(first, width).alias("range"), size.alias("bytes")).groupBy("range").agg(F.sum("bytes").alias("bytes"))
-    before = F.sum("bytes").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
-    placed = sums.select("range", F.floor(F.coalesce(before, F.lit(0)) / target).cast("int").alias("shard"))
-    return placed, first, width
-
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    digest = F.conv(F.substring(F.sha2(payload, 256), 1, DIGEST_DIGITS), 16, 10).cast("long")
+    rows = pages.select("page_id", digest.alias("digest"), (F.octet_length(payload).cast("long") + 512).alias("bytes"))
+    facts = pages.select("page_id", F.octet_length(payload).alias("b")).agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"), F.sum(F.col("b").cast("long") + 512).alias("bytes")).first()
+    target = max(shard_bytes, -(-(facts["bytes"] or 0) // MAX_SHARDS))
+    if (facts["bytes"] or 0) <= target:
+        return []
+    rows = cut_lineage(rows.withColumn("range", F.col("page_id").isNotNull().cast("int")))
+    digests = (0, 16**DIGEST_DIGITS)
+    ranges = {0: (0, 0, False, *digests)}  # number: (has an id, the id, cut by ids, low, width)
+    if facts["first"] is not None:
+        span = facts["last"] - facts["first"] + 1
+        ranges[1] = (1, facts["first"], True, facts["first"], span) if span > 1 else (1, facts["first"], False, *digests)
+    parts = dict.fromkeys(ranges, RANGES)
+    leaves = []
+    while ranges:
+        steps = {n: -(-width // parts[n]) for n, (_, _, _, _, width) in ranges.items()}
+        cuts = [(n, by_id, str(low), str(steps[n])) for n, (_, _, by_id, low, _) in ranges.items()]
+        cuts = rows.sparkSession.createDataFrame(cuts, "range int, by_id boolean, low string, step string")
+        # at most four ranges for each shard
+        at = F.expr("(CAST(if(by_id, page_id, digest) AS DECIMAL(20,0)) - CAST(low AS DECIMAL(20,0))) div CAST(step AS DECIMAL(20,0))")
+        rows = rows.join(F.broadcast(cuts), "range").select("page_id", "digest", "bytes", "range", at.alias("part"))
+        heavy = {}
+        for n, part, size in rows.groupBy("range", "part").agg(F.sum("bytes")).collect():
+            has_id, page_id, by_id, low, _ = ranges[n]
+            low, step = low + part * steps[n], steps[n]
+            key = (has_id, low, 0) if by_id else (has_id, page_id, low)
+            if size <= target // 4 or (step == 1 and not by_id):
+                leaves.append((key, size))
+            elif step == 1:
+                heavy[n, part] = ((1, low, False, *digests), size)
+            else:
+                heavy[n, part] = ((has_id, low if by_id else page_id, by_id, low, step), size)
+        ranges = {i: found for i, (found, _) in enumerate(heavy.values())}
+        parts = {i: max(FINE * -(-size // target), RANGES // len(heavy)) for i, (_, size) in enumerate(heavy.values())}
+        if heavy:
+            names = rows.sparkSession.createDataFrame([(n, part, i) for i, (n, part) in enumerate(heavy)], "range int, part long, next int")
+            rows = rows.join(F.broadcast(names), ["range", "part"]).select("page_id", "digest", "bytes", F.col("next").alias("range"))
+    starts, before, shard = [], 0, 0
+    for key, size in sorted(leaves):
+        if before // target > shard:
+            shard = before // target
+            starts.append(key)
+        before += size
+    return starts
+
+
+def _key(page_id: int | None, digest: str) -> tuple[int, int, int]:
+    """What records are dealt to shards by: ids, null first, then the payload's digest."""
+    return (page_id is not None, page_id or 0, int(digest[:DIGEST_DIGITS], 16))
+
+
+def _dealer(starts: list[tuple[int, int, int]]):
+    """Adds the shard to rows that have (page_id, payload_digest)."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = zip(batch.column("page_id").to_pylist(), batch.column("payload_digest").to_pylist())
+            shards = pa.array([bisect_right(starts, _key(*key)) for key in keys], pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, shards], [*batch.schema.names, "shard"])
 
-def _range(first: int, width: int):
-    return F.coalesce(F.floor((F.col("page_id") - F.lit(first)) / F.lit(width)).cast("long"), F.lit(-1))
+    return deal
 
 
 def _writer(uri: str, roll_bytes: int):
@@ -185,14 +240,12 @@ def write_archives(pages: DataFrame, uri: str, min_revisit_bytes: int = 100, sha
     spark = pages.sparkSession
     short_batches(spark)
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    placed, first, width = shards(pages, shard_bytes)
-    placed = cut_lineage(placed)
-    number = placed.agg(F.max("shard")).first()[0]
-    members = pages.mapInArrow(_members, MEMBER_SCHEMA).withColumn("refers_to", F.lit(None).cast("long"))
+    starts = shard_starts(pages, shard_bytes)
+    deal = _dealer(starts)
+    members = pages.mapInArrow(lambda batches: deal(_members(batches)), MEMBER_SCHEMA + ", shard int").withColumn("refers_to", F.lit(None).cast("long"))
     notes = revisits(pages, min_revisit_bytes).select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("long").alias("payload_bytes"), "payload_digest", F.lit(None).cast("binary").alias("member"), "refers_to")
-    both = members.unionByName(notes).withColumn("range", _range(first, width))
-    # at most RANGES rows of two numbers
-    dealt = both.join(F.broadcast(placed), "range").drop("range").repartition((number or 0) + 1, "shard")
+    notes = notes.mapInArrow(deal, MEMBER_SCHEMA + ", refers_to long, shard int")
+    dealt = members.unionByName(notes).repartitionById(len(starts) + 1, F.col("shard"))
     ordered = dealt.sortWithinPartitions("shard", "page_id", F.col("member").isNotNull(), "url", "payload_digest")
     manifest = cut_lineage(ordered.mapInArrow(_writer(uri, roll_bytes), MANIFEST_SCHEMA))
     committed = cut_lineage(manifest.mapInArrow(_committer(uri), MANIFEST_SCHEMA))

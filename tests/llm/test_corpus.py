@@ -1,5 +1,6 @@
 """Corpus operators against brute force, libraries, round trips and edge cases."""
 
+import bisect
 import collections
 import hashlib
 import random
@@ -72,6 +73,21 @@ def test_archives_roll_and_read_back(spark, scratch):
     assert warc.read_archives(warc.write_archives(pages.limit(0), scratch + "-c"), scratch + "-c").count() == 0
 
 
+def test_shards_follow_bytes_whatever_the_ids(spark):
+    rows = [(i if i else 10**15, "u", f"page {i} " * 100) for i in range(400)]
+    rows += [(None, "u", f"no id {i} " * 100) for i in range(200)] + [(7, "u", f"seven {i} " * 100) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    starts = warc.shard_starts(pages, 20_000)
+    assert starts == sorted(set(starts)) == warc.shard_starts(pages.repartition(5), 20_000)
+    held = collections.Counter()
+    for page_id, _, html in rows:
+        held[bisect.bisect_right(starts, warc._key(page_id, hashlib.sha256(html.encode()).hexdigest()))] += len(html) + 512
+    assert set(held) == set(range(len(starts) + 1)) and max(held.values()) < 2 * 20_000
+    same = spark.createDataFrame([(3, "u", "x" * 1000)] * 50 + [(4, "u", "y" * 1000)] * 50, "page_id long, url string, html string")
+    assert len(warc.shard_starts(same, 5_000)) == 1
+    assert warc.shard_starts(pages.where("page_id IS NULL"), 20_000) and not warc.shard_starts(pages.limit(0), 20_000)
+
+
 def test_licences_by_text_and_line(spark, none):
     mit = "Copyright (c) 2020 Someone\nreleased under  the MIT LICENCE"
     rows = [(1, mit), (2, "Intro.\nLicensed under CC BY-NC 4.0\nmore"), (3, None), (4, "..."), (2, "Released under the MIT License."), (5, "nothing"), (None, mit), (None, "nothing"), (6, mit), (6, mit)]
