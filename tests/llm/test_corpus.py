@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -52,6 +53,36 @@ def test_top_k_against_brute_force(spark):
     assert impact_search.top_k(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(impact_search, "VECTOR_BLOCK", 40)
+    rng = np.random.default_rng(5)
+    vectors = np.floor(rng.normal(0, 0.2, (300, 8)) * 256) / 256
+    vectors[100:140] = vectors[50]  # ties over all blocks
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    q = (vectors * 256).astype(int)
+    want = set()
+    for a in range(0, 300, 50):
+        best = sorted((-int(q[a] @ q[b]), b) for b in range(300) if b != a)[:5]
+        want |= {(a, r, b, -s) for r, (s, b) in enumerate(best, 1)}
+    assert {tuple(r) for r in impact_search.top_k(frame, F.col("vec_id") % 50 == 0).collect()} == want
+
+
+def test_a_walk_ends_early_and_proves_it():
+    rng = np.random.default_rng(6)
+    rows = np.floor(rng.normal(0, 1, (4000, 32)) * 256 * 0.75 ** np.arange(32)).astype(np.int64)
+    frame = impact_search._build(pd.DataFrame({"vec_id": np.arange(4000), "q": list(rows), "block": 0}))
+    index = impact_search.BlockIndex(next(frame.itertuples()))
+    for own in range(0, 4000, 400):
+        scores = rows @ rows[own]
+        scores[own] = -(2**62)
+        want = np.lexsort((np.arange(4000), -scores))[:5]
+        for floor in (impact_search.NO_FLOOR, int(scores[want[-1]])):
+            at, got = index.top(rows[own], own, 5, floor)
+            assert at.tolist() == want.tolist() and got.tolist() == scores[want].tolist()
+        assert len(index.top(rows[own], own, 5, int(scores[want[0]]) + 1)[0]) == 0
+    assert index.walked < 0.5 * 30 * len(index.postings)
+
+
 def test_archives_roll_and_read_back(spark, scratch):
     rows = [(i, f"http://h/{i}\r\nX: y é" if i % 3 else None, "p%d " % (i % 5) * 60 if i % 7 else None) for i in range(60)] + [(None, "u", "p1 " * 60), (1, "http://h/1", "p1 " * 60)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("shard", F.lit(1))
