@@ -31,6 +31,8 @@ VECTOR_BLOCK = 8192
 LEVEL = 8  # components from n*8 to n*8+7 share a segment
 CHECKS = 8  # times the proof is tried while segments are walked
 SHALLOW = 16  # rows rescored at each check to raise the threshold
+RESCORED = 3  # the walk ends once all but one in so many rows are ruled out: the rest costs less to rescore than to walk on
+PROBES = 128  # rows that tell whether a check is worth the bounds of all rows
 
 INDEX_SCHEMA = "block int, ids binary, rows binary, dim int, postings binary, starts binary, segment_dim binary, segment_sign binary, segment_size binary"
 QUERY_SCHEMA = "home int, query_ids binary, query_rows binary, query_dim int, floors binary"
@@ -124,8 +126,10 @@ class BlockIndex:
         lengths = np.diff(self.starts)
         rows_of = np.repeat(self.dims, lengths)
         self.values = np.abs(self.exact[self.postings, rows_of]).astype(np.float64) if len(self.postings) else np.zeros(0)
+        self.probes = np.arange(0, len(self.ids), max(1, len(self.ids) // PROBES))
         self.lengths = lengths
-        self.cells = self.postings * np.int64(row.dim) + rows_of  # of a matrix of rows and dimensions
+        cells = self.postings * np.int64(row.dim) + rows_of  # of a matrix of rows and dimensions
+        self.cells = cells.astype(np.int32) if self.exact.size < 2**31 else cells
         largest = int(np.abs(self.exact).max(initial=0))
         self.small = largest  # for the test whether doubles are exact
         self.walked = 0  # postings
@@ -148,7 +152,8 @@ class BlockIndex:
         ends = np.cumsum(self.lengths[live])
         gains = np.zeros(n)
         gains[~allowed] = -np.inf
-        met = np.zeros(n * dim)
+        met = np.zeros(n * dim, bool)
+        known = met.reshape(n, dim)
         threshold, done = -np.inf if floor == NO_FLOOR else float(floor), 0
         candidates = np.flatnonzero(allowed)
         total = int(ends[-1]) if len(ends) else 0
@@ -160,20 +165,23 @@ class BlockIndex:
                 at = _ranges(self.starts[step], self.lengths[step])
                 weighed = self.values[at] * np.repeat(weight[step], self.lengths[step])
                 gains += np.bincount(self.postings[at], weights=weighed, minlength=n)
-                met[self.cells[at]] = 1
+                met[self.cells[at]] = True
                 self.walked += len(at)
                 done = upto
             rest = np.zeros(dim)
             np.maximum.at(rest, self.dims[live[done:]], impact[done:])
-            bound = gains + rest.sum() - met.reshape(n, dim) @ rest
             ahead = np.argpartition(-gains, min(SHALLOW, n - 1))[:SHALLOW]
             ahead = ahead[allowed[ahead]]
             if len(ahead) >= wanted:
                 scores = self.exact[ahead] @ w
                 threshold = max(threshold, float(np.sort(scores)[-wanted]))
+            bound = gains[self.probes] + (rest.sum() - known[self.probes] @ rest)
+            if check < CHECKS and (bound >= threshold).sum() > len(bound) // RESCORED:
+                continue  # too many rows can still be members
+            bound = gains + (rest.sum() - known @ rest)
             # a row whose bound is under the k-th exact score can't be a member; ties stay
             candidates = np.flatnonzero(allowed & (bound >= threshold))
-            if len(candidates) <= max(2 * wanted, n // 64):
+            if len(candidates) <= max(2 * wanted, n // RESCORED):
                 break
         return self._best(candidates, w, wanted, floor)
 
