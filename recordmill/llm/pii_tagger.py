@@ -1,12 +1,15 @@
 """Personal data by rules and by a character-level bidirectional LSTM with CRF transitions.
 
 Rules find the base spans: e-mail addresses, IP addresses, card numbers, phone numbers. The
-model is trained in numpy on the base spans of a bounded sample of documents and adds spans
-of the same kinds that read like them. It runs where such data can be: every kind holds a
-digit or an at sign, so the characters within ``MARGIN`` of one are cut into overlapping
-windows, the emissions of overlapping windows are blended, nearer to a window's middle
-counting more, and each stretch of text is decoded as a whole by Viterbi. A decoded span is
-added if its mean marginal reaches ``min_confidence`` and it touches no base span.
+model is trained in numpy on the base spans of a bounded sample of documents, as they stand
+and rewritten as people write them to keep rules from seeing them (:func:`rewritten`), next to
+harmless look-alikes. It reads every character of every text in overlapping windows; where
+two windows overlap their emissions are blended, nearer to a window's middle counting more,
+and the text is decoded as one chain with "outside" before its first and after its last
+character. At places where no way that leaves "outside" before and returns after can gain, by
+a bound from sums of the labels' leads, the best path is outside; Viterbi runs between such
+places only and finds the path of the whole chain. A decoded span is added if its mean marginal (given those certain
+places) reaches ``min_confidence``, it can be of its kind (:func:`possible`) and it touches no base span.
 
 Nulls, ties, repeats: a null text is empty and holds nothing; ids may be null or repeat, rows
 are taken one by one. Base spans of different kinds may overlap. With no labelled span in
@@ -21,6 +24,7 @@ import hashlib
 import heapq
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -33,10 +37,14 @@ from recordmill.llm.common import map_batches, short_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
-WINDOW, STRIDE, MARGIN = 64, 32, 24
+STRIDE, OVERLAP = 208, 48  # a window owns STRIDE characters and shares OVERLAP with the next
+WINDOW = STRIDE + OVERLAP
 HIDDEN, WIDTH = 12, 8
 SAMPLE_ROWS = 400
 MAX_WINDOWS = 3000  # of the sample that are trained on
+TRAINED, TRAINED_STRIDE = 96, 48  # their length and distance
+MAX_EMAIL = 254  # characters, by the standard
+REWRITINGS = 4  # of each sampled text that holds a span
 
 # Base patterns, each written so that a long run of its letters is read once.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -101,23 +109,25 @@ class Model(NamedTuple):
     transitions: np.ndarray
 
 
-CLASSES = "@.-+() ,:;_%/\n"  # characters with a class of their own
-PAD = len(CLASSES) + 5
+CLASSES = "@.-+() ,:;_%/\n[]"  # characters with a class of their own, after the digits and letters
+PAD = 3 + 26 + len(CLASSES)
+_ASCII = np.zeros(128, np.uint8)
+_ASCII[ord("0") : ord("9") + 1] = 1
+_ASCII[ord("a") : ord("z") + 1] = _ASCII[ord("A") : ord("Z") + 1] = np.arange(3, 29)
+_ASCII[[ord(c) for c in CLASSES]] = np.arange(29, PAD)
 
 
 def char_classes(text: str) -> np.ndarray:
-    """0 is any other character, then digit, small, capital and other letters, then the single ones."""
+    """0 is any other character, then digit, other Latin letter, the letters of either case, then the single ones."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = np.zeros(len(points), np.int64)
-    for kind, (low, high) in enumerate((("0", "9"), ("a", "z"), ("A", "Z"), ("\xc0", "ʯ")), 1):
-        out[(points >= ord(low)) & (points <= ord(high))] = kind
-    for kind, char in enumerate(CLASSES, 5):
-        out[points == ord(char)] = kind
+    out = _ASCII[np.minimum(points, 127)]
+    out[points > 126] = 0
+    out[(points >= ord("\xc0")) & (points <= ord("ʯ"))] = 2
     return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
 def _lstm(x: np.ndarray, cell: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, list]:
@@ -169,35 +179,31 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
+def _scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of e by row with the largest at one, and the logarithm of what was divided out."""
+    top = x.max(axis=-1, keepdims=True)
+    return np.exp(x - top), top
+
+
 def crf(scores: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Marginals [row, time, label] and expected transition counts of equally long chains."""
-    rows, size, _ = scores.shape
+    size, ways = scores.shape[1], np.exp(transitions)
     ahead, behind = np.empty_like(scores), np.zeros_like(scores)
     ahead[:, 0] = scores[:, 0]
     for t in range(1, size):
-        ahead[:, t] = _logsum(ahead[:, t - 1, :, None] + transitions, 1) + scores[:, t]
+        part, top = _scaled(ahead[:, t - 1])
+        ahead[:, t] = np.log(part @ ways) + top + scores[:, t]
     for t in range(size - 2, -1, -1):
-        behind[:, t] = _logsum(transitions + (scores[:, t + 1] + behind[:, t + 1])[:, None, :], 2)
+        part, top = _scaled(scores[:, t + 1] + behind[:, t + 1])
+        behind[:, t] = np.log(part @ ways.T) + top
     whole = _logsum(ahead[:, -1], 1)[:, None, None]
-    expected = np.zeros_like(transitions)
-    for t in range(size - 1):
-        expected += np.exp(ahead[:, t, :, None] + transitions + (scores[:, t + 1] + behind[:, t + 1])[:, None, :] - whole[:, :, :, None].reshape(rows, 1, 1)).sum(axis=0)
+    left, left_top = _scaled(ahead[:, :-1])
+    right, right_top = _scaled(scores[:, 1:] + behind[:, 1:])
+    right *= np.exp(left_top + right_top - whole)
+    expected = ways * (left.reshape(-1, LABELS).T @ right.reshape(-1, LABELS))
     return np.exp(ahead + behind - whole), expected
 
 
-def viterbi(scores: np.ndarray, transitions: np.ndarray) -> np.ndarray:
-    best, back = scores[0], np.empty(scores.shape, np.int64)
-    for t in range(1, len(scores)):
-        ways = best[:, None] + transitions
-        back[t] = ways.argmax(axis=0)
-        best = ways.max(axis=0) + scores[t]
-    path = np.empty(len(scores), np.int64)
-    path[-1] = best.argmax()
-    for t in range(len(scores) - 1, 0, -1):
-        path[t - 1] = back[t, path[t]]
-    return path
-
-
 def labelled(size: int, spans: list[Span]) -> np.ndarray:
     """A label for each character; of overlapping spans the first listed stands."""
     out = np.zeros(size, np.int64)
@@ -208,6 +214,78 @@ def labelled(size: int, spans: list[Span]) -> np.ndarray:
     return out
 
 
+# Ways to write a span that the rules do not see, and harmless texts that look like them.
+AT = (" at ", "(at)", " (at) ", "[at]", " @ ", "@")
+DOT = (" dot ", "(dot)", " . ", "[dot]", ".")
+PHONE_SIGNS = ("-", " ", ".", "/")
+IP_SIGNS = (" . ", "[.]", " dot ", "(dot)", ". ")
+CARD_SIGNS = (".", "/", "_", "  ", " - ", ", ")
+TLDS = ("com", "org", "net", "de", "fr", "es", "io", "co.uk")
+DECOYS = ("at noon", "look at the dot", "dot matrix", "2024-05-17", "at 10:45", "3.14", "v1.2.3", "12,500", "1999/2000", "no. 42", "a (b) c", "x . y", "at home . then", "(1)", "17.05.2024", "[7]")
+
+
+def rewritten(kind: str, span: str, pick: int, words: list[str] = []) -> str:
+    """A base span as its writer might have put it to keep rules off: signs, spacing and words changed.
+
+    With ``words`` of the text around, half of the addresses are of other names, hosts and digits.
+    """
+    other = words and pick // 64 % 2
+    if kind == "email":
+        local, _, host = span.partition("@")
+        at, dot = AT[pick % len(AT)], DOT[pick // 8 % len(DOT)]
+        if other:
+            names = [words[(pick >> shift) % len(words)] for shift in (3, 5, 7, 9)]
+            local = (names[0], f"{names[0]}.{names[1]}", f"{names[0]}{pick % 100}", f"{names[0]}{dot}{names[1]}")[pick // 128 % 4]
+            host = names[2] + f".{names[3]}" * (pick // 512 % 2) + "." + TLDS[pick // 1024 % len(TLDS)]
+        return local + (at if at + dot != "@." else " at ") + host.replace(".", dot)
+    if other and kind != "card":
+        span = re.sub("[0-9]+", lambda found: str((int(found[0]) + pick // (1 + found.start())) % (256 if kind == "ip" else 10 ** len(found[0]))).zfill(1 if kind == "ip" else len(found[0])), span)
+    if kind == "ip":
+        return IP_SIGNS[pick % len(IP_SIGNS)].join(span.split("."))
+    digits = "".join(re.findall("[0-9]", span))
+    if kind == "card":
+        return CARD_SIGNS[pick % len(CARD_SIGNS)].join(digits[k : k + 4] for k in range(0, len(digits), 4))
+    groups = re.findall("[0-9]+", span)
+    sign = PHONE_SIGNS[pick % len(PHONE_SIGNS)]
+    if pick // 8 % 3 == 0 and len(groups) > 2:
+        return f"({groups[0]}) " + sign.join(groups[1:])
+    return ("00" if pick // 8 % 3 == 1 else "") + sign.join(groups)
+
+
+def altered(text: str, spans: list[Span], turn: int) -> tuple[str, list[Span]]:
+    """The text with its spans rewritten, some next to a decoy, and where they are now."""
+    out, told, size, at = [], [], 0, 0
+    for kind, begin, end in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if begin < at:
+            continue
+        pick = zlib.crc32(f"{turn}:{begin}:{text[begin:end]}".encode("utf-8", "surrogatepass"))
+        words = re.findall("[a-z]{3,12}", text[max(0, begin - 200) : begin].lower())
+        new = rewritten(kind, text[begin:end], pick >> 4, words)
+        decoy = f" {DECOYS[(pick >> 12) % len(DECOYS)]} "
+        before = text[at:begin] + (decoy if pick % 4 == 3 else "")
+        after = decoy if pick % 4 == 1 else ""
+        told.append((kind, size + len(before), size + len(before) + len(new)))
+        out += [before, new, after]
+        size, at = size + len(before) + len(new) + len(after), end
+    return "".join([*out, text[at:]]), told
+
+
+def _examples(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows of the texts, and those of their rewritings that hold a span, with their labels."""
+    for text in sorted(texts):
+        spans = base_spans(text)
+        for turn in range(1 + (REWRITINGS if spans else 0)):
+            now, told = altered(text, spans, turn) if turn else (text, spans)
+            classes, gold = char_classes(now), labelled(len(now), told)
+            for at in range(0, max(1, len(now) - TRAINED_STRIDE), TRAINED_STRIDE):
+                if turn and not gold[at : at + TRAINED].any():
+                    continue
+                line, labels = np.full(TRAINED, PAD, np.uint8), np.zeros(TRAINED, np.uint8)
+                line[: len(now) - at] = classes[at : at + TRAINED]
+                labels[: len(now) - at] = gold[at : at + TRAINED]
+                yield line, labels
+
+
 def training_windows(texts: list[str], max_windows: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Windows of all texts with their labels: all if there are at most ``max_windows``, else so many by a hash.
 
@@ -215,21 +293,11 @@ def training_windows(texts: list[str], max_windows: int) -> list[tuple[np.ndarra
     places each; what some leave goes to the others by the same hash.
     """
     best: list[list] = [[] for _ in range(1 + len(KINDS))]  # per kind, heaps of at most max_windows
-    place = 0
-    for text in sorted(texts):
-        spans = base_spans(text)
-        classes, gold = char_classes(text), labelled(len(text), spans)
-        for begin, end in stretches(text):
-            for at in window_starts(begin, end):
-                line, told = np.full(WINDOW, PAD), np.zeros(WINDOW, np.int64)
-                piece = classes[at : min(at + WINDOW, end)]
-                line[: len(piece)] = piece
-                told[: len(piece)] = gold[at : at + len(piece)]
-                rank = zlib.crc32(place.to_bytes(8, "big") + line.astype(np.uint8).tobytes())
-                one = (-rank, -place, line.astype(np.uint8), told.astype(np.uint8))
-                for kind in {int(k + 1) // 2 for k in np.unique(told)} - {0} or {0}:
-                    (heapq.heappush if len(best[kind]) < max_windows else heapq.heappushpop)(best[kind], one)
-                place += 1
+    for place, (line, told) in enumerate(_examples(texts)):
+        rank = zlib.crc32(place.to_bytes(8, "big") + line.tobytes())
+        one = (-rank, -place, line, told)
+        for kind in {int(k + 1) // 2 for k in np.unique(told)} - {0} or {0}:
+            (heapq.heappush if len(best[kind]) < max_windows else heapq.heappushpop)(best[kind], one)
     ranked = [sorted(heap, key=lambda w: (-w[0], -w[1])) for heap in best]
     share = max(1, max_windows // len(ranked))
     chosen = {w[1]: w for line in ranked for w in line[:share]}
@@ -240,7 +308,7 @@ def training_windows(texts: list[str], max_windows: int) -> list[tuple[np.ndarra
     return [(chosen[k][2].astype(np.int64), chosen[k][3].astype(np.int64)) for k in sorted(chosen, reverse=True)]  # as they stand in the texts
 
 
-def fit(texts: list[str], epochs: int = 8, rate: float = 0.02, seed: int = 5, max_windows: int = MAX_WINDOWS) -> Model | None:
+def fit(texts: list[str], epochs: int = 14, rate: float = 0.02, seed: int = 5, max_windows: int = MAX_WINDOWS) -> Model | None:
     """A model of the base spans of ``texts``, by Adam on the chains' likelihood over at most ``max_windows`` windows."""
     picked = training_windows(texts, max_windows)
     if not any(told.any() for _, told in picked):
@@ -250,16 +318,16 @@ def fit(texts: list[str], epochs: int = 8, rate: float = 0.02, seed: int = 5, ma
     gates = np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)])
     values = [make(PAD + 1, WIDTH), make(WIDTH + HIDDEN, 4 * HIDDEN), gates.copy(), make(WIDTH + HIDDEN, 4 * HIDDEN), gates.copy(), make(2 * HIDDEN, LABELS), np.zeros(LABELS), np.zeros((LABELS, LABELS))]
     first, second, step = [np.zeros_like(v) for v in values], [np.zeros_like(v) for v in values], 0
-    for _ in range(epochs):
-        order = rng.permutation(len(x_all))
-        for at in range(0, len(order), 32):
-            rows = order[at : at + 32]
+    for epoch in range(epochs):
+        order, pace = rng.permutation(len(x_all)), rate * (1 - epoch / epochs)
+        for at in range(0, len(order), 48):
+            rows = order[at : at + 48]
             for k, grad in enumerate(_gradients(values, x_all[rows], y_all[rows])):
                 if not k:
                     step += 1
                 first[k] = 0.9 * first[k] + 0.1 * grad
                 second[k] = 0.999 * second[k] + 0.001 * grad**2
-                values[k] = values[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+                values[k] = values[k] - pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     return _model(values)
 
 
@@ -289,92 +357,215 @@ def _gradients(values: list[np.ndarray], windows: np.ndarray, labels: np.ndarray
 
 # --- whole texts ---------------------------------------------------------------------------
 
+WINDOWS_AT_ONCE = 1024
+EDGE = 1000.0  # what the part of a text after a block can add to a way that reaches into the block
+RAMP = ((np.arange(OVERLAP) + 0.5) / OVERLAP).astype(np.float32)[:, None]  # weight of a window in what it shares with the one before
 
-def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text within MARGIN characters of a digit or an at sign."""
-    out: list[tuple[int, int]] = []
-    for found in HINT.finditer(text):
-        begin, end = max(0, found.start() - MARGIN), min(len(text), found.end() + MARGIN)
-        if out and begin <= out[-1][1]:
-            out[-1] = (out[-1][0], end)
-        else:
-            out.append((begin, end))
-    return out
 
+def _ways_out(transitions: np.ndarray) -> tuple[float, float]:
+    """(step, ends): a way that leaves "outside", has n other labels and returns gains at most ``ends + (n - 1) * step`` by its transitions.
 
-def window_starts(begin: int, end: int) -> list[int]:
-    """Windows that overlap by half and cover the stretch."""
-    last = max(begin, end - WINDOW)
-    return [*range(begin, last, STRIDE), last]
+    ``step`` is the largest mean of a cycle of other labels, the least that leaves no cycle a gain.
+    """
+    ways = transitions - transitions[0, 0]
+    low, high = float(ways[1:, 1:].min()) - 1.0, float(ways[1:, 1:].max()) + 1.0
+    for _ in range(40):
+        middle = (low + high) / 2
+        reach = inner = ways[1:, 1:] - middle
+        for _ in range(LABELS):
+            reach = np.maximum(reach, (reach[:, :, None] + inner[None]).max(axis=1))
+        low, high = (middle, high) if reach.diagonal().max() > 0 else (low, middle)
+    best = ways[0, 1:]
+    for _ in range(LABELS):
+        best = np.maximum(best, (best[:, None] + ways[1:, 1:] - high).max(axis=0))
+    return high, float((best + ways[1:, 0]).max()) + 1e-3
+
+
+class Reader:
+    """The model as single floats: both directions step together, the sigmoids are tanh of half the sum."""
+
+    def __init__(self, model: Model):
+        half = np.concatenate([np.full(3 * HIDDEN, 0.5), np.ones(HIDDEN)])
+        cells = (model.forward, model.backward)
+        self.inputs = np.stack([((model.embed @ w[:WIDTH] + b) * half).T for w, b in cells]).astype(np.float32)
+        self.states = np.stack([(w[WIDTH:] * half).T for w, _ in cells]).astype(np.float32)
+        self.out, self.bias = model.out.reshape(2, HIDDEN, LABELS).transpose(0, 2, 1).astype(np.float32), model.bias.astype(np.float32)[:, None]
+        self.transitions = model.transitions.astype(np.float32)
+        t = self.transitions
+        self.step, self.ends = _ways_out(model.transitions)
+
+    def emissions(self, windows: np.ndarray) -> np.ndarray:
+        """Label scores [row, time, label] of class windows [row, time], as :func:`emissions` gives them."""
+        rows, size = windows.shape
+        places = np.ascontiguousarray(windows.T).astype(np.intp)
+        # rows come last, so the parts of the gates are whole stretches of memory
+        state, memory = np.zeros((2, HIDDEN, rows), np.float32), np.zeros((2, HIDDEN, rows), np.float32)
+        gates, seen = np.empty((2, 4 * HIDDEN, rows), np.float32), np.empty((size, 2, HIDDEN, rows), np.float32)
+        opened, entered = gates[:, : 3 * HIDDEN], gates[:, :HIDDEN]
+        for t in range(size):
+            np.matmul(self.states, state, out=gates)
+            gates[0] += self.inputs[0][:, places[t]]
+            gates[1] += self.inputs[1][:, places[-1 - t]]
+            np.tanh(gates, out=gates)
+            opened *= 0.5
+            opened += 0.5
+            memory *= gates[:, HIDDEN : 2 * HIDDEN]
+            entered *= gates[:, 3 * HIDDEN :]
+            memory += entered
+            np.multiply(gates[:, 2 * HIDDEN : 3 * HIDDEN], np.tanh(memory), out=state)
+            seen[t] = state
+        return (self.out[0] @ seen[:, 0] + self.out[1] @ seen[::-1, 1] + self.bias).transpose(2, 0, 1)
+
+
+def _paths(scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """The best label of every place of the runs, each with "outside" before and after; 0 elsewhere.
+
+    Runs come longest first, so those that still go on at a step are the first ones.
+    """
+    path, back = np.zeros(len(scores), np.uint8), np.zeros((len(scores), LABELS), np.uint8)
+    going = [int(np.searchsorted(-sizes, -t, "left")) for t in range(int(sizes[0]))]  # longer than t
+    best = scores[begins] + transitions[0]
+    for t in range(1, len(going)):
+        m = going[t]
+        ways = best[:m, :, None] + transitions
+        here = begins[:m] + t
+        back[here] = ways.argmax(axis=1)
+        best[:m] = ways.max(axis=1) + scores[here]
+    label = (best + transitions[:, 0]).argmax(axis=1).astype(np.uint8)
+    for t in range(len(going) - 1, -1, -1):
+        m = going[t]
+        here = begins[:m] + t
+        path[here] = label[:m]
+        label[:m] = back[here, label[:m]]
+    return path
 
 
-TENT = 1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])  # weight of a place in its window
-WINDOWS_AT_ONCE = 2048
+def _sureness(scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, transitions: np.ndarray, path: np.ndarray) -> np.ndarray:
+    """The marginal of the path's label at every place of the runs, which come longest first."""
+    going = [int(np.searchsorted(-sizes, -t, "left")) for t in range(int(sizes[0]))]
+    ahead, behind, sure = np.zeros(scores.shape), np.zeros(scores.shape), np.zeros(len(scores))
+    ways = np.exp(transitions)
+    ahead[begins] = scores[begins] + transitions[0]
+    behind[begins + sizes - 1] = transitions[:, 0]
+    for t in range(1, len(going)):  # tops are dropped, so a long run stays in range
+        here = begins[: going[t]] + t
+        ahead[here] = np.log(_scaled(ahead[here - 1])[0] @ ways) + scores[here]
+    for t in range(len(going) - 2, -1, -1):
+        here = begins[: going[t + 1]] + t
+        behind[here] = np.log(_scaled(scores[here + 1] + behind[here + 1])[0] @ ways.T)
+    for begin, size in zip(begins, sizes):
+        both = ahead[begin : begin + size] + behind[begin : begin + size]
+        own = both[np.arange(size), path[begin : begin + size]]
+        sure[begin : begin + size] = np.exp(own - _logsum(both, 1))
+    return sure
+
+
+def _decoded(reader: Reader, scores: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[str, int, int, float]]:
+    """(kind, begin, end, mean marginal) of the spans on the runs' best paths."""
+    order = np.argsort(begins - ends, kind="stable")
+    begins, sizes = begins[order], (ends - begins)[order]
+    path = _paths(scores, begins, sizes, reader.transitions)
+    marked = np.add.reduceat(path.astype(np.int64), np.stack([begins, begins + sizes], 1).ravel().clip(max=len(path) - 1))[::2] > 0
+    marked |= path[begins + sizes - 1] > 0
+    if not marked.any():
+        return
+    sure = _sureness(scores, begins[marked], sizes[marked], reader.transitions.astype(np.float64), path)
+    last = np.zeros(len(path) + 1, bool)
+    last[begins + sizes] = True
+    for begin in np.flatnonzero(path % 2 == 1):
+        end = begin + 1
+        while not last[end] and path[end] == path[begin] + 1:
+            end += 1
+        yield KINDS[path[begin] // 2], int(begin), int(end), float(sure[begin:end].mean())
 
 
-def model_spans(model: Model, texts: list[str], min_confidence: float) -> list[list[Span]]:
-    """Decoded spans of each text."""
+def _best_before(gain: np.ndarray, first: float) -> np.ndarray:
+    """The largest sum, at least 0, of an unbroken line of gains that ends before each place."""
+    sums = np.concatenate([[first], first + np.cumsum(gain)])
+    return (sums - np.minimum(np.minimum.accumulate(sums), 0.0))[:-1]
+
+
+def model_spans(reader: Reader, texts: list[str], min_confidence: float) -> list[list[Span]]:
+    """Decoded spans of each text; memory is one block of windows and a run of places that are not clear."""
     out: list[list[Span]] = [[] for _ in texts]
-    work = [(i, begin, end) for i, text in enumerate(texts) for begin, end in stretches(text)]
-    places = [(j, at) for j, (_, begin, end) in enumerate(work) for at in window_starts(begin, end)]
-    classes: dict[int, np.ndarray] = {}
-    blended: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for block in range(0, len(places), WINDOWS_AT_ONCE):
-        chosen = places[block : block + WINDOWS_AT_ONCE]
-        lines = np.full((len(chosen), WINDOW), PAD)
-        for row, (j, at) in enumerate(chosen):
-            i, _, end = work[j]
-            if i not in classes:
-                classes = {i: char_classes(texts[i])}  # windows come text by text
-            piece = classes[i][at : min(at + WINDOW, end)]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    windows = -(-sizes // STRIDE)
+    owner = np.repeat(np.arange(len(texts)), windows)
+    at = (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)) * STRIDE
+    open_text, classes = -1, np.empty(0, np.uint8)
+    carried, tail = np.empty((0, LABELS), np.float32), None
+    for block in range(0, len(owner), WINDOWS_AT_ONCE):
+        whose, begin = owner[block : block + WINDOWS_AT_ONCE], at[block : block + WINDOWS_AT_ONCE]
+        lines = np.full((len(whose), WINDOW), PAD, np.uint8)
+        for row, (i, b) in enumerate(zip(whose.tolist(), begin.tolist())):
+            if i != open_text:
+                open_text, classes = i, char_classes(texts[i])
+            piece = classes[b : b + WINDOW]
             lines[row, : len(piece)] = piece
-        told = emissions(model, lines)
-        for row, (j, at) in enumerate(chosen):
-            i, begin, end = work[j]
-            if j not in blended:
-                blended[j] = (np.zeros((end - begin, LABELS)), np.zeros(end - begin))
-            size = min(WINDOW, end - at)
-            blended[j][0][at - begin : at - begin + size] += told[row, :size] * TENT[:size, None]
-            blended[j][1][at - begin : at - begin + size] += TENT[:size]
-            if at == max(begin, end - WINDOW):  # the stretch is complete
-                total, weight = blended.pop(j)
-                out[i] += _decoded(total / weight[:, None], model.transitions, begin, min_confidence)
+        told = reader.emissions(lines)
+        own = told[:, :STRIDE].copy()
+        before = np.concatenate([tail if tail is not None else np.zeros((1, OVERLAP, LABELS), np.float32), told[:-1, STRIDE:]])
+        shared = begin > 0
+        own[shared, :OVERLAP] = RAMP * own[shared, :OVERLAP] + (1 - RAMP) * before[shared]
+        tail = told[-1:, STRIDE:].copy()
+        # one line of places: those carried over, then what each window owns
+        c = len(carried)
+        scores = np.concatenate([carried, own.reshape(-1, LABELS)])
+        more = block + len(whose) < len(owner) and at[block + len(whose)] > 0
+        gain = scores[:, 1:].max(axis=1).astype(np.float64) - scores[:, 0] + reader.step
+        inside = ((begin[:, None] + np.arange(STRIDE)) < sizes[whose][:, None]).ravel()
+        gain[c:][~inside] = -EDGE
+        before, after = _best_before(gain, 0.0), _best_before(gain[::-1], EDGE if more else 0.0)[::-1]
+        open_ = before + gain + after + reader.ends - reader.step >= 0
+        open_[c:] &= inside
+        first = np.zeros(len(scores) + 1, bool)  # places where a text begins
+        first[c + np.flatnonzero(begin == 0) * STRIDE] = True
+        first[-1] = True
+        starts = np.flatnonzero(open_ & (first[:-1] | ~np.concatenate([[False], open_[:-1]])))
+        ends = np.flatnonzero(open_ & (first[1:] | ~np.concatenate([open_[1:], [False]]))) + 1
+        carried = carried[:0]
+        if more and len(ends) and ends[-1] == len(scores):  # the run goes on in the next block
+            carried, starts, ends = scores[starts[-1] :].copy(), starts[:-1], ends[:-1]
+        if len(starts):
+            for kind, b, e, sure in _decoded(reader, scores, starts, ends):
+                if sure >= min_confidence:
+                    row = max(0, b - c) // STRIDE
+                    place = int(begin[row]) + b - c - row * STRIDE
+                    out[whose[row]].append((kind, place, place + e - b))
     return out
 
 
-def _decoded(scores: np.ndarray, transitions: np.ndarray, begin: int, min_confidence: float) -> list[Span]:
-    path = viterbi(scores, transitions)
-    if not path.any():
-        return []
-    sure = crf(scores[None], transitions)[0][0]
-    out, at = [], 0
-    while at < len(path):
-        if path[at] % 2 == 0:  # outside, or an inside without its begin
-            at += 1
-            continue
-        end = at + 1
-        while end < len(path) and path[end] == path[at] + 1:
-            end += 1
-        if np.mean(sure[np.arange(at, end), path[at:end]]) >= min_confidence:
-            out.append((KINDS[path[at] // 2], begin + at, begin + end))
-        at = end
-    return out
+def possible(kind: str, written: str) -> bool:
+    """Whether a span that the model adds can be of its kind: its digits by the rules' own bounds, an address by its signs and length."""
+    groups = re.findall("[0-9]+", written)
+    digits = "".join(groups)
+    if kind == "ip":
+        return len(groups) == 4 and all(len(g.lstrip("0")) <= 3 and int(g.lstrip("0") or "0") <= 255 for g in groups)
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and _luhn(digits)
+    if kind == "phone":
+        return 8 <= len(digits) <= 15
+    return len(written) <= MAX_EMAIL and all(re.search(sign, written, re.IGNORECASE) for sign in (r"@|\bat\b", r"\.|\bdot\b"))
 
 
-def all_spans(model: Model | None, texts: list[str], min_confidence: float) -> tuple[list[list[Span]], list[list[Span]]]:
+def all_spans(reader: Reader | None, texts: list[str], min_confidence: float) -> tuple[list[list[Span]], list[list[Span]]]:
     """Base spans, and base and added spans, of each text."""
     base = [base_spans(text) for text in texts]
-    if model is None:
+    if reader is None:
         return base, base
     out = []
-    for spans, more in zip(base, model_spans(model, texts, min_confidence)):
-        added = [(k, b, e) for k, b, e in more if not any(b < end and begin < e for _, begin, end in spans)]
+    for text, spans, more in zip(texts, base, model_spans(reader, texts, min_confidence)):
+        begins, reach = [], [0]  # base spans by begin, and how far those up to each one reach
+        for _, b, e in sorted(spans, key=lambda s: s[1]):
+            begins.append(b)
+            reach.append(max(reach[-1], e))
+        added = [(k, b, e) for k, b, e in more if reach[bisect_right(begins, e - 1)] <= b and possible(k, text[b:e])]
         out.append(sorted([*spans, *added], key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
     return base, out
 
 
 def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, max_windows: int = MAX_WINDOWS, doc_id: str = "doc_id", text: str = "text") -> Model | None:
-    """A model of at most ``sample_rows`` documents with a digit or an at sign, chosen by a hash of the id."""
+    """A model of at most ``sample_rows`` documents with a digit or an at sign (others hold no base span), chosen by a hash of the id."""
     hinted = documents.select(F.col(doc_id).alias("i"), F.col(text).alias("t")).where(F.col("t").rlike("[0-9@]") & F.col(doc_id).isNotNull())
     # ids alone are sorted; only the chosen rows' texts come to the driver
     ids = [r["i"] for r in hinted.select("i").distinct().orderBy(F.xxhash64("i", F.lit(29)), "i").limit(sample_rows).collect()]
@@ -386,14 +577,15 @@ def _written(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{begin}:{end}" for kind, begin, end in spans)
 
 
-def find(documents: DataFrame, min_confidence: float = 0.95, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(documents: DataFrame, min_confidence: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans); the counts are of base spans."""
     short_batches(documents.sparkSession)
-    model = documents.sparkSession.sparkContext.broadcast(train(documents, doc_id=doc_id, text=text))
+    model = train(documents, doc_id=doc_id, text=text)
+    reader = documents.sparkSession.sparkContext.broadcast(model and Reader(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, spans = all_spans(model.value, [t or "" for t in batch.column(1).to_pylist()], min_confidence)
+            base, spans = all_spans(reader.value, [t or "" for t in batch.column(1).to_pylist()], min_confidence)
             counts = [pa.array([sum(s[0] == kind for s in found) for found in base], pa.int64()) for kind in KINDS]
             digests = pa.array([hashlib.sha256(_written(found).encode()).hexdigest() for found in base], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts, digests, pa.array([_written(s) for s in spans], pa.string())], names)
@@ -413,16 +605,17 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def mask(documents: DataFrame, min_confidence: float = 0.95, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def mask(documents: DataFrame, min_confidence: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with personal data masked in their text; all columns stay, null texts too."""
     short_batches(documents.sparkSession)
-    model = documents.sparkSession.sparkContext.broadcast(train(documents, doc_id=doc_id, text=text))
+    model = train(documents, doc_id=doc_id, text=text)
+    reader = documents.sparkSession.sparkContext.broadcast(model and Reader(model))
     place = documents.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            _, spans = all_spans(model.value, [t or "" for t in texts], min_confidence)
+            _, spans = all_spans(reader.value, [t or "" for t in texts], min_confidence)
             columns = list(batch.columns)
             columns[place] = pa.array([t and masked(t, s) for t, s in zip(texts, spans)], pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)

@@ -291,11 +291,84 @@ def test_training_windows_hold_every_kind_of_all_texts():
     picked = pii_tagger.training_windows([table, *spans], 300)
     assert len(picked) == 300 and {int(k) for _, told in picked for k in np.unique(told)} == set(range(pii_tagger.LABELS))
     few = pii_tagger.training_windows(spans, 300)
-    assert len(few) == sum(len(pii_tagger.window_starts(b, e)) for t in spans for b, e in pii_tagger.stretches(t))
+    assert len(few) == len(spans) * (1 + pii_tagger.REWRITINGS)  # short texts: a window each, as they stand and rewritten
     model = pii_tagger.fit([table, *spans * 20], epochs=1)
     assert model is not None
 
 
+def test_rewritten_spans_are_labelled_where_they_stand():
+    text = "zz ann@mail.example.com, 10.0.0.7; 4111 1111 1111 1111 or +1 206 555 0123 end"
+    for turn in range(1, 40):
+        now, told = pii_tagger.altered(text, pii_tagger.base_spans(text), turn)
+        assert sorted(k for k, _, _ in told) == sorted(pii_tagger.KINDS)
+        for kind, begin, end in told:
+            assert pii_tagger.possible(kind, now[begin:end]), now[begin:end]
+            assert now[begin - 1] in " ," and now[begin] != " " and now[end - 1] != " "
+    assert not pii_tagger.possible("ip", "1 dot 2 dot 3 dot 256") and not pii_tagger.possible("card", "4111.1111.1111.1112") and not pii_tagger.possible("email", "thing. thing.")
+
+
+@pytest.fixture(scope="module")
+def tagger():
+    """A reader trained on a sample of the given documents, and documents it has not seen that hold spans."""
+    import duckdb
+
+    texts = [r[0] for r in duckdb.sql("SELECT text FROM read_parquet('/root/testdata/sf0.1/documents.parquet') WHERE text IS NOT NULL ORDER BY hash(doc_id)").fetchall()]
+    hinted = [t for t in texts if pii_tagger.HINT.search(t)]
+    return pii_tagger.Reader(pii_tagger.fit(hinted[:400])), hinted[400:], texts[:1000]
+
+
+def test_model_adds_rewritten_spans_and_leaves_other_texts_alone(tagger):
+    reader, unseen, texts = tagger
+    found = planted = wrong = 0
+    for text in unseen:
+        now, told = pii_tagger.altered(text, pii_tagger.base_spans(text), 99)
+        base, spans = (lists[0] for lists in pii_tagger.all_spans(reader, [now], 0.8))
+        assert set(base) <= set(spans) and base == pii_tagger.base_spans(now)
+        added, gold = set(spans) - set(base), set(told) - set(base)
+        planted, found = planted + len(gold), found + len(added & gold)
+        wrong += sum(not any(b < end and begin < e for _, begin, end in told) for _, b, e in added)
+    assert planted > 150 and found / planted > 0.5 and wrong <= found * 0.05
+    base, spans = pii_tagger.all_spans(reader, texts, 0.8)
+    assert sum(map(len, spans)) - sum(map(len, base)) <= 2
+
+
+def test_whole_texts_are_decoded_as_one_chain(tagger, monkeypatch):
+    reader, unseen, _ = tagger
+    long = " ".join(pii_tagger.altered(t, pii_tagger.base_spans(t), 7)[0] for t in unseen[:12])
+    texts = ["", *unseen[:40], "orble. " * 300, long, "1" * 500, long[: pii_tagger.STRIDE], long[: 2 * pii_tagger.STRIDE]]
+
+    def plain(text):
+        """All windows, emissions blended, Viterbi over every place of the text."""
+        classes, size = pii_tagger.char_classes(text), len(text)
+        total = np.zeros((size + pii_tagger.WINDOW, pii_tagger.LABELS), np.float32)
+        for at in range(0, size, pii_tagger.STRIDE):
+            line = np.full((1, pii_tagger.WINDOW), pii_tagger.PAD, np.uint8)
+            line[0, : size - at] = classes[at : at + pii_tagger.WINDOW]
+            told, share = reader.emissions(line)[0], np.ones((pii_tagger.WINDOW, 1), np.float32)
+            if at:
+                share[: pii_tagger.OVERLAP] = pii_tagger.RAMP
+            share[pii_tagger.STRIDE :] = 1 - pii_tagger.RAMP
+            total[at : at + pii_tagger.WINDOW] += told * share
+        if not size:
+            return []
+        whole = pii_tagger._decoded(reader, total[:size], np.array([0]), np.array([size]))
+        return [(kind, b, e) for kind, b, e, sure in whole if sure >= 0.8]
+
+    wanted = [plain(t) for t in texts]
+    assert sum(map(len, wanted)) > 20
+    for at_once in (1024, 5, 1):
+        monkeypatch.setattr(pii_tagger, "WINDOWS_AT_ONCE", at_once)
+        assert pii_tagger.model_spans(reader, texts, 0.8) == wanted
+
+
+def test_lean_emissions_are_those_of_the_model():
+    rng = np.random.default_rng(6)
+    h, w, n = pii_tagger.HIDDEN, pii_tagger.WIDTH, pii_tagger.LABELS
+    model = pii_tagger._model([rng.normal(0, 0.5, s) for s in ((pii_tagger.PAD + 1, w), (w + h, 4 * h), (4 * h,), (w + h, 4 * h), (4 * h,), (2 * h, n), (n,), (n, n))])
+    windows = rng.integers(0, pii_tagger.PAD + 1, (7, 50))
+    assert np.allclose(pii_tagger.Reader(model).emissions(windows), pii_tagger.emissions(model, windows), atol=1e-4)
+
+
 def test_tagger_gradient_is_the_slope():
     rng = np.random.default_rng(5)
     h, w, n = pii_tagger.HIDDEN, pii_tagger.WIDTH, pii_tagger.LABELS
