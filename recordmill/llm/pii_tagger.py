@@ -25,7 +25,7 @@ import heapq
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -37,7 +37,7 @@ from recordmill.llm.common import map_batches, short_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
-STRIDE, OVERLAP = 208, 48  # a window owns STRIDE characters and shares OVERLAP with the next
+STRIDE, OVERLAP = 336, 48  # a window owns STRIDE characters and shares OVERLAP with the next
 WINDOW = STRIDE + OVERLAP
 HIDDEN, WIDTH = 12, 8
 SAMPLE_ROWS = 400
@@ -357,9 +357,9 @@ def _gradients(values: list[np.ndarray], windows: np.ndarray, labels: np.ndarray
 
 # --- whole texts ---------------------------------------------------------------------------
 
-WINDOWS_AT_ONCE = 1024
+WINDOWS_AT_ONCE = 512
 EDGE = 1000.0  # what the part of a text after a block can add to a way that reaches into the block
-RAMP = ((np.arange(OVERLAP) + 0.5) / OVERLAP).astype(np.float32)[:, None]  # weight of a window in what it shares with the one before
+RAMP = ((np.arange(OVERLAP) + 0.5) / OVERLAP).astype(np.float32)[:, None, None]  # weight of a window in what it shares with the one before
 
 
 def _ways_out(transitions: np.ndarray) -> tuple[float, float]:
@@ -395,26 +395,33 @@ class Reader:
         self.step, self.ends = _ways_out(model.transitions)
 
     def emissions(self, windows: np.ndarray) -> np.ndarray:
-        """Label scores [row, time, label] of class windows [row, time], as :func:`emissions` gives them."""
+        """Label scores [time, label, row] of class windows [row, time], as :func:`emissions` gives them otherwise turned.
+
+        Rows come last, so the parts of the gates are whole stretches of memory.
+        """
         rows, size = windows.shape
         places = np.ascontiguousarray(windows.T).astype(np.intp)
-        # rows come last, so the parts of the gates are whole stretches of memory
-        state, memory = np.zeros((2, HIDDEN, rows), np.float32), np.zeros((2, HIDDEN, rows), np.float32)
-        gates, seen = np.empty((2, 4 * HIDDEN, rows), np.float32), np.empty((size, 2, HIDDEN, rows), np.float32)
+        state, memory, squashed = (np.zeros((2, HIDDEN, rows), np.float32) for _ in range(3))
+        gates, given = np.empty((2, 4 * HIDDEN, rows), np.float32), np.empty((4 * HIDDEN, rows), np.float32)
+        told = np.empty((size, LABELS, rows), np.float32)
+        told[:] = self.bias
         opened, entered = gates[:, : 3 * HIDDEN], gates[:, :HIDDEN]
         for t in range(size):
             np.matmul(self.states, state, out=gates)
-            gates[0] += self.inputs[0][:, places[t]]
-            gates[1] += self.inputs[1][:, places[-1 - t]]
+            for way, at in enumerate((t, size - 1 - t)):
+                np.take(self.inputs[way], places[at], axis=1, out=given, mode="clip")
+                gates[way] += given
             np.tanh(gates, out=gates)
             opened *= 0.5
             opened += 0.5
             memory *= gates[:, HIDDEN : 2 * HIDDEN]
             entered *= gates[:, 3 * HIDDEN :]
             memory += entered
-            np.multiply(gates[:, 2 * HIDDEN : 3 * HIDDEN], np.tanh(memory), out=state)
-            seen[t] = state
-        return (self.out[0] @ seen[:, 0] + self.out[1] @ seen[::-1, 1] + self.bias).transpose(2, 0, 1)
+            np.tanh(memory, out=squashed)
+            np.multiply(gates[:, 2 * HIDDEN : 3 * HIDDEN], squashed, out=state)
+            told[t] += self.out[0] @ state[0]
+            told[size - 1 - t] += self.out[1] @ state[1]
+        return told
 
 
 def _paths(scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> np.ndarray:
@@ -460,23 +467,23 @@ def _sureness(scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, transit
     return sure
 
 
-def _decoded(reader: Reader, scores: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[str, int, int, float]]:
-    """(kind, begin, end, mean marginal) of the spans on the runs' best paths."""
-    order = np.argsort(begins - ends, kind="stable")
-    begins, sizes = begins[order], (ends - begins)[order]
-    path = _paths(scores, begins, sizes, reader.transitions)
-    marked = np.add.reduceat(path.astype(np.int64), np.stack([begins, begins + sizes], 1).ravel().clip(max=len(path) - 1))[::2] > 0
-    marked |= path[begins + sizes - 1] > 0
-    if not marked.any():
-        return
-    sure = _sureness(scores, begins[marked], sizes[marked], reader.transitions.astype(np.float64), path)
-    last = np.zeros(len(path) + 1, bool)
-    last[begins + sizes] = True
+def _decoded(reader: Reader, scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, fits: Callable[[str, int, int], bool]) -> Iterator[tuple[str, int, int, float]]:
+    """(kind, begin, end, mean marginal) of the fitting spans on the best paths of runs that fill ``scores``."""
+    order = np.argsort(-sizes, kind="stable")
+    path = _paths(scores, begins[order], sizes[order], reader.transitions)
+    spans = []
     for begin in np.flatnonzero(path % 2 == 1):
-        end = begin + 1
-        while not last[end] and path[end] == path[begin] + 1:
+        run = int(np.searchsorted(begins, begin, "right")) - 1
+        end, last = begin + 1, begins[run] + sizes[run]
+        while end < last and path[end] == path[begin] + 1:
             end += 1
-        yield KINDS[path[begin] // 2], int(begin), int(end), float(sure[begin:end].mean())
+        kind = KINDS[path[begin] // 2]
+        if fits(kind, int(begin), int(end)):
+            spans.append((kind, int(begin), int(end), run))
+    if spans:
+        held = np.array(sorted({run for *_, run in spans}, key=lambda run: -sizes[run]))
+        sure = _sureness(scores, begins[held], sizes[held], reader.transitions.astype(np.float64), path)
+        yield from ((kind, begin, end, float(sure[begin:end].mean())) for kind, begin, end, _ in spans)
 
 
 def _best_before(gain: np.ndarray, first: float) -> np.ndarray:
@@ -485,6 +492,19 @@ def _best_before(gain: np.ndarray, first: float) -> np.ndarray:
     return (sums - np.minimum(np.minimum.accumulate(sums), 0.0))[:-1]
 
 
+def possible(kind: str, written: str) -> bool:
+    """Whether a span that the model adds can be of its kind: its digits by the rules' own bounds, an address by its signs and length."""
+    groups = re.findall("[0-9]+", written)
+    digits = "".join(groups)
+    if kind == "ip":
+        return len(groups) == 4 and all(len(g.lstrip("0")) <= 3 and int(g.lstrip("0") or "0") <= 255 for g in groups)
+    if kind == "card":
+        return 16 <= len(digits) <= 19 and _luhn(digits)
+    if kind == "phone":
+        return 8 <= len(digits) <= 15
+    return len(written) <= MAX_EMAIL and all(re.search(sign, written, re.IGNORECASE) for sign in (r"@|\bat\b", r"\.|\bdot\b"))
+
+
 def model_spans(reader: Reader, texts: list[str], min_confidence: float) -> list[list[Span]]:
     """Decoded spans of each text; memory is one block of windows and a run of places that are not clear."""
     out: list[list[Span]] = [[] for _ in texts]
@@ -493,9 +513,10 @@ def model_spans(reader: Reader, texts: list[str], min_confidence: float) -> list
     owner = np.repeat(np.arange(len(texts)), windows)
     at = (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)) * STRIDE
     open_text, classes = -1, np.empty(0, np.uint8)
-    carried, tail = np.empty((0, LABELS), np.float32), None
+    carried, tail = np.empty((0, LABELS), np.float32), np.zeros((OVERLAP, LABELS, 1), np.float32)
     for block in range(0, len(owner), WINDOWS_AT_ONCE):
         whose, begin = owner[block : block + WINDOWS_AT_ONCE], at[block : block + WINDOWS_AT_ONCE]
+        more = block + len(whose) < len(owner) and at[block + len(whose)] > 0
         lines = np.full((len(whose), WINDOW), PAD, np.uint8)
         for row, (i, b) in enumerate(zip(whose.tolist(), begin.tolist())):
             if i != open_text:
@@ -503,49 +524,45 @@ def model_spans(reader: Reader, texts: list[str], min_confidence: float) -> list
             piece = classes[b : b + WINDOW]
             lines[row, : len(piece)] = piece
         told = reader.emissions(lines)
-        own = told[:, :STRIDE].copy()
-        before = np.concatenate([tail if tail is not None else np.zeros((1, OVERLAP, LABELS), np.float32), told[:-1, STRIDE:]])
-        shared = begin > 0
-        own[shared, :OVERLAP] = RAMP * own[shared, :OVERLAP] + (1 - RAMP) * before[shared]
-        tail = told[-1:, STRIDE:].copy()
+        before = np.concatenate([tail, told[STRIDE:, :, :-1]], axis=2)
+        tail = told[STRIDE:, :, -1:].copy()
+        weight = np.where(begin > 0, RAMP, np.float32(1))
+        told[:OVERLAP] = weight * told[:OVERLAP] + (1 - weight) * before
         # one line of places: those carried over, then what each window owns
         c = len(carried)
-        scores = np.concatenate([carried, own.reshape(-1, LABELS)])
-        more = block + len(whose) < len(owner) and at[block + len(whose)] > 0
-        gain = scores[:, 1:].max(axis=1).astype(np.float64) - scores[:, 0] + reader.step
+        lead = (told[:STRIDE, 1:].max(axis=1) - told[:STRIDE, 0]).T.ravel()
+        gain = np.concatenate([carried[:, 1:].max(axis=1) - carried[:, 0], lead]) + np.float64(reader.step)
         inside = ((begin[:, None] + np.arange(STRIDE)) < sizes[whose][:, None]).ravel()
         gain[c:][~inside] = -EDGE
-        before, after = _best_before(gain, 0.0), _best_before(gain[::-1], EDGE if more else 0.0)[::-1]
-        open_ = before + gain + after + reader.ends - reader.step >= 0
+        reached = _best_before(gain, 0.0) + gain + _best_before(gain[::-1], EDGE if more else 0.0)[::-1]
+        open_ = reached + reader.ends - reader.step >= 0
         open_[c:] &= inside
-        first = np.zeros(len(scores) + 1, bool)  # places where a text begins
+        first = np.zeros(len(gain) + 1, bool)  # places where a text begins
         first[c + np.flatnonzero(begin == 0) * STRIDE] = True
         first[-1] = True
         starts = np.flatnonzero(open_ & (first[:-1] | ~np.concatenate([[False], open_[:-1]])))
         ends = np.flatnonzero(open_ & (first[1:] | ~np.concatenate([open_[1:], [False]]))) + 1
+        places = np.flatnonzero(open_)
+        own = places[places >= c] - c
+        scores = np.concatenate([carried[places[places < c]], told[own % STRIDE, :, own // STRIDE]])
         carried = carried[:0]
-        if more and len(ends) and ends[-1] == len(scores):  # the run goes on in the next block
-            carried, starts, ends = scores[starts[-1] :].copy(), starts[:-1], ends[:-1]
-        if len(starts):
-            for kind, b, e, sure in _decoded(reader, scores, starts, ends):
-                if sure >= min_confidence:
-                    row = max(0, b - c) // STRIDE
-                    place = int(begin[row]) + b - c - row * STRIDE
-                    out[whose[row]].append((kind, place, place + e - b))
-    return out
+        if more and len(ends) and ends[-1] == len(gain):  # the run goes on in the next block
+            going = int(ends[-1] - starts[-1])
+            carried, scores, places = scores[-going:].copy(), scores[:-going], places[:-going]
+            starts, ends = starts[:-1], ends[:-1]
+        if not len(starts):
+            continue
+        rows = np.maximum(places - c, 0) // STRIDE
+        here = begin[rows] + places - c - rows * STRIDE  # the places in their texts
 
+        def fits(kind: str, b: int, e: int) -> bool:
+            return possible(kind, texts[whose[rows[b]]][here[b] : here[b] + e - b])
 
-def possible(kind: str, written: str) -> bool:
-    """Whether a span that the model adds can be of its kind: its digits by the rules' own bounds, an address by its signs and length."""
-    groups = re.findall("[0-9]+", written)
-    digits = "".join(groups)
-    if kind == "ip":
-        return len(groups) == 4 and all(len(g.lstrip("0")) <= 3 and int(g.lstrip("0") or "0") <= 255 for g in groups)
-    if kind == "card":
-        return 16 <= len(digits) <= 19 and _luhn(digits)
-    if kind == "phone":
-        return 8 <= len(digits) <= 15
-    return len(written) <= MAX_EMAIL and all(re.search(sign, written, re.IGNORECASE) for sign in (r"@|\bat\b", r"\.|\bdot\b"))
+        lengths = ends - starts
+        for kind, b, e, sure in _decoded(reader, scores, np.cumsum(lengths) - lengths, lengths, fits):
+            if sure >= min_confidence:
+                out[whose[rows[b]]].append((kind, int(here[b]), int(here[b]) + e - b))
+    return out
 
 
 def all_spans(reader: Reader | None, texts: list[str], min_confidence: float) -> tuple[list[list[Span]], list[list[Span]]]:
@@ -554,12 +571,12 @@ def all_spans(reader: Reader | None, texts: list[str], min_confidence: float) ->
     if reader is None:
         return base, base
     out = []
-    for text, spans, more in zip(texts, base, model_spans(reader, texts, min_confidence)):
+    for spans, more in zip(base, model_spans(reader, texts, min_confidence)):
         begins, reach = [], [0]  # base spans by begin, and how far those up to each one reach
         for _, b, e in sorted(spans, key=lambda s: s[1]):
             begins.append(b)
             reach.append(max(reach[-1], e))
-        added = [(k, b, e) for k, b, e in more if reach[bisect_right(begins, e - 1)] <= b and possible(k, text[b:e])]
+        added = [(k, b, e) for k, b, e in more if reach[bisect_right(begins, e - 1)] <= b]
         out.append(sorted([*spans, *added], key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
     return base, out
 
