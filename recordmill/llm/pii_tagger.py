@@ -387,8 +387,9 @@ class Reader:
     def __init__(self, model: Model):
         half = np.concatenate([np.full(3 * HIDDEN, 0.5), np.ones(HIDDEN)])
         cells = (model.forward, model.backward)
-        self.inputs = np.stack([((model.embed @ w[:WIDTH] + b) * half).T for w, b in cells]).astype(np.float32)
-        self.states = np.stack([(w[WIDTH:] * half).T for w, _ in cells]).astype(np.float32)
+        # of each direction, the columns for the character, for a one that carries the biases, and for the state
+        self.weights = np.stack([np.concatenate([w[:WIDTH], b[None], w[WIDTH:]]).T * half[:, None] for w, b in cells]).astype(np.float32)
+        self.embed = np.ascontiguousarray(model.embed.T, np.float32)
         self.out, self.bias = model.out.reshape(2, HIDDEN, LABELS).transpose(0, 2, 1).astype(np.float32), model.bias.astype(np.float32)[:, None]
         self.transitions = model.transitions.astype(np.float32)
         t = self.transitions
@@ -401,16 +402,17 @@ class Reader:
         """
         rows, size = windows.shape
         places = np.ascontiguousarray(windows.T).astype(np.intp)
-        state, memory, squashed = (np.zeros((2, HIDDEN, rows), np.float32) for _ in range(3))
-        gates, given = np.empty((2, 4 * HIDDEN, rows), np.float32), np.empty((4 * HIDDEN, rows), np.float32)
+        memory, squashed = (np.zeros((2, HIDDEN, rows), np.float32) for _ in range(2))
+        joined, gates = np.zeros((2, WIDTH + 1 + HIDDEN, rows), np.float32), np.empty((2, 4 * HIDDEN, rows), np.float32)
+        joined[:, WIDTH] = 1
+        state = joined[:, WIDTH + 1 :]
         told = np.empty((size, LABELS, rows), np.float32)
         told[:] = self.bias
         opened, entered = gates[:, : 3 * HIDDEN], gates[:, :HIDDEN]
         for t in range(size):
-            np.matmul(self.states, state, out=gates)
             for way, at in enumerate((t, size - 1 - t)):
-                np.take(self.inputs[way], places[at], axis=1, out=given, mode="clip")
-                gates[way] += given
+                np.take(self.embed, places[at], axis=1, out=joined[way, :WIDTH], mode="clip")
+            np.matmul(self.weights, joined, out=gates)
             np.tanh(gates, out=gates)
             opened *= 0.5
             opened += 0.5
@@ -429,21 +431,20 @@ def _paths(scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, transition
 
     Runs come longest first, so those that still go on at a step are the first ones.
     """
-    path, back = np.zeros(len(scores), np.uint8), np.zeros((len(scores), LABELS), np.uint8)
+    path, best = np.zeros(len(scores), np.uint8), np.empty_like(scores)
     going = [int(np.searchsorted(-sizes, -t, "left")) for t in range(int(sizes[0]))]  # longer than t
-    best = scores[begins] + transitions[0]
+    best[begins] = now = scores[begins] + transitions[0]
     for t in range(1, len(going)):
         m = going[t]
-        ways = best[:m, :, None] + transitions
         here = begins[:m] + t
-        back[here] = ways.argmax(axis=1)
-        best[:m] = ways.max(axis=1) + scores[here]
-    label = (best + transitions[:, 0]).argmax(axis=1).astype(np.uint8)
-    for t in range(len(going) - 1, -1, -1):
-        m = going[t]
+        best[here] = now = (now[:m, :, None] + transitions).max(axis=1) + scores[here]
+    ends, out = begins + sizes - 1, np.ascontiguousarray(transitions.T)
+    label = (best[ends] + out[0]).argmax(axis=1)
+    path[ends] = label
+    for t in range(len(going) - 2, -1, -1):  # a run's last place is told; others follow from the label after them
+        m = going[t + 1]
         here = begins[:m] + t
-        path[here] = label[:m]
-        label[:m] = back[here, label[:m]]
+        path[here] = label[:m] = (best[here] + out[label[:m]]).argmax(axis=1)
     return path
 
 
