@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.plans import markets, repos
+from recordmill.session import spread
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -14,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events on all cores: a file of few megabytes is one task, but the texts made of its rows are many times as large."""
+    return spread(table(spark, sf_dir, "events"))
+
+
 def k_of(props: str | Column) -> Column:
     """The integer ``k`` of an event's properties, read like any landed integer."""
     return F.variant_get(F.parse_json(props), "$.k", "string").cast("int")
@@ -37,7 +43,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def repo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with a repository record each, as JSON text in ``data``."""
-    events = table(spark, sf_dir, "events").withColumn("k", k_of("props"))
+    events = _events(spark, sf_dir).withColumn("k", k_of("props"))
     iso = F.date_format("ts", ISO)
     owner = F.struct(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("login"),
@@ -124,7 +130,7 @@ def market_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as one page holding ``k`` records, a user's events as one run."""
-    events = table(spark, sf_dir, "events").withColumn("k", k_of("props"))
+    events = _events(spark, sf_dir).withColumn("k", k_of("props"))
     items = F.when(
         F.col("k") > 0,
         F.transform(F.sequence(F.lit(1), F.greatest("k", F.lit(1))), lambda i: F.struct(F.col("event_id").alias("page"), i.alias("item"))),
@@ -145,7 +151,7 @@ def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     Runs of type ``error`` failed, ``view`` names no source, ``signup`` has an unreadable
     start, ``click`` ran without a gate result.
     """
-    events = table(spark, sf_dir, "events").withColumn("k", k_of("props"))
+    events = _events(spark, sf_dir).withColumn("k", k_of("props"))
     kind = F.col("event_type")
     micros = (F.col("value") * 1e6 + 4000).cast("decimal(20,0)").cast("bigint")
     begun = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) - micros)

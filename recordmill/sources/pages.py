@@ -80,7 +80,10 @@ def _records(payload: Column) -> Column:
 
 
 class PagedRuns:
-    """The pages ``source, run_id, page_no, payload`` of the known sources, parsed once, and what a reader would have asked for.
+    """The pages ``source, run_id, page_no, payload`` of the known sources, and what a reader would have asked for.
+
+    What is kept of every page is its key and whether its run ends there. Records are read from
+    the payloads of the pages that count, so no page's records are written for nothing.
 
     A run ends with the first page after which nothing more is asked for, or at the cap.
     The first is a minimum over narrow rows. The cap matters only to runs that have more
@@ -93,8 +96,8 @@ class PagedRuns:
         known = pages.where(F.col("source").isin([c.source_name for c in configs]))
         for key in ("run_id", "page_no"):
             known = known.withColumn(key, F.coalesce(key, F.raise_error(F.lit(f"a page has no {key}")).cast(pages.schema[key].dataType)))
-        self.configs, self.pages = configs, cut_lineage(_parsed(_with_settings(known, configs)))
-        self.narrow = self.pages.select(*RUN, F.col("page_no").cast("long").alias("page_no"), "is_last")
+        self.configs, self.pages = configs, known.select(*RUN, "page_no", "payload")
+        self.narrow = cut_lineage(_ends(_with_settings(known, configs)))
         self._runs: DataFrame | None = None
 
     def _few(self, runs: DataFrame) -> DataFrame:
@@ -145,7 +148,7 @@ class PagedRuns:
                 return ranges.select(*RUN, F.col("low").alias("capped"))
 
     def kept(self) -> DataFrame:
-        """The parsed pages that count. The semi join can broadcast only the narrow limits, never payloads."""
+        """The pages that count, as they came. The semi join can broadcast only the narrow limits, never payloads."""
         limits = self._few(self.limits(self.runs()).select(*[F.col(c).alias(f"_{c}") for c in (*RUN, "limit")]))
         here = [F.col(c) == F.col(f"_{c}") for c in RUN]
         within = F.col("_limit").isNull() | (F.col("page_no") <= F.col("_limit"))
@@ -157,9 +160,8 @@ class PagedRuns:
         A page whose records are not a list fails the job; pages that do not count are not looked at.
         """
         found = _with_settings(self.kept(), self.configs)
-        late = _records(F.parse_json("payload"))
         complaint = F.concat(F.lit("Expected list at '"), F.col("_s.records_name"), F.lit("'"))
-        records = F.coalesce("records", late, F.raise_error(complaint).cast("array<variant>"))
+        records = F.coalesce(_records(F.parse_json("payload")), F.raise_error(complaint).cast("array<variant>"))
         return found.select(*RUN, "page_no", F.posexplode(records).alias("position", "data"))
 
     def cut(self) -> DataFrame:
@@ -168,11 +170,10 @@ class PagedRuns:
         return self.runs().where(over).select(*RUN, "max_pages")
 
 
-def _parsed(pages: DataFrame) -> DataFrame:
-    """Pages with their records and whether their run asks for no more after them: ``source, run_id, page_no, is_last, records, payload``.
+def _ends(pages: DataFrame) -> DataFrame:
+    """Pages and whether their run asks for no more after them: ``source, run_id, page_no, is_last``.
 
-    A source without paging ends at its first page whatever that holds, so its pages keep
-    their payload and are not parsed here.
+    A source without paging ends at its first page whatever that holds, so its pages are not parsed here.
     """
     kind = F.col("_s.kind")
     stop = (
@@ -183,10 +184,9 @@ def _parsed(pages: DataFrame) -> DataFrame:
     )
     return (
         pages.withColumn("payload_v", F.when(kind != "none", F.try_parse_json("payload")))
-        .withColumn("records", _records(F.col("payload_v")))
         .withColumn("cursor", F.when(kind == "cursor", F.try_variant_get("payload_v", F.col("_s.cursor_path"), "variant")))
-        .withColumn("n_records", F.when(F.col("records").isNotNull(), F.size("records")))
-        .select(*RUN, "page_no", F.coalesce(stop, F.lit(False)).alias("is_last"), "records", F.when(F.col("records").isNull(), F.col("payload")).alias("payload"))
+        .withColumn("n_records", F.array_size(_records(F.col("payload_v"))))
+        .select(*RUN, F.col("page_no").cast("long").alias("page_no"), F.coalesce(stop, F.lit(False)).alias("is_last"))
     )
 
 

@@ -203,3 +203,13 @@ def test_runs_cut_by_the_cap_are_told(spark):
     settings = [config(pagination_type="page", page_size=2, max_pages=2)]
     both = pages(spark, page(1, 2), page(3, 4), page(5), run="cut").unionByName(pages(spark, page(1, 2), page(3), run="whole"))
     assert [tuple(r) for r in cut_runs(both, settings).collect()] == [("s", "cut", 2)]
+
+
+def test_only_keys_of_pages_are_written(spark, monkeypatch):
+    from recordmill.sources import pages as module
+
+    written, cut = [], module.cut_lineage
+    monkeypatch.setattr(module, "cut_lineage", lambda df: written.append(df.columns) or cut(df))
+    many = [page(1, 2)] * 3 + [page(3)] + [page(4, 5)] * 20
+    assert ids(flatten_pages(pages(spark, *many), [config(pagination_type="page", page_size=2)])) == [1, 2] * 3 + [3]
+    assert written and not {"records", "payload"} & {c for columns in written for c in columns}
