@@ -60,6 +60,11 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame | None:
     return Snapshot(spark, path, DAY).read()
 
 
+def has_taken(spark: SparkSession, path: str, writer: str | None, batch_id: int | None) -> bool:
+    """Whether the table holds the writer's batch, or a newer one, already."""
+    return Snapshot(spark, path, DAY).has_taken(writer, batch_id)
+
+
 def upsert_days(
     spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], writer: str | None = None, batch_id: int | None = None
 ) -> bool:

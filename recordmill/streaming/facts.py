@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.operators import facts, run_metrics
+from recordmill.session import cut_lineage
 
 
 def _run(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint_dir: str, mode: str = "append") -> None:
@@ -87,7 +88,7 @@ def read_metric(spark: SparkSession, table_dir: str) -> DataFrame:
 def stream_durations(ledger_stream: DataFrame, table_dir: str, checkpoint_dir: str, at: str = "ended_at", width: str = run_metrics.DURATION_WINDOW) -> None:
     """Keep the mergeable state of each window's durations in a table, then return.
 
-    A micro-batch is summed up by itself and merged with the stored states of its windows, so
+    A micro-batch is read once, summed up by itself and merged with the stored states of its windows, so
     no row is too late and nothing is held between batches. The table's commit carries the
     batch's number: a repeated batch is not added twice. The states are the same however
     the rows were cut into batches; :func:`read_durations` gives average and percentile.
@@ -96,7 +97,10 @@ def stream_durations(ledger_stream: DataFrame, table_dir: str, checkpoint_dir: s
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        news = run_metrics.duration_states(batch, at, width).withColumn("metric_date", F.to_date("window_start"))
+        if facts.has_taken(spark, table_dir, writer, batch_id):
+            return
+        runs = cut_lineage(batch.select("run_id", "status", at, "duration_seconds"))  # each use of ``batch`` reads its files again
+        news = cut_lineage(run_metrics.duration_states(runs, at, width).withColumn("metric_date", F.to_date("window_start")))
         days = [r[0] for r in news.select("metric_date").distinct().collect()]
         stored = facts.read_fact(spark, table_dir)
         if stored is not None:

@@ -175,3 +175,33 @@ def test_open_windows_are_kept_and_updated(spark, scratch):
         stream_metric(stream, run_metrics.executions, f"{scratch}/table", f"{scratch}/cp", by=["status"])
     got = sorted(map(tuple, read_metric(spark, f"{scratch}/table").collect()))
     assert got == sorted(map(tuple, run_metrics.executions(ledger(spark, 300)).collect()))
+
+
+def test_a_batch_of_durations_is_read_once(spark, scratch):
+    ledger(spark, 500).repartition(1).write.parquet(f"{scratch}/in")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(run_id):
+        read.add(1)
+        return run_id
+
+    schema = spark.read.parquet(f"{scratch}/in").schema
+    stream = spark.readStream.schema(schema).parquet(f"{scratch}/in").withColumn("run_id", told(F.col("run_id").cast("string")))
+    stream_durations(stream, f"{scratch}/table", f"{scratch}/cp")
+    assert read.value == 500
+
+
+def test_a_drop_is_one_batch_however_many_files_it_has(spark, scratch):
+    import __spark_entry__ as entry
+
+    rows = spark.range(600).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id)").alias("ts"),
+        F.col("id").alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.5).alias("value"), F.lit('{"k": 3}').alias("props"),
+    )
+    rows.repartition(6).write.parquet(f"{scratch}/events.parquet")
+    batches = []
+    stream = entry._states_in_parts(spark, scratch)
+    query = stream.writeStream.foreachBatch(lambda batch, _: batches.append(batch.count())).option("checkpointLocation", f"{scratch}/cp")
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert len(batches) == 3 and sum(batches) == 600
