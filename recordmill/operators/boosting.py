@@ -21,6 +21,7 @@ MAX_CLASSES = 1_000
 # The boosting settings.
 BOOSTING = {"maxDepth": 3, "stepSize": 0.1, "seed": 42}
 N_ESTIMATORS = 100
+ROWS_A_TASK = 250_000  # boosting keeps some 500 bytes a row in memory and reads them for every level of every tree
 
 
 @dataclass(frozen=True)
@@ -132,12 +133,14 @@ def train(
     numeric, categorical = feats.split_by_type(df.schema, exclude=[target, row_key])
     features = [c for c in df.columns if c not in (target, row_key)]
     rows = df.where(F.col(target).isNotNull())
+    if task_type == "classification":
+        rows = cut_lineage(rows)  # classes, cuts and split read it; files are parsed once
     classes = _classes(rows, target) if task_type == "classification" else []
     split = feats.stratified_split(rows, row_key, target) if classes else feats.hash_split(rows, row_key)
     split = cut_lineage(_labelled(split, target, classes))
-    train_rows, test_rows = spread(split.where("is_train")), split.where("NOT is_train")
+    train_rows, test_rows = split.where("is_train"), split.where("NOT is_train")
     stages = feats.preprocessing_stages(train_rows, numeric, categorical, "_features")
-    model = Pipeline(stages=[*stages, _estimator(task_type, n_estimators, max_depth, len(classes))]).fit(train_rows)
+    model = Pipeline(stages=[*stages, _estimator(task_type, n_estimators, max_depth, len(classes))]).fit(spread(train_rows, ROWS_A_TASK))
     scored = model.transform(test_rows)
     measure = classification_metrics if classes else regression_metrics
     metrics = measure(scored, "_label", "_predicted").first().asDict()

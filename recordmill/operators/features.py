@@ -56,7 +56,8 @@ def stratified_split(df: DataFrame, key: str, label: str, train_share: float = 0
         rank = F.floor(n * F.lit(float(train_share))) - 1
         return rank, rank
 
-    found = select_ranks(df, [label], position, last_train)
+    placed = cut_lineage(df.select(label, position.alias("_position")))  # read for every narrowing of the cut
+    found = select_ranks(placed, [label], F.col("_position"), last_train)
     cuts = cut_lineage(found.select(F.col(label).alias("_label"), F.col("low").alias("_cut")))
     marked = df.join(cuts, F.col(label).eqNullSafe(F.col("_label")), "left")
     return marked.withColumn("is_train", F.coalesce(position <= F.col("_cut"), F.lit(False))).drop("_label", "_cut")

@@ -217,3 +217,25 @@ def test_registered_trainings_boost_the_default_trees(spark, monkeypatch):
         with pytest.raises(InterruptedError):
             entry.queries()[name](spark, "/root/testdata/sf0.001")
     assert asked == [100, 100]
+
+
+def test_a_classifier_reads_its_rows_once_and_boosts_small_partitions(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def told(key):
+        read.add(1)
+        return key
+
+    rows = spark.range(2_000).select(told("id").alias("id"), (F.col("id") % 7).cast("double").alias("x"), F.when(F.col("id") % 7 > 3, "a").otherwise("b").alias("target"))
+    parts, spread = [], boosting.spread
+
+    def noted(*given):
+        out = spread(*given)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(boosting, "spread", noted)
+    monkeypatch.setattr(boosting, "ROWS_A_TASK", 100)
+    boosting.train(rows, "target", "classification", "id", n_estimators=2)
+    assert read.value == 2_000 and parts == [16]
