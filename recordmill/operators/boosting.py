@@ -22,6 +22,7 @@ MAX_CLASSES = 1_000
 BOOSTING = {"maxDepth": 3, "stepSize": 0.1, "seed": 42}
 N_ESTIMATORS = 100
 ROWS_A_TASK = 250_000  # boosting keeps some 500 bytes a row in memory and reads them for every level of every tree
+ROWS_AT_ONCE = 8_000_000  # of all classes' models that are boosted side by side, each with its rows in memory
 
 
 @dataclass(frozen=True)
@@ -91,7 +92,7 @@ def _classes(df: DataFrame, target: str) -> list[str]:
     return [r.c for r in rows]
 
 
-def _estimator(task_type: str, n_estimators: int, max_depth: int, n_classes: int):
+def _estimator(task_type: str, n_estimators: int, max_depth: int, n_classes: int, n_rows: int):
     settings = {**BOOSTING, "maxIter": n_estimators, "maxDepth": max_depth, "checkpointInterval": 10}
     settings |= {"featuresCol": "_features", "labelCol": "_label"}
     if task_type == "regression":
@@ -99,8 +100,9 @@ def _estimator(task_type: str, n_estimators: int, max_depth: int, n_classes: int
     if n_classes == 2:
         return GBTClassifier(predictionCol="_predicted", **settings)
     each = GBTClassifier(predictionCol="_predicted", **settings)
+    side_by_side = min(4, max(1, ROWS_AT_ONCE // max(1, n_rows)))
     return OneVsRest(
-        classifier=each, featuresCol="_features", labelCol="_label", predictionCol="_predicted", parallelism=4
+        classifier=each, featuresCol="_features", labelCol="_label", predictionCol="_predicted", parallelism=side_by_side
     )
 
 
@@ -140,7 +142,8 @@ def train(
     split = cut_lineage(_labelled(split, target, classes))
     train_rows, test_rows = split.where("is_train"), split.where("NOT is_train")
     stages = feats.preprocessing_stages(train_rows, numeric, categorical, "_features")
-    model = Pipeline(stages=[*stages, _estimator(task_type, n_estimators, max_depth, len(classes))]).fit(spread(train_rows, ROWS_A_TASK))
+    estimator = _estimator(task_type, n_estimators, max_depth, len(classes), train_rows.count())
+    model = Pipeline(stages=[*stages, estimator]).fit(spread(train_rows, ROWS_A_TASK))
     scored = model.transform(test_rows)
     measure = classification_metrics if classes else regression_metrics
     metrics = measure(scored, "_label", "_predicted").first().asDict()

@@ -239,3 +239,8 @@ def test_a_classifier_reads_its_rows_once_and_boosts_small_partitions(spark, mon
     monkeypatch.setattr(boosting, "ROWS_A_TASK", 100)
     boosting.train(rows, "target", "classification", "id", n_estimators=2)
     assert read.value == 2_000 and parts == [16]
+
+
+def test_models_of_many_rows_are_boosted_one_after_the_other():
+    at_once = [boosting._estimator("classification", 1, 1, 3, n).getParallelism() for n in (0, 1_000, boosting.ROWS_AT_ONCE // 2, boosting.ROWS_AT_ONCE * 10)]
+    assert at_once == [4, 4, 2, 1]
