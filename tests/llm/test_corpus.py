@@ -140,6 +140,27 @@ def test_licences_by_full_texts_and_beside_notices(spark):
     assert got["reserved"]["canonical_digest"] == hashlib.sha256(b"a text without line breaks").hexdigest()
 
 
+def test_licences_read_each_text_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    texts = ["a\nLicensed under  CC BY 4.0 \nb", "Released under the MIT License.", "x\n\n  \nThis file: released under the MIT License.\n"] * 5
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("doc_id", seen("text").alias("text"))
+    got = {r["doc_id"]: (r["licence"], r["line_licences"]) for r in licenses.scan(rows, licenses.default_licences(spark)).collect()}
+    assert got == {i: ((None, "CC-BY-4.0"), ("MIT", "MIT"), (None, None))[i % 3] for i in range(15)}
+    assert read.value == 15
+
+
+def test_many_licences_are_found_without_their_sizes(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "BROADCAST_LICENCES", 1)
+    rows = spark.createDataFrame([(1, "Intro.\nLicensed under CC BY 4.0"), (2, "no")], "doc_id long, text string")
+    assert {tuple(r)[::3] for r in licenses.scan(rows, licenses.default_licences(spark)).collect()} == {(1, "CC-BY-4.0"), (2, None)}
+
+
 def test_token_counts_are_the_library_s(spark, docs, none):
     library, rng = Tokenizer.from_file(BPE), random.Random(1)
     texts = ["".join(rng.choice("abcstmdrvleSTRE'''  \n\té漢１2²½!?_<|>🤖") for _ in range(rng.randrange(60))) for _ in range(800)]
