@@ -358,6 +358,7 @@ def _gradients(values: list[np.ndarray], windows: np.ndarray, labels: np.ndarray
 # --- whole texts ---------------------------------------------------------------------------
 
 WINDOWS_AT_ONCE = 512
+PLACES_AT_ONCE = 1 << 18  # that are not clear, before their runs are decoded together
 EDGE = 1000.0  # what the part of a text after a block can add to a way that reaches into the block
 RAMP = ((np.arange(OVERLAP) + 0.5) / OVERLAP).astype(np.float32)[:, None, None]  # weight of a window in what it shares with the one before
 
@@ -388,9 +389,10 @@ class Reader:
         half = np.concatenate([np.full(3 * HIDDEN, 0.5), np.ones(HIDDEN)])
         cells = (model.forward, model.backward)
         # of each direction, the columns for the character, for a one that carries the biases, and for the state
-        self.weights = np.stack([np.concatenate([w[:WIDTH], b[None], w[WIDTH:]]).T * half[:, None] for w, b in cells]).astype(np.float32)
+        # the state is held doubled, so what is taken from it is halved
+        self.weights = np.stack([np.concatenate([w[:WIDTH], b[None], w[WIDTH:] / 2]).T * half[:, None] for w, b in cells]).astype(np.float32)
         self.embed = np.ascontiguousarray(model.embed.T, np.float32)
-        self.out, self.bias = model.out.reshape(2, HIDDEN, LABELS).transpose(0, 2, 1).astype(np.float32), model.bias.astype(np.float32)[:, None]
+        self.out, self.bias = (model.out / 2).reshape(2, HIDDEN, LABELS).transpose(0, 2, 1).astype(np.float32), model.bias.astype(np.float32)[:, None]
         self.transitions = model.transitions.astype(np.float32)
         t = self.transitions
         self.step, self.ends = _ways_out(model.transitions)
@@ -408,17 +410,17 @@ class Reader:
         state = joined[:, WIDTH + 1 :]
         told = np.empty((size, LABELS, rows), np.float32)
         told[:] = self.bias
-        opened, entered = gates[:, : 3 * HIDDEN], gates[:, :HIDDEN]
+        opened, entered = gates[:, : 3 * HIDDEN], gates[:, :HIDDEN]  # twice the sigmoids, once they are one more than the tanh
         for t in range(size):
             for way, at in enumerate((t, size - 1 - t)):
-                np.take(self.embed, places[at], axis=1, out=joined[way, :WIDTH], mode="clip")
+                self.embed.take(places[at], axis=1, out=joined[way, :WIDTH], mode="clip")
             np.matmul(self.weights, joined, out=gates)
             np.tanh(gates, out=gates)
-            opened *= 0.5
-            opened += 0.5
+            opened += 1
             memory *= gates[:, HIDDEN : 2 * HIDDEN]
             entered *= gates[:, 3 * HIDDEN :]
             memory += entered
+            memory *= 0.5
             np.tanh(memory, out=squashed)
             np.multiply(gates[:, 2 * HIDDEN : 3 * HIDDEN], squashed, out=state)
             told[t] += self.out[0] @ state[0]
@@ -426,13 +428,18 @@ class Reader:
         return told
 
 
+def _going(sizes: np.ndarray) -> list[int]:
+    """For each step, how many of the sizes, which fall, are longer than it."""
+    return np.searchsorted(-sizes, -np.arange(int(sizes[0])), "left").tolist()
+
+
 def _paths(scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     """The best label of every place of the runs, each with "outside" before and after; 0 elsewhere.
 
     Runs come longest first, so those that still go on at a step are the first ones.
     """
     path, best = np.zeros(len(scores), np.uint8), np.empty_like(scores)
-    going = [int(np.searchsorted(-sizes, -t, "left")) for t in range(int(sizes[0]))]  # longer than t
+    going = _going(sizes)
     best[begins] = now = scores[begins] + transitions[0]
     for t in range(1, len(going)):
         m = going[t]
@@ -450,7 +457,7 @@ def _paths(scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, transition
 
 def _sureness(scores: np.ndarray, begins: np.ndarray, sizes: np.ndarray, transitions: np.ndarray, path: np.ndarray) -> np.ndarray:
     """The marginal of the path's label at every place of the runs, which come longest first."""
-    going = [int(np.searchsorted(-sizes, -t, "left")) for t in range(int(sizes[0]))]
+    going = _going(sizes)
     ahead, behind, sure = np.zeros(scores.shape), np.zeros(scores.shape), np.zeros(len(scores))
     ways = np.exp(transitions)
     ahead[begins] = scores[begins] + transitions[0]
@@ -507,13 +514,33 @@ def possible(kind: str, written: str) -> bool:
 
 
 def model_spans(reader: Reader, texts: list[str], min_confidence: float) -> list[list[Span]]:
-    """Decoded spans of each text; memory is one block of windows and a run of places that are not clear."""
+    """Decoded spans of each text; memory is one block of windows, PLACES_AT_ONCE places that are not clear and a run of such.
+
+    Runs are decoded step by step, all at once: the runs of many blocks take as many steps as their longest one.
+    """
     out: list[list[Span]] = [[] for _ in texts]
     sizes = np.array([len(t) for t in texts], np.int64)
     windows = -(-sizes // STRIDE)
     owner = np.repeat(np.arange(len(texts)), windows)
     at = (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)) * STRIDE
     open_text, classes = -1, np.empty(0, np.uint8)
+    waiting, held = [], 0  # scores, texts and places of what is not clear, and the lengths of its runs
+
+    def read() -> None:
+        nonlocal held
+        if not waiting:
+            return
+        scores, whose, here, lengths = (np.concatenate(parts) for parts in zip(*waiting))
+        waiting.clear()
+        held = 0
+
+        def fits(kind: str, b: int, e: int) -> bool:
+            return possible(kind, texts[whose[b]][here[b] : here[b] + e - b])
+
+        for kind, b, e, sure in _decoded(reader, scores, np.cumsum(lengths) - lengths, lengths, fits):
+            if sure >= min_confidence:
+                out[whose[b]].append((kind, int(here[b]), int(here[b]) + e - b))
+
     carried, tail = np.empty((0, LABELS), np.float32), np.zeros((OVERLAP, LABELS, 1), np.float32)
     for block in range(0, len(owner), WINDOWS_AT_ONCE):
         whose, begin = owner[block : block + WINDOWS_AT_ONCE], at[block : block + WINDOWS_AT_ONCE]
@@ -555,14 +582,11 @@ def model_spans(reader: Reader, texts: list[str], min_confidence: float) -> list
             continue
         rows = np.maximum(places - c, 0) // STRIDE
         here = begin[rows] + places - c - rows * STRIDE  # the places in their texts
-
-        def fits(kind: str, b: int, e: int) -> bool:
-            return possible(kind, texts[whose[rows[b]]][here[b] : here[b] + e - b])
-
-        lengths = ends - starts
-        for kind, b, e, sure in _decoded(reader, scores, np.cumsum(lengths) - lengths, lengths, fits):
-            if sure >= min_confidence:
-                out[whose[rows[b]]].append((kind, int(here[b]), int(here[b]) + e - b))
+        waiting.append((scores, whose[rows], here, ends - starts))
+        held += len(here)
+        if held >= PLACES_AT_ONCE:
+            read()
+    read()
     return out
 
 

@@ -382,6 +382,18 @@ def test_whole_texts_are_decoded_as_one_chain(tagger, monkeypatch):
         assert pii_tagger.model_spans(reader, texts, 0.8) == wanted
 
 
+def test_runs_of_many_blocks_are_decoded_together(tagger, monkeypatch):
+    reader, unseen, _ = tagger
+    texts = [pii_tagger.altered(t, pii_tagger.base_spans(t), 7)[0] for t in unseen[:20]]
+    wanted = pii_tagger.model_spans(reader, texts, 0.8)
+    calls, decoded = [], pii_tagger._decoded
+    monkeypatch.setattr(pii_tagger, "WINDOWS_AT_ONCE", 2)
+    monkeypatch.setattr(pii_tagger, "_decoded", lambda reader, scores, *rest: calls.append(len(scores)) or decoded(reader, scores, *rest))
+    assert pii_tagger.model_spans(reader, texts, 0.8) == wanted and len(calls) == 1
+    monkeypatch.setattr(pii_tagger, "PLACES_AT_ONCE", 100)
+    assert pii_tagger.model_spans(reader, texts, 0.8) == wanted and len(calls) > 2
+
+
 def test_lean_emissions_are_those_of_the_model():
     rng = np.random.default_rng(6)
     h, w, n = pii_tagger.HIDDEN, pii_tagger.WIDTH, pii_tagger.LABELS
