@@ -46,17 +46,19 @@ def commit_log(spark: SparkSession, path: str) -> Log:
     return Log(spark, f"{path}/commits", schemas.LANDING_COMMITS, ["owner", "batch"])
 
 
-def stage_batch(landing: DataFrame, path: str) -> str:
+def stage_batch(landing: DataFrame, path: str, gather: bool = True) -> str:
     """Write rows and their file list under a new attempt, seen by nobody yet; returns its name.
 
     A source or day holding most of the rows is split over several files, small ones are
-    put together. A NULL in a column that must be set fails the write. The file list is
-    made from the narrow columns of what was written.
+    put together. Without ``gather`` each task writes its own rows, so no record is moved: for
+    rows of one source and day. A NULL in a column that must be set fails the write. The file
+    list is made from the narrow columns of what was written.
     """
     spark, attempt = landing.sparkSession, uuid.uuid4().hex
     named = landing.select(*[_required(f) for f in schemas.LANDING if f.name != "attempt"])
     target = f"{path}/rows/attempt={attempt}"
-    named.hint("rebalance", "source", "ingest_date").write.partitionBy("source", "ingest_date").parquet(target)
+    named = named.hint("rebalance", "source", "ingest_date") if gather else named
+    named.write.partitionBy("source", "ingest_date").parquet(target)
     rows = spark.read.schema(T.StructType([f for f in schemas.LANDING if f.name != "attempt"])).parquet(target)
     per_file(rows).write.parquet(f"{path}/files/attempt={attempt}")
     return attempt
@@ -78,9 +80,9 @@ def commit_batch(spark: SparkSession, path: str, attempt: str, batch: str, owner
     return {r.source: r.rows for r in found}
 
 
-def write_batch(landing: DataFrame, path: str, batch: str, owner: str | None = None) -> dict[str, int]:
+def write_batch(landing: DataFrame, path: str, batch: str, owner: str | None = None, gather: bool = True) -> dict[str, int]:
     """Add rows under the name of their write; the same owner and name again replace them."""
-    return commit_batch(landing.sparkSession, path, stage_batch(landing, path), batch, owner)
+    return commit_batch(landing.sparkSession, path, stage_batch(landing, path, gather), batch, owner)
 
 
 def _required(field: T.StructField) -> Column:

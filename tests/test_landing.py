@@ -147,6 +147,18 @@ def test_streamed_landing_is_exactly_once(spark, scratch):
     assert landing.read_landing(spark, f"{scratch}/landing").first().source == "s"
 
 
+def test_rows_of_one_source_are_not_moved_when_they_land(spark, scratch, monkeypatch):
+    moved, stage = [], landing.stage_batch
+    monkeypatch.setattr(landing, "stage_batch", lambda rows, path, gather=True: moved.append(gather) or stage(rows, path, gather))
+    for run, sources in enumerate((["s"], ["s", "t"])):
+        for source in sources:
+            write_lines(spark, f"{scratch}/raw/{source}/2024/03/05", f'{{"id":{run}}}', '{"id":7}')
+        land_new_files(spark, f"{scratch}/raw", f"{scratch}/landing", f"{scratch}/cp", f"l{run}", AT)
+    assert moved == [False, True]
+    rows = landing.read_landing(spark, f"{scratch}/landing")
+    assert sorted(tuple(r) for r in rows.groupBy("load_id", "source").count().collect()) == [("l0", "s", 2), ("l1", "s", 2), ("l1", "t", 2)]
+
+
 def test_streams_and_bulk_files_share_a_landing_table(spark, scratch):
     for name in ("a", "b"):
         write_lines(spark, f"{scratch}/{name}/raw/s/2024/03/05", '{"id":1}')
