@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.common import at_most_partitions
+from recordmill.llm.common import at_most_partitions, files_for
 from recordmill.session import cut_lineage
 
 MAX_ROUNDS = 60
@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     rows = stars.count()
     if not rows:
         return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    parts = at_most_partitions(edges.sparkSession, rows, EDGES_A_TASK)
+    parts, files = at_most_partitions(edges.sparkSession, rows, EDGES_A_TASK), files_for(rows, EDGES_A_TASK)
 
     def dealt(line: DataFrame) -> DataFrame:
         """One exchange in few partitions for few edges; many are left to partial sums and skew joins."""
@@ -39,11 +39,11 @@ def components(edges: DataFrame) -> DataFrame:
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(smallest, "u")
         moved = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = cut_lineage(dealt(moved.unionByName(smallest.select("u", F.col("m").alias("v")))).distinct())
+        stars = cut_lineage(dealt(moved.unionByName(smallest.select("u", F.col("m").alias("v")))).distinct(), files)
         told = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if told == seen:
             break
         seen = told
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()).coalesce(files)

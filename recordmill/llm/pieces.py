@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from recordmill.llm.common import map_batches, short_batches
+from recordmill.llm.common import kept, map_batches, short_batches
 
 MARKER = "▁"
 UNKNOWN_COST = 10.0
@@ -216,7 +216,7 @@ class Codec:
 WORDS = re.compile(f"{MARKER}+[^{MARKER}]*")
 
 
-@lru_cache(2)
+@kept(2)
 def _codec(model: Model) -> Codec:
     return Codec(model)
 

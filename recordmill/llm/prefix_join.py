@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.common import at_most_partitions, map_batches, short_batches
+from recordmill.llm.common import at_most_partitions, files_for, map_batches, short_batches
 from recordmill.llm.components import components
 from recordmill.session import cut_lineage
 
@@ -58,6 +58,7 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 PARITIES = ["p0", "p1", "p2", "p3"]  # of 64 classes each
+ROWS_A_FILE = 50_000  # of a step
 TEXTS_A_TASK = 64  # at least, when there are fewer than this times the partitions
 
 SIGNATURE_SCHEMA = "doc_id long, n int, digest binary, prefix_digest binary, prefix binary, " + ", ".join(f"{p} long" for p in PARITIES)
@@ -251,10 +252,10 @@ def _packed(texts: DataFrame) -> DataFrame:
     return map_batches(texts, pack, "tile long, a long, text binary")
 
 
-def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int, files: int | None = None) -> DataFrame:
     """The (a, b) of (tile, a, b) whose whole texts, the rows (doc_id, text) say, are similar enough.
 
-    A text goes once to each tile that has a pair of it, not once to each pair.
+    A text goes once to each tile that has a pair of it, not once to each pair. ``files`` are those of a step of the pairs.
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +281,8 @@ def verify(tiled: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
             if linked:
                 yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*linked)], ["a", "b"])
 
-    tiled = cut_lineage(tiled)
-    seats = cut_lineage(tiled.select("tile", F.col("a").alias("node")).union(tiled.select("tile", "b")).distinct())
+    tiled = cut_lineage(tiled, files)
+    seats = cut_lineage(tiled.select("tile", F.col("a").alias("node")).union(tiled.select("tile", "b")).distinct(), files)
     taken = seats.count()
     few = taken <= BROADCAST_IDS
     # only the texts of this round's pairs are moved
@@ -352,16 +353,17 @@ def _distinct_pairs(met: DataFrame, tried: DataFrame, a: Column, b: Column) -> D
 def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of all nodes with a link."""
     tried = inner
-    links = cut_lineage(verify(_hub_tiles(inner), texts, size, percent).unionByName(given))
+    links = cut_lineage(verify(_hub_tiles(inner), texts, size, percent, files_for(inner.count(), ROWS_A_FILE)).unionByName(given))
     labels = cut_lineage(components(links))
     # members of one group that do not link with its first are compared by their postings; theirs are all the same
     rows = postings.count()
+    files = files_for(rows, ROWS_A_FILE)
     for turn in range(HUB_ROUNDS + 1):
         placed = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        placed = cut_lineage(placed)
+        placed = cut_lineage(placed, files)
         sizes = placed.groupBy("token", "component").agg(F.count("*").alias("k"))
         lists = sizes.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"), F.count("*").alias("parts"))
-        open_lists = cut_lineage(lists.where("parts > 1").select("token", ((F.col("k") * F.col("k") - F.col("same")) / 2).cast("long").alias("left")))
+        open_lists = cut_lineage(lists.where("parts > 1").select("token", ((F.col("k") * F.col("k") - F.col("same")) / 2).cast("long").alias("left")), files)
         left, longest = open_lists.agg(F.coalesce(F.sum("left"), F.lit(0)), F.max("left")).first()
         if not left:
             break
@@ -370,7 +372,7 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
         if turn > 1 and (left <= OPEN_PAIRS * rows and longest <= OPEN_IN_LIST or turn >= LOOKED_AT):
             y = placed.alias("y")
             met = x.join(y, F.expr("x.token = y.token AND x.node < y.node AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
-            pairs = cut_lineage(_distinct_pairs(met, tried, F.least("x.node", "y.node"), F.greatest("x.node", "y.node")))
+            pairs = cut_lineage(_distinct_pairs(met, tried, F.least("x.node", "y.node"), F.greatest("x.node", "y.node")), files)
             last = turn == HUB_ROUNDS or pairs.count() <= 2 * rows
         if not last:
             # one hub of each list first, then several
@@ -378,8 +380,8 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
             hubs = x.groupBy("token", seat.alias("seat")).agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place", "component", *PARITIES)).alias("hub"))
             hubs = hubs.select("token", *(f"hub.{c}" for c in ("node", "n", "place", "component", *PARITIES))).alias("y")
             met = x.join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
-            pairs = cut_lineage(_distinct_pairs(met, tried, F.col("y.node"), F.col("x.node")))
-        found = verify(_tiles(pairs) if last else _hub_tiles(pairs), texts, size, percent)
+            pairs = cut_lineage(_distinct_pairs(met, tried, F.col("y.node"), F.col("x.node")), files)
+        found = verify(_tiles(pairs) if last else _hub_tiles(pairs), texts, size, percent, files_for(pairs.count(), ROWS_A_FILE))
         tried = tried.unionByName(pairs)
         stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = cut_lineage(components(found.unionByName(stars)))

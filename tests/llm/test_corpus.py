@@ -3,11 +3,13 @@
 import bisect
 import collections
 import hashlib
+import pathlib
 import random
 import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from recordmill.llm import impact_search, language_crf, licenses, lm_scoring, pieces, pii_tagger, prefix_join, templates, tokenizer_fst, warc
+from recordmill import session
+from recordmill.llm import common, impact_search, language_crf, licenses, lm_scoring, pieces, pii_tagger, prefix_join, spelling_variants, templates, tokenizer_fst, warc
 from recordmill.llm.components import components
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -498,6 +501,42 @@ def test_components_of_a_long_path(spark):
     assert got == {(i, 0) for i in range(101)} | {(200, 200), (300, 200)}
 
 
+def test_workers_drop_what_another_operator_kept(spark):
+    docs = spark.range(0, 64, 1, 16).selectExpr("id AS doc_id", "concat('some words ', id) AS text")
+    assert pieces.encode(docs, PIECES).where("size(pieces) > 0").count() == 64
+
+    def held(batches):
+        from recordmill.llm import pieces as here
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([here._codec.cache_info().currsize])], ["n"])
+
+    told = common.map_batches(spark.range(0, 64, 1, 16), held, "n long")
+    assert told.groupBy().max("n").first()[0] == 0
+
+
+def _part_files(path):
+    return len(list(pathlib.Path(path.removeprefix("file:")).glob("part-*")))
+
+
+def test_steps_of_few_rows_are_few_files(spark):
+    """A file is three processes on a local disk, so a step of a hundred rows must not be one a partition."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for run, most in (
+            (lambda: components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long").coalesce(1)), 1),
+            (lambda: spelling_variants.neighbours(spark.createDataFrame([(f"abc{a}{b}de", 3) for a in "fghijk" for b in "lmnopq"], "word string, n long").coalesce(1)), 1),
+        ):
+            first = len(session._scratch)
+            assert run().count()
+            assert max(_part_files(p) for p in session._scratch[first:]) <= most
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_templates_see_other_values_and_leave_the_rest(spark, none):
     item = "A train leaves Paris heading for Rome at 60 km per hour and after 3 hours it has used 40 kg of coal while Rome waits."
     other = "intro words. A train leaves Berlin heading for Oslo at 75 km per hour and after 5 hours it has used 90 kg of coal while Oslo waits. the end"
