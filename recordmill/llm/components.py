@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     rows = stars.count()
     if not rows:
         return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    parts, files = at_most_partitions(edges.sparkSession, rows, EDGES_A_TASK), files_for(rows, EDGES_A_TASK)
+    parts, files = at_most_partitions(edges.sparkSession, rows, EDGES_A_TASK), files_for(rows)
 
     def dealt(line: DataFrame) -> DataFrame:
         """One exchange in few partitions for few edges; many are left to partial sums and skew joins."""
@@ -46,4 +46,4 @@ def components(edges: DataFrame) -> DataFrame:
         seen = told
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()).coalesce(files)
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -58,7 +58,6 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 PARITIES = ["p0", "p1", "p2", "p3"]  # of 64 classes each
-ROWS_A_FILE = 50_000  # of a step
 TEXTS_A_TASK = 64  # at least, when there are fewer than this times the partitions
 
 SIGNATURE_SCHEMA = "doc_id long, n int, digest binary, prefix_digest binary, prefix binary, " + ", ".join(f"{p} long" for p in PARITIES)
@@ -353,11 +352,11 @@ def _distinct_pairs(met: DataFrame, tried: DataFrame, a: Column, b: Column) -> D
 def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of all nodes with a link."""
     tried = inner
-    links = cut_lineage(verify(_hub_tiles(inner), texts, size, percent, files_for(inner.count(), ROWS_A_FILE)).unionByName(given))
+    links = cut_lineage(verify(_hub_tiles(inner), texts, size, percent, files_for(inner.count())).unionByName(given))
     labels = cut_lineage(components(links))
     # members of one group that do not link with its first are compared by their postings; theirs are all the same
     rows = postings.count()
-    files = files_for(rows, ROWS_A_FILE)
+    files = files_for(rows)
     for turn in range(HUB_ROUNDS + 1):
         placed = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         placed = cut_lineage(placed, files)
@@ -381,7 +380,7 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
             hubs = hubs.select("token", *(f"hub.{c}" for c in ("node", "n", "place", "component", *PARITIES))).alias("y")
             met = x.join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
             pairs = cut_lineage(_distinct_pairs(met, tried, F.col("y.node"), F.col("x.node")), files)
-        found = verify(_tiles(pairs) if last else _hub_tiles(pairs), texts, size, percent, files_for(pairs.count(), ROWS_A_FILE))
+        found = verify(_tiles(pairs) if last else _hub_tiles(pairs), texts, size, percent, files_for(pairs.count()))
         tried = tried.unionByName(pairs)
         stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = cut_lineage(components(found.unionByName(stars)))

@@ -43,7 +43,6 @@ FRONT, BACK = 0, 1
 PRIME, MASK = 0x100000001B3, (1 << 64) - 1
 SEEDS = (0xCBF29CE484222325, 0x9AE16A3B2F90404F)
 ROWS_AT_ONCE = 8_192
-WORDS_A_FILE, STATES_A_FILE = 10_000, 100_000  # of a step
 NEXT_BIT = "CASE WHEN next = 0 THEN 0 ELSE 1 + next % 63 END"  # 0: a word ends here
 
 
@@ -162,17 +161,16 @@ def _first_edits(paths: DataFrame, edges: DataFrame) -> DataFrame:
 
 def neighbours(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): every ordered pair of (word, n) rows whose words differ by one letter."""
-    files = files_for(words.count(), WORDS_A_FILE)
-    paths = cut_lineage(trie_paths(words), files)
-    edges = cut_lineage(edge_table(paths), files)
-    frontier = cut_lineage(_first_edits(paths, edges), files)
+    paths = cut_lineage(trie_paths(words), files_for(2 * words.count()))
+    edges = cut_lineage(edge_table(paths))
+    frontier = cut_lineage(_first_edits(paths, edges))
     states = frontier.count()
     ended = []
     while True:
         ended.append(frontier.where("rest = ''").select("word", "n", "side", "node"))
         going = frontier.where("rest <> ''").withColumn("first", F.substring("rest", 1, 1))
         met = going.join(edges, ["node", "first"]).where(F.startswith("rest", "label"))
-        frontier = cut_lineage(_hopeful(met.select("word", "n", "side", _tail("rest", F.length("label") + 1).alias("rest"), F.col("child").alias("node"), "follow", "sizes")), files_for(states, STATES_A_FILE))
+        frontier = cut_lineage(_hopeful(met.select("word", "n", "side", _tail("rest", F.length("label") + 1).alias("rest"), F.col("child").alias("node"), "follow", "sizes")), files_for(states))
         states = frontier.count()  # a state meets one edge at most, so they never become more
         if not states:
             break
@@ -190,7 +188,7 @@ def neighbours(words: DataFrame) -> DataFrame:
 def _roots(forms: DataFrame) -> DataFrame:
     """(word, root) of (word, form) rows whose chains end; links double in length each round."""
     links = cut_lineage(forms.select("word", F.col("form").alias("root")))
-    files = files_for(links.count(), WORDS_A_FILE)
+    files = files_for(links.count())
     while True:
         onward = links.select(F.col("word").alias("at"), F.col("root").alias("next"))
         jumped = links.join(onward, links["root"] == onward["at"], "left")
@@ -214,7 +212,7 @@ def variants(words: DataFrame) -> DataFrame:
     whole = words.join(told, "word", "left").select(
         "word", F.when(strong, F.col("best.near")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(strong, form_n).alias("form_n")
     )
-    whole = cut_lineage(whole, files_for(words.count(), WORDS_A_FILE))
+    whole = cut_lineage(whole, files_for(words.count()))
     roots = _roots(whole.where("form IS NOT NULL").select("word", "form"))
     return whole.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
