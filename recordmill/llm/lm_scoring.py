@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.common import short_batches
+from recordmill.llm.common import map_batches, short_batches
 from recordmill.session import cut_lineage
 
 EDGE = 0x110000  # no character's code
@@ -37,6 +37,11 @@ HELD = 1 << 20  # trigrams a task counts before it hands them on
 SIDES = ("target", "background")
 
 
+def _step(rows: DataFrame) -> DataFrame:
+    """A step of a table of counts, as many files as cores: it has a row a trigram at most, far fewer than the corpus, whatever the partitions."""
+    return cut_lineage(rows, rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _codes(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -91,7 +96,7 @@ def trigram_counts(flagged: DataFrame) -> DataFrame:
         if held:
             yield told(*_added(cells, counts))
 
-    counted = flagged.mapInArrow(count, "cell long, target long, background long")
+    counted = map_batches(flagged, count, "cell long, target long, background long")
     return counted.groupBy("cell").agg(*(F.sum(side).alias(side) for side in SIDES))
 
 
@@ -102,8 +107,8 @@ def trigram_losses(counted: DataFrame) -> DataFrame:
     sums = [F.sum(s).alias(s) for s in SIDES]
     after = lambda rows, key: rows.groupBy(key).agg(*(x for s in SIDES for x in (F.sum(s).alias(f"{key}_{s}"), F.count_if(F.col(s) > 0).alias(f"{key}_{s}_kinds"))))
     ends = tri.groupBy("end").agg(*sums).select("end", F.expr(f"end >> {BITS}").alias("before"), F.expr(f"end & {mask}").alias("last"), *SIDES)
-    ends = cut_lineage(ends)
-    singles = cut_lineage(ends.groupBy("last").agg(*sums))
+    ends = _step(ends)
+    singles = _step(ends.groupBy("last").agg(*sums))
     whole = singles.agg(F.count("*").alias("size"), *(x for s in SIDES for x in (F.sum(s).alias(s), F.count_if(F.col(s) > 0).alias(f"{s}_kinds")))).first()
     # the lighter side is scaled as a whole, so that both have the target's mass
     scale = {"target": 1.0, "background": whole["target"] / whole["background"] if whole["target"] and whole["background"] else 1.0}
@@ -147,7 +152,7 @@ def score(documents: DataFrame, target_ids: DataFrame, hot: int = HOT, doc_id: s
     marked = target_ids.toDF("target_id").where("target_id IS NOT NULL").distinct()
     # labels grow with the corpus: a merge join whatever their size, so that the plan is one at every scale
     flagged = rows.join(marked.hint("merge"), F.col("doc_id") == F.col("target_id"), "left").select("text", F.col("target_id").isNotNull().alias("in_target"))
-    lost = cut_lineage(trigram_losses(cut_lineage(trigram_counts(flagged))))
+    lost = _step(trigram_losses(_step(trigram_counts(flagged))))
     all_hot = lost.count() <= hot
     first = (lost if all_hot else lost.orderBy(F.desc("times"), "cell").limit(hot)).drop("times").toPandas().sort_values("cell")
     table = spark.sparkContext.broadcast((first["cell"].to_numpy(np.int64), np.stack([first[s].to_numpy(float) for s in SIDES])))
@@ -175,7 +180,7 @@ def score(documents: DataFrame, target_ids: DataFrame, hot: int = HOT, doc_id: s
             lists = (pa.array(x, pa.list_(pa.int64())) for x in (rare, times))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens), pa.array(sums[0]), pa.array(sums[1]), *lists], ["doc_id", "n_tokens", *SIDES, "rare", "times"])
 
-    told = rows.mapInArrow(run, "doc_id long, n_tokens long, target double, background double, rare array<long>, times array<long>")
+    told = map_batches(rows, run, "doc_id long, n_tokens long, target double, background double, rare array<long>, times array<long>")
     if not all_hot:
         told = cut_lineage(told.withColumn("row", F.monotonically_increasing_id()))
         pairs = told.where("rare IS NOT NULL").select("row", F.explode(F.arrays_zip("rare", "times")).alias("p")).select("row", F.col("p.rare").alias("cell"), F.col("p.times").alias("n"))

@@ -532,6 +532,11 @@ def test_steps_of_few_rows_are_few_files(spark):
             assert run().count()
             rounds = session._scratch[first + own :]
             assert rounds and max(_part_files(p) for p in rounds) == 1
+        texts = spark.createDataFrame([(i, "".join(random.Random(i).choices("abcdefgh", k=80))) for i in range(60)], "doc_id long, text string")
+        first = len(session._scratch)
+        assert lm_scoring.score(texts, texts.select("doc_id").where("doc_id % 2 = 0")).count() == 60
+        cores = spark.sparkContext.defaultParallelism
+        assert cores < 40 and max(_part_files(p) for p in session._scratch[first:]) <= cores
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
