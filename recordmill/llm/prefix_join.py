@@ -13,10 +13,12 @@ All pairs of a group of near copies are never made: first, and as long as the pa
 different components are more than twice the postings, every posting list only compares its
 members with a few hubs, and what links falls into one component, whose inner pairs need no
 further look. When few are left, all of them are verified, so that no link between
-components is lost.
+components is lost. A list is put aside once it lies in one component or every two of its
+members have been compared, so later rounds move the long lists only.
 
 Besides size and place, pairs are held to a parity bound: each set has the parities of its
-hashes in 256 classes, and two sets differ in at least as many shingles as classes.
+hashes in 256 classes, and two sets differ in at least as many shingles as classes. Before
+texts are moved the same bound is held to sketches, which have a class for each shingle at least.
 
 Nulls, ties, repeats: words are cut at white space after A-Z became lower case; a text with
 fewer words than a shingle is one shingle, one without words is empty and links with
@@ -34,7 +36,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordmill.llm.common import at_most_partitions, files_for, map_batches, short_batches
@@ -60,7 +62,7 @@ INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 PARITIES = ["p0", "p1", "p2", "p3"]  # of 64 classes each
 TEXTS_A_TASK = 64  # at least, when there are fewer than this times the partitions
 
-SIGNATURE_SCHEMA = "doc_id long, n int, digest binary, prefix_digest binary, prefix binary, " + ", ".join(f"{p} long" for p in PARITIES)
+SIGNATURE_SCHEMA = "doc_id long, n int, digest binary, prefix_digest binary, prefix binary, " + ", ".join(f"{p} long" for p in PARITIES) + ", sketch binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -173,13 +175,13 @@ def classes(frequencies: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, class_table: bytes, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, prefix_digest, prefix, parities): the set's size and digest, its prefix in the common order, and its parities."""
+    """(doc_id, n, digest, prefix_digest, prefix, parities, sketch): the set's size and digest, its prefix in the common order, its parities and its sketch."""
     shared = rows.sparkSession.sparkContext.broadcast(class_table)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            n, digests, heads, prefixes, parities = [], [], [], [], []
+            n, digests, heads, prefixes, parities, sketches = [], [], [], [], [], []
             for held in shingle_sets(batch.column(1).to_pylist(), size):
                 kept = len(held) - (percent * len(held) + 99) // 100 + 1 if len(held) else 0
                 first = held[np.argsort(order[_buckets(held)], kind="stable")[:kept]]  # by class, then by hash
@@ -188,17 +190,36 @@ def signatures(rows: DataFrame, class_table: bytes, size: int, percent: int) ->
                 prefixes.append(first.astype(">u8").tobytes())
                 heads.append(hashlib.blake2b(prefixes[-1], digest_size=16).digest())
                 parities.append(_parities(held))
+                sketches.append(_sketch(held))
             told = [pa.array(n, pa.int32()), *(pa.array(x, pa.binary()) for x in (digests, heads, prefixes))]
             told += [pa.array(p) for p in np.array(parities, np.int64).reshape(-1, len(PARITIES)).T]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *told], ["doc_id", "n", "digest", "prefix_digest", "prefix", *PARITIES])
+            told.append(pa.array(sketches, pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *told], ["doc_id", "n", "digest", "prefix_digest", "prefix", *PARITIES, "sketch"])
 
     return map_batches(rows.select("doc_id", "text"), sign, SIGNATURE_SCHEMA)
 
 
+def _odd(held: np.ndarray, many: int) -> np.ndarray:
+    """The parity of the hashes in each of ``many`` classes, a power of two, as packed bits."""
+    return np.packbits((np.bincount((held & np.uint64(many - 1)).astype(np.int64), minlength=many) & 1).astype(np.uint8))
+
+
 def _parities(held: np.ndarray) -> np.ndarray:
     """The parity of the hashes in each of 256 classes, as four 64-bit numbers."""
-    odd = np.bincount((held & np.uint64(64 * len(PARITIES) - 1)).astype(np.int64), minlength=64 * len(PARITIES)) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return _odd(held, 64 * len(PARITIES)).view(np.int64)
+
+
+def _sketch(held: np.ndarray) -> bytes:
+    """Parities in at least as many classes as there are hashes, so that they tell large sets apart too."""
+    return _odd(held, max(64, 1 << (len(held) - 1).bit_length() if len(held) else 0)).tobytes()
+
+
+def _unlike(one: bytes, two: bytes) -> int:
+    """In how many classes of the smaller sketch the parities differ: never more than the sets differ in."""
+    x, y = (np.frombuffer(b, np.uint64) for b in sorted((one, two), key=len))
+    while len(y) > len(x):  # a class is the sum of two of twice as many
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _postings(groups: DataFrame) -> DataFrame:
@@ -298,13 +319,29 @@ def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return shared > 0 and 100 * shared >= percent * (len(one) + len(two) - shared)
 
 
-def _large_enough(one: str, two: str, percent: int) -> str:
+def _large_enough(one: str, two: str, percent: int, parities: list[str] = PARITIES) -> str:
     """The size, position and parity bounds of two postings of one shingle, as a condition."""
-    unlike = " + ".join(f"bit_count({one}.{p} ^ {two}.{p})" for p in PARITIES)
+    unlike = " + ".join(["0", *(f"bit_count({one}.{p} ^ {two}.{p})" for p in parities)])
     most = f"least({one}.n - {one}.place, {two}.n - {two}.place)"
     return f"(100 + {percent}) * {most} >= {percent} * ({one}.n + {two}.n) AND 100 * least({one}.n, {two}.n) >= {percent} * greatest({one}.n, {two}.n) AND (100 + {percent}) * ({unlike}) <= (100 - {percent}) * ({one}.n + {two}.n)"
 
 
+def _may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` that their sketches, the rows (node, n, sketch), do not rule out; an id's rows all count."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, sizes, two_sizes, one, two = (batch.column(i).to_pylist() for i in range(6))
+            near = [(100 + percent) * _unlike(x, y) <= (100 - percent) * (n + m) for x, y, n, m in zip(one, two, sizes, two_sizes)]
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, ok in zip(side, near) if ok], pa.int64()) for side in (a, b)], ["a", "b"])
+
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    few = 2 * pairs.count() <= BROADCAST_IDS
+    held = sketches.join(F.broadcast(ends) if few else ends, "node", "left_semi")
+    both = pairs.join(held.toDF("a", "n_a", "sketch_a"), "a").join(held.toDF("b", "n_b", "sketch_b"), "b")
+    return map_batches(both.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b"), check, "a long, b long").distinct()
+
+
 def join_components(documents: DataFrame, size: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): the smallest id reachable by links of at least ``percent`` similarity."""
     spark = documents.sparkSession
@@ -312,24 +349,25 @@ def join_components(documents: DataFrame, size: int = 4, percent: int = 85, doc_
     rows = documents.selectExpr(f"CAST(`{doc_id}` AS bigint) AS doc_id", f"`{text}` AS text")
     order = classes(bucket_frequencies(rows, size)).tobytes()
     signed = cut_lineage(signatures(rows, order, size, percent))
-    linkable = signed.drop("prefix").where("n > 0 AND doc_id IS NOT NULL")
+    linkable = signed.drop("prefix", "sketch").where("n > 0 AND doc_id IS NOT NULL")
     nodes = cut_lineage(linkable.groupBy("digest", "n", "prefix_digest").agg(F.min("doc_id").alias("node"), *(F.min(p).alias(p) for p in PARITIES)))
     grouped = cut_lineage(nodes.groupBy("n", "prefix_digest").agg(F.min("node").alias("grp"), F.count("*").alias("members")))
-    members = nodes.join(grouped.where("members > 1"), ["n", "prefix_digest"]).select("node", "grp")
+    members = cut_lineage(nodes.join(grouped.where("members > 1"), ["n", "prefix_digest"]).select("node", "grp"))
+    several = F.broadcast(members) if members.count() <= BROADCAST_IDS else members
     few = grouped.count() <= BROADCAST_IDS
     named = grouped.toDF("group_n", "group_digest", "grp", "members")
     named = F.broadcast(named) if few else named
     # the prefixes stay where they are unless there are very many groups
     same = (F.col("doc_id") == F.col("grp")) & (F.col("n") == F.col("group_n")) & (F.col("prefix_digest") == F.col("group_digest"))
     postings = _postings(signed.join(named, same))
-    shared = postings.groupBy("token").agg(F.sum(F.expr("1 + (told & 1)")).alias("nodes")).where("nodes > 1").select("token")
-    postings = cut_lineage(postings.join(shared, "token", "left_semi"))
-    inner = cut_lineage(members.where("node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b")))
+    # one exchange by token: a posting is kept if its list has another, or if its group has members
+    postings = postings.withColumn("nodes", F.sum(F.expr("1 + (told & 1)")).over(Window.partitionBy("token"))).where("nodes > 1")
+    inner = members.where("node <> grp").select(F.col("grp").alias("a"), F.col("node").alias("b"))
     # whatever can still link: members of the postings kept, and members of one group
     unpacked = postings.selectExpr("token", "grp", "CAST(told >> 32 AS int) AS n", "CAST((told & 4294967295) >> 1 AS int) AS place")
-    expanded = unpacked.join(members, "grp", "left").select("token", "place", "n", F.coalesce("node", "grp").alias("node"))
-    expanded = cut_lineage(expanded.join(nodes.select("node", *PARITIES), "node"))
-    labels = _resolve(expanded, inner, rows, _repeated_ids(linkable, nodes), size, percent)
+    expanded = cut_lineage(unpacked.join(several, "grp", "left").select("token", "place", "n", F.coalesce("node", "grp").alias("node")))
+    sketches = signed.where("n > 0").select(F.col("doc_id").alias("node"), "n", "sketch")
+    labels = _resolve(expanded, inner, rows, _repeated_ids(linkable, nodes), nodes.select("node", *PARITIES), sketches, size, percent)
     placed = signed.join(nodes.select("digest", "node"), "digest", "left")
     placed = placed.join(labels, "node", "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "node"))
@@ -349,7 +387,26 @@ def _distinct_pairs(met: DataFrame, tried: DataFrame, a: Column, b: Column) -> D
     return pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti")
 
 
-def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: DataFrame, size: int, percent: int) -> DataFrame:
+def _open_lists(postings: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """The postings of lists with several components, in one exchange.
+
+    Each has its component and seat, the pairs of its list that are still apart (``left``), how many postings the list
+    has (``k``), how many of them are the hub of no seat (``unmet``), and the hub of its seat.
+    """
+    seat = F.pmod(F.xxhash64("node", F.lit(-1 - turn)), F.lit(MOST_HUBS if turn else 1)).cast("int")
+    placed = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")).withColumn("seat", seat)
+    whole, part = Window.partitionBy("token"), Window.partitionBy("token", "component")
+    told = placed.repartition("token").withColumn("alike", F.count("*").over(part))
+    told = told.withColumns({"k": F.count("*").over(whole), "alike": F.sum("alike").over(whole), "seats": F.expr("bit_or(shiftleft(1L, seat)) OVER (PARTITION BY token)")})
+    told = told.withColumns({"left": F.expr("(k * k - alike) div 2"), "unmet": F.expr("k - bit_count(seats)")}).where("left > 0").drop("alike", "seats")
+    if turn:
+        return told
+    # one seat: the hub of the list is the hub of each of its postings
+    first = F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place", "component")).over(whole)
+    return told.withColumn("hub", first).withColumn("hub", F.struct(*(F.col(f"hub.{c}").alias(c) for c in ("node", "n", "place", "component"))))
+
+
+def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: DataFrame, parities: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
     """(node, component) of all nodes with a link."""
     tried = inner
     links = cut_lineage(verify(_hub_tiles(inner), texts, size, percent, files_for(inner.count())).unionByName(given))
@@ -358,32 +415,32 @@ def _resolve(postings: DataFrame, inner: DataFrame, texts: DataFrame, given: Dat
     rows = postings.count()
     files = files_for(rows)
     for turn in range(HUB_ROUNDS + 1):
-        placed = postings.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        placed = cut_lineage(placed, files)
-        sizes = placed.groupBy("token", "component").agg(F.count("*").alias("k"))
-        lists = sizes.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("same"), F.count("*").alias("parts"))
-        open_lists = cut_lineage(lists.where("parts > 1").select("token", ((F.col("k") * F.col("k") - F.col("same")) / 2).cast("long").alias("left")), files)
-        left, longest = open_lists.agg(F.coalesce(F.sum("left"), F.lit(0)), F.max("left")).first()
+        x = cut_lineage(_open_lists(postings, labels, turn), files)
+        left, longest = x.agg(F.coalesce(F.sum(F.col("left") / F.col("k")), F.lit(0)), F.max("left")).first()
         if not left:
             break
-        x = placed.join(open_lists.select("token"), "token", "left_semi").alias("x")
         pairs, last = None, False
         if turn > 1 and (left <= OPEN_PAIRS * rows and longest <= OPEN_IN_LIST or turn >= LOOKED_AT):
-            y = placed.alias("y")
-            met = x.join(y, F.expr("x.token = y.token AND x.node < y.node AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
+            met = x.alias("x").join(x.alias("y"), F.expr("x.token = y.token AND x.node < y.node AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
             pairs = cut_lineage(_distinct_pairs(met, tried, F.least("x.node", "y.node"), F.greatest("x.node", "y.node")), files)
             last = turn == HUB_ROUNDS or pairs.count() <= 2 * rows
         if not last:
-            # one hub of each list first, then several
-            seat = F.pmod(F.xxhash64("node", F.lit(-1 - turn)), F.lit(MOST_HUBS if turn else 1))
-            hubs = x.groupBy("token", seat.alias("seat")).agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place", "component", *PARITIES)).alias("hub"))
-            hubs = hubs.select("token", *(f"hub.{c}" for c in ("node", "n", "place", "component", *PARITIES))).alias("y")
-            met = x.join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
+            # one hub of each list first, by size and place alone, then several
+            if not turn:
+                met = x.selectExpr("struct(node, n, place, component) AS x", "hub AS y").where("x.component <> y.component AND " + _large_enough("x", "y", percent, []))
+            else:
+                hubs = x.groupBy("token", "seat").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "place", "component", *PARITIES)).alias("hub"))
+                hubs = hubs.select("token", *(f"hub.{c}" for c in ("node", "n", "place", "component", *PARITIES))).alias("y")
+                met = x.alias("x").join(hubs, F.expr("x.token = y.token AND x.component <> y.component AND " + _large_enough("x", "y", percent)))
             pairs = cut_lineage(_distinct_pairs(met, tried, F.col("y.node"), F.col("x.node")), files)
-        found = verify(_tiles(pairs) if last else _hub_tiles(pairs), texts, size, percent, files_for(pairs.count()))
+        near = cut_lineage(_may_link(pairs, sketches, percent), files_for(pairs.count()))
+        found = verify(_tiles(near) if last else _hub_tiles(near), texts, size, percent, files_for(near.count()))
         tried = tried.unionByName(pairs)
         stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = cut_lineage(components(found.unionByName(stars)))
         if last:
             break
+        # any two postings of the other lists were met, one of them as a hub
+        postings = x.where("unmet > 1").select("token", "node", "n", "place", *(PARITIES if turn else []))
+        postings = postings if turn else postings.join(parities, "node")
     return labels

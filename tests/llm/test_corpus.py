@@ -495,6 +495,42 @@ def test_parities_never_differ_more_than_the_sets():
         assert sum((int(x) & (1 << 64) - 1).bit_count() for x in first ^ second) <= len(one ^ two)
 
 
+def test_sketches_of_any_sizes_never_differ_more_than_the_sets():
+    rng = random.Random(5)
+    for most in (1, 60, 600, 3000):
+        for _ in range(40):
+            one = {rng.getrandbits(64) for _ in range(rng.randrange(1, most + 1))}
+            two = {x for x in one if rng.random() < 0.9} | {rng.getrandbits(64) for _ in range(rng.randrange(1, most + 1))}
+            first, second = (prefix_join._sketch(np.array(sorted(x), np.uint64)) for x in (one, two))
+            assert prefix_join._unlike(first, second) == prefix_join._unlike(second, first) <= len(one ^ two)
+    assert prefix_join._unlike(prefix_join._sketch(np.zeros(0, np.uint64)), prefix_join._sketch(np.array([5], np.uint64))) == 1
+
+
+def test_long_texts_that_cannot_link_are_not_moved(spark, monkeypatch):
+    """Two sets of 1,500 differ in at most 256 classes of 256, which ruled nothing out."""
+    rng = random.Random(8)
+    word = lambda: "w%d" % rng.randrange(10**6)
+    common, base = [word() for _ in range(400)], [word() for _ in range(1500)]
+    rows = [(1, common + [word() for _ in range(1100)]), (2, common + [word() for _ in range(1100)]), (3, base), (4, base[:-20])]
+    moved, verify = [], prefix_join.verify
+    monkeypatch.setattr(prefix_join, "verify", lambda tiled, *a: moved.extend((r["a"], r["b"]) for r in tiled.collect()) or verify(tiled, *a))
+    got = prefix_join.join_components(spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string"))
+    assert {(r["doc_id"], r["component_id"]) for r in got.collect()} == {(1, 1), (2, 2), (3, 3), (4, 3)}
+    assert {tuple(sorted(p)) for p in moved} == {(3, 4)}
+
+
+def test_lists_that_are_settled_are_put_aside(spark):
+    # one in a single component, one of two members, one of three
+    postings = spark.createDataFrame([(1, 10, 9, 0), (1, 11, 9, 0), (2, 10, 9, 1), (2, 12, 9, 0), (3, 10, 9, 2), (3, 11, 9, 2), (3, 12, 9, 1)], "token long, node long, n int, place int")
+    labels = spark.createDataFrame([(10, 10), (11, 10)], "node long, component long")
+    told = {(r["token"], r["node"]): r for r in prefix_join._open_lists(postings, labels, 0).collect()}
+    assert set(told) == {(2, 10), (2, 12), (3, 10), (3, 11), (3, 12)}
+    assert all((r["k"], r["left"], r["unmet"]) == ((2, 1, 1) if t == 2 else (3, 2, 2)) for (t, _), r in told.items())
+    assert len({r["hub"] for (t, _), r in told.items() if t == 3}) == 1
+    seats = len({r["seat"] for r in (later := prefix_join._open_lists(postings, labels, 1).collect()) if r["token"] == 3})
+    assert {r["unmet"] for r in later if r["token"] == 3} == {3 - seats}
+
+
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(100)] + [(300, 200), (200, 200), (None, 1)]
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
