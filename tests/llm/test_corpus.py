@@ -527,8 +527,8 @@ def test_lists_that_are_settled_are_put_aside(spark):
     assert set(told) == {(2, 10), (2, 12), (3, 10), (3, 11), (3, 12)}
     assert all((r["k"], r["left"], r["unmet"]) == ((2, 1, 1) if t == 2 else (3, 2, 2)) for (t, _), r in told.items())
     assert len({r["hub"] for (t, _), r in told.items() if t == 3}) == 1
-    seats = len({r["seat"] for r in (later := prefix_join._open_lists(postings, labels, 1).collect()) if r["token"] == 3})
-    assert {r["unmet"] for r in later if r["token"] == 3} == {3 - seats}
+    later = [r for r in prefix_join._open_lists(postings, labels, 1).collect() if r["token"] == 3]
+    assert {r["unmet"] for r in later} == {3 - len({r["seat"] for r in later})}
 
 
 def test_components_of_a_long_path(spark):
